@@ -7,7 +7,7 @@ the packer sees a number of items that the parameters bound, whatever the number
 of groups, while every group still lands whole in one shard. Items are sorted by
 size, largest first, and each enters the bin with the tightest remaining capacity
 that holds it, found in a balanced tree of remaining capacities. The capacity is
-the least on a ladder from total / shards upwards for which the bins suffice.
+the least, by bisection from total / shards upwards, for which the bins suffice.
 
 A group larger than a shard cannot stay whole in shards of near equal size: it is
 cut by the hash of doc_id into the fewest pieces that leave room, and each piece
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from parkwright.llm.shared import cut, grouped_rank
 
-SHARDS, ROW_BYTES, GRAIN, STEP = 40, 16, 128, 1.002
+SHARDS, ROW_BYTES, GRAIN, PRECISION = 40, 16, 128, 20_000
 
 
 class Tree:
@@ -125,11 +125,22 @@ def best_fit_decreasing(items: list[tuple[int, str]], capacity: int, most_bins:
 
 
 def fewest_capacity(items: list[tuple[int, str]], shards: int) -> dict[str, int]:
-    """The packing into at most ``shards`` bins with the least capacity on a ladder of STEP."""
-    capacity = max(-(-sum(s for s, _ in items) // shards), max((s for s, _ in items), default=0), 1)
-    while (placed := best_fit_decreasing(items, capacity, shards)) is None:
-        capacity = int(capacity * STEP) + 1
-    return placed
+    """The packing into at most ``shards`` bins with the least capacity found, to 1 / PRECISION of an even share."""
+    share = max(-(-sum(s for s, _ in items) // shards), 1)
+    low = max(share, max((s for s, _ in items), default=0))
+    if (best := best_fit_decreasing(items, low, shards)) is not None:
+        return best
+    step = max(1, share // PRECISION)
+    while (best := best_fit_decreasing(items, low + step, shards)) is None:
+        low, step = low + step, step * 2
+    high = low + step
+    while high - low > max(1, share // PRECISION):
+        middle = (low + high) // 2
+        if (found := best_fit_decreasing(items, middle, shards)) is None:
+            low = middle
+        else:
+            best, high = found, middle
+    return best
 
 
 def assign(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
