@@ -1,65 +1,9 @@
-"""What the operators share: tables in the shared folder, and exact ranks without hot tasks."""
+"""What the operators share: tables in the shared folder, ranks without hot tasks, and single evaluation."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from parkwright.functions.text import let
+from parkwright.operators.ranking import grouped_rank
+from parkwright.sources.shared import BROADCAST_ROWS, cut, new_path, shared_root, small
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
-
-#: Rows below which a table of a few narrow columns (under 100 bytes a row) may be broadcast.
-BROADCAST_ROWS = 50_000
-
-
-def shared_root(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; only where it is unset, a temporary one of this machine."""
-    context = spark.sparkContext
-    root = context.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="parkwright-")
-        context._conf.set("spark.checkpoint.dir", root)
-        context.setCheckpointDir(root)
-    return root.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_root(spark)}/parkwright/{name}-{uuid.uuid4().hex}"
-
-
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: its lineage ends, and lost executors cost no rerun."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def small(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most BROADCAST_ROWS rows; else as it is, for a shuffled join."""
-    n = df.count() if rows is None else rows
-    return F.broadcast(df) if n <= BROADCAST_ROWS else df
-
-
-def let(value: Column, body) -> Column:
-    """``body`` of ``value``, which is evaluated once a row however often the body names it."""
-    return F.transform(F.array(value), body)[0]
-
-
-def grouped_rank(df: DataFrame, group: list[str], order: list[str], out: str) -> DataFrame:
-    """Add ``out``, the rank from 0 of each row of narrow ``df`` within its group.
-
-    The rows are dealt out by range of (group, order), so that a group with a
-    third of all rows spreads over many tasks; a rank is the rows of the group in
-    earlier ranges plus the place within the range. Ties in ``order`` get
-    distinct ranks. The offsets have one row per group and range.
-    """
-    keys = [*group, *order]
-    ranged = cut(df.repartitionByRange(*[F.col(k) for k in keys]).withColumn("_range", F.spark_partition_id()), "ranked")
-    counts = ranged.groupBy(*group, "_range").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = cut(counts.select(*group, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")), "offsets")
-    local = F.row_number().over(Window.partitionBy(*group, "_range").orderBy(*order)) - 1
-    ranked = ranged.withColumn("_local", local).alias("r")
-    on = [F.col(f"r.{k}").eqNullSafe(F.col(f"o.{k}")) for k in [*group, "_range"]]
-    joined = ranked.join(small(offsets).alias("o"), on)
-    return joined.select(*[f"r.{c}" for c in df.columns], (F.col("_local") + F.col("_before")).cast("long").alias(out))
+__all__ = ["BROADCAST_ROWS", "cut", "grouped_rank", "let", "new_path", "shared_root", "small"]
