@@ -130,7 +130,7 @@ def str_collapse(spark, d):
     return _messages(spark, d).select("id", F.array_join(T.collapse_runs(stutter), " ").alias("out"))
 
 
-@query("SELECT id, CAST(score AS BIGINT) AS score FROM (VALUES (1::BIGINT, 0), (2, 1), (3, 4), (4, 6), (5, 8), (6, 2)) AS v(id, score)")
+@query("SELECT id, CAST(score AS BIGINT) AS score FROM (VALUES (1::BIGINT, 0), (2, 1), (3, 4), (4, 8), (5, 12), (6, 2)) AS v(id, score)")
 def str_loop(spark, d):
     rows = [(1, ""), (2, "one"), (3, "a a a a"), (4, "x y x y x y x y z"), (5, "p q r s p q r s p q r s t u v"), (6, "b b c")]
     return spark.createDataFrame(rows, "id long, s string").select("id", T.loop_score(F.col("s")).alias("score"))
