@@ -115,9 +115,9 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame) -> Machine | None:
     """Fit on at most TRAIN_ROWS labelled rows of ``docs`` outside the held-out fifth, those of least hash."""
     marks = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
-    marks = marks.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.min("quality").alias("_quality"))
+    marks = marks.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.min("quality").cast("int").alias("_quality"))
     chosen = docs.sparkSession.createDataFrame(marks.orderBy(F.xxhash64("_id"), "_id").limit(TRAIN_ROWS).collect(), "_id long, _quality int")
-    rows = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).groupBy("_id", "_quality").agg(F.max(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_text"))
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).groupBy("_id", "_quality").agg(F.max(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_text"))
     got = sorted((r["_id"], r["_quality"], zlib.decompress(r["_x"])) for r in _squeezed(rows).collect())
     return fit([t for _, _, t in got], np.array([float(q > 0) for _, q, _ in got]))
 

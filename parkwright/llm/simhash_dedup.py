@@ -90,13 +90,18 @@ def grid(fps: DataFrame) -> DataFrame:
     return fps.select("fp", F.explode(F.flatten(F.transform(vectors, steps))).alias("c")).select("c.cell", "fp", "c.home")
 
 
+def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    # unsigned: of negative numbers numpy counts the bits of the magnitude
+    return np.bitwise_count((a ^ b).view(np.uint64))
+
+
 def forest(fps: np.ndarray) -> tuple[list[int], list[int]]:
     """Edges that connect ``fps`` as their links at RADIUS do, each to the first found of its tree."""
     left, a, b = np.unique(fps), [], []
     while len(left) > 1:
         root, front, left = left[0], [left[0]], left[1:]
         while front and len(left):
-            near = np.bitwise_count(left ^ front.pop()) <= RADIUS
+            near = _differing(left, np.int64(front.pop())) <= RADIUS
             if near.any():
                 got = left[near].tolist()
                 a += got
@@ -117,7 +122,7 @@ def _forests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sizes, a, b = np.diff(edges), [], []
         two = edges[:-1][sizes == 2]
         x, y = fp[two], fp[two + 1]
-        near = (np.bitwise_count(x ^ y) <= RADIUS) & (x != y)
+        near = (_differing(x, y) <= RADIUS) & (x != y)
         for i in np.flatnonzero(sizes > 2):
             p, q = forest(fp[edges[i] : edges[i + 1]])
             a += p

@@ -17,7 +17,8 @@ sample.
 Defined cases: vectors that are null, or hold a null or non-finite component,
 take no part. Vectors are compared with those of equal length only. Rows equal in
 id and vector count once; rows that share an id with different vectors are all
-candidates, but never of a query with that id. No rows in, no rows out.
+candidates, but never of a query with that id. Scores are exact below 2^53 and null
+beyond 2^63. No rows in, no rows out.
 """
 
 from __future__ import annotations
@@ -38,8 +39,8 @@ def whole_numbers(vector: Column, scale: int = 256) -> Column:
     """floor(scale * x) of each component as double; null for vectors that take no part."""
     x = vector.cast("array<double>")
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
-    # as double: exact below 2^53, and no overflow for huge components
-    return F.when(vector.isNotNull() & ~bad, F.transform(x, lambda v: F.floor(v * scale).cast("double")))
+    # as double: exact below 2^53, beyond which every double is whole
+    return F.when(vector.isNotNull() & ~bad, F.transform(x, lambda v: F.when(F.abs(v * scale) < 2.0**53, F.floor(v * scale).cast("double")).otherwise(v * scale)))
 
 
 def choose_pivots(sample: np.ndarray, n: int) -> np.ndarray:
@@ -137,7 +138,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     best = Window.partitionBy("query_id", "_q").orderBy(F.desc("score"), "id")
     return (
         out.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-        .select("query_id", F.col("rank").cast("int").alias("rank"), "id", F.col("score").cast("long").alias("score"))
+        .select("query_id", F.col("rank").cast("int").alias("rank"), "id", F.col("score").try_cast("long").alias("score"))
     )
 
 
