@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parkwright.llm import licenses, mixing, packing, quality_fm, quality_rules, quotes, sharding, simhash_dedup, topk_search, warc
+from parkwright.llm.oracles import ORACLE_SQL
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
 
@@ -67,4 +68,4 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_topk_search, op2_quality_rules, op3_simhash_dedup, op4_sharding, op5_quality_classifier, op6_mixing, op7_warc, op8_quotes, op9_licenses, op10_packing)}
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
