@@ -59,17 +59,22 @@ def first_by(rows: DataFrame, key: str, order: list) -> DataFrame:
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("_n = 1").drop("_n")
 
 
-def as_of(left: DataFrame, right: DataFrame, key: str, at: str, most: int) -> DataFrame:
+def as_of(left: DataFrame, right: DataFrame, key: str, at: str, most: int, span: int = 100_000) -> DataFrame:
     """Each left row with the nearest right row at or before it within ``most``; a right row serves its first left row only.
 
-    Both are merged in order per key, so no pair is built.
+    ``at`` counts in whole numbers. Rows are merged in order within ranges of
+    ``span``; a right row also stands in the next range if that begins within
+    ``most`` of it. So no pair is built, and one key spreads over many tasks.
     """
-    both = left.select(key, at, F.lit(None).cast("long").alias("_r"), F.lit(1).alias("_side")).unionByName(right.select(key, at, F.col(at).cast("long").alias("_r"), F.lit(0).alias("_side")))
-    w = Window.partitionBy(key).orderBy(at, "_side").rowsBetween(Window.unboundedPreceding, 0)
+    size = max(span, most + 1)
+    own, reach = F.floor(F.col(at) / size), F.floor((F.col(at) + most) / size)
+    r = right.select(key, at, F.col(at).cast("long").alias("_r"), F.lit(0).alias("_side"), F.explode(F.sequence(own, reach)).alias("_range"))
+    both = left.select(key, at, F.lit(None).cast("long").alias("_r"), F.lit(1).alias("_side"), own.alias("_range")).unionByName(r)
+    w = Window.partitionBy(key, "_range").orderBy(at, "_side").rowsBetween(Window.unboundedPreceding, 0)
     seen = both.withColumn("matched", F.last("_r", ignorenulls=True).over(w)).where("_side = 1")
-    near = F.when(F.col(at) - F.col("matched") <= most, F.col("matched"))
-    seen = seen.withColumn("matched", near)
-    first = F.row_number().over(Window.partitionBy(key, "matched").orderBy(at))
+    seen = seen.withColumn("matched", F.when(F.col(at) - F.col("matched") <= most, F.col("matched")))
+    # a right row has at most most + 1 left rows; rows without a match need no order among them
+    first = F.row_number().over(Window.partitionBy(key, F.coalesce("matched", -F.col(at) - 1)).orderBy(at))
     return seen.withColumn("_n", first).select(key, at, F.when(F.col("_n") == 1, F.col("matched")).alias("matched"))
 
 
