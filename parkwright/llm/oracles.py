@@ -27,11 +27,12 @@ RULES = f"""WITH w AS (SELECT doc_id, lang, source, coalesce(text, '') AS text,
 pos AS (SELECT doc_id, i, ws[i] AS a, ws[i + 1] AS b, ws[i + 2] AS c FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
 again AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n FROM pos) WHERE n > 1),
 rep AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM again, (SELECT unnest([0, 1, 2]) AS k) GROUP BY doc_id),
+lw AS (SELECT doc_id, CAST(sum(n * len(list_filter(string_split_regex(x, '{_SPACE}+'), lambda y: y <> ''))) AS BIGINT) AS n FROM (SELECT doc_id, x, count(*) AS n FROM (SELECT doc_id, unnest(ls) AS x FROM w) GROUP BY doc_id, x) WHERE n > 1 GROUP BY doc_id),
 c AS (SELECT w.doc_id, lang, source, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '{_SPACE}', '', 'g')) AS BIGINT) AS word_chars,
   CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
-  coalesce(rep.n, 0) AS n_repeat_words, CAST(length(text) - length(regexp_replace(text, '\\p{{Lu}}', '', 'g')) AS BIGINT) AS n_upper FROM w LEFT JOIN rep USING (doc_id)),
+  coalesce(rep.n, 0) AS n_repeat_words, coalesce(lw.n, 0) AS n_line_words, CAST(length(text) - length(regexp_replace(text, '\\p{{Lu}}', '', 'g')) AS BIGINT) AS n_upper FROM w LEFT JOIN rep USING (doc_id) LEFT JOIN lw USING (doc_id)),
 m AS (SELECT *, n_words < 50 OR n_repeat_words * 100 > n_words * 50 AS base_failed, 1000 * n_symbols // greatest(n_words, 1) AS symbols_pm, 1000 * n_dup_lines // greatest(n_lines, 1) AS dup_lines_pm,
-  1000 * n_repeat_words // greatest(n_words, 1) AS repeats_pm, 1000 * n_upper // greatest(word_chars, 1) AS upper_pm, 100 * word_chars // greatest(n_words, 1) AS word_length_c FROM c),
+  1000 * greatest(n_repeat_words - n_line_words, 0) // greatest(n_words, 1) AS repeats_pm, 1000 * n_upper // greatest(word_chars, 1) AS upper_pm, 100 * word_chars // greatest(n_words, 1) AS word_length_c FROM c),
 long AS (SELECT lang, source, unnest([{", ".join(f"'{m}'" for m in MARGINS)}]) AS measure, unnest([{", ".join(MARGINS)}]) AS v FROM m WHERE NOT base_failed),
 sketch AS (SELECT lang, source, measure, (v >> greatest(length(bin(v)) - 6, 0)::BIGINT) << greatest(length(bin(v)) - 6, 0)::BIGINT AS bucket, count(*) AS n FROM long GROUP BY ALL),
 {_level("own", ["lang", "source"])}, {_level("lan", ["lang"])}, {_level("every", [])},

@@ -53,6 +53,12 @@ def _repeated(words: Column) -> Column:
     return F.when(last >= 0, let(hashes, covered)).otherwise(F.lit(0).cast("long"))
 
 
+def words_of_equal_lines(lines: Column) -> Column:
+    """Words in lines that equal another line."""
+    again = lambda s: F.filter(s, lambda x, k: F.coalesce(F.get(s, k - 1) == x, F.lit(False)) | F.coalesce(F.get(s, k + 1) == x, F.lit(False)))
+    return F.aggregate(let(F.array_sort(lines), again), F.lit(0).cast("long"), lambda a, x: a + F.size(F.array_remove(F.split(x, SPACE + "+"), "")))
+
+
 def measure(docs: DataFrame, keep: list[str]) -> DataFrame:
     """The columns in ``keep`` and the counts and measures of each text."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -68,6 +74,7 @@ def measure(docs: DataFrame, keep: list[str]) -> DataFrame:
         F.size("_lines").cast("long").alias("n_lines"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("_words")).alias("n_repeat_words"),
+        words_of_equal_lines(F.col("_lines")).alias("n_line_words"),
         (size(F.col("_text")) - size(F.regexp_replace("_text", r"\p{Lu}", ""))).alias("n_upper"),
     )
     own = own.select(*keep, "_lang", "_source", F.inline(F.array(counts)))
@@ -76,7 +83,8 @@ def measure(docs: DataFrame, keep: list[str]) -> DataFrame:
         "base_failed": (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50),
         "symbols_pm": rate("n_symbols", "n_words", 1000),
         "dup_lines_pm": rate("n_dup_lines", "n_lines", 1000),
-        "repeats_pm": rate("n_repeat_words", "n_words", 1000),
+        # beyond what equal lines repeat, which have a measure of their own
+        "repeats_pm": rate("greatest(n_repeat_words - n_line_words, 0L)", "n_words", 1000),
         "upper_pm": rate("n_upper", "word_chars", 1000),
         "word_length_c": rate("word_chars", "n_words", 100),
     })
