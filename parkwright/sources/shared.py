@@ -27,6 +27,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/parkwright/{name}-{uuid.uuid4().hex}"
 
 
+def sweep(spark: SparkSession) -> None:
+    """Delete all that ``cut`` and others have put in the shared folder; no DataFrame read from there works after it."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/parkwright")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: its lineage ends, and lost executors cost no rerun."""
     path = new_path(df.sparkSession, name)

@@ -208,3 +208,13 @@ def test_numbers(spark):
         for _ in range(2):
             t = (t + 2 - 3) // 2 + 1
         assert x["s"] == (min(t, 9) if x["id"] else 0) and x["none"] is None
+
+
+def test_sweep(spark):
+    from parkwright.sources.shared import cut, sweep
+
+    kept = cut(spark.range(3), "x")
+    assert kept.count() == 3
+    sweep(spark)
+    with pytest.raises(Exception, match="(?i)not exist|no such|not found"):
+        kept.collect()
