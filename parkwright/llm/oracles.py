@@ -73,4 +73,34 @@ x AS (SELECT p.*, sh.off + (p.period - sh.fp) * sh.span + slots.slot AS block_po
 gaps AS (SELECT DISTINCT block_position AS place, nb * {_B} - n AS short FROM x WHERE block = nb - 1 AND nb * {_B} > n)
 SELECT doc_id, source, source_rank, block, block_position, CAST(block_position * {_B} + source_rank % {_B} - coalesce((SELECT sum(short) FROM gaps WHERE place < block_position), 0) AS BIGINT) AS position FROM x"""
 
-ORACLE_SQL = {"op1_topk_search": TOP_K, "op2_quality_rules": RULES, "op6_mixing": MIXING, "op9_licenses": LICENSES}
+_BITS = "array_to_string(list_transform(string_split(sha1(coalesce(html, '')), ''), lambda d: substr(bin(16 + instr('0123456789abcdef', d) - 1), 2)), '')"
+_BASE32 = "array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum(list_transform(range(5), lambda b: CASE WHEN substr(bits, 5 * i + b + 1, 1) = '1' THEN 1 << (4 - b)::INTEGER ELSE 0 END))::BIGINT, 1)), '')"
+
+WARC = f"""WITH p AS (SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, {_BITS} AS bits, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last FROM pages)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest, CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> last THEN last END AS refers_to FROM p"""
+
+_MARK = "^(?:[ \\t]*>)+[ \\t]?"
+_CLEAN = "trim(regexp_replace(lower({}), '\\s+', ' ', 'g'))"
+_EDGES = "regexp_replace({}, '^\\s+|\\s+$', '', 'g')"
+_PARTS = "list_concat(list_concat([{0}], string_split_regex({0}, '\\n[ \\t]*\\n')), string_split({0}, chr(10)))"
+
+QUOTES = f"""WITH RECURSIVE m AS (SELECT row_number() OVER () AS rid, conv_id, turn, role, regexp_replace(coalesce(text, ''), '\\r\\n?', chr(10), 'g') AS t FROM conversations),
+l AS (SELECT rid, unnest(string_split(t, chr(10))) AS line, unnest(range(len(string_split(t, chr(10))))) AS i FROM m),
+v AS (SELECT rid, i, length(regexp_replace(regexp_extract(line, '{_MARK}'), '[^>]', '', 'g')) AS level, regexp_replace(line, '{_MARK}', '') AS body FROM l),
+g AS (SELECT *, CASE WHEN lag(level) OVER (PARTITION BY rid ORDER BY i) = level THEN 0 ELSE 1 END AS start FROM v),
+h AS (SELECT *, sum(start) OVER (PARTITION BY rid ORDER BY i) AS run FROM g),
+r AS (SELECT rid, run, level, string_agg(body, chr(10) ORDER BY i) AS body FROM h GROUP BY rid, run, level),
+j AS (SELECT rid, count(*) AS runs, max(level) AS max_level, coalesce(string_agg(body, chr(10) ORDER BY run) FILTER (level = 0), '') AS body FROM r GROUP BY rid),
+c AS (SELECT m.rid, conv_id, turn, role, max_level, trim({_EDGES.format("CASE WHEN runs > 1 THEN regexp_replace(body, '(?m)^On .{0,200} wrote:[ \\t]*$', '', 'g') ELSE body END")}) AS content FROM m JOIN j USING (rid)),
+q AS (SELECT DISTINCT rid, level, md5(n) AS hash, length(n) AS chars FROM (SELECT rid, level, {_CLEAN.format("s")} AS n FROM (SELECT rid, level, unnest({_PARTS.format("body")}) AS s FROM r WHERE level > 0)) WHERE length(n) >= 12),
+o AS (SELECT DISTINCT rid, md5(n) AS hash FROM (SELECT rid, {_CLEAN.format("s")} AS n FROM (SELECT rid, unnest({_PARTS.format("content")}) AS s FROM c)) WHERE length(n) >= 12),
+f AS (SELECT conv_id, hash, min(turn) AS original FROM o JOIN c USING (rid) WHERE turn IS NOT NULL GROUP BY conv_id, hash),
+a AS (SELECT c.conv_id, c.turn, q.level, q.chars, f.original FROM q JOIN c USING (rid) JOIN f ON f.conv_id IS NOT DISTINCT FROM c.conv_id AND f.hash = q.hash AND f.original < c.turn),
+k AS (SELECT conv_id, turn, original AS reply_to, n_linked FROM (SELECT *, count(*) OVER w AS n_linked, row_number() OVER (w ORDER BY level, chars DESC, original DESC) AS n FROM a WINDOW w AS (PARTITION BY conv_id, turn)) WHERE n = 1),
+up AS (SELECT conv_id, turn, reply_to AS goal, 1 AS depth FROM k UNION ALL SELECT up.conv_id, up.turn, k.reply_to, depth + 1 FROM up JOIN k ON k.conv_id IS NOT DISTINCT FROM up.conv_id AND k.turn = up.goal),
+top AS (SELECT conv_id, turn, arg_max(goal, depth) AS thread_turn FROM up GROUP BY conv_id, turn),
+z AS (SELECT c.conv_id, c.turn, c.role, c.content, (SELECT count(*) FROM q WHERE q.rid = c.rid) AS n_quoted, c.max_level, coalesce(k.n_linked, 0) AS n_linked, k.reply_to, coalesce(top.thread_turn, c.turn) AS thread_turn
+FROM c LEFT JOIN k ON k.conv_id IS NOT DISTINCT FROM c.conv_id AND k.turn = c.turn LEFT JOIN top ON top.conv_id IS NOT DISTINCT FROM c.conv_id AND top.turn = c.turn)
+SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY thread_turn NULLS FIRST, turn NULLS FIRST, role NULLS FIRST, content NULLS FIRST) - 1 AS position FROM z"""
+
+ORACLE_SQL = {"op1_topk_search": TOP_K, "op2_quality_rules": RULES, "op6_mixing": MIXING, "op7_warc": WARC, "op8_quotes": QUOTES, "op9_licenses": LICENSES}

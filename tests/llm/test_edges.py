@@ -343,3 +343,30 @@ def test_empty_tables(empty):
     assert sharding.assign(empty).count() == 0
     assert quality_fm.score(empty, None).count() == 0 and quality_fm.keep_good(empty, None).count() == 0
     assert licenses.scan(empty).count() == 0 and packing.pack(empty, *tokenizer()).count() == 0
+
+
+def test_quotes_by_sql(spark):
+    """Random conversations that quote each other at several levels, against the SQL."""
+    import duckdb
+
+    from parkwright.llm.oracles import QUOTES
+
+    r, rows = random.Random(8), []
+    for conv in range(30):
+        said = []
+        for turn in range(r.randrange(1, 9)):
+            parts = [f"said {conv} {r.randrange(6)} and {words(5, r.randrange(40))}" for _ in range(r.randrange(1, 4))]
+            if said and r.random() < 0.7:
+                quoted = r.choice(said).split("\n")
+                parts.insert(r.randrange(len(parts) + 1), "\n".join("> " + x if r.random() < 0.9 else ">" + x.upper() for x in quoted))
+            said.append(r.choice(["\n", "\n\n"]).join(parts))
+            rows.append((conv, turn, "user", said[-1]))
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    con, frame = duckdb.connect(), table.toPandas()
+    con.register("conversations", frame)
+    found = con.execute(QUOTES)
+    names = [d[0] for d in found.description]
+    got = quotes.reply_ordered(table)
+    assert sorted(got.columns) == sorted(names)
+    assert sorted(map(tuple, got.select(*names).collect()), key=repr) == sorted(found.fetchall(), key=repr)
+    assert got.where("n_linked > 0").count() > 40 and got.where("max_level > 1").count() > 5
