@@ -75,14 +75,13 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(texts: list[bytes], labels: np.ndarray, seed: int = 7) -> Machine | None:
-    """Logistic loss by Adam over small batches, with L2 weights; None without labels."""
-    if not len(texts):
+def fit(found: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: int = 7) -> Machine | None:
+    """Logistic loss by Adam over small batches of ``features``, with L2 weights; None without any."""
+    if not found:
         return None
-    found = [features(t) for t in texts]
     stats = np.stack([s for s, _ in found])
     m = Machine(stats.mean(0), stats.std(0) + 1e-6, 0.0, np.zeros(0), np.zeros(0))
-    x = np.zeros((len(texts), STATS + BUCKETS), np.float32)
+    x = np.zeros((len(found), STATS + BUCKETS), np.float32)
     x[:, :STATS] = m.dense(stats)
     for i, (_, at) in enumerate(found):
         x[i, at + STATS] = 1 / np.sqrt(max(len(at), 1))
@@ -118,19 +117,19 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine | None:
     marks = marks.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.min("quality").cast("int").alias("_quality"))
     chosen = docs.sparkSession.createDataFrame(marks.orderBy(F.xxhash64("_id"), "_id").limit(TRAIN_ROWS).collect(), "_id long, _quality int")
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).groupBy("_id", "_quality").agg(F.max(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_text"))
-    got = sorted((r["_id"], r["_quality"], zlib.decompress(r["_x"])) for r in _squeezed(rows).collect())
-    return fit([t for _, _, t in got], np.array([float(q > 0) for _, q, _ in got]))
+    got = sorted(_featured(rows).collect(), key=lambda r: r["_id"])
+    return fit([(np.array(r["stats"]), np.array(r["buckets"], np.int64)) for r in got], np.array([float(r["_quality"] > 0) for r in got]))
 
 
-def _squeezed(rows: DataFrame) -> DataFrame:
-    """The chosen texts as compressed bytes, so that the driver receives little."""
+def _featured(rows: DataFrame) -> DataFrame:
+    """The chosen texts as features, a few kilobytes each however long they are."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            packed = [zlib.compress(t.as_py(), 1) for t in b.column(2)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(packed, pa.binary())], names=["_id", "_quality", "_x"])
+            found = [features(t.as_py()) for t in b.column(2)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([s.tolist() for s, _ in found], pa.list_(pa.float64())), pa.array([at.tolist() for _, at in found], pa.list_(pa.int32()))], names=["_id", "_quality", "stats", "buckets"])
 
-    return rows.select("_id", "_quality", F.col("_text").cast("binary")).mapInArrow(work, "_id long, _quality int, _x binary")
+    return rows.select("_id", "_quality", F.col("_text").cast("binary")).mapInArrow(work, "_id long, _quality int, stats array<double>, buckets array<int>")
 
 
 def score_texts(machine: Machine | None, texts: list[bytes | None]) -> np.ndarray:
