@@ -8,6 +8,11 @@ which bounds the sizes a unit is compared at, and the words it may have. Further
 |A & B| >= t/(2-t) |B|, so of any |B| - ceil(t/(2-t) |B|) + 1 bigrams of a template
 one must occur: a unit without a word of such anchor bigrams is left out at once.
 
+Licences that match no unit are looked for inside longer ones: in windows of the
+whole text's words, of each template's size range, from one of its bigrams to
+another. Of windows that overlap, the one with most shared bigrams counts. A full
+licence text is found by the notice of TEMPLATES that it holds.
+
 Scale: native expressions look at each text in its own task; nothing is shuffled,
 and the templates are constants of the plan.
 
@@ -46,6 +51,7 @@ TEMPLATES = {
 }
 RESTRICTED = ("CC-BY-NC-4.0", "CC-BY-NC-4.0-long", "GPL-3.0", "GPL-3.0-header")
 THRESHOLD = Fraction(4, 5)
+_WINDOW = "struct<less:int,sizes:int,name:string,start:int,end:int>"
 
 
 def template_words(text: str) -> list[str]:
@@ -64,7 +70,7 @@ def anchors(bigrams: list[str], least_share: Fraction) -> list[str]:
 
 
 def matches(text: Column, templates: dict[str, str] = TEMPLATES, threshold: Fraction = THRESHOLD) -> Column:
-    """(shared, sizes, name) of the best template of each unit that matches one; Dice is 2 shared / sizes."""
+    """(shared, sizes, name) of the best template of each unit that matches one, and of notices only found inside; Dice is 2 shared / sizes."""
     sets, share = {name: template_bigrams(t) for name, t in sorted(templates.items())}, threshold / (2 - threshold)
     low = {n: -(-share.numerator * len(s) // share.denominator) for n, s in sets.items()}
     high = {n: share.denominator * len(s) // share.numerator for n, s in sets.items()}
@@ -90,8 +96,43 @@ def matches(text: Column, templates: dict[str, str] = TEMPLATES, threshold: Frac
         # a text that is one paragraph, or one line, is looked at once
         return F.array_distinct(F.concat(rows, paragraphs, F.array(whole)))
 
-    worth = F.filter(F.transform(let(lines, units), split), lambda w: (F.size(w) >= least) & F.arrays_overlap(w, wanted))
-    return F.filter(F.transform(worth, unit), lambda m: m.isNotNull())
+    def windows(w: Column) -> Column:
+        """(shared, sizes, name) of the notices inside ``w``, those with most shared bigrams first, none over another."""
+        every = F.array(*[F.lit(x) for x in sorted({b for s in sets.values() for b in s})])
+        # a bigram may come again in a notice, so it may be longer than its set
+        span = {n: high[n] + len(template_words(templates[n])) - 1 - len(s) for n, s in sets.items()}
+
+        def one(n: str, bigrams: Column, hits: Column) -> Column:
+            def window(own: Column, i: Column, j: Column) -> Column:
+                start, end = F.get(own, i)["at"], F.get(own, j)["at"]
+                shared = F.size(F.array_distinct(F.transform(F.slice(own, i + 1, j - i + 1), lambda h: h["b"])))
+                size = F.size(F.array_distinct(F.slice(bigrams, start + 1, end - start + 1)))
+                return F.when(end - start < span[n], F.struct((-shared).alias("less"), (size + len(sets[n])).alias("sizes"), F.lit(n).alias("name"), start.alias("start"), end.alias("end")))
+
+            def ends(own: Column, i: Column) -> Column:
+                return F.filter(F.transform(F.sequence(i + (low[n] - 1), F.size(own) - 1), lambda j: window(own, i, j)), lambda m: m.isNotNull() & (-m["less"] * 2 * threshold.denominator >= m["sizes"] * threshold.numerator))
+
+            near = lambda own, i: F.get(own, i + (low[n] - 1))["at"] - F.get(own, i)["at"] < span[n]
+            # a best window starts and ends at bigrams of its template
+            found = lambda own: F.when(F.size(own) >= low[n], F.flatten(F.transform(F.filter(F.sequence(F.lit(0), F.size(own) - low[n]), lambda i: near(own, i)), lambda i: ends(own, i))))
+            return F.coalesce(let(F.filter(hits, lambda h: F.array_contains(F.array(*[F.lit(x) for x in sets[n]]), h["b"])), found), F.array().cast(f"array<{_WINDOW}>"))
+
+        apart = lambda m, o: (m["end"] < o["start"]) | (o["end"] < m["start"])
+        take = lambda kept, m: F.when(F.forall(kept, lambda o: apart(m, o)), F.array_append(kept, m)).otherwise(kept)
+        all_of = lambda bigrams, hits: F.array_sort(F.concat(*[one(n, bigrams, hits) for n in sets]))
+        chosen = lambda bigrams, hits: F.aggregate(all_of(bigrams, hits), F.array().cast(f"array<{_WINDOW}>"), take)
+        placed = lambda bigrams, present: F.filter(F.transform(bigrams, lambda b, i: F.when(F.array_contains(present, b), F.struct(i.alias("at"), b.alias("b")))), lambda h: h.isNotNull())
+        bigrams = F.transform(F.slice(w, 2, F.size(w) - 1), lambda x, i: F.concat(F.get(w, i), F.lit(" "), x))
+        rows = let(bigrams, lambda bs: let(F.array_intersect(bs, every), lambda present: F.when(F.size(present) >= min(low.values()), let(placed(bs, present), lambda hits: chosen(bs, hits)))))
+        return F.transform(rows, lambda m: F.struct((-m["less"]).alias("shared"), m["sizes"].alias("sizes"), m["name"].alias("name")))
+
+    def with_windows(worth: Column) -> Column:
+        # the whole text is the last unit, and worth it if any unit is
+        inside = F.when(F.size(worth) > 0, windows(F.get(worth, F.size(worth) - 1)))
+        added = lambda own: F.filter(inside, lambda m: ~F.exists(own, lambda o: o["name"] == m["name"]))
+        return let(F.filter(F.transform(worth, unit), lambda m: m.isNotNull()), lambda own: F.coalesce(F.concat(own, added(own)), own))
+
+    return let(F.filter(F.transform(let(lines, units), split), lambda w: (F.size(w) >= least) & F.arrays_overlap(w, wanted)), with_windows)
 
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: Fraction = THRESHOLD) -> DataFrame:

@@ -307,6 +307,26 @@ def test_licenses(spark, docs, rows):
     assert licenses.scan(docs).count() == len(rows)
 
 
+def test_licenses_inside_longer_units(spark):
+    t = licenses.TEMPLATES
+    long, prose = " ".join(f"word{i}" for i in range(300)), "All figures were checked twice before print. "
+    texts = {
+        prose + t["GPL-3.0"] + " Readers may write to us at any time.": "GPL-3.0",
+        "Copyright 2021 Some Author and others. Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+        "Released under the MIT License. Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0,MIT",
+        f"{long} {t['MIT-grant']}, including without limitation the rights to use, copy, modify, merge, publish {long}": "MIT-grant",
+        f"{long}\n{long} {t['Apache-2.0-header'].replace(' you may', chr(10) + 'you may')}\n{long}": "Apache-2.0-header",
+        t["GPL-3.0-header"] + " " + t["CC-BY-NC-4.0"]: "CC-BY-NC-4.0,GPL-3.0-header",
+        f"{prose} {t['CC-BY-SA-4.0']} {prose}": "CC-BY-SA-4.0",
+        t["MIT"] + "\n" + prose + t["MIT"] + " " + prose: "MIT",
+        f"{prose} The licence was released under the old rules and the MIT campus is near. {prose}": "",
+    }
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in licenses.scan(table).collect()}
+    assert [got[i]["licenses"] for i in range(len(texts))] == list(texts.values())
+    assert [got[i]["restricted"] for i in range(4)] == [True, True, True, False] and got[0]["best_shared"] * 2 == got[0]["best_sizes"]
+
+
 def test_packing_edges(spark, docs, rows):
     import public_tokenizers
     from tokenizers import Tokenizer
