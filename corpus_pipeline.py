@@ -1,4 +1,4 @@
-"""The corpus pipeline: rules, classifier, near-dedup, mixing, packing.
+"""The corpus pipeline: rules, classifier, near-dedup by fingerprints and by shingles, mixing, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 each stage's rows as Parquet in the shared folder and reads them back as the next
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parkwright.llm import mixing, packing, quality_fm, quality_rules, simhash_dedup
+from parkwright.llm import mixing, packing, quality_fm, quality_rules, shingle_dedup, simhash_dedup
 from parkwright.llm.queries import tokenizer
 from parkwright.llm.shared import cut
 
@@ -30,6 +30,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash_dedup.keep_one(docs)
 
 
+def shingle_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of texts that share 0.8 or more of their five-word shingles."""
+    return shingle_dedup.keep_one(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order that mixes their sources to weights by the root of their size."""
     return mixing.mixed_documents(docs)
@@ -44,6 +49,7 @@ STAGES = [
     ("quality rules", rules),
     ("quality classifier", classifier),
     ("simhash near-dedup", near_dedup),
+    ("shingle near-dedup", shingle_dedup_stage),
     ("source mixing", mix_sources),
     ("packing", pack_sequences),
 ]

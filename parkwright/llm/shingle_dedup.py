@@ -1,0 +1,101 @@
+"""Near copies by shingles of WORDS words and Jaccard similarity of at least SIMILARITY, checked exactly.
+
+A text's shingles are hashed to a set of numbers, and the set to BANDS x ROWS
+minhashes. Texts that agree in all minhashes of a band share a bucket: at 0.8
+two texts share one with a chance of 1 - (1 - 0.8^4)^16, all but 2 in 10,000. Each
+member of a bucket is paired with the least and the greatest key of it, so pairs
+grow with members and not with their square; a member whose only copies are other
+members is found through another band. Pairs are kept if the exact coefficient of
+their sets is SIMILARITY or more, and linked pairs form components.
+
+Scale: texts are read in their own tasks, twice: once for the bands, and once for
+the sets of those that are in a pair. Equal texts are one node. Both sides of each
+join come straight from an exchange.
+
+Defined cases: texts of at most WORDS words are one shingle; null and empty texts
+have none and are no copies of each other. Rows that repeat both id and text stay
+or go together; a null id comes after others. No rows in, no rows out.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from parkwright.llm.components import components
+from parkwright.llm.shared import cut, small
+from parkwright.llm.simhash_dedup import shingle_digests
+
+WORDS, BANDS, ROWS, SIMILARITY = 5, 16, 4, (4, 5)
+_MULTIPLIERS = np.random.default_rng(42).integers(0, 2**63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def shingles(text: bytes) -> np.ndarray:
+    """The distinct shingle hashes of UTF-8 ``text``, sorted."""
+    words = text.lower().split()
+    return np.unique(np.frombuffer(shingle_digests(words, WORDS), np.uint64)) if words else np.zeros(0, np.uint64)
+
+
+def bands(hashes: np.ndarray) -> np.ndarray:
+    """One number for each band; equal where all its minhashes are."""
+    least = np.full(BANDS * ROWS, 2**64 - 1, np.uint64)
+    for part in range(0, len(hashes), 1024):
+        np.minimum(least, (hashes[part : part + 1024, None] * _MULTIPLIERS).min(0), out=least)
+    mixed = np.arange(1, BANDS + 1, dtype=np.uint64)
+    for row in least.reshape(BANDS, ROWS).T:
+        mixed = (mixed ^ (row >> np.uint64(29)) ^ row) * np.uint64(0x9E3779B97F4A7C15)
+    return mixed.view(np.int64)
+
+
+def _mapped(texts: DataFrame, one, name: str) -> DataFrame:
+    """(key, ``name``) with what ``one`` gives for each of ``texts`` (key, text)."""
+    kind = pa.list_(pa.int64())
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([one(t.as_py()) for t in b.column(1)], kind)], names=["key", name])
+
+    return texts.mapInArrow(work, f"key long, {name} array<long>")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, key, text) of the texts with words; the key is the text's hash."""
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.cast("binary").alias("text")).where(text.rlike(r"[^\x20\x09-\x0D]"))
+
+
+def links(docs: DataFrame) -> DataFrame:
+    """(a, b): keys of texts in one bucket whose shingles have a Jaccard coefficient of at least SIMILARITY."""
+    texts = _keyed(docs).select("key", "text")
+    marked = cut(_mapped(texts, lambda t: bands(shingles(t)), "bands"), "bands")
+    rows = cut(marked.select("key", F.explode("bands").alias("bucket")), "buckets")
+    ends = rows.groupBy("bucket").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high")
+    paired = rows.join(cut(ends, "ends"), "bucket").select("key", F.explode(F.array("low", "high")).alias("other")).where("key <> other")
+    pairs = cut(paired.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct(), "pairs")
+    wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "wanted")
+    sets = cut(_mapped(texts.join(small(wanted), "key", "left_semi"), lambda t: shingles(t).view(np.int64), "s").dropDuplicates(["key"]), "sets")
+    both = pairs.join(sets.select(F.col("key").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("key").alias("b"), F.col("s").alias("sb")), "b")
+    # sizes alone rule most others out
+    shared, sizes, (part, whole) = F.size(F.array_intersect("sa", "sb")), F.size("sa") + F.size("sb"), SIMILARITY
+    able = F.least(F.size("sa"), F.size("sb")) * whole >= F.greatest(F.size("sa"), F.size("sb")) * part
+    return both.where(able & (shared * whole >= (sizes - shared) * part)).select("a", "b")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each group of near copies, that of its smallest doc_id."""
+    own = cut(_keyed(docs).select("doc_id", "key"), "keys")
+    roots = cut(components(links(docs)), "roots")
+    ids = own.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    # texts that neither repeat nor are in a component have no say
+    grouped = cut(ids.alias("i").join(roots.alias("r"), F.col("i.key") == F.col("r.node"), "left").where("n > 1 or root is not null").select("key", F.coalesce("root", "key").alias("root")), "grouped")
+    rows = cut(own.join(grouped, "key"), "members")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    best = cut(rows.groupBy("root").agg(F.min(order).alias("best")), "best")
+    lost = cut(rows.join(best, "root").where(F.col("best") != order).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct(), "lost")
+    gone = small(lost)
+    on = (F.xxhash64(F.col("text").cast("string")) == F.col("_key")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
+    return docs.join(gone, on, "left_anti")

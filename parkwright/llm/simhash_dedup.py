@@ -39,15 +39,15 @@ RADIUS, BLOCK, WORDS, SEED = 3, 1024, 3, 42
 _LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).copy().view(np.uint64).ravel()
 
 
-def _shingle_digests(words: list[bytes]) -> bytes:
+def shingle_digests(words: list[bytes], size: int = WORDS) -> bytes:
     from xxhash import xxh64_digest
 
-    if len(words) <= WORDS:
+    if len(words) <= size:
         return xxh64_digest(b" ".join(words), SEED)
     line = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-    starts = np.r_[0, ends[: 1 - WORDS]].tolist()[: len(words) - WORDS + 1]
-    return b"".join([xxh64_digest(line[s:e], SEED) for s, e in zip(starts, (ends[WORDS - 1 :] - 1).tolist(), strict=True)])
+    starts = np.r_[0, ends[: 1 - size]].tolist()[: len(words) - size + 1]
+    return b"".join([xxh64_digest(line[s:e], SEED) for s, e in zip(starts, (ends[size - 1 :] - 1).tolist(), strict=True)])
 
 
 def fingerprint(text: bytes | None) -> int:
@@ -55,7 +55,7 @@ def fingerprint(text: bytes | None) -> int:
     words = (text or b"").lower().split()  # on bytes both know ASCII only
     if not words:
         return 0
-    digests = np.frombuffer(_shingle_digests(words), np.uint8)
+    digests = np.frombuffer(shingle_digests(words), np.uint8)
     n, counts = len(digests) // 8, np.zeros(64, np.int64)
     for part in range(0, n, 255 * 1024):
         lanes = _LANES[digests[8 * part : 8 * (part + 255 * 1024)]].reshape(-1, 8)

@@ -5,7 +5,7 @@ from collections import defaultdict
 import pytest
 
 import corpus_pipeline
-from parkwright.llm import mixing, quality_fm, quality_rules
+from parkwright.llm import mixing, quality_fm, quality_rules, shingle_dedup
 from parkwright.llm.shared import cut
 from tests.llm.test_contracts import plain_components, plain_fingerprint
 from tests.llm.test_edges import check_pfair
@@ -81,3 +81,29 @@ def test_run_gives_the_last_stage(spark, sf, stages):
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
     whole = lambda df: sorted({(r["doc_id"], r["doc_tokens"]) for r in df.select(*columns).collect()})
     assert whole(corpus_pipeline.run(spark, sf)) == whole(stages["packing"][1])
+
+
+def test_no_near_copies_reach_mixing(stages):
+    """Of texts with Jaccard of 0.8 or more by five-word shingles, linked by brute force, the smallest id stays."""
+    before, after = stages["shingle near-dedup"]
+    sets = {}
+    for r in before.collect():
+        w = r["text"].encode().lower().split()
+        sets[r["doc_id"]] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+    home = {i: i for i in sets}
+    for i, s in sets.items():
+        for j, t in sets.items():
+            if i < j and 5 * min(len(s), len(t)) >= 4 * max(len(s), len(t)) and 5 * len(s & t) >= 4 * len(s | t):
+                a, b = home[i], home[j]
+                home = {k: min(a, b) if v in (a, b) else v for k, v in home.items()}
+    assert ids(after) == sorted(set(home.values())) and len(set(home.values())) < len(home)
+
+
+def test_shingle_dedup_edges(spark):
+    base = [f"word{i}" for i in range(100)]
+    text = lambda n: " ".join([*base[:n], "other", *base[n + 1 :]])
+    rows = [(5, " ".join(base)), (3, text(50)), (9, text(99)), (None, text(0)), (7, " ".join(base[:60])), (8, None), (10, ""), (11, None), (5, "a text of its own with the same id"), (12, "few words"), (13, "few words"), (14, "Few  words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r["doc_id"], r["text"]) for r in shingle_dedup.keep_one(docs).collect()), key=repr)
+    assert got == sorted([rows[1], rows[4], rows[5], rows[6], rows[7], rows[8], rows[9]], key=repr)
+    assert shingle_dedup.keep_one(docs.limit(0)).count() == 0
