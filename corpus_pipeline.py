@@ -41,8 +41,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of each document in the packed sequences."""
-    return packing.pack(docs, *tokenizer())
+    """The pieces of each document in the packed sequences, which follow the mixed order from task to task.
+
+    Files don't come back in the order they were written in, so the order is made anew.
+    """
+    return packing.pack(mixing.mixed_documents(docs), *tokenizer())
 
 
 STAGES = [

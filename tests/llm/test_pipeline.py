@@ -107,3 +107,21 @@ def test_shingle_dedup_edges(spark):
     got = sorted(((r["doc_id"], r["text"]) for r in shingle_dedup.keep_one(docs).collect()), key=repr)
     assert got == sorted([rows[1], rows[4], rows[5], rows[6], rows[7], rows[8], rows[9]], key=repr)
     assert shingle_dedup.keep_one(docs.limit(0)).count() == 0
+
+
+def test_sequences_follow_the_mix(spark, sf):
+    """Whatever order the files have, a later task packs what comes later in the mix."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    at = {r["doc_id"]: r["position"] for r in mixing.mix(docs).collect()}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        mixed = cut(corpus_pipeline.mix_sources(spark, docs, sf).repartition(5, "text"), "shuffled")
+        got = {(r["sequence_id"] >> 36, r["doc_id"]) for r in corpus_pipeline.pack_sequences(spark, mixed, sf).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    tasks = defaultdict(list)
+    for task, doc in got:
+        tasks[task].append(at[doc])
+    runs = [sorted(tasks[t]) for t in sorted(tasks)]
+    assert len(runs) > 1 and [x for run in runs for x in run] == list(range(len(at)))
+    assert len(got) == len(at)
