@@ -6,7 +6,8 @@ unquoted text, its paragraphs and its lines) and the passages it quotes are
 normalised (case, white space) and hashed. The original of a quoted passage is
 the earliest earlier message of the conversation that holds it as its own. A
 message replies to the original of its lowest quote level, then of its longest
-passage, then to the latest. Its thread is the message that the chain of replies
+passage, then to the latest. Passages of under MIN_CHARS characters recur by
+chance, so the original of such is the latest earlier message that holds it. Its thread is the message that the chain of replies
 ends at; a reply always stands after its original, so (thread_turn, turn) is an
 order in which every reply follows what it answers.
 
@@ -17,8 +18,8 @@ so one conversation or one passage can hold any share of the rows. Places are
 ranks over ranges. Chains of replies are shortened by pointer jumping, in about
 log(depth) rounds, over the messages that reply.
 
-Defined cases: null and empty texts have no passages. Passages of under MIN_CHARS
-characters link nothing. Null conversations form one conversation; a message with
+Defined cases: null and empty texts have no passages, and blank ones count for
+nothing. Null conversations form one conversation; a message with
 a null turn neither replies nor is an original. Rows that repeat a (conversation,
 turn) stay rows of their own; the first in text order speaks for their quotes. No
 rows in, no rows out.
@@ -60,20 +61,39 @@ def parse(messages: DataFrame) -> DataFrame:
     content = F.trim(F.regexp_replace(F.when(F.size("_runs") > 1, F.regexp_replace(joined, r"(?m)^On .{0,200} wrote:[ \t]*$", "")).otherwise(joined), r"^\s+|\s+$", ""))
     m = m.withColumn("content", content)
     key = lambda body: let(normalise(body), lambda n: F.struct(F.md5(n.cast("binary")).alias("hash"), F.length(n).alias("chars")))
-    long_enough = lambda keys: F.array_distinct(F.filter(keys, lambda k: k["chars"] >= MIN_CHARS))
+    filled = lambda keys: F.array_distinct(F.filter(keys, lambda k: k["chars"] > 0))
     units = F.concat(F.array("content"), F.split("content", r"\n[ \t]*\n"), F.split("content", "\n"))
     quoted = F.flatten(F.transform(F.filter("_runs", lambda r: r["level"] > 0), lambda r: F.transform(F.concat(F.array(r["body"]), F.split(r["body"], r"\n[ \t]*\n"), F.split(r["body"], "\n")), lambda b: let(key(b), lambda k: F.struct(r["level"].alias("level"), k["hash"].alias("hash"), k["chars"].alias("chars"))))))
-    return m.select("conv_id", "turn", "role", "text", "content", long_enough(quoted).alias("quoted"), long_enough(F.transform(units, key)).alias("own"), F.coalesce(F.array_max(F.transform("_runs", lambda r: r["level"])), F.lit(0)).alias("max_level"))
+    return m.select("conv_id", "turn", "role", "text", "content", filled(quoted).alias("quoted"), filled(F.transform(units, key)).alias("own"), F.coalesce(F.array_max(F.transform("_runs", lambda r: r["level"])), F.lit(0)).alias("max_level"))
+
+
+def latest_holders(asked: DataFrame, held: DataFrame) -> DataFrame:
+    """(conv_id, hash, turn, original): for each of distinct ``asked`` (conv_id, hash, turn), the last earlier turn in ``held``."""
+    keys, names = ["conv_id", "hash"], ["conv_id", "hash", "turn"]
+    on = lambda a, b, cs: [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in cs]
+    # a turn asks before it holds: the holders before it are its rank among all less that among the asking
+    both = asked.withColumn("kind", F.lit(0)).unionByName(held.withColumn("kind", F.lit(1)))
+    every = cut(grouped_rank(both, keys, ["turn", "kind"], "place").where("kind = 0"), "places").alias("e")
+    own = cut(grouped_rank(asked, keys, ["turn"], "asks"), "asks").alias("o")
+    holders = cut(grouped_rank(held, keys, ["turn"], "n"), "holders").alias("h")
+    before = every.join(own, on("e", "o", names)).select("e.conv_id", "e.hash", "e.turn", (F.col("place") - F.col("asks") - 1).alias("n")).alias("b")
+    return before.join(holders, on("b", "h", [*keys, "n"])).select("b.conv_id", "b.hash", "b.turn", F.col("h.turn").alias("original"))
 
 
 def replies(parsed: DataFrame) -> DataFrame:
     """(conv_id, turn, reply_to, n_linked): one row for each (conversation, turn) with a linked quote."""
     told = parsed.where("turn is not null")
     asked = cut(told.where(F.size("quoted") > 0).select("conv_id", "turn", F.explode("quoted").alias("q")).select("conv_id", "turn", "q.*"), "quoted")
-    wanted = told.where(F.size("own") > 0).select("conv_id", "turn", F.explode("own").alias("o")).select("conv_id", "turn", "o.hash")
-    first = cut(wanted.groupBy("conv_id", "hash").agg(F.min("turn").alias("original")), "originals")
-    on = F.col("a.conv_id").eqNullSafe(F.col("f.conv_id")) & (F.col("a.hash") == F.col("f.hash")) & (F.col("f.original") < F.col("a.turn"))
-    found = asked.alias("a").join(first.alias("f"), on).select("a.conv_id", "a.turn", "a.level", "a.chars", "a.hash", "f.original")
+    wanted = told.where(F.size("own") > 0).select("conv_id", "turn", F.explode("own").alias("o")).select("conv_id", "turn", "o.hash", "o.chars")
+    first = cut(wanted.where(F.col("chars") >= MIN_CHARS).groupBy("conv_id", "hash").agg(F.min("turn").alias("original")), "originals")
+    on = F.col("a.conv_id").eqNullSafe(F.col("f.conv_id")) & (F.col("a.hash") == F.col("f.hash"))
+    found = asked.alias("a").join(first.alias("f"), on & (F.col("f.original") < F.col("a.turn"))).select("a.conv_id", "a.turn", "a.level", "a.chars", "a.hash", "f.original")
+    short = asked.where(F.col("chars") < MIN_CHARS)
+    if not short.isEmpty():
+        held = wanted.where(F.col("chars") < MIN_CHARS).select("conv_id", "hash", "turn").distinct()
+        latest = cut(latest_holders(short.select("conv_id", "hash", "turn").distinct(), held), "latest")
+        by_latest = short.alias("a").join(latest.alias("f"), on & (F.col("f.turn") == F.col("a.turn")))
+        found = found.unionByName(by_latest.select("a.conv_id", "a.turn", "a.level", "a.chars", "a.hash", "f.original"))
     best = F.max(F.struct((-F.col("level")).alias("l"), "chars", "original"))
     return found.groupBy("conv_id", "turn").agg(best.alias("b"), F.count(F.lit(1)).alias("n_linked")).select("conv_id", "turn", F.col("b.original").alias("reply_to"), "n_linked")
 

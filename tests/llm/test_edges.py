@@ -267,6 +267,17 @@ def test_quotes(spark):
     assert quotes.reply_ordered(spark.createDataFrame(rows[:0], "conv_id long, turn long, role string, text string")).count() == 0
 
 
+def test_short_quotes(spark):
+    """Short passages link to their latest earlier holder, unless a longer one of the level links."""
+    rows = [
+        (1, 0, "a", "Shall I prune?"), (1, 1, "b", "Yes, do it."), (1, 2, "a", "> Yes, do it.\nI will then."), (1, 3, "b", "Yes, do it."), (1, 4, "a", "> Yes, do it.\nOnce more?"),
+        (1, 5, "c", "> Shall I prune?\n> Yes, do it.\nA long one first."), (1, 6, "c", "> Yes, do it.\n>> Shall I prune?\nOK"), (2, 0, "a", "\u597d\u7684"), (2, 1, "b", "> \u597d\u7684\n>\nok"), (None, 0, "a", "no"), (None, 1, "b", "> no\nok"), (3, 0, "a", "> no\nnothing"),
+    ]
+    got = quotes.reply_ordered(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert {(r["conv_id"], r["turn"]): r["reply_to"] for r in got if r["reply_to"] is not None} == {(1, 2): 1, (1, 4): 3, (1, 5): 0, (1, 6): 3, (2, 1): 0, (None, 1): 0}
+    assert {r["turn"]: r["thread_turn"] for r in got if r["conv_id"] == 1} == {0: 0, 1: 1, 2: 1, 3: 3, 4: 3, 5: 0, 6: 3}
+
+
 def test_long_reply_chain(spark):
     rows = [(1, i, "user", (f"> message number {i - 1} of a chain\n" if i else "") + f"message number {i} of a chain") for i in range(40)]
     got = quotes.reply_ordered(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
