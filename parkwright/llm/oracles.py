@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from parkwright.llm import licenses, mixing
-from parkwright.llm.quality_rules import LEAST_ROWS, MARGINS, SPREADS
+from parkwright.llm.quality_rules import LEAST_ROWS, MEASURES, SKETCH_BITS, SPREADS
 
 TOP_K = """WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
@@ -18,28 +18,31 @@ def _level(name: str, keys: list[str]) -> str:
     q = lambda pm: f"min(bucket) FILTER (seen * 1000 >= total * {pm})"
     return f"""{name}_m AS (SELECT {by}, bucket, sum(n) AS n FROM sketch GROUP BY {by}, bucket),
 {name}_s AS (SELECT *, sum(n) OVER (PARTITION BY {by} ORDER BY bucket) AS seen, sum(n) OVER (PARTITION BY {by}) AS total FROM {name}_m),
-{name}_q AS (SELECT {by}, max(total) AS total, {q(500)} AS q50, {q(100)} AS q10 FROM {name}_s GROUP BY {by}),
-{name} AS (SELECT {by}, total, q50 + greatest(CASE measure {" ".join(f"WHEN '{m}' THEN {v}" for m, v in MARGINS.items())} END, {SPREADS} * (q50 - q10)) AS top FROM {name}_q)"""
+{name} AS (SELECT {by}, max(total) AS total, {q(500)} AS mid, nullif({q(500)} - {q(250)}, 0) AS spread FROM {name}_s GROUP BY {by})"""
 
 
+_SHIFT = f"greatest(length(bin({{0}})) - {SKETCH_BITS}, 0)::BIGINT"
+
 RULES = f"""WITH w AS (SELECT doc_id, lang, source, coalesce(text, '') AS text, list_filter(string_split_regex(coalesce(text, ''), '{_SPACE}+'), lambda x: x <> '') AS ws,
   list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls FROM documents),
 pos AS (SELECT doc_id, i, ws[i] AS a, ws[i + 1] AS b, ws[i + 2] AS c FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
 again AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n FROM pos) WHERE n > 1),
 rep AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM again, (SELECT unnest([0, 1, 2]) AS k) GROUP BY doc_id),
-lw AS (SELECT doc_id, CAST(sum(n * len(list_filter(string_split_regex(x, '{_SPACE}+'), lambda y: y <> ''))) AS BIGINT) AS n FROM (SELECT doc_id, x, count(*) AS n FROM (SELECT doc_id, unnest(ls) AS x FROM w) GROUP BY doc_id, x) WHERE n > 1 GROUP BY doc_id),
 c AS (SELECT w.doc_id, lang, source, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '{_SPACE}', '', 'g')) AS BIGINT) AS word_chars,
-  CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
-  coalesce(rep.n, 0) AS n_repeat_words, coalesce(lw.n, 0) AS n_line_words, CAST(length(text) - length(regexp_replace(text, '\\p{{Lu}}', '', 'g')) AS BIGINT) AS n_upper FROM w LEFT JOIN rep USING (doc_id) LEFT JOIN lw USING (doc_id)),
-m AS (SELECT *, n_words < 50 OR n_repeat_words * 100 > n_words * 50 AS base_failed, 1000 * n_symbols // greatest(n_words, 1) AS symbols_pm, 1000 * n_dup_lines // greatest(n_lines, 1) AS dup_lines_pm,
-  1000 * greatest(n_repeat_words - n_line_words, 0) // greatest(n_words, 1) AS repeats_pm, 1000 * n_upper // greatest(word_chars, 1) AS upper_pm, 100 * word_chars // greatest(n_words, 1) AS word_length_c FROM c),
-long AS (SELECT lang, source, unnest([{", ".join(f"'{m}'" for m in MARGINS)}]) AS measure, unnest([{", ".join(MARGINS)}]) AS v FROM m WHERE NOT base_failed),
-sketch AS (SELECT lang, source, measure, (v >> greatest(length(bin(v)) - 6, 0)::BIGINT) << greatest(length(bin(v)) - 6, 0)::BIGINT AS bucket, count(*) AS n FROM long GROUP BY ALL),
+  CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+  coalesce(rep.n, 0) AS n_repeat_words, CAST(len(list_distinct(ws)) AS BIGINT) AS n_distinct, CAST(length(text) - length(regexp_replace(text, '[^\\p{{L}}\\p{{M}}\\p{{N}}\\x20\\x09-\\x0D]+', '', 'g')) AS BIGINT) AS n_marks,
+  CAST(length(text) - length(regexp_replace(text, '\\p{{Lu}}', '', 'g')) AS BIGINT) AS n_upper FROM w LEFT JOIN rep USING (doc_id)),
+m AS (SELECT *, n_words < 50 OR n_repeat_words * 100 > n_words * 50 AS base_failed, 10000 * n_marks // greatest(word_chars, 1) AS marks_ptt, 10000 * n_upper // greatest(word_chars, 1) AS upper_ptt,
+  100 * word_chars // greatest(n_words, 1) AS word_length_c, CAST(floor(1000.0::DOUBLE * n_words * sqrt(n_words::DOUBLE) / greatest(n_distinct * n_distinct, 1)) AS BIGINT) AS sameness_pm FROM c),
+long AS (SELECT lang, source, unnest([{", ".join(f"'{m}'" for m in MEASURES)}]) AS measure, unnest([{", ".join(MEASURES)}]) AS v FROM m WHERE NOT base_failed),
+sketch AS (SELECT lang, source, measure, (v >> {_SHIFT.format("v")}) << {_SHIFT.format("v")} AS bucket, count(*) AS n FROM long GROUP BY ALL),
 {_level("own", ["lang", "source"])}, {_level("lan", ["lang"])}, {_level("every", [])},
-tops AS (SELECT own.lang, own.source, own.measure, CAST(CASE WHEN own.total >= {LEAST_ROWS} THEN own.top WHEN lan.total >= {LEAST_ROWS} THEN lan.top ELSE every.top END AS BIGINT) AS top
+mids AS (SELECT own.lang, own.source, own.measure, CAST(CASE WHEN own.total >= {LEAST_ROWS} THEN own.mid WHEN lan.total >= {LEAST_ROWS} THEN lan.mid ELSE every.mid END AS BIGINT) AS mid,
+  coalesce(CASE WHEN own.total >= {LEAST_ROWS} THEN own.spread END, CASE WHEN own.total >= {LEAST_ROWS} OR lan.total >= {LEAST_ROWS} THEN lan.spread END, every.spread) AS spread
   FROM own JOIN lan ON own.lang IS NOT DISTINCT FROM lan.lang AND own.measure = lan.measure JOIN every ON own.measure = every.measure),
-t AS (SELECT lang, source, {", ".join(f"max(top) FILTER (measure = '{m}') AS top_{m}" for m in MARGINS)} FROM tops GROUP BY lang, source)
-SELECT m.* EXCLUDE (lang, source), {", ".join(f"top_{m}" for m in MARGINS)}, coalesce(NOT base_failed AND {" AND ".join(f"{m} <= top_{m}" for m in MARGINS)}, false) AS kept
+tops AS (SELECT lang, source, measure, CAST(mid + {SPREADS} * coalesce(spread, 1::BIGINT << {_SHIFT.format("mid")}) + (1::BIGINT << {_SHIFT.format("mid")}) - 1 AS BIGINT) AS top FROM mids),
+t AS (SELECT lang, source, {", ".join(f"max(top) FILTER (measure = '{m}') AS top_{m}" for m in MEASURES)} FROM tops GROUP BY lang, source)
+SELECT m.* EXCLUDE (lang, source), {", ".join(f"top_{m}" for m in MEASURES)}, coalesce(NOT base_failed AND {" AND ".join(f"{m} <= top_{m}" for m in MEASURES)}, false) AS kept
 FROM m LEFT JOIN t ON m.lang IS NOT DISTINCT FROM t.lang AND m.source IS NOT DISTINCT FROM t.source"""
 
 _TEMPLATES = ", ".join(f"""('{n}', [{", ".join(f"'{b}'" for b in licenses.template_bigrams(t))}])""" for n, t in sorted(licenses.TEMPLATES.items()))

@@ -1,22 +1,30 @@
 """Quality rules with thresholds that follow each language and source.
 
 Each document gets whole-number measures of its whole text. Their distributions
-are kept as quantile sketches: counts of log-linear buckets (exact below 64, then
-the six leading bits, so within 1/32 of a value). Sketches of two sets of
+are kept as quantile sketches: counts of log-linear buckets (exact below 256, then
+the eight leading bits, so within 1/128 of a value). Sketches of two sets of
 documents merge by adding counts, so a (language, source) with few documents
 falls back to the merged sketch of its language, then of all. A measure is out of
 line when it exceeds the median by more than SPREADS times the distance from the
-10th percentile to the median, and by its least margin. Both quantiles lie in the
-lower half, so up to half of a group may be junk without moving its threshold.
+lower quartile to the median; the width of the median's bucket, which is what the
+sketch rounds by, is the only allowance beside that. Both quantiles lie in the
+lower half, so up to half of a group may be junk without moving its threshold. A
+group whose quartile equals its median takes the distance of the next wider
+sketch that has one. The measures are ones that vary in any text (marks, capitals,
+length of words, sameness of words), so that quantiles have something to follow.
 
 Scale: one pass measures each text within its own task; sketches pre-aggregate
 before the shuffle and their size does not depend on the number of documents. The
-thresholds are broadcast only after a check of their number.
-
-Defined cases: a null text has no words; documents with under 50 words, or with
-over half their words in repeated three-word windows, fail the base rules and are
-left out of the sketches. Null languages and sources are groups of their own.
-Repeated rows are measured and returned each. No rows in, no rows out.
+thresholds are broadcast only after a check of their number. ``filter_documents``
+writes documents beside their measures once and reads them back to filter, so that
+texts are neither shuffled nor measured twice.
+
+Defined cases: null and empty texts have no words; documents with under 50 words, or
+with over half their words in repeated three-word windows, fail the base rules and
+are left out of the sketches. A measure equal to its threshold passes. Null languages
+and sources are groups of their own. Very long texts are measured whole, in the
+memory of their task. Repeated rows are measured and returned each. Columns beyond
+text, lang and source are not looked at, whatever their names. No rows in, no rows out.
 """
 
 from __future__ import annotations
@@ -26,9 +34,9 @@ from pyspark.sql import functions as F
 
 from parkwright.llm.shared import cut, let, small
 
-#: Measure: least margin over the median, in its own unit (parts per thousand of words, lines or characters; hundredths of a character).
-MARGINS = {"symbols_pm": 50, "dup_lines_pm": 400, "repeats_pm": 300, "upper_pm": 120, "word_length_c": 400}
-SPREADS, LEAST_ROWS, MIN_WORDS = 6, 200, 50
+#: What the rules look at: marks and capitals per ten thousand characters of words, hundredths of a character per word, and n * sqrt(n) / distinct^2 in thousandths.
+MEASURES = ("marks_ptt", "upper_ptt", "word_length_c", "sameness_pm")
+SPREADS, LEAST_ROWS, MIN_WORDS, SKETCH_BITS = 12, 200, 50, 8
 SPACE = r"[\x20\x09-\x0D]"
 SYMBOLS = "#*$%&|<>"
 
@@ -53,12 +61,6 @@ def _repeated(words: Column) -> Column:
     return F.when(last >= 0, let(hashes, covered)).otherwise(F.lit(0).cast("long"))
 
 
-def words_of_equal_lines(lines: Column) -> Column:
-    """Words in lines that equal another line."""
-    again = lambda s: F.filter(s, lambda x, k: F.coalesce(F.get(s, k - 1) == x, F.lit(False)) | F.coalesce(F.get(s, k + 1) == x, F.lit(False)))
-    return F.aggregate(let(F.array_sort(lines), again), F.lit(0).cast("long"), lambda a, x: a + F.size(F.array_remove(F.split(x, SPACE + "+"), "")))
-
-
 def measure(docs: DataFrame, keep: list[str]) -> DataFrame:
     """The columns in ``keep`` and the counts and measures of each text."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -71,34 +73,42 @@ def measure(docs: DataFrame, keep: list[str]) -> DataFrame:
         F.size("_words").cast("long").alias("n_words"),
         size(F.regexp_replace("_text", SPACE, "")).alias("word_chars"),
         (size(F.col("_text")) - size(F.translate("_text", SYMBOLS, ""))).alias("n_symbols"),
-        F.size("_lines").cast("long").alias("n_lines"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("_words")).alias("n_repeat_words"),
-        words_of_equal_lines(F.col("_lines")).alias("n_line_words"),
+        F.size(F.array_distinct("_words")).cast("long").alias("n_distinct"),
+        (size(F.col("_text")) - size(F.regexp_replace("_text", r"[^\p{L}\p{M}\p{N}\x20\x09-\x0D]+", ""))).alias("n_marks"),
         (size(F.col("_text")) - size(F.regexp_replace("_text", r"\p{Lu}", ""))).alias("n_upper"),
     )
     own = own.select(*keep, "_lang", "_source", F.inline(F.array(counts)))
     rate = lambda x, of, times: F.expr(f"cast({times} * {x} div greatest({of}, 1L) as long)")
     return own.withColumns({
         "base_failed": (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50),
-        "symbols_pm": rate("n_symbols", "n_words", 1000),
-        "dup_lines_pm": rate("n_dup_lines", "n_lines", 1000),
-        # beyond what equal lines repeat, which have a measure of their own
-        "repeats_pm": rate("greatest(n_repeat_words - n_line_words, 0L)", "n_words", 1000),
-        "upper_pm": rate("n_upper", "word_chars", 1000),
+        "marks_ptt": rate("n_marks", "word_chars", 10000),
+        "upper_ptt": rate("n_upper", "word_chars", 10000),
         "word_length_c": rate("word_chars", "n_words", 100),
+        # grows little with length, as vocabularies grow about as the power 3/4; the root is exact on every engine
+        "sameness_pm": F.expr("cast(floor(1000.0D * n_words * sqrt(cast(n_words as double)) / greatest(n_distinct * n_distinct, 1L)) as long)"),
     })
 
 
+def _shift(value: Column) -> Column:
+    return F.greatest(F.length(F.bin(value)) - SKETCH_BITS, F.lit(0))
+
+
 def bucket(value: Column) -> Column:
     """The lower edge of the sketch bucket of a whole number of at least 0."""
-    shift = F.greatest(F.length(F.bin(value)) - 6, F.lit(0))
+    shift = _shift(value)
     return F.call_function("shiftleft", F.call_function("shiftright", value, shift), shift)
 
 
+def width(edge: Column) -> Column:
+    """The number of values in the bucket at ``edge``."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), _shift(edge))
+
+
 def sketch(measured: DataFrame) -> DataFrame:
     """(_lang, _source, measure, bucket, n): the mergeable sketch of each measure."""
-    pairs = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("value")) for m in MARGINS])
+    pairs = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("value")) for m in MEASURES])
     long = measured.where(~F.col("base_failed")).select("_lang", "_source", F.inline(pairs)).withColumn("bucket", bucket(F.col("value")))
     return long.groupBy("_lang", "_source", "measure", "bucket").agg(F.count(F.lit(1)).alias("n"))
 
@@ -113,9 +123,9 @@ def thresholds(sketches: DataFrame) -> DataFrame:
         upto = Window.partitionBy(*keys, "measure").orderBy("bucket")
         merged = merged.withColumn("seen", F.sum("n").over(upto)).withColumn("total", F.sum("n").over(Window.partitionBy(*keys, "measure")))
         at = lambda pm: F.min(F.when(F.col("seen") * 1000 >= F.col("total") * pm, F.col("bucket")))  # noqa: B023, E731
-        part = merged.groupBy(*keys, "measure").agg(F.max("total").alias(f"n_{level}"), at(500).alias("q50"), at(100).alias("q10"))
-        margin = F.create_map(*[F.lit(x) for pair in MARGINS.items() for x in pair])
-        part = part.withColumn(f"top_{level}", F.col("q50") + F.greatest(margin[F.col("measure")].cast("long"), SPREADS * (F.col("q50") - F.col("q10")))).drop("q50", "q10")
+        part = merged.groupBy(*keys, "measure").agg(F.max("total").alias(f"n_{level}"), at(500).alias(f"mid_{level}"), at(250).alias("q25"))
+        # null where the sketch shows no distance
+        part = part.withColumn(f"spread_{level}", F.nullif(F.col(f"mid_{level}") - F.col("q25"), F.lit(0).cast("long"))).drop("q25")
         if found is None:
             found = part
         else:
@@ -123,18 +133,21 @@ def thresholds(sketches: DataFrame) -> DataFrame:
             on = F.col("a.measure") == F.col("b.measure")
             for k in keys:
                 on = on & F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
-            found = left.join(right, on).select("a.*", f"b.n_{level}", f"b.top_{level}")
-    top = F.when(F.col("n_own") >= LEAST_ROWS, F.col("top_own")).when(F.col("n_lang") >= LEAST_ROWS, F.col("top_lang")).otherwise(F.col("top_all"))
-    return found.groupBy("_lang", "_source").agg(*[F.max(F.when(F.col("measure") == m, top)).alias(f"top_{m}") for m in MARGINS])
+            found = left.join(right, on).select("a.*", f"b.n_{level}", f"b.mid_{level}", f"b.spread_{level}")
+    own, lang = F.col("n_own") >= LEAST_ROWS, F.col("n_lang") >= LEAST_ROWS
+    mid = F.when(own, F.col("mid_own")).when(lang, F.col("mid_lang")).otherwise(F.col("mid_all"))
+    spread = F.coalesce(F.when(own, F.col("spread_own")), F.when(own | lang, F.col("spread_lang")), F.col("spread_all"), width(mid))
+    top = mid + SPREADS * spread + width(mid) - 1
+    return found.groupBy("_lang", "_source").agg(*[F.max(F.when(F.col("measure") == m, top)).alias(f"top_{m}") for m in MEASURES])
 
 
 def judge(measured: DataFrame, tops: DataFrame) -> DataFrame:
     """``measured`` with the thresholds of its group and ``kept``."""
     m, t = measured.alias("m"), small(tops).alias("t")
     on = F.col("m._lang").eqNullSafe(F.col("t._lang")) & F.col("m._source").eqNullSafe(F.col("t._source"))
-    joined = m.join(t, on, "left").select("m.*", *[f"t.top_{x}" for x in MARGINS])
+    joined = m.join(t, on, "left").select("m.*", *[f"t.top_{x}" for x in MEASURES])
     within = ~F.col("base_failed")
-    for x in MARGINS:
+    for x in MEASURES:
         within = within & (F.col(x) <= F.col(f"top_{x}"))
     return joined.withColumn("kept", F.coalesce(within, F.lit(False)))
 
@@ -146,13 +159,9 @@ def apply_rules(docs: DataFrame) -> DataFrame:
 
 
 def filter_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with its columns.
-
-    Texts are measured twice instead of being shuffled or stored: first for the
-    sketches, then beside their rows to filter them.
-    """
-    tops = cut(thresholds(sketch(measure(docs, []))), "thresholds")
+    """The rows of ``docs`` that the rules keep, with its columns."""
     names = [f"_c{i}" for i in range(len(docs.columns))]
     tagged = docs.select("text", "lang", "source", *[F.col(c).alias(n) for c, n in zip(docs.columns, names, strict=True)])
-    kept = judge(measure(tagged, names), tops).where("kept")
+    measured = cut(measure(tagged, names), "measured")
+    kept = judge(measured, cut(thresholds(sketch(measured)), "thresholds")).where("kept")
     return kept.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns, strict=True)])
