@@ -13,19 +13,25 @@ padding.
 Token ids come from ranks of the byte-level vocabulary. Text is split at single
 spaces between visible characters, where no token can cross, so that each distinct
 piece of a batch is encoded once; texts with other white space around a space are
-encoded whole. Both give the ids of the tokenizer file.
+encoded whole. The strings of the tokenizer file's added tokens (the end-of-text mark)
+become those tokens wherever they occur, and what lies between is encoded by itself.
+All give the ids of the tokenizer file as it is called without further settings.
 
 Scale: everything happens in one pass within the tasks that read the table:
 nothing is shuffled or collected, and a task holds one window. Sequence ids are
 the partition number and a count within it, so they never clash.
 
 Defined cases: null and empty texts have the end id only. A null id is kept.
-Repeated rows are packed each. No rows in, no rows out.
+Repeated rows are packed each. Very long texts are encoded whole, in the memory of
+their task, and cut into full pieces. Of pieces of equal length the first read is
+placed first, and of sequences of equal cost the first opened is taken. Columns beyond
+doc_id and text are not looked at, whatever their names. No rows in, no rows out.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -44,12 +50,22 @@ _UNSAFE = re.compile(r"\A\s|\s\Z|\s |[ ]\s|\x1e")
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """String to id of the tokens that a tokenizer file adds to its vocabulary."""
+    with open(path, encoding="utf-8") as file:
+        return {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
+
+
 class Encoder:
-    """Ids of many texts at once, from a tiktoken file and its pattern."""
+    """Ids of many texts at once, from a tiktoken file, its pattern and added tokens."""
 
-    def __init__(self, ranks_path: str, pattern: str):
+    def __init__(self, ranks_path: str, pattern: str, added: dict[str, int]):
         import tiktoken
 
+        self.added = added
+        # the longest of strings that start alike
+        self.marks = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
+
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.plain = tiktoken.Encoding("byte-bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
@@ -57,13 +73,23 @@ class Encoder:
         for token, rank in ranks.items():
             self.bytes_of[rank] = len(token)
 
+    def alone(self, text: str) -> list[int]:
+        """The ids of one text, added tokens among them."""
+        if self.marks is None:
+            return self.plain(text)
+        ids: list[int] = []
+        for part in self.marks.split(text):
+            ids += [self.added[part]] if part in self.added else self.plain(part)
+        return ids
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        safe = [i for i, t in enumerate(texts) if t and not _UNSAFE.search(t)]
+        marked = lambda t: self.marks is not None and any(a in t for a in self.added)
+        safe = [i for i, t in enumerate(texts) if t and not _UNSAFE.search(t) and not marked(t)]
         out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(texts)
         rest = set(range(len(texts))) - set(safe)
         for i in rest:
             if texts[i]:
-                out[i] = np.array(self.plain(texts[i]), np.int64)
+                out[i] = np.array(self.alone(texts[i]), np.int64)
         if not safe:
             return out
         pieces = pc.split_pattern(pc.replace_substring(pa.array([texts[i] for i in safe], pa.large_string()), " ", "\x1e "), "\x1e")
@@ -163,18 +189,19 @@ class Packer:
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, SCHEMA, strict=True)], schema=SCHEMA)
 
 
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
+_ENCODERS: dict[tuple, Encoder] = {}
 
 
-def pack(docs: DataFrame, ranks_path: str, pattern: str, capacity: int = CAPACITY) -> DataFrame:
+def pack(docs: DataFrame, ranks_path: str, pattern: str, added: dict[str, int], capacity: int = CAPACITY) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset) for each piece of ``docs``."""
     if capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if (ranks_path, pattern) not in _ENCODERS:
-            _ENCODERS[ranks_path, pattern] = Encoder(ranks_path, pattern)
-        encoder, packer = _ENCODERS[ranks_path, pattern], Packer(TaskContext.get().partitionId(), capacity)
+        key = (ranks_path, pattern, *added.items())
+        if key not in _ENCODERS:
+            _ENCODERS[key] = Encoder(ranks_path, pattern, added)
+        encoder, packer = _ENCODERS[key], Packer(TaskContext.get().partitionId(), capacity)
 
         def feed(ids: list, texts: list[str]) -> None:
             for doc_id, found in zip(ids, encoder.encode(texts), strict=True):

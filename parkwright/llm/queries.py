@@ -8,18 +8,18 @@ from pyspark.sql import functions as F
 from parkwright.llm import licenses, mixing, packing, quality_fm, quality_rules, quotes, sharding, simhash_dedup, topk_search, warc
 from parkwright.llm.oracles import ORACLE_SQL
 
-TOKENIZER = "byte_bpe_50k.tiktoken"
+TOKENIZER = "byte_bpe_50k"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer() -> tuple[str, str]:
-    """The default vocabulary file, as ranks, and its pattern."""
+def tokenizer(name: str = TOKENIZER) -> tuple[str, str, dict[str, int]]:
+    """The vocabulary file as ranks, its pattern, and the tokens its tokenizer file adds."""
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN
+    return public_tokenizers.path(f"{name}.tiktoken"), public_tokenizers.PATTERN, packing.added_tokens(public_tokenizers.path(f"{name}.json"))
 
 
 def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
