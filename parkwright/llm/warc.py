@@ -4,13 +4,14 @@ The writer puts one gzip member per record into one file per task. Of pages with
 equal payloads, that with the largest id is a response; the others are revisits of
 it, without its payload but with its length and digest in their headers. Nothing
 in a compressed record looks like the start of another: a record in which the
-gzip magic followed by a decodable record header occurs is compressed anew
-without stored blocks.
+gzip magic followed by a decodable record header occurs is compressed anew, at last
+with fixed codes in blocks of a few bytes, until none does.
 
 The reader takes (file, start, end) splits. A task looks for the gzip magic in
 its range, tries each candidate by decoding its first bytes, and owns the records
 whose member starts inside, reading past its end to finish the last. A split's
-cost is that of its bytes; hot files need no care.
+cost is that of its bytes; hot files need no care. Splits are dealt out to as many
+tasks as there are splits, TASKS at most, whatever the few bytes of their rows weigh.
 
 Files are reached through pyarrow.fs by URI, in the shared folder. A task writes
 under a name of its own attempt and renames it when whole, so a rerun leaves one
@@ -21,13 +22,17 @@ checked.
 Defined cases: a null html is an empty payload, and equal to other empty ones.
 Repeated rows of the largest id of a payload are all responses. A null id never
 is a revisit's target unless all ids are null, when all are responses; null urls
-become urn:page:ID. Broken or foreign members are skipped. No rows in: no records.
+become urn:page:ID. Broken or foreign members are skipped. Very long pages are one
+member each, held in memory compressed and whole, in time that grows with their
+length. Columns beyond page_id, url and html are not looked at, whatever their names.
+No rows in: no records.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -39,7 +44,7 @@ from pyspark.sql import functions as F
 
 from parkwright.llm.shared import BROADCAST_ROWS, cut, new_path
 
-SPLIT_BYTES, STEP, HEAD, MAGIC = 4 << 20, 1 << 18, 64, b"\x1f\x8b\x08"
+SPLIT_BYTES, STEP, HEAD, MAGIC, TASKS = 4 << 20, 1 << 18, 64, b"\x1f\x8b\x08", 20_000
 _RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
 
 
@@ -47,12 +52,16 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def _deflate(data: bytes, strategy: int) -> bytes:
+def _deflate(data: bytes, strategy: int, block: int = 0) -> bytes:
+    """``data`` as a gzip member; with ``block``, flushed after so many bytes each time."""
     c = zlib.compressobj(6, zlib.DEFLATED, 31, 8, strategy)
-    return c.compress(data) + c.flush()
+    if not block:
+        return c.compress(data) + c.flush()
+    parts = [c.compress(data[i : i + block]) + c.flush(zlib.Z_SYNC_FLUSH) for i in range(0, len(data), block)]
+    return b"".join(parts) + c.flush()
 
 
-def starts_record(data: bytes, at: int) -> bool:
+def starts_record(data: bytes | bytearray, at: int) -> bool:
     """Whether a gzip member at ``at`` decodes to the header of a record."""
     try:
         return zlib.decompressobj(31).decompress(data[at : at + 4096], HEAD).startswith(b"WARC/1.")
@@ -60,17 +69,26 @@ def starts_record(data: bytes, at: int) -> bool:
         return False
 
 
+def seems_to_hold_another(packed: bytes) -> bool:
+    at = 0
+    while (at := packed.find(MAGIC, at + 1)) > 0:
+        if starts_record(packed, at):
+            return True
+    return False
+
+
 def member(data: bytes) -> bytes:
-    """``data`` as a gzip member, inside which no other record seems to start."""
-    for strategy in (zlib.Z_DEFAULT_STRATEGY, zlib.Z_HUFFMAN_ONLY, zlib.Z_RLE):
-        packed, at = _deflate(data, strategy), 1
-        while (at := packed.find(MAGIC, at)) > 0:
-            if starts_record(packed, at):
-                break
-            at += 1
-        if at < 0:
+    """``data`` as a gzip member, inside which no other record seems to start.
+
+    What gets through every strategy (only literal bytes at byte boundaries could) is
+    broken up by flushes at ever other places, so some way of writing it is found.
+    """
+    whole = ((s, 0) for s in (zlib.Z_DEFAULT_STRATEGY, zlib.Z_HUFFMAN_ONLY, zlib.Z_RLE, zlib.Z_FIXED))
+    flushed = ((zlib.Z_FIXED, 7 + 2 * i) for i in itertools.count())
+    for way in itertools.chain(whole, flushed):
+        if not seems_to_hold_another(packed := _deflate(data, *way)):
             return packed
-    raise ValueError("a record holds what looks like another in every compression")
+    raise AssertionError("unreachable: the ways don't end")
 
 
 def _line(value: object) -> str:
@@ -146,7 +164,8 @@ class _Window:
     """Bytes of a file by position, read in steps."""
 
     def __init__(self, file, start: int):
-        self.file, self.start, self.data = file, start, b""
+        # grows at one end and shrinks at the other without copying what is between
+        self.file, self.start, self.data = file, start, bytearray()
         file.seek(start)
 
     def more(self) -> bool:
@@ -155,7 +174,8 @@ class _Window:
         return bool(got)
 
     def skip(self, n: int) -> None:
-        self.data, self.start = self.data[n:], self.start + n
+        del self.data[:n]
+        self.start += n
 
 
 def records(file, start: int, end: int) -> Iterator[dict]:
@@ -181,7 +201,7 @@ def records(file, start: int, end: int) -> Iterator[dict]:
             while not d.eof:
                 if fed == len(w.data) and not w.more():
                     break
-                parts.append(d.decompress(w.data[fed:]))
+                parts.append(d.decompress(bytes(memoryview(w.data)[fed:])))
                 fed = len(w.data)
         except zlib.error:
             w.skip(1)
@@ -196,6 +216,8 @@ def records(file, start: int, end: int) -> Iterator[dict]:
 def read(spark: SparkSession, files: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """The records of archives (file, bytes), by byte ranges of ``split_bytes``."""
     splits = files.where("bytes > 0").select("file", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(split_bytes).cast("long"))).alias("start"))
+    # a stated number of partitions is kept by adaptive execution, which would join them by the size of the splits' rows
+    tasks = min(splits.count(), TASKS)
     scheme = shared_scheme(spark)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,7 +236,7 @@ def read(spark: SparkSession, files: DataFrame, split_bytes: int = SPLIT_BYTES)
                 if held:
                     yield pa.RecordBatch.from_pylist(held, schema)
 
-    return splits.repartition(F.col("file"), F.col("start")).mapInArrow(work, _RECORD)
+    return splits.repartition(max(tasks, 1)).mapInArrow(work, _RECORD)
 
 
 def shared_scheme(spark: SparkSession) -> str:
