@@ -140,7 +140,6 @@ def test_op10_packing(spark, sf, docs):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     ids = {d["doc_id"]: np.array([*e.ids, 0], "<u4") for d, e in zip(docs, t.encode_batch([d["text"] or "" for d in docs], add_special_tokens=False), strict=True)}
     pieces, sequences = defaultdict(list), defaultdict(list)
     for r in q.op10_packing(spark, sf).collect():

@@ -127,6 +127,79 @@ def test_group_over_a_shard(spark):
     assert len(sizes) == 10 and max(sizes.values()) < 1.05 * min(sizes.values())
 
 
+def plain_best_fit(sizes, shards):
+    """Best fit decreasing by looking at every bin, for the same capacities as the operator tries."""
+
+    def pack(capacity):
+        left, out = [], {}
+        for name, size in sorted(sizes.items(), key=lambda x: (-x[1], x[0])):
+            fits = [(r, b) for b, r in enumerate(left) if r >= size]
+            if not fits:
+                if len(left) == shards or size > capacity:
+                    return None
+                left.append(capacity)
+                fits = [(capacity, len(left) - 1)]
+            out[name] = min(fits)[1]
+            left[out[name]] -= size
+        return out
+
+    share = -(-sum(sizes.values()) // shards)
+    capacity, step = max(share, max(sizes.values())), max(1, share // sharding.PRECISION)
+    if pack(capacity):
+        return pack(capacity)
+    low = capacity
+    while pack(low + step) is None:
+        low, step = low + step, step * 2
+    high = low + step
+    while high - low > max(1, share // sharding.PRECISION):
+        middle = (low + high) // 2
+        low, high = (middle, high) if pack(middle) is None else (low, middle)
+    return pack(high)
+
+
+def test_shards_by_plain_best_fit(spark):
+    """Groups that are all listed: the same shard for each as by brute force."""
+    import hashlib
+
+    r = random.Random(17)
+    texts = [words(r.randrange(120, 200), i) for i in range(400)]
+    table = [(i, texts[r.randrange(400)]) for i in range(700)]
+    sizes = {}
+    for _, t in table:
+        key = hashlib.sha256(t.encode()).hexdigest()
+        sizes[key] = sizes.get(key, 0) + len(t.encode()) + 16
+    want = plain_best_fit(sizes, 10)
+    got = sharding.assign(spark.createDataFrame(table, "doc_id long, text string"), 10).collect()
+    assert {bytes(x["digest"]).hex(): x["shard"] for x in got} == want and len(got) == 700
+
+
+def test_shards_of_small_groups(spark):
+    """Groups that are all counted: each stays whole and shards are nearly equal."""
+    r = random.Random(18)
+    table = [(i, words(r.randrange(1, 60), r.randrange(15_000))) for i in range(20_000)]
+    bytes_of, shard_of = {}, {}
+    for x in sharding.assign(spark.createDataFrame(table, "doc_id long, text string"), 20).collect():
+        bytes_of[x["shard"]] = bytes_of.get(x["shard"], 0) + x["size"]
+        assert shard_of.setdefault(bytes(x["digest"]), x["shard"]) == x["shard"]
+    assert len(bytes_of) == 20 and max(bytes_of.values()) < 1.02 * min(bytes_of.values())
+
+
+@pytest.mark.parametrize("one_id", [5, None])
+def test_shards_of_repeated_rows(spark, one_id):
+    """A group of rows that are equal in id too is cut like any other; a row over a share has a shard of its own."""
+    table = spark.createDataFrame([(one_id, words(180, 1)) for _ in range(20_000)] + [(i, words(30, i)) for i in range(2000)], "doc_id long, text string")
+    sizes = {}
+    for x in sharding.assign(table).collect():
+        sizes[x["shard"]] = sizes.get(x["shard"], 0) + x["size"]
+    assert len(sizes) == 40 and max(sizes.values()) < 1.05 * min(sizes.values())
+    huge = spark.createDataFrame([(0, "x" * 400_000), (1, "y" * 300_000), *[(i, words(30, i)) for i in range(2, 3000)]], "doc_id long, text string")
+    sizes = {}
+    for x in sharding.assign(huge, 10).collect():
+        sizes.setdefault(x["shard"], []).append(x["size"])
+    rest = sorted(sum(v) for v in sizes.values() if len(v) > 1)
+    assert len(rest) == 8 and rest[-1] < 1.05 * rest[0]
+
+
 def test_best_fit_tree():
     r, tree, held = random.Random(4), sharding.Tree(), []
     for _ in range(3000):
@@ -251,6 +324,32 @@ def test_warc_edges(spark):
         assert ids == [8, 9]
 
 
+def test_member_always_ends(monkeypatch):
+    """Whatever seems to hold another record is written in some other way that doesn't."""
+    import io
+
+    real, tries = warc.seems_to_hold_another, []
+
+    def suspicious(packed):
+        tries.append(1)
+        return len(tries) < 8 or real(packed)
+
+    monkeypatch.setattr(warc, "seems_to_hold_another", suspicious)
+    packed = warc.member(warc.encode(3, "u", b"some text " * 500, None, False))
+    assert len(tries) == 8 and [r["payload"] for r in warc.records(io.BytesIO(packed), 0, len(packed))] == [b"some text " * 500]
+
+
+def test_one_task_for_each_split(spark, sf):
+    from parkwright.llm.shared import new_path
+
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    files = warc.write(pages, new_path(spark, "warc"))
+    n = sum(-(-r["bytes"] // 50_000) for r in files.collect())
+    read = warc.read(spark, files, 50_000)
+    tasks = read.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert read.count() == pages.count() and n > 8 and tasks > 0.6 * n
+
+
 def test_quotes(spark):
     rows = [
         (1, 0, "user", "How do I prune a vine in winter?\n\nAlso, when do I water it?"), (1, 1, "assistant", "Cut it back to two buds."),
@@ -343,7 +442,6 @@ def test_packing_edges(spark, docs, rows):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     ids = {r[0]: np.array([*t.encode(r[1] or "", add_special_tokens=False).ids, 0], "<u4") for r in rows}
     pieces = packing.pack(docs, *tokenizer()).collect()
     for p in pieces:
@@ -354,6 +452,21 @@ def test_packing_edges(spark, docs, rows):
         packing.pack(docs, *tokenizer(), capacity=1000)
 
 
+def test_added_tokens():
+    """Random texts that hold the end-of-text mark inside, at the ends and doubled, against the tokenizer file."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t, r, mark = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), random.Random(12), "<|endoftext|>"
+    parts = [mark, mark + mark, " ", "  ", "\n", " word", "word ", "caf\u00e9", "<|", "endoftext|>", "3 + 4", "\x1e"]
+    texts = [mark, mark * 2, f"a{mark}b", f" {mark} ", f"{mark} a", f"a {mark}", *["".join(r.choice(parts) for _ in range(r.randrange(12))) for _ in range(2000)]]
+    ranks, pattern, added = tokenizer()
+    for encoder, plain_marks in ((packing.Encoder(ranks, pattern, added), False), (packing.Encoder(ranks, pattern, {}), True)):
+        t.encode_special_tokens = plain_marks
+        want = [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
+        assert [x.tolist() for x in encoder.encode(texts)] == want
+
+
 def test_balance():
     """Costs are near each other, no sequence overflows, and nothing is lost."""
     r = random.Random(3)
