@@ -71,13 +71,13 @@ def measure(docs: DataFrame, keep: list[str]) -> DataFrame:
     # a generator, so that no filter above makes the optimiser repeat the work inside
     counts = F.struct(
         F.size("_words").cast("long").alias("n_words"),
-        size(F.regexp_replace("_text", SPACE, "")).alias("word_chars"),
+        size(F.translate("_text", " \t\n\x0b\x0c\r", "")).alias("word_chars"),
         (size(F.col("_text")) - size(F.translate("_text", SYMBOLS, ""))).alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("_words")).alias("n_repeat_words"),
         F.size(F.array_distinct("_words")).cast("long").alias("n_distinct"),
         (size(F.col("_text")) - size(F.regexp_replace("_text", r"[^\p{L}\p{M}\p{N}\x20\x09-\x0D]+", ""))).alias("n_marks"),
-        (size(F.col("_text")) - size(F.regexp_replace("_text", r"\p{Lu}", ""))).alias("n_upper"),
+        (size(F.col("_text")) - size(F.regexp_replace("_text", r"\p{Lu}+", ""))).alias("n_upper"),
     )
     own = own.select(*keep, "_lang", "_source", F.inline(F.array(counts)))
     rate = lambda x, of, times: F.expr(f"cast({times} * {x} div greatest({of}, 1L) as long)")
