@@ -9,16 +9,22 @@ bound |d(q, pivot) - d(x, pivot)| outwards and stops when no annulus left can
 hold a row at or above its k-th score. Scores are computed on whole numbers, so
 the bounds (with slack for rounding) only skip work and never change a result.
 
-Scale: rows are cut into blocks by range of (pivot, distance), queries into
-blocks of QUERY_BLOCK; a task sees one block of each. A hot pivot, or many equal
-vectors, spread over many ranges. Pivots and the seed rows come from a bounded
-sample.
+Scale: rows are cut into blocks of ROW_BLOCK by range of (length, pivot, distance); a
+hot pivot, or many equal vectors, spread over many blocks. A table with the least and
+largest distance of each (block, pivot), one row for each block and pivot, tells before
+anything is shuffled which blocks can hold an answer of a query. Each query first visits
+the block of its highest bound; only blocks that can still reach its k-th score then get
+it. A task holds one block and streams the queries that came to it, so the index moves
+twice whatever the number of queries, and memory is that of a block. Whole numbers under
+2^24 travel as floats, which hold them exactly. Pivots and the seed rows come from a
+bounded sample.
 
 Defined cases: vectors that are null, or hold a null or non-finite component,
-take no part. Vectors are compared with those of equal length only. Rows equal in
-id and vector count once; rows that share an id with different vectors are all
-candidates, but never of a query with that id. Scores are exact below 2^53 and null
-beyond 2^63. No rows in, no rows out.
+take no part. Vectors are compared with those of equal length only; a length that the
+sample lacks has no pivots, and all its rows are compared. Rows equal in id and vector
+count once; rows that share an id with different vectors are all candidates, but never
+of a query with that id. Ties go to the smaller id. Scores are exact below 2^53 and null
+beyond 2^63. Columns beyond the id and the vector are not looked at. No rows in, no rows out.
 """
 
 from __future__ import annotations
@@ -32,7 +38,7 @@ from pyspark.sql import functions as F
 
 from parkwright.llm.shared import cut
 
-PIVOTS, SAMPLE_ROWS, ROW_BLOCK, QUERY_BLOCK, ANNULUS = 48, 2048, 16_384, 4_096, 512
+PIVOTS, SAMPLE_ROWS, ROW_BLOCK, LEAST_BLOCK, ANNULUS, FLOATS = 48, 2048, 131_072, 2_048, 512, 1 << 24
 
 
 def whole_numbers(vector: Column, scale: int = 256) -> Column:
@@ -67,27 +73,56 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return np.take_along_axis(scores, order, 1), np.take_along_axis(ids, order, 1)
 
 
+def reach(norms: np.ndarray, most: float, bound: np.ndarray) -> np.ndarray:
+    """The highest score that a row at least ``bound`` away can have, with slack for rounding."""
+    return (norms[:, None] + most - bound**2) / 2 + 1e-6 * (norms[:, None] + most) + 1e-3
+
+
+class Space:
+    """What is known beforehand of the vectors of one length: pivots, the largest square of a norm, and seeds."""
+
+    def __init__(self, most: float, seeds: list[tuple[int, tuple[float, ...]]]):
+        self.most, self.seed_ids = most, np.array([i for i, _ in seeds], np.int64)
+        self.seeds = np.array([v for _, v in seeds], float).reshape(len(seeds), len(seeds[0][1]))
+        self.pivots = choose_pivots(_extend(self.seeds, most), PIVOTS)
+        # repeated rows count once
+        self.different = np.unique(np.c_[self.seed_ids[:, None], self.seeds], axis=0, return_index=True)[1]
+
+    def keys(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        d = _distances(_extend(x, self.most), self.pivots)
+        return d.argmin(1).astype(np.int32), d.min(1)
+
+    def bounds(self, q: np.ndarray, pivot: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """For each query and each ring (pivot, low, high): the highest score inside."""
+        d = _distances(np.c_[q, np.zeros(len(q))], self.pivots)[:, pivot]
+        return reach((q * q).sum(1), self.most, np.maximum(np.maximum(low[None, :] - d, d - high[None, :]), 0))
+
+    def floors(self, ids: np.ndarray, q: np.ndarray, k: int) -> np.ndarray:
+        """A k-th score that the seeds alone reach."""
+        if len(self.different) <= k:  # one of them may be the query's own
+            return np.full(len(q), -np.inf)
+        got = q @ self.seeds[self.different].T
+        got[ids[:, None] == self.seed_ids[self.different][None, :]] = -np.inf
+        return np.sort(got, axis=1)[:, -k]
+
+
 class _Block:
-    """One block of rows sorted by (pivot, distance), and its annuli."""
+    """The rows of one length in one block, sorted by (pivot, distance), and their annuli."""
 
-    def __init__(self, rows: pd.DataFrame, pivots: np.ndarray):
+    def __init__(self, rows: pd.DataFrame, space: Space | None):
         rows = rows.sort_values(["pivot", "dist", "id"], kind="stable")
-        self.ids, self.x = rows["id"].to_numpy(np.int64), np.stack(rows["v"].to_numpy())
-        pivot, dist = rows["pivot"].to_numpy(), rows["dist"].to_numpy()
+        rows = rows.assign(_v=rows["v"].map(lambda v: np.asarray(v).tobytes())).drop_duplicates(["id", "_v"])
+        self.space, self.ids, self.x = space, rows["id"].to_numpy(np.int64), np.stack(rows["v"].to_numpy()).astype(float)
+        pivot, dist = rows["pivot"].to_numpy(np.int64), rows["dist"].to_numpy(float)
         edges = np.flatnonzero(np.r_[True, pivot[1:] != pivot[:-1]])
         self.cuts = [(a, min(a + ANNULUS, z)) for s, z in zip(edges, np.r_[edges[1:], len(pivot)], strict=True) for a in range(s, z, ANNULUS)]
         self.pivot = np.array([pivot[a] for a, _ in self.cuts])
         self.low, self.high = np.array([dist[a] for a, _ in self.cuts]), np.array([dist[z - 1] for _, z in self.cuts])
-        self.pivots = pivots
 
-    def search(self, ids: np.ndarray, q: np.ndarray, floor: np.ndarray, most: float, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, ids: np.ndarray, q: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k best rows of each query; ``floor`` is a k-th score already known to be reached elsewhere."""
-        d = _distances(np.c_[q, np.zeros(len(q))], self.pivots)[:, self.pivot]
-        bound = np.maximum(np.maximum(self.low[None, :] - d, d - self.high[None, :]), 0)
-        norms = (q * q).sum(1)
         # the highest score an annulus can hold, from its lower bound on the distance
-        reach = (norms[:, None] + most - bound**2) / 2
-        reach += 1e-6 * (norms[:, None] + most) + 1e-3
+        reach = self.space.bounds(q, self.pivot, self.low, self.high) if self.space else np.full((len(q), len(self.cuts)), np.inf)
         order = np.argsort(-reach, axis=1, kind="stable")
         scores, found = np.full((len(q), k), -np.inf), np.full((len(q), k), np.iinfo(np.int64).max)
         done, step, live = 0, 1, np.arange(len(q))
@@ -120,78 +155,103 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     (query_id, rank, id, score). The queries are a stated set, matched in blocks.
     """
     spark = vectors.sparkSession
-    vectors = vectors.where("id is not null and v is not null")
-    queries = queries.where("id is not null and v is not null").withColumn("dim", F.size("v"))
-    sample = vectors.withColumn("dim", F.size("v")).orderBy(F.xxhash64("id"), "id", "v").limit(SAMPLE_ROWS).collect()
-    stats = vectors.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda a, b: a + b * b)).alias("most"))
-    # one row for each vector length in use
-    sizes = {r["dim"]: (r["n"], r["most"]) for r in stats.collect()}
-    out = None
-    for dim, (n, most) in sorted(sizes.items()):
-        seeds = sorted((r["id"], tuple(r["v"])) for r in sample if r["dim"] == dim)
-        if not seeds:  # a length too rare for the sample has few rows
-            seeds = sorted((r["id"], tuple(r["v"])) for r in vectors.where(F.size("v") == dim).orderBy("id", "v").limit(16).collect())
-        part = _search_one(spark, vectors.where(F.size("v") == dim), queries.where(F.col("dim") == dim).drop("dim"), seeds, n, most, k)
-        out = part if out is None else out.unionByName(part)
-    if out is None:
+    vectors = vectors.where("id is not null and v is not null").select("id", "v")
+    queries = queries.where("id is not null and v is not null").select("id", "v").distinct()
+    seeds: dict[int, list] = {}
+    for r in vectors.orderBy(F.xxhash64("id"), "id", "v").limit(SAMPLE_ROWS).collect():
+        seeds.setdefault(len(r["v"]), []).append((r["id"], tuple(r["v"])))
+    if not seeds:
         return spark.createDataFrame([], "query_id long, rank int, id long, score long")
-    best = Window.partitionBy("query_id", "_q").orderBy(F.desc("score"), "id")
+    # one row for each length in the sample, and one for all others
+    known = F.when(F.size("v").isin(list(seeds)), F.size("v"))
+    stats = vectors.groupBy(known.alias("dim")).agg(F.count(F.lit(1)).alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda a, b: a + b * b)).alias("most"), F.max(F.array_max(F.transform("v", F.abs))).alias("largest")).collect()
+    spaces = {r["dim"]: Space(r["most"], sorted(seeds[r["dim"]])) for r in stats if r["dim"] is not None}
+    n, kind = sum(r["n"] for r in stats), "float" if max(r["largest"] or 0 for r in stats) < FLOATS else "double"
+    blocks = max(1, min(-(-n // LEAST_BLOCK), max(-(-n // ROW_BLOCK), spark.sparkContext.defaultParallelism)))
+    index, rings = _index(vectors.select("id", F.col("v").cast(f"array<{kind}>").alias("v")), spaces, kind, blocks)
+    asked = queries.select("id", F.col("v").cast(f"array<{kind}>").alias("v"), F.xxhash64("v").alias("q"))
+
+    first = cut(_routed(asked.withColumn("floor", F.lit(float("-inf"))).withColumn("home", F.lit(None).cast("int")), spaces, rings, kind, k, home=True), "first")
+    met = cut(_met(index, first, spaces, kind, k, blocks), "met")
+    reached = met.groupBy("query_id", "q").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least"))
+    told = first.alias("a").join(reached.alias("r"), (F.col("a.id") == F.col("r.query_id")) & (F.col("a.q") == F.col("r.q")), "left")
+    told = told.select("a.id", "a.v", "a.q", F.greatest("a.floor", F.when(F.col("n") >= k, F.col("least")).otherwise(float("-inf"))).alias("floor"), F.col("a.block").alias("home"))
+    then = _met(index, _routed(told, spaces, rings, kind, k, home=False), spaces, kind, k, blocks)
+    best = Window.partitionBy("query_id", "q").orderBy(F.desc("score"), "id")
     return (
-        out.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+        met.unionByName(then).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
         .select("query_id", F.col("rank").cast("int").alias("rank"), "id", F.col("score").try_cast("long").alias("score"))
     )
 
 
-def _search_one(spark, vectors, queries, seeds, n, most, k) -> DataFrame:
-    seed_ids, seed_x = np.array([s[0] for s in seeds], np.int64), np.array([s[1] for s in seeds], float).reshape(len(seeds), -1)
-    pivots = choose_pivots(_extend(seed_x, most), PIVOTS)
+def _index(vectors: DataFrame, spaces: dict[int, Space], kind: str, blocks: int) -> tuple[DataFrame, pd.DataFrame]:
+    """The rows with their keys and blocks, and the rings (block, dim, pivot, low, high) of them; dim -1 stands for lengths without pivots."""
 
     def key_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            if len(rows):
-                d = _distances(_extend(np.stack(rows["v"].to_numpy()), most), pivots)
-                yield rows.assign(pivot=d.argmin(1).astype(np.int32), dist=d.min(1))
+            for dim, own in rows.groupby(rows["v"].map(len)):
+                space = spaces.get(dim)
+                pivot, dist = space.keys(np.stack(own["v"].to_numpy()).astype(float)) if space else (-1, 0.0)
+                yield own.assign(dim=np.int32(dim), pivot=pivot, dist=dist).astype({"pivot": np.int32, "dist": float})
 
-    def seed_queries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            if len(rows):
-                got = np.stack(rows["v"].to_numpy()) @ seed_x.T
-                got[rows["id"].to_numpy()[:, None] == seed_ids[None, :]] = -np.inf
-                floor = np.full(len(rows), -np.inf)
-                # repeated rows count once, so the floor needs k different seeds
-                uniq = np.unique(np.c_[seed_ids[:, None], seed_x], axis=0, return_index=True)[1]
-                if len(uniq) >= k:
-                    floor = np.sort(got[:, uniq], axis=1)[:, -k]
-                yield rows.assign(floor=floor)
-
-    row_blocks, query_count = max(1, -(-n // ROW_BLOCK)), queries.count()
-    query_blocks = max(1, -(-query_count // QUERY_BLOCK))
-    keyed = vectors.select("id", "v").mapInPandas(key_rows, "id long, v array<double>, pivot int, dist double")
+    keyed = vectors.mapInPandas(key_rows, f"id long, v array<{kind}>, dim int, pivot int, dist double")
     # equal rows fall into one range, whatever its bounds
-    ranged = keyed.repartitionByRange(row_blocks, "pivot", "dist", "id").withColumn("block", F.spark_partition_id())
-    index = cut(ranged, "annuli")
-    asked = queries.select("id", "v").distinct().mapInPandas(seed_queries, "id long, v array<double>, floor double")
-    asked = cut(asked.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int")), "queries")
-    left = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    # as many blocks as ranges there can be: those without rows find no partner
-    ranges = index.agg(F.max("block")).first()[0]
-    right = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(ranges or 0))))
-
-    def meet(key, rows: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
-        names = ["query_id", "_q", "id", "score"]
-        if not len(rows) or not len(asks):
-            return pd.DataFrame({c: pd.Series(dtype="int64" if c != "score" else "float64") for c in names})
-        rows = rows.assign(_v=rows["v"].map(lambda v: np.asarray(v).tobytes())).drop_duplicates(["id", "_v"])
-        q = np.stack(asks["v"].to_numpy())
-        scores, found = _Block(rows, pivots).search(asks["id"].to_numpy(np.int64), q, asks["floor"].to_numpy(), most, k)
-        tag = np.array([_tag(v) for v in q], np.int64)
-        line, place = np.nonzero(np.isfinite(scores))
-        return pd.DataFrame({"query_id": asks["id"].to_numpy()[line], "_q": tag[line], "id": found[line, place], "score": scores[line, place]})
-
-    return left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInPandas(meet, "query_id long, _q long, id long, score double")
+    index = cut(keyed.repartitionByRange(blocks, "dim", "pivot", "dist", "id").withColumn("block", F.spark_partition_id()), "annuli")
+    dim = F.when(F.col("pivot") < 0, -1).otherwise(F.col("dim"))
+    return index, index.groupBy("block", dim.alias("dim"), "pivot").agg(F.min("dist").alias("low"), F.max("dist").alias("high")).orderBy("block", "dim", "pivot").toPandas()
 
 
-def _tag(v: np.ndarray) -> int:
-    import xxhash
+def _routed(asked: DataFrame, spaces: dict[int, Space], rings: pd.DataFrame, kind: str, k: int, home: bool) -> DataFrame:
+    """``asked`` (id, v, q, floor, home) once for each block to visit: the one of the highest bound, or all others that reach the floor."""
+    by_dim = {d: r for d, r in rings.groupby("dim")}
 
-    return xxhash.xxh64_intdigest(np.ascontiguousarray(v).tobytes()) >> 1
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            for dim, own in rows.groupby(rows["v"].map(len)):
+                space, ring = spaces.get(dim), by_dim.get(dim if dim in spaces else -1)
+                if ring is None:
+                    continue
+                q, ids, floor = np.stack(own["v"].to_numpy()).astype(float), own["id"].to_numpy(np.int64), own["floor"].to_numpy(float)
+                block, start = np.unique(ring["block"].to_numpy(np.int64), return_index=True)
+                most = np.full((len(q), len(ring)), np.inf)
+                if space:
+                    most = space.bounds(q, ring["pivot"].to_numpy(np.int64), ring["low"].to_numpy(float), ring["high"].to_numpy(float))
+                    floor = np.maximum(floor, space.floors(ids, q, k))
+                most = np.maximum.reduceat(most, start, axis=1)
+                if home:
+                    line, place = np.arange(len(q)), most.argmax(1)
+                else:
+                    line, place = np.nonzero((most >= floor[:, None]) & (block[None, :] != own["home"].to_numpy(np.int64)[:, None]))
+                yield pd.DataFrame({"id": ids[line], "v": own["v"].to_numpy()[line], "q": own["q"].to_numpy()[line], "floor": floor[line], "block": block[place].astype(np.int32)})
+
+    return asked.mapInPandas(work, f"id long, v array<{kind}>, q long, floor double, block int")
+
+
+def _met(index: DataFrame, asked: DataFrame, spaces: dict[int, Space], kind: str, k: int, blocks: int) -> DataFrame:
+    """(query_id, q, id, score): the k best rows at or above the floor, of each block for each query that came to it."""
+    none = lambda c, t: F.lit(None).cast(t).alias(c)
+    rows = index.select("block", F.lit(0).alias("kind"), "id", "v", "dim", "pivot", "dist", none("q", "long"), none("floor", "double"))
+    rows = rows.unionByName(asked.select("block", F.lit(1).alias("kind"), "id", "v", none("dim", "int"), none("pivot", "int"), none("dist", "double"), "q", "floor"))
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, parts, at = {}, [], None
+        for batch in batches:
+            for (block, is_query), own in batch.groupby(["block", "kind"], sort=True):
+                if block != at:
+                    held, parts, at = {}, [], block
+                if not is_query:
+                    parts.append(own)
+                    continue
+                if parts:  # all rows of the block came before its first query
+                    whole, parts = pd.concat(parts, ignore_index=True), []
+                    held = {dim: _Block(r, spaces.get(dim)) for dim, r in whole.groupby("dim")}
+                for dim, asks in own.groupby(own["v"].map(len)):
+                    if dim not in held:
+                        continue
+                    q, ids, floor = np.stack(asks["v"].to_numpy()).astype(float), asks["id"].to_numpy(np.int64), asks["floor"].to_numpy(float)
+                    scores, found = held[dim].search(ids, q, floor, k)
+                    line, place = np.nonzero(np.isfinite(scores) & (scores >= floor[:, None]))
+                    yield pd.DataFrame({"query_id": ids[line], "q": asks["q"].to_numpy(np.int64)[line], "id": found[line, place], "score": scores[line, place]})
+
+    dealt = rows.repartition(2 * blocks, "block").sortWithinPartitions("block", "kind")
+    return dealt.mapInPandas(work, "query_id long, q long, id long, score double")

@@ -292,12 +292,16 @@ def test_search_prunes_nothing_wrongly(spark, monkeypatch):
     """Small annuli and blocks, clustered rows, many ties."""
     monkeypatch.setattr(topk_search, "ANNULUS", 7)
     monkeypatch.setattr(topk_search, "ROW_BLOCK", 150)
-    monkeypatch.setattr(topk_search, "QUERY_BLOCK", 5)
+    monkeypatch.setattr(topk_search, "LEAST_BLOCK", 40)
     r = np.random.default_rng(6)
     centres = r.normal(size=(9, 8)) * 3
     x = np.floor(256 * np.round(centres[r.integers(0, 9, 900)] + r.normal(size=(900, 8)) * 0.02, 1))
     table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    routed, real = [], topk_search._routed
+    monkeypatch.setattr(topk_search, "_routed", lambda *a, **b: routed.append(real(*a, **b)) or routed[-1])
     got = {(a["query_id"], a["rank"]): (a["id"], a["score"]) for a in topk_search.search(table, table.where("id % 50 = 0"), 5).collect()}
+    # clustered rows: most blocks are ruled out before the shuffle
+    assert routed[0].count() == 18 and routed[1].count() < 18 * 22 / 3
     for q in range(0, 900, 50):
         best = sorted((-int(s), i) for i, s in enumerate(x @ x[q]) if i != q)[:5]
         assert [got[q, k + 1] for k in range(5)] == [(i, -s) for s, i in best]
