@@ -11,14 +11,22 @@ cell only a spanning forest of the verified links is kept, never all pairs, so a
 cell of n linked fingerprints gives at most n - 1 of them.
 
 Scale: texts are read once and never shuffled; equal fingerprints collapse before
-the grid. Cells with no partner for a home fingerprint are dropped by a join on
-their counts. A cell with more than BLOCK rows is cut into blocks, and pairs of
-blocks are searched in separate tasks, without a cap on partners.
+the grid, which is made and shuffled once. A cell of more than about BLOCK rows is cut
+into blocks, and pairs of blocks are searched in separate tasks, without a cap on
+partners. How many rows a cell has is estimated from the cells of one fingerprint in
+SAMPLE; that decides only how a cell is cut, so no result rests on it.
+
+``keep_one`` also takes texts as copies that share 0.8 of their five-word shingles.
+Three bits of 64 find few of those (at 0.8 texts differ in about ten), and a radius of
+ten or more is beyond any grid over 64 bits, so their candidates come from ``shingles``.
 
 Defined cases: a null or empty text has fingerprint zero and links like any
 other; ties of a bit (set in exactly half the shingles) give 0. Repeated rows are
-returned each. Rows with a null id get a component like others; the smallest id
-ignores nulls. No rows in, no rows out.
+returned each by ``near_duplicates``; ``keep_one`` keeps one of them. Rows that share an
+id with different texts are rows of their own. Rows with a null id get a component like
+others; the smallest id ignores nulls. Very long texts are hashed whole, in parts of
+bounded size. Columns beyond doc_id and text are not looked at, whatever their names.
+No rows in, no rows out.
 """
 
 from __future__ import annotations
@@ -33,29 +41,19 @@ from pyspark.sql import functions as F
 
 from parkwright.llm.components import components
 from parkwright.llm.shared import cut, small
+from parkwright.llm.shingles import bands, shingle_digests, shingles, similar
 
-RADIUS, BLOCK, WORDS, SEED = 3, 1024, 3, 42
+RADIUS, BLOCK, SAMPLE, WORDS = 3, 4096, 64, 3
 #: For each byte, its eight bits as bytes of a word: adding 255 of them cannot overflow.
 _LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).copy().view(np.uint64).ravel()
 
 
-def shingle_digests(words: list[bytes], size: int = WORDS) -> bytes:
-    from xxhash import xxh64_digest
-
-    if len(words) <= size:
-        return xxh64_digest(b" ".join(words), SEED)
-    line = b" ".join(words)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-    starts = np.r_[0, ends[: 1 - size]].tolist()[: len(words) - size + 1]
-    return b"".join([xxh64_digest(line[s:e], SEED) for s, e in zip(starts, (ends[size - 1 :] - 1).tolist(), strict=True)])
-
-
 def fingerprint(text: bytes | None) -> int:
     """The SimHash of UTF-8 ``text``, as a signed 64-bit number."""
     words = (text or b"").lower().split()  # on bytes both know ASCII only
     if not words:
         return 0
-    digests = np.frombuffer(shingle_digests(words), np.uint8)
+    digests = np.frombuffer(shingle_digests(words, WORDS), np.uint8)
     n, counts = len(digests) // 8, np.zeros(64, np.int64)
     for part in range(0, n, 255 * 1024):
         lanes = _LANES[digests[8 * part : 8 * (part + 255 * 1024)]].reshape(-1, 8)
@@ -112,7 +110,7 @@ def forest(fps: np.ndarray) -> tuple[list[int], list[int]]:
 
 
 def _forests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Of rows sorted by (cell, lo, hi): the forest of each such item, one at a time."""
+    """Of rows sorted by (cell, lo, hi): the forest of each such item with a home row, one at a time."""
     keys, rest = ["cell", "lo", "hi"], None
     schema = {"a": np.int64, "b": np.int64}
 
@@ -120,10 +118,12 @@ def _forests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         k, fp = rows[keys].to_numpy(), rows["fp"].to_numpy(np.int64)
         edges = np.r_[np.flatnonzero(np.r_[True, (k[1:] != k[:-1]).any(1)]), len(k)] if len(k) else np.array([0])
         sizes, a, b = np.diff(edges), [], []
-        two = edges[:-1][sizes == 2]
+        # of two rows that both look into a cell, neither has its home there to be found
+        homes = np.add.reduceat(rows["home"].to_numpy(np.int64), edges[:-1]) if len(k) else sizes
+        two = edges[:-1][(sizes == 2) & (homes > 0)]
         x, y = fp[two], fp[two + 1]
         near = (_differing(x, y) <= RADIUS) & (x != y)
-        for i in np.flatnonzero(sizes > 2):
+        for i in np.flatnonzero((sizes > 2) & (homes > 0)):
             p, q = forest(fp[edges[i] : edges[i + 1]])
             a += p
             b += q
@@ -143,31 +143,77 @@ def _forests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def links(fps: DataFrame) -> DataFrame:
     """(a, b): edges between distinct ``fps`` (fp) that connect them as all links at RADIUS do."""
-    cells = grid(fps)
-    counts = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.sum("home").alias("homes"))
-    live = cut(counts.where("n >= 2 and homes >= 1").select("cell", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "cells")
-    rows = cells.alias("c").join(small(live).alias("l"), "cell").select("cell", "fp", "blocks")
+    seen = grid(fps.where(F.pmod(F.xxhash64("fp"), F.lit(SAMPLE)) == 0)).groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+    dense = cut(seen.where(F.col("n") * SAMPLE > BLOCK).select("cell", F.ceil(F.col("n") * SAMPLE / BLOCK).cast("int").alias("blocks")), "dense")
+    rows = grid(fps).join(small(dense), "cell", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(j, F.col("own")).alias("lo"), F.greatest(j, F.col("own")).alias("hi")))
-    items = rows.withColumn("own", own).select("cell", "fp", F.explode(pairs).alias("p")).select("cell", "p.lo", "p.hi", "fp")
+    items = rows.withColumn("own", own).select("cell", "fp", F.col("home").cast("byte").alias("home"), F.explode(pairs).alias("p")).select("cell", "p.lo", "p.hi", "fp", "home")
     return items.repartition("cell", "lo", "hi").sortWithinPartitions("cell", "lo", "hi").mapInPandas(_forests, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, fp, component_id) for each row of ``docs``; component_id is the smallest doc_id reachable."""
     own = cut(fingerprints(docs), "fingerprints")
-    firsts = cut(own.groupBy("fp").agg(F.min("doc_id").alias("first")), "firsts")
+    firsts = cut(own.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "firsts")
     roots = cut(components(links(firsts.select("fp"))), "roots")
     linked = cut(firsts.alias("f").join(roots.alias("r"), F.col("f.fp") == F.col("r.node")).select("f.fp", "f.first", "r.root"), "linked")
     least = cut(linked.groupBy("root").agg(F.min("first").alias("least")), "least")
     linked = linked.join(least, "root").select("fp", "least")
-    labels = cut(firsts.alias("f").join(linked.alias("l"), "fp", "left").select("fp", F.coalesce("l.least", "f.first").alias("component_id")), "labels")
-    return own.join(labels, "fp").select("doc_id", "fp", "component_id")
+    # a fingerprint of one row, without links, needs no label
+    several = firsts.alias("f").join(linked.alias("l"), "fp", "left").where("n > 1 or least is not null")
+    labels = cut(several.select("fp", F.coalesce("least", "first").alias("component_id")), "labels")
+    return own.join(labels, "fp", "left").select("doc_id", "fp", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def _scanned(docs: DataFrame) -> DataFrame:
+    """(doc_id, key, fp, bands) for each row of ``docs``, in one pass over its texts."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column(2).to_pylist()
+            fps = pa.array([fingerprint(t) for t in texts], pa.int64())
+            marks = pa.array([bands(s) if len(s := shingles(t)) else [] for t in texts], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), fps, marks], names=["doc_id", "key", "fp", "bands"])
+
+    return _keyed(docs).mapInArrow(work, "doc_id long, key long, fp long, bands array<long>")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.cast("binary").alias("text"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each component, that of its smallest doc_id; rows without an id pass unchanged."""
-    named = docs.where("doc_id is not null")
-    keep = near_duplicates(named).where("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
-    kept = named.join(keep, F.col("doc_id") == F.col("_keep"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    """``docs`` with one row of each group of near copies, that of the smallest doc_id; a null id comes after others.
+
+    Copies are texts whose fingerprints link, or that share 0.8 of their five-word
+    shingles. Texts that share an id go by their hash. Of rows that repeat id and text,
+    that of the least other columns stays.
+    """
+    own = cut(_scanned(docs), "scanned")
+    firsts = cut(own.groupBy("fp").agg(F.min("key").alias("first"), F.count_distinct("key").alias("n")), "firsts")
+    roots = cut(components(links(firsts.select("fp"))), "roots")
+    # one key stands for all texts of linked fingerprints
+    heads = firsts.alias("f").join(roots.alias("r"), F.col("f.fp") == F.col("r.node"), "left").where("n > 1 or root is not null")
+    heads = cut(heads.select("fp", F.coalesce("root", "fp").alias("root"), "first"), "heads")
+    heads = cut(heads.join(heads.groupBy("root").agg(F.min("first").alias("head")), "root").select("fp", "head"), "heads")
+    by_fingerprint = own.join(heads, "fp").select(F.col("key").alias("a"), F.col("head").alias("b")).distinct()
+    edges = by_fingerprint.unionByName(similar(_keyed(docs), own.select("key", "bands")))
+    groups = cut(components(edges), "groups")
+
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    keys = own.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n"))
+    keys = cut(keys.alias("k").join(groups.alias("g"), F.col("k.key") == F.col("g.node"), "left").select("doc_id", "key", "n", F.coalesce("root", "key").alias("root")), "keys")
+    best = cut(keys.groupBy("root").agg(F.min(order).alias("best")), "best")
+    judged = cut(keys.join(best, "root").withColumn("lost", F.col("best") != order).where("lost or n > 1").select("doc_id", "key", "lost"), "judged")
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    tagged = docs.select(*[F.col(c).alias(n) for c, n in zip(docs.columns, names, strict=True)], F.col("doc_id").cast("long").alias("_id"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_key")).alias("t")
+    on = lambda of: (F.col("t._key") == F.col(f"{of}.key")) & F.col("t._id").eqNullSafe(F.col(f"{of}.doc_id"))
+    kept = tagged.join(small(judged).alias("j"), on("j"), "left_anti").select(*names)
+    twice = judged.where("not lost")
+    if not twice.isEmpty():
+        rows = F.struct(*names)
+        again = tagged.join(small(twice).alias("w"), on("w")).groupBy("t._id", "t._key").agg(F.min_by(rows, F.to_json(rows)).alias("r"))
+        kept = kept.unionByName(again.select("r.*"))
+    return kept.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns, strict=True)])
