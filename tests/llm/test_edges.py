@@ -76,12 +76,14 @@ def test_simhash(docs, rows):
     kept = simhash_dedup.keep_one(docs)
     assert kept.columns == docs.columns
     ids = [r["doc_id"] for r in kept.collect()]
-    assert sorted(i for i in ids if i is not None) == sorted({c for i, c in comps.items()}) and ids.count(None) == 1
+    # the copy with one more word goes as well; rows 0 to 2 have no words
+    assert sorted(i for i in ids if i is not None) == sorted({c for c in comps.values()} - {7}) and ids.count(None) == 1
 
 
 def test_dense_and_chained_fingerprints(spark, monkeypatch):
     """A cell far over its block size, chains of links, and far fingerprints: components as by brute force."""
     monkeypatch.setattr(simhash_dedup, "BLOCK", 16)
+    monkeypatch.setattr(simhash_dedup, "SAMPLE", 1)
     r = np.random.default_rng(2)
     core = int(r.integers(0, 2**63))
     near = {core ^ sum(1 << int(b) for b in r.choice(64, k, replace=False)) for k in (0, 1, 2) for _ in range(60)}

@@ -5,9 +5,9 @@ from collections import defaultdict
 import pytest
 
 import corpus_pipeline
-from parkwright.llm import mixing, quality_fm, quality_rules, shingle_dedup
+from parkwright.llm import mixing, quality_fm, quality_rules, simhash_dedup
 from parkwright.llm.shared import cut
-from tests.llm.test_contracts import plain_components, plain_fingerprint
+from tests.llm.test_contracts import plain_fingerprint
 from tests.llm.test_edges import check_pfair
 
 
@@ -45,10 +45,26 @@ def test_classifier_goes_by_its_scores(spark, sf, stages):
     assert ids(after) == sorted(r["doc_id"] for r, s in zip(rows, scores, strict=True) if s >= quality_fm.CUTOFF)
 
 
+def plain_groups(rows):
+    """Least id of each group of (id, text): fingerprints within 3 bits, or a Jaccard of 0.8 by five-word shingles, linked by brute force."""
+    sets, fps = {}, {}
+    for i, text in rows:
+        w = text.encode().lower().split()
+        sets[i], fps[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}, plain_fingerprint(text)
+    home = {i: i for i in sets}
+    for i, s in sets.items():
+        for j, t in sets.items():
+            alike = 5 * min(len(s), len(t)) >= 4 * max(len(s), len(t)) and 5 * len(s & t) >= 4 * len(s | t)
+            if i < j and home[i] != home[j] and (alike or (fps[i] ^ fps[j]).bit_count() <= 3):
+                a, b = home[i], home[j]
+                home = {k: min(a, b) if v in (a, b) else v for k, v in home.items()}
+    return home
+
+
 def test_one_of_each_group_stays(stages):
     before, after = stages["simhash near-dedup"]
-    comps = plain_components({r["doc_id"]: plain_fingerprint(r["text"]) for r in before.collect()})
-    assert ids(after) == sorted(set(comps.values()))
+    home = plain_groups([(r["doc_id"], r["text"]) for r in before.collect()])
+    assert ids(after) == sorted(set(home.values())) and len(set(home.values())) < len(home)
 
 
 def test_mixing_orders_all(stages):
@@ -83,30 +99,22 @@ def test_run_gives_the_last_stage(spark, sf, stages):
     assert whole(corpus_pipeline.run(spark, sf)) == whole(stages["packing"][1])
 
 
-def test_no_near_copies_reach_mixing(stages):
-    """Of texts with Jaccard of 0.8 or more by five-word shingles, linked by brute force, the smallest id stays."""
-    before, after = stages["shingle near-dedup"]
-    sets = {}
-    for r in before.collect():
-        w = r["text"].encode().lower().split()
-        sets[r["doc_id"]] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
-    home = {i: i for i in sets}
-    for i, s in sets.items():
-        for j, t in sets.items():
-            if i < j and 5 * min(len(s), len(t)) >= 4 * max(len(s), len(t)) and 5 * len(s & t) >= 4 * len(s | t):
-                a, b = home[i], home[j]
-                home = {k: min(a, b) if v in (a, b) else v for k, v in home.items()}
-    assert ids(after) == sorted(set(home.values())) and len(set(home.values())) < len(home)
-
-
-def test_shingle_dedup_edges(spark):
+def test_near_dedup_edges(spark):
     base = [f"word{i}" for i in range(100)]
     text = lambda n: " ".join([*base[:n], "other", *base[n + 1 :]])
     rows = [(5, " ".join(base)), (3, text(50)), (9, text(99)), (None, text(0)), (7, " ".join(base[:60])), (8, None), (10, ""), (11, None), (5, "a text of its own with the same id"), (12, "few words"), (13, "few words"), (14, "Few  words")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = sorted(((r["doc_id"], r["text"]) for r in shingle_dedup.keep_one(docs).collect()), key=repr)
-    assert got == sorted([rows[1], rows[4], rows[5], rows[6], rows[7], rows[8], rows[9]], key=repr)
-    assert shingle_dedup.keep_one(docs.limit(0)).count() == 0
+    got = sorted(((r["doc_id"], r["text"]) for r in simhash_dedup.keep_one(docs).collect()), key=repr)
+    assert got == sorted([rows[1], rows[4], rows[5], rows[8], rows[9]], key=repr)
+    assert simhash_dedup.keep_one(docs.limit(0)).count() == 0
+
+
+def test_one_id_with_two_texts(spark):
+    """The unique text of a shared id stays, and the copy goes; of repeated rows one stays, that of the least other columns."""
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(1, a, 2), (5, a, 1), (5, b, 4), (5, b, 3), (None, b, 0), (None, "alone", 9), (None, "alone", 8)]
+    got = simhash_dedup.keep_one(spark.createDataFrame(rows, "doc_id long, text string, _id int")).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([(1, a, 2), (5, b, 3), (None, "alone", 8)], key=repr)
 
 
 def test_sequences_follow_the_mix(spark, sf):
