@@ -6,23 +6,28 @@ unquoted text, its paragraphs and its lines) and the passages it quotes are
 normalised (case, white space) and hashed. The original of a quoted passage is
 the earliest earlier message of the conversation that holds it as its own. A
 message replies to the original of its lowest quote level, then of its longest
-passage, then to the latest. Passages of under MIN_CHARS characters recur by
-chance, so the original of such is the latest earlier message that holds it. Its thread is the message that the chain of replies
-ends at; a reply always stands after its original, so (thread_turn, turn) is an
-order in which every reply follows what it answers.
-
-Scale: native expressions parse each message in its own task. Passages meet their
-originals by (conversation, hash): originals collapse to their earliest turn
-before the shuffle, and both sides of that join come straight from an exchange,
-so one conversation or one passage can hold any share of the rows. Places are
-ranks over ranges. Chains of replies are shortened by pointer jumping, in about
-log(depth) rounds, over the messages that reply.
+passage, then to the latest. Passages of under MIN_CHARS
+characters recur by chance, so the original of such is the latest earlier message
+that holds it. Its thread is the message that the chain of replies ends at; a reply
+always stands after its original, so (thread_turn, turn) is an order in which every
+reply follows what it answers.
+
+Scale: native expressions parse each message once, in its own task, and the result is
+written. Own passages are hashed only in conversations that have a quote, if their
+number lets them be broadcast. Passages meet their originals by (conversation, hash):
+originals collapse to their earliest turn before the shuffle, and both sides of that
+join come straight from an exchange, so one conversation or one passage can hold any
+share of the rows. Places are ranks over ranges of rows without texts, which are joined
+back at the end by a number given when parsing. Chains of replies are shortened by
+pointer jumping, in about log(depth) rounds, over the messages that reply.
 
 Defined cases: null and empty texts have no passages, and blank ones count for
 nothing. Null conversations form one conversation; a message with
 a null turn neither replies nor is an original. Rows that repeat a (conversation,
-turn) stay rows of their own; the first in text order speaks for their quotes. No
-rows in, no rows out.
+turn) stay rows of their own; the first by role and hash of their content stands first,
+and what any of them quotes counts for the turn. Very long texts are parsed whole, in
+the memory of their task. Columns beyond the four are not looked at, whatever their
+names. No rows in, no rows out.
 """
 
 from __future__ import annotations
@@ -30,10 +35,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parkwright.llm.shared import cut, grouped_rank, let
+from parkwright.llm.shared import BROADCAST_ROWS, cut, grouped_rank, let
 
 MIN_CHARS = 12
 MARK = r"^(?:[ \t]*>)+[ \t]?"
+#: The line that announces a quote.
+ANNOUNCED = r"(?md)^On [^\n]* wrote:[ \t]*$"
 
 
 def normalise(c: Column) -> Column:
@@ -41,30 +48,45 @@ def normalise(c: Column) -> Column:
 
 
 def passages(text: Column) -> Column:
-    """Runs of lines of one quote level, as (level, body)."""
-    lines = F.transform(F.split(F.regexp_replace(F.coalesce(text, F.lit("")), "\r\n?", "\n"), "\n"), lambda x: F.struct(F.length(F.regexp_replace(F.regexp_extract(x, MARK, 0), "[^>]", "")).alias("level"), F.regexp_replace(x, MARK, "").alias("body")))
+    """Runs of lines of one quote level, as (level, body); a text without a mark is one run."""
 
     def runs(rows: Column) -> Column:
         starts = F.filter(F.sequence(F.lit(0), F.size(rows) - 1), lambda i: (i == 0) | (F.get(rows, i)["level"] != F.get(rows, i - 1)["level"]))
         body = lambda at, k, s: F.array_join(F.transform(F.slice(rows, s + 1, F.coalesce(F.get(at, k + 1), F.size(rows)) - s), lambda x: x["body"]), "\n")
         return let(starts, lambda at: F.transform(at, lambda s, k: F.struct(F.get(rows, s)["level"].alias("level"), body(at, k, s).alias("body"))))
 
-    return let(lines, runs)
+    def of(t: Column) -> Column:
+        lines = F.transform(F.split(t, "\n"), lambda x: F.struct(F.length(F.regexp_replace(F.regexp_extract(x, MARK, 0), "[^>]", "")).alias("level"), F.regexp_replace(x, MARK, "").alias("body")))
+        one = F.array(F.struct(F.lit(0).alias("level"), t.alias("body")))
+        return F.when(t.rlike(r"(?m)^[ \t]*>"), let(lines, runs)).otherwise(one)
+
+    given = F.coalesce(text, F.lit(""))
+    return let(F.when(F.contains(given, F.lit("\r")), F.regexp_replace(given, "\r\n?", "\n")).otherwise(given), of)
+
+
+def _units(body: Column) -> Column:
+    """A body, its paragraphs and its lines, each once."""
+    return F.array_distinct(F.concat(F.array(body), F.split(body, r"\n[ \t]*\n"), F.split(body, "\n")))
+
+
+def _key(body: Column) -> Column:
+    return let(normalise(body), lambda n: F.struct(F.unhex(F.md5(n.cast("binary"))).alias("hash"), F.length(n).alias("chars")))
+
+
+def _filled(keys: Column) -> Column:
+    return F.array_distinct(F.filter(keys, lambda k: k["chars"] > 0))
 
 
 def parse(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, role, text, content, quoted, own, max_level) of each message."""
-    m = messages.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
-    m = m.withColumn("_runs", passages(F.col("text")))
+    """(uid, conv_id, turn, role, content, quoted, max_level) of each message."""
+    m = messages.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), passages(F.col("text").cast("string")).alias("_runs"))
     joined = F.array_join(F.transform(F.filter("_runs", lambda r: r["level"] == 0), lambda r: r["body"]), "\n")
     # the line that announces a quote goes with it
-    content = F.trim(F.regexp_replace(F.when(F.size("_runs") > 1, F.regexp_replace(joined, r"(?m)^On .{0,200} wrote:[ \t]*$", "")).otherwise(joined), r"^\s+|\s+$", ""))
-    m = m.withColumn("content", content)
-    key = lambda body: let(normalise(body), lambda n: F.struct(F.md5(n.cast("binary")).alias("hash"), F.length(n).alias("chars")))
-    filled = lambda keys: F.array_distinct(F.filter(keys, lambda k: k["chars"] > 0))
-    units = F.concat(F.array("content"), F.split("content", r"\n[ \t]*\n"), F.split("content", "\n"))
-    quoted = F.flatten(F.transform(F.filter("_runs", lambda r: r["level"] > 0), lambda r: F.transform(F.concat(F.array(r["body"]), F.split(r["body"], r"\n[ \t]*\n"), F.split(r["body"], "\n")), lambda b: let(key(b), lambda k: F.struct(r["level"].alias("level"), k["hash"].alias("hash"), k["chars"].alias("chars"))))))
-    return m.select("conv_id", "turn", "role", "text", "content", filled(quoted).alias("quoted"), filled(F.transform(units, key)).alias("own"), F.coalesce(F.array_max(F.transform("_runs", lambda r: r["level"])), F.lit(0)).alias("max_level"))
+    content = F.trim(F.regexp_replace(F.when(F.size("_runs") > 1, F.regexp_replace(joined, ANNOUNCED, "")).otherwise(joined), r"^\s+|\s+$", ""))
+    of_run = lambda r: F.transform(_units(r["body"]), lambda b: let(_key(b), lambda k: F.struct(r["level"].alias("level"), k["hash"].alias("hash"), k["chars"].alias("chars"))))
+    quoted = F.flatten(F.transform(F.filter("_runs", lambda r: r["level"] > 0), of_run))
+    top = F.coalesce(F.array_max(F.transform("_runs", lambda r: r["level"])), F.lit(0))
+    return m.select(F.monotonically_increasing_id().alias("uid"), "conv_id", "turn", "role", content.alias("content"), _filled(quoted).alias("quoted"), top.alias("max_level"))
 
 
 def latest_holders(asked: DataFrame, held: DataFrame) -> DataFrame:
@@ -84,7 +106,13 @@ def replies(parsed: DataFrame) -> DataFrame:
     """(conv_id, turn, reply_to, n_linked): one row for each (conversation, turn) with a linked quote."""
     told = parsed.where("turn is not null")
     asked = cut(told.where(F.size("quoted") > 0).select("conv_id", "turn", F.explode("quoted").alias("q")).select("conv_id", "turn", "q.*"), "quoted")
-    wanted = told.where(F.size("own") > 0).select("conv_id", "turn", F.explode("own").alias("o")).select("conv_id", "turn", "o.hash", "o.chars")
+    quoting = cut(asked.select("conv_id").distinct(), "quoting")
+    if (n := quoting.count()) == 0:
+        return asked.select("conv_id", "turn", F.col("turn").alias("reply_to"), F.col("turn").alias("n_linked"))
+    if n <= BROADCAST_ROWS:
+        told = told.alias("m").join(F.broadcast(quoting).alias("k"), F.col("m.conv_id").eqNullSafe(F.col("k.conv_id")), "left_semi")
+    own = _filled(F.transform(_units(F.col("content")), _key))
+    wanted = cut(told.select("conv_id", "turn", F.explode(own).alias("o")).select("conv_id", "turn", "o.hash", "o.chars"), "own")
     first = cut(wanted.where(F.col("chars") >= MIN_CHARS).groupBy("conv_id", "hash").agg(F.min("turn").alias("original")), "originals")
     on = F.col("a.conv_id").eqNullSafe(F.col("f.conv_id")) & (F.col("a.hash") == F.col("f.hash"))
     found = asked.alias("a").join(first.alias("f"), on & (F.col("f.original") < F.col("a.turn"))).select("a.conv_id", "a.turn", "a.level", "a.chars", "a.hash", "f.original")
@@ -115,12 +143,13 @@ def reply_ordered(messages: DataFrame) -> DataFrame:
 
     ``position`` runs from 0 without gaps over each conversation in reply order.
     """
-    parsed = parse(messages)
-    links = threads(replies(parsed))
-    p, t = parsed.alias("p"), cut(links, "links").alias("t")
+    parsed = cut(parse(messages), "parsed")
+    links = cut(threads(replies(parsed)), "links").alias("t")
+    p = parsed.select("uid", "conv_id", "turn", "role", F.md5(F.col("content").cast("binary")).alias("_hash"), F.size("quoted").cast("long").alias("n_quoted"), F.col("max_level").cast("long").alias("max_level")).alias("p")
     on = F.col("p.conv_id").eqNullSafe(F.col("t.conv_id")) & (F.col("p.turn") == F.col("t.turn"))
-    joined = p.join(t, on, "left").select(
-        "p.conv_id", "p.turn", "p.role", "p.content", F.size("p.quoted").cast("long").alias("n_quoted"), F.col("p.max_level").cast("long").alias("max_level"),
+    joined = p.join(links, on, "left").select(
+        "p.uid", "p.conv_id", "p.turn", "p.role", "p._hash", "p.n_quoted", "p.max_level",
         F.coalesce("t.n_linked", F.lit(0).cast("long")).alias("n_linked"), "t.reply_to", F.coalesce("t.thread_turn", "p.turn").alias("thread_turn"),
     )
-    return grouped_rank(joined, ["conv_id"], ["thread_turn", "turn", "role", "content"], "position")
+    placed = grouped_rank(joined, ["conv_id"], ["thread_turn", "turn", "role", "_hash"], "position").drop("_hash")
+    return placed.join(parsed.select("uid", "content"), "uid").drop("uid")

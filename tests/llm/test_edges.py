@@ -505,10 +505,11 @@ def test_quotes_by_sql(spark):
     for conv in range(30):
         said = []
         for turn in range(r.randrange(1, 9)):
-            parts = [f"said {conv} {r.randrange(6)} and {words(5, r.randrange(40))}" for _ in range(r.randrange(1, 4))]
+            parts = [f"said {conv} {r.randrange(6)} and {words(5, r.randrange(40))}" if r.random() < 0.8 else r.choice(["yes", "No.", "ok then"]) for _ in range(r.randrange(1, 4))]
             if said and r.random() < 0.7:
                 quoted = r.choice(said).split("\n")
-                parts.insert(r.randrange(len(parts) + 1), "\n".join("> " + x if r.random() < 0.9 else ">" + x.upper() for x in quoted))
+                announced = f"On {words(60, 3)} wrote:\n" if r.random() < 0.2 else ""
+                parts.insert(r.randrange(len(parts) + 1), announced + "\n".join("> " + x if r.random() < 0.9 else ">" + x.upper() for x in quoted))
             said.append(r.choice(["\n", "\n\n"]).join(parts))
             rows.append((conv, turn, "user", said[-1]))
     table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
