@@ -11,22 +11,28 @@ the others share its slots by their weights: at most 2 sources + 1 schedules.
 All documents keep a place; none is repeated or dropped.
 
 Scale: only (doc_id, source) rows move. The rank of a document in its source is
-taken over ranges, so a hot source spreads over many tasks. Schedules have at most
-(2 sources + 1) * W rows; they depend on the weights, not on the documents.
+taken over ranges, so a hot source spreads over many tasks. Schedules depend on the
+sources' weights and numbers of blocks, not on the documents: at most 2 sources + 1 of
+at most W slots each, made in as many tasks. One slot costs a look at the first few
+blocks by deadline and a copy of the list of those left, not a look at every source.
+Running sums over the schedules, joined by (phase, source, block), give positions;
+nothing is collected. Sources are meant to number up to some thousands.
 
 Defined cases: a null source is a source of its own; null ids come first in their
-source; repeated rows get a place each. Sources without a given weight get weight
-1. No rows in, no rows out.
+source; repeated rows get a place each, in any order among them. Blocks due at the same
+time go by source. Sources without a given weight get weight 1. Texts are not looked at,
+however long, and neither are columns beyond doc_id and source, whatever their names.
+No rows in, no rows out.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parkwright.llm.shared import cut, grouped_rank, let, small
 
-BLOCK_DOCS, PERIOD = 8, 1000
+BLOCK_DOCS, PERIOD, AHEAD, TASKS, BUCKETS = 8, 1000, 32, 4096, 16_384
 
 
 def root_weights(counts: DataFrame) -> DataFrame:
@@ -45,6 +51,9 @@ def given_weights(counts: DataFrame, weights: dict[str, int]) -> DataFrame:
     return counts.withColumn("weight", F.greatest(F.coalesce(found, F.lit(1)).cast("long"), F.lit(1).cast("long")))
 
 
+_BLOCK = "struct<due:bigint,i:int,k:bigint,release:bigint>"
+
+
 def earliest_deadline_first(shares: Column) -> Column:
     """For one period of sum(shares) slots: the (source index, block) of each slot."""
     return let(shares, _slots)
@@ -54,60 +63,86 @@ def _slots(shares: Column) -> Column:
     span = F.aggregate(shares, F.lit(0).cast("long"), lambda a, b: a + b)
 
     def schedule(w: Column) -> Column:
+        one = lambda x, i, k: F.struct(F.ceil((k + 1) * w / x).alias("due"), i.alias("i"), k.alias("k"), F.floor(k * w / x).alias("release"))
+        of_source = lambda x, i: F.when(x > 0, F.transform(F.sequence(F.lit(0).cast("long"), x - 1), lambda k: one(x, i, k))).otherwise(F.array().cast(f"array<{_BLOCK}>"))
+        by_deadline = F.array_sort(F.flatten(F.transform(shares, of_source)))
+
         def slot(state: Column, t: Column) -> Column:
-            due = F.transform(
-                state["done"],
-                lambda c, i: F.when(
-                    (c < F.get(shares, i)) & (F.floor(c * w / F.get(shares, i)) <= t),
-                    F.struct(F.ceil((c + 1) * w / F.get(shares, i)).alias("due"), i.alias("i"), c.alias("k")),
-                ),
-            )
-            return let(
-                F.array_min(due),
-                lambda first: F.struct(
-                    F.transform(state["done"], lambda c, i: F.when(i == first["i"], c + 1).otherwise(c)).alias("done"),
-                    F.array_append(state["slots"], F.struct(first["i"].alias("i"), first["k"].alias("k"))).alias("slots"),
-                ),
-            )
-
-        start = F.struct(
-            F.transform(shares, lambda x: F.lit(0).cast("long")).alias("done"),
-            F.array().cast("array<struct<i:int,k:bigint>>").alias("slots"),
-        )
+            left = state["left"]
+            released = lambda some: F.get(F.filter(some, lambda b: b["release"] <= t), F.lit(0))
+            # of blocks sorted by deadline, one of the first few is released as a rule
+            first = F.coalesce(released(F.slice(left, 1, AHEAD)), released(left))
+
+            def take(b: Column) -> Column:
+                at = F.array_position(left, b).cast("int")
+                rest = F.concat(F.slice(left, F.lit(1), at - 1), F.slice(left, at + 1, F.greatest(F.size(left) - at, F.lit(0))))
+                return F.struct(rest.alias("left"), F.array_append(state["slots"], F.struct(b["i"].alias("i"), b["k"].alias("k"))).alias("slots"))
+
+            return let(first, take)
+
+        start = F.struct(by_deadline.alias("left"), F.array().cast("array<struct<i:int,k:bigint>>").alias("slots"))
         slots = F.transform(F.sequence(F.lit(0).cast("long"), w - 1), lambda t: t)
         return F.when(w > 0, F.aggregate(slots, start, slot, lambda s: s["slots"])).otherwise(F.array().cast("array<struct<i:int,k:bigint>>"))
 
     return let(span, schedule)
 
 
-def plan(sources: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """From (source, n, blocks, weight): its rows with the first periods of all schedules, and the slots.
-
-    Slots are (phase, source, k, slot, span, first_period, offset).
-    """
+def plan(sources: DataFrame) -> DataFrame:
+    """From (source, n, blocks, weight): the slots (phase, source, k, slot, span, first_period, periods, offset) of all schedules."""
     one = sources.agg(F.array_sort(F.collect_list(F.struct("source", "weight", "blocks"))).alias("s"))
     ends = F.flatten(F.transform("s", lambda x: F.array(F.expr("0L"), F.floor(x["blocks"] / x["weight"]), F.floor(x["blocks"] / x["weight"]) + 1)))
-    one = one.withColumn("starts", F.array_sort(F.array_distinct(ends)))
-    shares = lambda p: F.transform("s", lambda x: F.least(F.greatest(x["blocks"] - p * x["weight"], F.lit(0).cast("long")), x["weight"]))
-    phases = one.select("s", "starts", F.posexplode("starts").alias("phase", "first_period")).withColumn("shares", shares(F.col("first_period")))
-    phases = phases.withColumn("slots", earliest_deadline_first(F.col("shares")))
-    # slots of all whole periods before this phase
-    before = lambda x, p: F.least(x["blocks"], x["weight"] * p)
-    phases = phases.withColumn("offset", F.aggregate("s", F.lit(0).cast("long"), lambda a, x: a + before(x, F.col("first_period"))))
-    slots = phases.select("phase", "first_period", "offset", F.size("slots").cast("long").alias("span"), "s", F.posexplode("slots").alias("slot", "at"))
-    slots = slots.select("phase", F.get("s", F.col("at.i"))["source"].alias("source"), F.col("at.k").alias("k"), F.col("slot").cast("long").alias("slot"), "span", "first_period", "offset")
-    return one.select(F.explode("s").alias("x"), "starts").select(F.col("x.source").alias("source"), "starts"), slots
+    phases = one.select("s", F.array_sort(F.array_distinct(ends)).alias("starts")).select("s", F.posexplode("starts").alias("phase", "first_period"), F.col("starts"))
+    phases = phases.withColumn("periods", F.get("starts", F.col("phase") + 1) - F.col("first_period")).drop("starts")
+    # only sources with blocks left go on to a phase's own task; a stated number of partitions is kept by adaptive execution
+    tasks = min(2 * sources.count() + 1, TASKS)
+    before = lambda x: F.least(x["blocks"], x["weight"] * F.col("first_period"))
+    phases = phases.withColumn("offset", F.aggregate("s", F.lit(0).cast("long"), lambda a, x: a + before(x)))
+    active = F.filter("s", lambda x: x["blocks"] > x["weight"] * F.col("first_period"))
+    phases = phases.withColumn("s", F.transform(active, lambda x: F.struct(x["source"].alias("source"), F.least(x["blocks"] - x["weight"] * F.col("first_period"), x["weight"]).alias("share"))))
+    phases = phases.where(F.size("s") > 0).repartition(tasks)
+    slots = phases.withColumn("slots", earliest_deadline_first(F.transform("s", lambda x: x["share"])))
+    slots = slots.select("phase", "first_period", "periods", "offset", F.size("slots").cast("long").alias("span"), "s", F.posexplode("slots").alias("slot", "at"))
+    return slots.select("phase", F.get("s", F.col("at.i"))["source"].alias("source"), F.col("at.k").alias("k"), F.col("slot").cast("long").alias("slot"), "span", "first_period", "periods", "offset")
+
+
+def with_gaps(slots: DataFrame, sources: DataFrame, block_docs: int) -> DataFrame:
+    """``slots`` with the documents that sources' last blocks are short by, in all before the phase and, for its last period, before the slot.
+
+    A source's last block lies in the last period of a phase, as phases begin and end
+    where sources run out.
+    """
+    last = sources.select("source", "blocks", "weight", (F.col("blocks") * block_docs - F.col("n")).alias("short"))
+    s, x = slots.alias("s"), small(last).alias("x")
+    end = F.col("s.first_period") + F.col("s.periods") - 1
+    rows = s.join(x, F.col("s.source").eqNullSafe(F.col("x.source"))).select("s.*", F.when(F.col("x.blocks") - 1 == end * F.col("x.weight") + F.col("s.k"), F.col("x.short")).otherwise(F.lit(0).cast("long")).alias("short"))
+    within = Window.partitionBy("phase").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    rows = cut(rows.withColumn("short_in", F.coalesce(F.sum("short").over(within), F.lit(0).cast("long"))), "short")
+    # one row a phase
+    totals = rows.groupBy("phase").agg(F.sum("short").alias("short")).select("phase", F.coalesce(F.sum("short").over(Window.orderBy("phase").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long")).alias("short_before"))
+    return rows.drop("short").join(small(cut(totals, "totals")), "phase")
+
+
+def _spans(slots: DataFrame) -> DataFrame:
+    """(bucket, step, phase, first_period, periods): the phases by runs of ``step`` periods, at most BUCKETS of them and one row more for each phase."""
+    phases = slots.select("phase", "first_period", "periods").distinct()
+    step = F.greatest(F.ceil(F.max(F.col("first_period") + F.col("periods")).over(Window.partitionBy()) / BUCKETS), F.lit(1).cast("long"))
+    phases = phases.withColumn("step", step)
+    ends = F.floor((F.col("first_period") + F.col("periods") - 1) / F.col("step"))
+    return phases.withColumn("bucket", F.explode(F.sequence(F.floor(F.col("first_period") / F.col("step")), ends)))
 
 
 def _placed(blocks: DataFrame, sources: DataFrame, slots: DataFrame) -> DataFrame:
-    """``blocks`` (source, block, ...) with their ``block_position``."""
-    b = blocks.alias("b").join(small(sources).alias("s"), F.col("b.source").eqNullSafe(F.col("s.source"))).select("b.*", "s.weight", "s.starts")
-    period = F.floor(F.col("block") / F.col("weight"))
-    b = b.withColumn("period", period).withColumn("phase", F.size(F.filter("starts", lambda x: x <= F.col("period"))) - 1)
-    b = b.withColumn("k", F.col("block") - F.col("period") * F.col("weight")).alias("b")
+    """``blocks`` (source, block, ...) with their ``block_position`` and the documents missing before them."""
+    spans = cut(_spans(slots), "spans")
+    step = spans.agg(F.max("step")).first()[0] or 1
+    b = blocks.alias("b").join(small(sources).alias("s"), F.col("b.source").eqNullSafe(F.col("s.source"))).select("b.*", "s.weight")
+    b = b.withColumn("period", F.floor(F.col("block") / F.col("weight"))).withColumn("k", F.col("block") - F.col("period") * F.col("weight")).alias("b")
+    of = F.floor(F.col("b.period") / step) == F.col("p.bucket")
+    b = b.join(small(spans).alias("p"), of & (F.col("b.period") >= F.col("p.first_period")) & (F.col("b.period") < F.col("p.first_period") + F.col("p.periods"))).select("b.*", "p.phase").alias("b")
     on = (F.col("b.phase") == F.col("t.phase")) & F.col("b.source").eqNullSafe(F.col("t.source")) & (F.col("b.k") == F.col("t.k"))
     at = F.col("t.offset") + (F.col("b.period") - F.col("t.first_period")) * F.col("t.span") + F.col("t.slot")
-    return b.join(small(slots).alias("t"), on).select(*[f"b.{c}" for c in blocks.columns], at.alias("block_position"))
+    missing = F.col("t.short_before") + F.when(F.col("b.period") == F.col("t.first_period") + F.col("t.periods") - 1, F.col("t.short_in")).otherwise(F.lit(0).cast("long"))
+    return b.join(small(slots).alias("t"), on).select(*[f"b.{c}" for c in blocks.columns], at.alias("block_position"), missing.alias("_missing"))
 
 
 def mix(docs: DataFrame, weights: dict[str, int] | None = None, block_docs: int = BLOCK_DOCS) -> DataFrame:
@@ -122,18 +157,10 @@ def mix(docs: DataFrame, weights: dict[str, int] | None = None, block_docs: int
     counts = cut(ranked.groupBy("source").agg(F.count(F.lit(1)).alias("n")), "counts")
     weighed = root_weights(counts) if weights is None else given_weights(counts, weights)
     weighed = cut(weighed.withColumn("blocks", F.ceil(F.col("n") / block_docs)), "weights")
-    starts, slots = plan(weighed)
-    slots = cut(slots, "slots")
-    sources = cut(weighed.alias("w").join(starts.alias("s"), F.col("w.source").eqNullSafe(F.col("s.source"))).select("w.*", "s.starts"), "sources")
-    last = sources.select("source", (F.col("blocks") - 1).alias("block"), (F.col("blocks") * block_docs - F.col("n")).alias("short"))
-    # one row a source: where its last block stands, and by how many documents it is short
-    short = [(r["block_position"], r["short"]) for r in _placed(last, sources, slots).where("short > 0").collect()]
-    placed = _placed(ranked.withColumn("block", F.floor(F.col("source_rank") / block_docs)), sources, slots)
-    position = F.col("block_position") * block_docs + F.col("source_rank") % block_docs
-    if short:
-        gaps = F.array(*[F.struct(F.lit(p).cast("long").alias("p"), F.lit(n).cast("long").alias("n")) for p, n in sorted(short)])
-        position = position - F.aggregate(gaps, F.lit(0).cast("long"), lambda a, g: a + F.when(g["p"] < F.col("block_position"), g["n"]).otherwise(F.lit(0)))
-    return placed.withColumn("position", position.cast("long"))
+    slots = cut(with_gaps(cut(plan(weighed), "slots"), weighed, block_docs), "slots")
+    placed = _placed(ranked.withColumn("block", F.floor(F.col("source_rank") / block_docs)), weighed, slots)
+    position = F.col("block_position") * block_docs + F.col("source_rank") % block_docs - F.col("_missing")
+    return placed.withColumn("position", position.cast("long")).drop("_missing")
 
 
 def mixed_documents(docs: DataFrame, weights: dict[str, int] | None = None) -> DataFrame:

@@ -243,16 +243,19 @@ def check_pfair(rows, weights, block_docs):
     """Within each stretch where all sources have blocks, every source is less than one block from its share."""
     blocks = sorted({(r["block_position"], r["source"]) for r in rows})
     assert [b for b, _ in blocks] == list(range(len(blocks)))
-    left = {s: sum(1 for _, x in blocks if x == s) for s in weights}
-    at, period = 0, 0
+    left = {s: 0 for s in weights}
+    for _, x in blocks:
+        left[x] += 1
+    at = 0
     while at < len(blocks):
-        share = {s: min(max(left[s], 0), weights[s]) for s in weights}
-        span, seen = sum(share.values()), dict.fromkeys(weights, 0)
+        share = {s: min(left[s], weights[s]) for s in weights if left[s]}
+        span, names = sum(share.values()), list(share)
+        of, seen, want = {s: i for i, s in enumerate(names)}, np.zeros(len(names)), np.array([share[s] for s in names])
         for t in range(1, span + 1):
-            seen[blocks[at + t - 1][1]] += 1
-            assert all(abs(seen[s] - share[s] * t / span) < 1 for s in weights)
-        left = {s: left[s] - share[s] for s in weights}
-        at, period = at + span, period + 1
+            seen[of[blocks[at + t - 1][1]]] += 1
+            assert (np.abs(seen * span - want * t) < span).all()
+        left = {s: left[s] - share.get(s, 0) for s in weights}
+        at += span
 
 
 def test_mixing_deviation(spark):
@@ -265,6 +268,23 @@ def test_mixing_deviation(spark):
     assert by_place == sorted(got, key=lambda r: (r["block_position"], r["source_rank"]))
 
 
+def test_mixing_of_many_sources(spark):
+    """2,000 sources of unlike sizes: gapless, in order, and each less than a block from its share."""
+    rows, at = [], 0
+    for source in range(2000):
+        for _ in range(1 + source % 23 + (600 if source % 500 == 7 else 0)):
+            rows.append((at, f"s{source:04d}"))
+            at += 1
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string"), None, 2).collect()
+    assert sorted(r["position"] for r in got) == list(range(at))
+    assert sorted(got, key=lambda r: r["position"]) == sorted(got, key=lambda r: (r["block_position"], r["source_rank"]))
+    counts = {}
+    for r in got:
+        counts[r["source"]] = counts.get(r["source"], 0) + 1
+    roots = {s: int(n**0.5 * 1000) for s, n in counts.items()}
+    check_pfair(got, {s: max(1, x * mixing.PERIOD // sum(roots.values())) for s, x in roots.items()}, 2)
+
+
 def test_mixing_edges(docs, rows, empty):
     got = mixing.mix(docs).collect()
     assert sorted(r["position"] for r in got) == list(range(len(rows)))
