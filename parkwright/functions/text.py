@@ -65,11 +65,14 @@ def tokens(c: Column) -> Column:
 
 
 def polish(c: Column) -> Column:
-    """Upper-case the first letter and each first letter after a sentence end."""
-    clean = strip(c)
-    parts = F.split(clean, r"(?<=[.!?]\s{1,64})(?=[a-zà-ɏ])")
-    raised = F.transform(parts, lambda p, i: F.when((i > 0) | p.rlike(r"^[a-zà-ɏ]"), F.concat(F.upper(F.substring(p, 1, 1)), F.expr("''"), F.substr(p, F.lit(2)))).otherwise(p))
-    return F.array_join(raised, "")
+    """Upper-case the first letter and each first letter after a sentence end, however much white space lies between."""
+
+    def raised(parts: Column) -> Column:
+        # white space belongs to the part before it, and so does what it follows
+        begins = lambda i: F.when(i == 0, F.get(parts, i).rlike(r"^[a-zà-ɏ]")).otherwise(F.get(parts, i - 1).rlike(r"[.!?]\s+$"))
+        return F.transform(parts, lambda p, i: F.when(begins(i), F.concat(F.upper(F.substring(p, 1, 1)), F.substr(p, F.lit(2)))).otherwise(p))
+
+    return F.array_join(let(F.split(strip(c), r"(?<=\s)(?=[a-zà-ɏ])"), raised), "")
 
 
 def collapse_runs(words: Column) -> Column:
@@ -77,23 +80,53 @@ def collapse_runs(words: Column) -> Column:
     return let(words, lambda ws: F.filter(ws, lambda w, i: (i == 0) | (F.lower(w) != F.lower(F.element_at(ws, F.greatest(i, F.lit(1)))))))
 
 
-def _coded(words: Column, vocabulary: Column) -> Column:
-    """One private character for each word, so that a character distance counts words."""
-    unit = lambda w: F.decode(F.unhex(F.lpad(F.hex(F.array_position(vocabulary, w) + 256), 4, "0")), "UTF-16BE")
+#: Characters for coded words: from 256 up, without the 2,048 that stand for halves of others, and two for words of one side.
+_CODES, _HALVES = 0x110000 - 256 - 2048 - 2, 0xD800 - 256
+
+
+def _coded(words: Column, shared: Column, alone: int) -> Column:
+    """One character for each word, so that a character distance counts words; ``alone`` for words that only this side has."""
+    place = lambda w: F.array_position(shared, w) + 1
+    code = lambda p: F.when(p == 1, alone).when(p < _HALVES, p + 256).otherwise(p + 256 + 2048)
+    unit = lambda w: F.decode(F.unhex(F.lpad(F.hex(let(place(w), code)), 8, "0")), "UTF-32")
     return F.array_join(F.transform(words, unit), "")
 
 
-def word_edits(reference: Column, hypothesis: Column) -> Column:
+def _edits_by_rows(r: Column, h: Column) -> Column:
+    """The edit distance of two arrays row by row, for pairs with more shared words than there are characters."""
+
+    def next_row(above: Column, word: Column) -> Column:
+        def cell(a: Column, j: Column) -> Column:
+            least = F.least(F.get(above, j) + 1, a["left"] + 1, F.get(above, j - 1) + F.when(F.get(h, j - 1) == word, 0).otherwise(1))
+            return F.struct(least.cast("int").alias("left"), F.array_append(a["row"], least.cast("int")).alias("row"))
+
+        first = (F.get(above, F.lit(0)) + 1).cast("int")
+        return F.aggregate(F.sequence(F.lit(1), F.size(h)), F.struct(first.alias("left"), F.array(first).alias("row")), cell, lambda a: a["row"])
+
+    rows = F.aggregate(r, F.transform(F.sequence(F.lit(0), F.size(h)), lambda j: j), next_row)
+    return F.when(F.size(h) == 0, F.size(r)).otherwise(F.element_at(rows, -1)).cast("int")
+
+
+def word_edits(reference: Column, hypothesis: Column, codes: int = _CODES) -> Column:
     """Least word insertions, deletions and substitutions between two word arrays.
 
-    Exact up to 55,000 distinct words in a pair, the free character codes.
+    Words of one side never match, whatever they are, so only shared words need a code
+    of their own; pairs that share more than ``codes`` are compared row by row.
     """
     pair = F.struct(reference.alias("r"), hypothesis.alias("h"))
-    return let(pair, lambda p: let(F.array_distinct(F.concat(p["r"], p["h"])), lambda v: F.levenshtein(_coded(p["r"], v), _coded(p["h"], v)))).cast("long")
+
+    def edits(p: Column) -> Column:
+        by_codes = lambda v: F.levenshtein(_coded(p["r"], v, 32), _coded(p["h"], v, 33))
+        return let(F.array_intersect(p["r"], p["h"]), lambda v: F.when(F.size(v) <= codes, by_codes(v)).otherwise(_edits_by_rows(p["r"], p["h"])))
+
+    return let(pair, edits).cast("long")
 
 
 def char_edits(reference: Column, hypothesis: Column) -> Column:
-    return F.levenshtein(reference, hypothesis).cast("long")
+    """The edit distance of two strings, looked for within 32, then 256 edits, then any number: near strings cost little."""
+    pair = F.struct(reference.alias("r"), hypothesis.alias("h"))
+    within = lambda p, most: let(F.levenshtein(p["r"], p["h"], most), lambda d: F.when(d >= 0, d))
+    return let(pair, lambda p: F.coalesce(within(p, 32), within(p, 256), F.levenshtein(p["r"], p["h"]))).cast("long")
 
 
 def _repeats(w: Column, n: Column, g: int):
