@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from parkwright.functions.numbers import MAX_CLIP_SECONDS
 from parkwright.functions.text import strip, text
+from parkwright.operators.ranking import interpolated
 
 
 def splits(rows: DataFrame, keys: list[str], text_column: str, seconds: str) -> DataFrame:
@@ -24,11 +25,9 @@ def sources(rows: DataFrame, source: str, clip: str) -> DataFrame:
 
 def describe(rows: DataFrame, c: str) -> DataFrame:
     """count, mean, std, min, p50, p90, p95, p99, max; quantiles interpolate between neighbours."""
-    q = F.percentile(c, F.array(*[F.lit(p) for p in (0.5, 0.9, 0.95, 0.99)]))
-    return rows.agg(
-        F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"),
-        q[0].alias("p50"), q[1].alias("p90"), q[2].alias("p95"), q[3].alias("p99"), F.max(c).alias("max"),
-    )
+    own = rows.agg(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max"))
+    both = own.join(F.broadcast(interpolated(rows, c, {"p50": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99})))
+    return both.select("count", "mean", "std", "min", "p50", "p90", "p95", "p99", "max")
 
 
 def histogram(rows: DataFrame, c: str, bins: int = 60) -> DataFrame:

@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parkwright.functions.numbers import MAX_CLIP_SECONDS, SAMPLE_RATE
-from parkwright.functions.text import let, polish, strip
+from parkwright.functions.text import align_words, let, polish, strip
+
+#: Fixed value: the longest chunk of an aligned clip.
+MAX_CHUNK_SECONDS = 28.0
 
 
 def samples(seconds: float, rate: int = SAMPLE_RATE) -> int:
@@ -38,23 +41,11 @@ def cap(values: Column, seconds: float = MAX_CLIP_SECONDS, rate: int = SAMPLE_RA
 
 
 def downmix(channels: Column) -> Column:
-    """Mean of several channels (an array of arrays), by place; one channel is returned as it is."""
-    total = F.aggregate(F.slice(channels, 2, F.greatest(F.size(channels) - 1, F.lit(0))), F.transform(F.get(channels, F.lit(0)), lambda x: x.cast("double")), lambda a, c: F.zip_with(a, c, lambda x, y: x + y))
-    return F.transform(total, lambda x: x / F.size(channels))
-
-
-def resample(values: Column, rate: int, to: int = SAMPLE_RATE) -> Column:
-    """Linear interpolation at the new rate; no library's filter is reproduced."""
-    n = F.size(values)
-    count = F.floor(n * F.lit(to) / rate).cast("int")
-
-    def at(i: Column) -> Column:
-        place = i * F.lit(float(rate)) / to
-        low = F.floor(place).cast("int")
-        a, b = F.get(values, low), F.coalesce(F.get(values, low + 1), F.get(values, low))
-        return a + (b - a) * (place - low)
-
-    return F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), at)).otherwise(F.array().cast("array<double>"))
+    """One channel of an array of arrays: the mean over the outer one if it is at most 8 long and shorter than the inner, else over the inner."""
+    n, mean = F.size(channels), lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x.cast("double")) / F.size(c)
+    first = F.get(channels, F.lit(0))
+    total = F.aggregate(F.slice(channels, 2, F.greatest(n - 1, F.lit(0))), F.transform(first, lambda x: x.cast("double")), lambda a, c: F.zip_with(a, c, lambda x, y: x + y))
+    return F.when((n <= 8) & (n < F.size(first)), F.transform(total, lambda x: x / n)).otherwise(F.transform(channels, mean))
 
 
 def packed_spans(spans: Column, most: float) -> Column:
@@ -109,6 +100,82 @@ def seconds_of(runs: Column, n_samples: Column, n_frames: Column, rate: int = SA
     return F.transform(runs, lambda r: F.struct((r["start"] * one).alias("start"), (r["end"] * one).alias("end")))
 
 
+def chosen_words(text: Column) -> Column:
+    """The words as written, or the normalised ones if their numbers differ."""
+    both = F.struct(F.array_remove(F.split(strip(text), r"\s+"), "").alias("written"), align_words(text).alias("normal"))
+    return let(both, lambda w: F.when(F.size(w["written"]) == F.size(w["normal"]), w["written"]).otherwise(w["normal"]))
+
+
+def token_ranges(words: Column, letters: str, separator: bool = True) -> Column:
+    """(labels, ranges): a label for each letter that ``letters`` has, by its place from 1, and one more between words; where each word's begin and end."""
+    clean = F.transform(words, lambda w: F.regexp_replace(w, f"[^{letters}]", ""))
+
+    def of(ws: Column) -> Column:
+        n, mark = F.size(ws), F.array(F.lit(len(letters) + 1))
+        gap = lambda i: F.when((i < n - 1) & F.lit(separator), mark).otherwise(F.array().cast("array<int>"))
+        spelt = lambda w: F.when(w != "", F.transform(F.split(w, ""), lambda c: F.instr(F.lit(letters), c))).otherwise(F.array().cast("array<int>"))
+        labels = F.flatten(F.transform(ws, lambda w, i: F.concat(spelt(w), gap(i))))
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
+        step = lambda a, w: F.struct((a["at"] + F.length(w) + int(separator)).alias("at"), F.array_append(a["out"], F.struct(a["at"].alias("start"), (a["at"] + F.length(w)).alias("end"))).alias("out"))
+        return F.struct(labels.alias("labels"), F.aggregate(ws, start, step, lambda a: a["out"]).alias("ranges"))
+
+    return let(clean, of)
+
+
+def word_spans(path: Column, tokens: Column, blank: int, n_samples: Column, rate: int = SAMPLE_RATE) -> Column:
+    """(spans, error): seconds of each word that has a letter, from a frame path that must spell the ``tokens`` (labels, ranges)."""
+
+    def of(t: Column) -> Column:
+        checked = checked_runs(path, t["labels"], blank)
+
+        def timed(x: Column) -> Column:
+            seconds = seconds_of(x["runs"], n_samples, F.size(path), rate)
+            of_word = lambda at: F.transform(F.filter(t["ranges"], lambda r: r["end"] > r["start"]), lambda r: F.struct(F.get(at, r["start"])["start"].alias("start"), F.get(at, r["end"] - 1)["end"].alias("end")))
+            return F.struct(F.when(x["error"].isNull(), let(seconds, of_word)).alias("spans"), x["error"].alias("error"))
+
+        return let(checked, timed)
+
+    return let(tokens, of)
+
+
+def chunked(clips: DataFrame, spans: str, reassembly: bool = False, most: float = MAX_CHUNK_SECONDS) -> DataFrame:
+    """Clips (clip_id, text, duration_s, n_samples, ...) cut at their words' ``spans`` into chunks of at most ``most`` seconds.
+
+    Short clips and clips without text pass unsplit, and so do those without spans,
+    whose alignment failed; ``outcome`` tells which, so that failures can be counted.
+    ``start`` and ``end`` are samples. With ``reassembly`` the rows also have
+    full_text and num_chunks.
+    """
+    text = strip(F.coalesce(F.col("text"), F.lit("")))
+    outcome = F.when((F.col("duration_s") <= MAX_CLIP_SECONDS) | (text == ""), "passed").when(F.coalesce(F.size(spans), F.lit(0)) <= 0, "failed").otherwise("chunked")
+    rows = clips.withColumns({"outcome": outcome, "full_text": text, "_words": chosen_words(text)})
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_samples").cast("long").alias("end"), F.col("text").alias("text")))
+    at = lambda i: F.get(F.col(spans), i)
+
+    def cut_at(c: Column) -> Column:
+        start, end = at(F.element_at(c, 1))["start"], at(F.element_at(c, -1))["end"]
+        words = F.transform(c, lambda j: F.get(F.col("_words"), j))
+        return F.struct(
+            F.greatest(F.floor(start * SAMPLE_RATE), F.lit(0).cast("long")).alias("start"), F.least(F.floor(end * SAMPLE_RATE), F.col("n_samples").cast("long")).alias("end"), F.array_join(words, " ").alias("text")
+        )
+
+    pieces = F.when(F.col("outcome") == "chunked", F.transform(packed_spans(F.col(spans), most), cut_at)).otherwise(whole)
+    kept = [c for c in clips.columns if c not in (spans, "text")]
+    out = rows.withColumn("_pieces", pieces).select(*kept, "outcome", "full_text", F.size("_pieces").alias("num_chunks"), F.posexplode("_pieces").alias("chunk_index", "_p"))
+    out = out.select(*kept, "outcome", "full_text", "num_chunks", "chunk_index", "_p.start", "_p.end", "_p.text")
+    return out if reassembly else out.drop("full_text", "num_chunks")
+
+
+def routed(clips: DataFrame, spans: str, chunk_test: bool = False) -> DataFrame:
+    """All splits: train and validation chunked, test too if asked, with what reassembly needs; else test gets chunk_index 0, and others stay as they are."""
+    split = F.coalesce(F.col("split"), F.lit(""))
+    trained = chunked(clips.where(split.isin("train", "validation")), spans)
+    rest = clips.where(~split.isin("train", "validation", "test")).drop(spans)
+    test = clips.where(split == "test")
+    test = chunked(test, spans, reassembly=True) if chunk_test else test.drop(spans).withColumn("chunk_index", F.lit(0))
+    return trained.unionByName(test, allowMissingColumns=True).unionByName(rest, allowMissingColumns=True)
+
+
 def reassembled(chunks: DataFrame, keys: list[str], place: str, hypothesis: str) -> DataFrame:
     """One row a clip: chunk texts stripped, blanks dropped, joined in order with one space, polished."""
     parts = F.array_sort(F.collect_list(F.struct(F.col(place).alias("p"), F.col(hypothesis).alias("h"))))

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parkwright.functions.text import error_text, loop_score, text, words_on_space
-from parkwright.operators.ranking import row_index
+from parkwright.operators.ranking import interpolated, row_index
+from parkwright.sources.shared import cut
 
 #: Half-open bands of error rates.
 BANDS = (("good", 0.0, 0.2), ("moderate", 0.2, 0.4), ("fair", 0.4, 0.6), ("poor", 0.6, 0.8), ("bad", 0.8, 1.01), ("catastrophic", 1.01, 99.0))
@@ -39,7 +41,8 @@ def bands(rows: DataFrame, c: str) -> DataFrame:
 
 
 def middle(rows: DataFrame, c: str) -> DataFrame:
-    return rows.agg(F.avg(c).alias("mean"), F.percentile(c, F.lit(0.5)).alias("median"))
+    """One row (mean, median)."""
+    return rows.agg(F.avg(c).alias("mean")).join(F.broadcast(interpolated(rows, c, {"median": 0.5})))
 
 
 def nearest_rank(rows: DataFrame, c: str, tenths: int = 9) -> DataFrame:
@@ -129,3 +132,31 @@ def frequent_edits(pairs: DataFrame, rules: dict[str, tuple[int, int]] | None =
         part = top_k_then(counts.where(F.col("kind") == kind), "n", ["ref_phrase", "hyp_phrase"], k, least)
         out = part if out is None else out.unionByName(part)
     return out
+
+
+def report(rows: DataFrame, rules: dict[str, tuple[int, int]] | None = None) -> DataFrame:
+    """(place, line) of the error analysis of (reference, prediction, wer, seconds): totals, bands, loops, shifts, edits, durations."""
+    one = lambda df, line, *places: df.select(F.array(*places).cast("array<long>").alias("place"), line.alias("line"))
+    said = lambda form, *cs: F.format_string(form, *cs)
+    totals = rows.agg(F.count(F.lit(1)).alias("n"), F.avg("wer").alias("mean")).join(F.broadcast(interpolated(rows, "wer", {"median": 0.5}))).join(F.broadcast(nearest_rank(rows, "wer")), how="left")
+    loops = looping(rows, "prediction")
+    parts = [
+        one(totals, said("Total utterances: %d", F.col("n")), F.lit(0)),
+        one(totals, said("WER normalized: mean=%.3f median=%.3f p90=%.3f", F.col("mean"), F.col("median"), F.col("p90")), F.lit(1)),
+        one(bands(rows, "wer"), said("  %s: %d (%.1f%%)", F.col("band"), F.col("n"), F.col("pct")), F.lit(2), F.col("place")),
+        one(loops, said("Looping preds: %d (%.1f%%)", F.col("looping"), F.col("pct")), F.lit(3)),
+        one(totals, F.lit("Lexical shifts:"), F.lit(4)),
+        one(_numbered(shifts(rows), ["shift"]), said("  %4d  %s", F.col("n"), F.col("shift")), F.lit(5), F.col("_at")),
+    ]
+    edits = cut(frequent_edits(rows, rules), "edits")
+    kinds = {"substitute": ("substitutions", said("  %4d  '%s' -> '%s'", F.col("n"), F.col("ref_phrase"), F.col("hyp_phrase"))), "insert": ("insertions", said("  %4d  +'%s'", F.col("n"), F.col("hyp_phrase"))), "delete": ("deletions", said("  %4d  -'%s'", F.col("n"), F.col("ref_phrase")))}
+    for k, (kind, (name, line)) in enumerate(kinds.items()):
+        parts += [one(totals, F.lit(f"Top {name}:"), F.lit(6 + 2 * k)), one(_numbered(edits.where(F.col("kind") == kind), ["ref_phrase", "hyp_phrase"]), line, F.lit(7 + 2 * k), F.col("_at"))]
+    by = by_duration(rows, "seconds", "wer").withColumn("_at", F.when(F.col("band") == "<30", 0).when(F.col("band") == "30-60", 1).otherwise(2))
+    parts.append(one(by, said("WER %ss: n=%d mean=%.3f", F.col("band"), F.col("n"), F.col("mean_wer")), F.lit(12), F.col("_at")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _numbered(counts: DataFrame, ties: list[str]) -> DataFrame:
+    """A few rows with their places by falling ``n``."""
+    return counts.withColumn("_at", F.row_number().over(Window.orderBy(F.desc("n"), *ties)))

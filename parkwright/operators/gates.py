@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parkwright.functions.text import let, strip, tokens
+from parkwright.functions.text import let, strip
 
 #: Common words of the language a reply should be in.
 COMMON_WORDS = (
@@ -30,6 +33,8 @@ OFFERS = ("ninafurahi", "naweza kukusaidia", "karibu", "msaidizi")
 ECHOES = ("transcribe", "speech segment", "only output the transcription")
 GREETING = r"(?i)^(?:habari(?: yako| za asubuhi| za mchana)?[!?.,\s]*)*(?:(?:ninafurahi|naweza|napenda)\s+(?:ku)?kusaidia|karibu sana|asante kwa swali lako)[!?.,\s]*$"
 STEPS = r"\b[1-4][.)]\s|\b(kwanza|pili|tatu|hatua)\b"
+#: The letters of tokens, and thresholds.
+LETTERS = "a-zA-ZÀ-ÿ"
 FRACTION, RELAXED_FRACTION, MIN_CHARS, PASS_RATE = 0.10, 0.08, 50, 0.80
 #: What is added to prompts.
 FOLLOWUP_CONTEXT = "[Muktadha: Mkulima na mshauri wamekuwa wakizungumza kuhusu shamba, mbolea, na wadudu. Jibu swali la ufuatiliaji kama ungekuwa na taarifa hizo tayari.]"
@@ -38,55 +43,73 @@ THANKS_SUFFIX = "\nMkulima anakushukuru — jibu kwa ukarimu na sentensi 1–2 (
 FOLLOWUP_SUFFIX = "\nJibu swali la ufuatiliaji kwa kutumia muktadha uliotolewa."
 
 
-def _strings(words) -> Column:
-    return F.array(*[F.lit(w) for w in words])
-
-
 def _holds_any(c: Column, words) -> Column:
     """Whether any word is a substring."""
-    return F.exists(_strings(words), lambda w: F.contains(c, w))
+    return reduce(or_, [F.contains(c, F.lit(w)) for w in words])
 
 
 def category_of(c: Column) -> Column:
     return F.lower(F.coalesce(F.nullif(c, F.lit("")), F.lit("unknown")))
 
 
+def _common_count(low: Column, lexicon) -> Column:
+    """How many tokens of lower-cased text are in ``lexicon``; a token is a whole run of letters."""
+    return F.regexp_count(low, F.lit(f"(?<![{LETTERS}])(?:{'|'.join(sorted(set(lexicon)))})(?![{LETTERS}])"))
+
+
+def _token_count(low: Column) -> Column:
+    return F.regexp_count(low, F.lit(f"[{LETTERS}]+"))
+
+
+def _share(low: Column, n: Column, lexicon=COMMON_WORDS) -> Column:
+    return F.when(n > 0, _common_count(low, lexicon) / n)
+
+
 def common_share(reply: Column, lexicon=COMMON_WORDS) -> Column:
     """Share of tokens that are common words; null without tokens."""
-    words = _strings(lexicon)
-    return let(tokens(reply), lambda t: F.when(F.size(t) > 0, F.size(F.filter(t, lambda x: F.array_contains(words, x))) / F.size(t)))
+    return let(F.lower(reply), lambda low: let(_token_count(low), lambda n: _share(low, n, lexicon)))
 
 
-def generic_greeting(reply: Column, category: Column) -> Column:
-    t, cat = strip(reply), category_of(category)
-    low = F.lower(t)
-    n = F.size(tokens(low))
+def _useful(low: Column) -> Column:
+    return _holds_any(low, (*TOPIC_WORDS, *ACTION_WORDS))
+
+
+def _generic(t: Column, low: Column, n: Column, useful: Column, cat: Column) -> Column:
     return (
-        F.when(cat.isin(*THANKS), False).when(t == "", True).when(t.rlike(GREETING), True)
-        .when(_holds_any(low, TOPIC_WORDS) | _holds_any(low, ACTION_WORDS), False)
+        F.when(cat.isin(*THANKS), False).when(t == "", True).when(t.rlike(GREETING), True).when(useful, False)
         .when((n <= 12) & F.contains(low, F.lit("habari")), True)
         .when((n <= 8) & _holds_any(low, OFFERS), True).otherwise(False)
     )
 
 
+def _substantive(t: Column, low: Column, useful: Column, cat: Column) -> Column:
+    return F.when(cat.isin(*THANKS), _holds_any(low, THANKS_WORDS)).when(useful | low.rlike(STEPS), True).otherwise(F.length(t) >= MIN_CHARS)
+
+
+def generic_greeting(reply: Column, category: Column) -> Column:
+    of = lambda t: let(F.lower(t), lambda low: _generic(t, low, _token_count(low), _useful(low), category_of(category)))
+    return let(strip(reply), of)
+
+
 def substantive(reply: Column, category: Column) -> Column:
-    low = F.lower(reply)
-    return (
-        F.when(category_of(category).isin(*THANKS), _holds_any(low, THANKS_WORDS))
-        .when(_holds_any(low, TOPIC_WORDS) | _holds_any(low, ACTION_WORDS) | low.rlike(STEPS), True)
-        .otherwise(F.length(strip(reply)) >= MIN_CHARS)
-    )
+    return let(F.lower(reply), lambda low: _substantive(strip(reply), low, _useful(low), category_of(category)))
 
 
 def failed_checks(reply: Column, category: Column) -> Column:
-    """Names of the checks a reply fails, in a fixed order."""
-    t = strip(F.coalesce(reply, F.lit("")))
-    least = F.when(category_of(category).isin(*RELAXED), RELAXED_FRACTION).otherwise(FRACTION)
-    checks = {
-        "non_empty": t == "", "not_digits_only": t.rlike(r"^[\d\s.,]+$"), "not_asr_echo": _holds_any(F.lower(t), ECHOES),
-        "has_swahili_content": F.coalesce(common_share(t) < least, F.lit(True)), "not_generic_greeting": generic_greeting(t, category), "has_substance": ~substantive(t, category),
-    }
-    return F.array_compact(F.array(*[F.when(bad, name) for name, bad in checks.items()]))
+    """Names of the checks a reply fails, in a fixed order; what several checks look at is found once."""
+    cat = category_of(category)
+    least = F.when(cat.isin(*RELAXED), RELAXED_FRACTION).otherwise(FRACTION)
+
+    def names(x: Column) -> Column:
+        t, low, n, useful = x["t"], x["low"], x["n"], x["useful"]
+        checks = {
+            "non_empty": t == "", "not_digits_only": t.rlike(r"^[\d\s.,]+$"), "not_asr_echo": _holds_any(low, ECHOES),
+            "has_swahili_content": F.coalesce(_share(low, n) < least, F.lit(True)), "not_generic_greeting": _generic(t, low, n, useful, cat), "has_substance": ~_substantive(t, low, useful, cat),
+        }
+        return F.array_compact(F.array(*[F.when(bad, name) for name, bad in checks.items()]))
+
+    facts = lambda t: let(F.lower(t), lambda low: let(F.struct(t.alias("t"), low.alias("low"), _token_count(low).alias("n"), _useful(low).alias("useful")), names))
+    return let(strip(F.coalesce(reply, F.lit(""))), facts)
 
 
 def judged(replies: DataFrame) -> DataFrame:
@@ -112,6 +135,13 @@ def message_list(prompt: Column, category: Column, system: Column) -> Column:
     return F.array_compact(F.array(F.when(head != "", one("system", head)), one("user", prompt)))
 
 
+def by_category(rows: DataFrame, order: str, least: float = PASS_RATE) -> DataFrame:
+    """``pass_rate`` of each category, with its ``place`` among them by the first row in ``order``."""
+    first = rows.groupBy("category").agg(F.min(order).alias("_first"))
+    places = first.select(F.col("category").alias("_category"), F.row_number().over(Window.orderBy("_first", "category")).alias("place"))
+    return pass_rate(rows, ["category"], least).join(places, F.col("category").eqNullSafe(F.col("_category"))).drop("_category")
+
+
 def pass_rate(rows: DataFrame, keys: list[str], least: float = PASS_RATE) -> DataFrame:
     """n, passes, pass_rate and gate of each group; the gate reads the unrounded rate. No rows: rate 0, FAIL."""
     rate = F.coalesce(F.sum(F.col("passed").cast("long")) / F.count(F.lit(1)), F.lit(0.0))

@@ -32,8 +32,14 @@ def _stub(batch: list[str]) -> list[str]:
     return out
 
 
+#: Stand-ins for models, one for each way that predictors answer; a deployment registers its own under these names or others.
 register("stub", _stub)
 register("echo", list)
+register("merged", lambda batch: [x.strip() for x in batch])
+register("merged_large", lambda batch: [x.strip().capitalize() for x in batch])
+register("hosted", lambda batch: [x.strip().rstrip(".") + "." for x in batch])
+register("whole_sequence", lambda batch: [" ".join(x.split()) for x in batch])
+register("frame_labels", lambda batch: ["".join(c for c in x.upper() if c.isalpha() or c == " ") for x in batch])
 
 
 def predict(rows: DataFrame, name: str, key: str, audio: str, batch: int = BATCH) -> DataFrame:

@@ -31,3 +31,30 @@ def grouped_rank(df: DataFrame, group: list[str], order: list[str], out: str) ->
 def row_index(df: DataFrame, order: list[str], out: str = "row_idx") -> DataFrame:
     """Add ``out``, the place from 0 of each row of ``df`` in ``order``, without sorting in one task."""
     return grouped_rank(df.withColumn("_all", F.lit(0)), ["_all"], order, out).drop("_all")
+
+
+def interpolated(rows: DataFrame, c: str, shares: dict[str, float]) -> DataFrame:
+    """One row with a column for each of ``shares``: the quantile of ``c``, between its two neighbours in sorted order.
+
+    The neighbours are found by rank, so no task holds the values; nulls are left out,
+    and without values all quantiles are null.
+    """
+    kept = rows.where(F.col(c).isNotNull()).select(F.col(c).cast("double").alias("v"))
+    n = kept.count()
+    places = {name: (n - 1) * share for name, share in shares.items()}
+    wanted = sorted({at for x in places.values() for at in (int(x), int(x) + 1)}) if n else [-1]
+    at = lambda i: F.max(F.when(F.col("row_idx") == i, F.col("v")))
+    between = lambda x: F.when(F.lit(x > int(x)), at(int(x)) + (at(int(x) + 1) - at(int(x))) * (x - int(x))).otherwise(at(int(x)))
+    return row_index(kept, ["v"]).where(F.col("row_idx").isin(wanted)).agg(*[between(x).alias(name) for name, x in places.items()])
+
+
+def run_lengths(rows: DataFrame, key: list[str], order: list[str], c: str, first: str) -> DataFrame:
+    """(key, first, n): runs of equal ``c`` in each key's order, with the least ``first`` of each.
+
+    A row's rank among its key's rows less that among those of equal ``c`` is one number
+    for each run, so ranks over ranges do, and no task holds a key.
+    """
+    own = rows.select(*key, *order, F.col(c).alias("_c"), F.col(first).alias("_first"))
+    ranked = grouped_rank(grouped_rank(own, key, order, "_all"), [*key, "_c"], order, "_same")
+    runs = ranked.groupBy(*key, "_c", (F.col("_all") - F.col("_same")).alias("_run")).agg(F.min("_first").alias(first), F.count(F.lit(1)).alias("n"))
+    return runs.drop("_c", "_run")

@@ -52,21 +52,22 @@ def row_rates(rows: DataFrame, suffix: str = "") -> DataFrame:
 
 
 def totals(suffix: str = "") -> list[Column]:
-    """Aggregates of scored rows: counts, sums and rates; null rates if nothing was scored."""
+    """Aggregates of scored rows, named with ``suffix``: those scored, sums and rates; null rates if nothing was scored."""
     s = {k: F.sum(k + suffix) for k in ("word_edits", "n_words", "char_edits", "n_chars")}
     return [
-        F.count(F.lit(1)).alias("n"), F.count("n_words" + suffix).alias("n_scored"), *[v.alias(k) for k, v in s.items()],
-        rate(s["word_edits"], s["n_words"]).alias("wer"), rate(s["char_edits"], s["n_chars"]).alias("cer"),
+        F.count("n_words" + suffix).alias("n_scored" + suffix), *[v.alias(k + suffix) for k, v in s.items()],
+        rate(s["word_edits"], s["n_words"]).alias("wer" + suffix), rate(s["char_edits"], s["n_chars"]).alias("cer" + suffix),
     ]
 
 
-def grouped(rows: DataFrame, sets: list[list[str]], suffix: str = "") -> DataFrame:
-    """Totals for each grouping set of columns; columns outside a set read 'pooled'."""
+def grouped(rows: DataFrame, sets: list[list[str]], suffixes: tuple[str, ...] = ("",)) -> DataFrame:
+    """Totals for each grouping set of columns, under each suffix; columns outside a set read 'pooled'."""
     names = list(dict.fromkeys(c for s in sets for c in s))
-    table = rows.select(*names, *[c + suffix for c in ("word_edits", "n_words", "char_edits", "n_chars")])
+    table = rows.select(*names, *[c + x for x in suffixes for c in ("word_edits", "n_words", "char_edits", "n_chars")])
+    sums = [F.count(F.lit(1)).alias("n"), *[t for x in suffixes for t in totals(x)]]
     if not names:
-        return table.agg(*totals(suffix))
-    out = table.groupingSets([[F.col(c) for c in s] for s in sets], *names).agg(*totals(suffix), *[F.grouping(c).alias(f"_{c}") for c in names])
+        return table.agg(*sums)
+    out = table.groupingSets([[F.col(c) for c in s] for s in sets], *names).agg(*sums, *[F.grouping(c).alias(f"_{c}") for c in names])
     return out.select(*[F.when(F.col(f"_{c}") == 1, "pooled").otherwise(F.col(c)).alias(c) for c in names], *[c for c in out.columns if c not in names and c[1:] not in names])
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,10 +14,12 @@ BROADCAST_ROWS = 50_000
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; only where it is unset, a temporary one of this machine."""
+    """The folder in ``spark.checkpoint.dir``; only where it is unset and all runs on this machine, a temporary one of it."""
     context = spark.sparkContext
     root = context.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="parkwright-")
         context._conf.set("spark.checkpoint.dir", root)
         context.setCheckpointDir(root)
@@ -45,3 +48,12 @@ def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     """``df`` with a broadcast hint if it has at most BROADCAST_ROWS rows; else as it is, for a shuffled join."""
     n = df.count() if rows is None else rows
     return F.broadcast(df) if n <= BROADCAST_ROWS else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt out to all cores, if its files alone would leave some idle: for rows that cost much more than they weigh.
+
+    For tables read from files; tables of as many partitions as cores stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+import io
+import json
+from collections.abc import Iterator
+from csv import writer
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parkwright.operators.merging import group_order
+from parkwright.operators.ranking import row_index
+from parkwright.sources.shared import cut
 
 
 def prepared(df: DataFrame, path: str, by: str = "split") -> str:
@@ -20,6 +28,67 @@ def json_rows(df: DataFrame, path: str) -> str:
     return path
 
 
+def single_file(lines: DataFrame, order: str, path: str) -> str:
+    """One text file of the lines in ``value``, in order, in place of what is at ``path``; written by one task, as one file must be."""
+    spark, draft = lines.sparkSession, f"{path}.parts"
+    lines.repartition(1).sortWithinPartitions(order).select("value").write.mode("overwrite").text(draft)
+    jvm = spark.sparkContext._jvm
+    parts, final = jvm.org.apache.hadoop.fs.Path(draft), jvm.org.apache.hadoop.fs.Path(path)
+    store = final.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    part = next(f.getPath() for f in store.listStatus(parts) if f.getPath().getName().startswith("part-"))
+    store.delete(final, True)
+    if not store.rename(part, final):
+        raise OSError(f"can't write {path}")
+    store.delete(parts, True)
+    return path
+
+
+def _as_text(rows: DataFrame, one, columns: list[str]) -> DataFrame:
+    """(_row, value) with the text that ``one`` makes of each row's values."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            values = [one(row) for row in zip(*[c.to_pylist() for c in b.columns[1:]], strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(values, pa.string())], names=["_row", "value"])
+
+    return rows.select("_row", *columns).mapInArrow(work, "_row long, value string")
+
+
+def json_array(df: DataFrame, order: list[str], path: str) -> str:
+    """One file with an indented JSON array of the rows in order, and a line break at its end; other than ASCII is kept as it is."""
+    rows, columns = cut(row_index(df, order, "_row"), "rows"), df.columns
+    n = rows.count()
+
+    def one(row: tuple) -> str:
+        return "\n".join("  " + line for line in json.dumps(dict(zip(columns, row, strict=True)), indent=2, ensure_ascii=False, default=str).split("\n"))
+
+    body = _as_text(rows, one, columns).withColumn("value", F.concat("value", F.when(F.col("_row") < n - 1, ",").otherwise("")))
+    edges = df.sparkSession.createDataFrame([(-1, "["), (n, "]")] if n else [(-1, "[]")], "_row long, value string")
+    return single_file(body.unionByName(edges), "_row", path)
+
+
+def csv_file(df: DataFrame, order: list[str], path: str, optional: tuple[str, ...] = ()) -> str | None:
+    """One CSV file of the rows in order; none without rows. Its columns are those of the first row: ``optional`` ones that are null there are left out."""
+    rows = cut(row_index(df, order, "_row"), "rows")
+    first = rows.where("_row = 0").first()
+    if first is None:
+        return None
+    columns = [c for c in df.columns if c not in optional or first[c] is not None]
+
+    def one(row: tuple) -> str:
+        out = io.StringIO()
+        writer(out, lineterminator="\r").writerow(row)  # the line break after it is the file's
+        return out.getvalue()
+
+    head = df.sparkSession.createDataFrame([(-1, one(tuple(columns)))], "_row long, value string")
+    return single_file(_as_text(rows, one, columns).unionByName(head), "_row", path)
+
+
+def report(lines: DataFrame, path: str) -> str:
+    """One text file of (place, line) rows."""
+    return single_file(lines.select("place", F.col("line").alias("value")), "place", path)
+
+
 def csv(df: DataFrame, path: str) -> str:
     """CSV with a header; quotes are doubled, and blank fields kept apart from none."""
     df.write.mode("overwrite").csv(path, header=True, quote='"', escape='"', quoteAll=True, lineSep="\n", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
@@ -39,9 +108,9 @@ def metrics_document(rates: DataFrame, mode: str, path: str) -> str:
     return path
 
 
-def result_set(rows: DataFrame, rates: DataFrame, mode: str, path: str) -> dict[str, str]:
-    """Predictions as CSV and JSON, and their metrics document."""
-    return {"csv": csv(rows, f"{path}/predictions.csv"), "json": json_rows(rows, f"{path}/predictions.json"), "metrics": metrics_document(rates, mode, f"{path}/metrics.json")}
+def result_set(rows: DataFrame, rates: DataFrame, mode: str, path: str, order: list[str], optional: tuple[str, ...] = ()) -> dict[str, str | None]:
+    """Predictions as one CSV file and one JSON array, in order, and their metrics document."""
+    return {"csv": csv_file(rows, order, f"{path}/predictions.csv", optional), "json": json_array(rows, order, f"{path}/predictions.json"), "metrics": metrics_document(rates, mode, f"{path}/metrics.json")}
 
 
 def markdown(sides: DataFrame) -> DataFrame:

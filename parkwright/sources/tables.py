@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parkwright.operators.merging import concatenated
 
+#: Names that a column of audio or of text may have, in order of preference.
 AUDIO_COLUMNS = ("audio", "speech", "path")
 TEXT_COLUMNS = ("text", "transcript", "sentence", "transcription", "normalized_text", "clean_transcription")
 METRICS = "text_normalize string, pooled struct<wer:double,cer:double,n:long>, per_set map<string,struct<wer:double,cer:double,n:long>>"
@@ -31,6 +28,11 @@ def canonical(df: DataFrame, names: dict[str, tuple[str, ...]]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(found.get(c, c)) for c in df.columns])
 
 
+def with_default(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column that it may already have."""
+    return df if name in df.columns else df.withColumn(name, value)
+
+
 def load_many(named: dict[str, DataFrame], suite: str | None = None) -> DataFrame:
     rows = concatenated(named)
     return rows if suite is None else rows.withColumn("suite", F.lit(suite))
@@ -64,10 +66,15 @@ def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
-def csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+def csv(spark: SparkSession, path: str, columns: list[str], **options: str) -> DataFrame:
     """Every column as text, by position; quoted fields may hold line breaks and quotes, and blank fields read ''."""
     schema = ", ".join(f"`{c}` string" for c in columns)
-    return spark.read.schema(schema).csv(path, header=True, multiLine=True, quote='"', escape='"', lineSep="\n", nullValue="\u0000")
+    return spark.read.schema(schema).csv(path, header=True, multiLine=True, quote='"', escape='"', nullValue="\u0000", **({"lineSep": "\n"} | options))
+
+
+def json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows of a file that holds one JSON array."""
+    return spark.read.schema(schema).json(path, multiLine=True)
 
 
 def parsed_metrics(documents: DataFrame, c: str = "value") -> DataFrame:
@@ -81,25 +88,6 @@ def metrics(spark: SparkSession, path: str) -> DataFrame:
     return parsed_metrics(spark.read.text(path, wholetext=True))
 
 
-def pcm_bytes(samples: Column) -> Column:
-    """16-bit little-endian bytes of whole samples."""
-    unit = lambda x: F.substring(F.lpad(F.hex(F.pmod(x, F.lit(65536)).cast("long")), 4, "0"), 3, 2)
-    high = lambda x: F.substring(F.lpad(F.hex(F.pmod(x, F.lit(65536)).cast("long")), 4, "0"), 1, 2)
-    return F.unhex(F.array_join(F.transform(samples, lambda x: F.concat(unit(x), high(x))), ""))
-
-
-def decode_pcm(files: DataFrame, key: str, content: str) -> DataFrame:
-    """(key, samples) of raw 16-bit mono files, in Arrow batches; unreadable ones get null samples."""
-    kind = files.schema[key].dataType.simpleString()
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = [None if x is None or len(x) % 2 else np.frombuffer(x, "<i2").tolist() for x in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.int32()))], names=[key, "samples"])
-
-    return files.select(key, content).mapInArrow(work, f"{key} {kind}, samples array<int>")
-
-
 def log_hits(lines: DataFrame, line: str, c: str, patterns: dict[str, str]) -> DataFrame:
     """(line, kind, value): the first group of each pattern that a log line matches."""
     each = F.array(*[F.struct(F.lit(kind).alias("kind"), F.when(F.col(c).rlike(p), F.regexp_extract(c, p, 1)).alias("value")) for kind, p in patterns.items()])
