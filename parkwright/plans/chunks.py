@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from parkwright.functions.text import let
+from parkwright.operators import audio, merging, predictors
 from parkwright.operators import chunking as C
-from parkwright.operators import predictors
 from parkwright.plans import fixtures as X
 from parkwright.plans.registry import query, table
 from parkwright.streaming.running import running_rates
@@ -13,25 +14,38 @@ from parkwright.streaming.running import running_rates
 _EMB = "CAST(round(x::DOUBLE * 1000) AS BIGINT)"
 
 
-@query("SELECT vec_id, CAST(list_sum(list_transform(embedding, lambda x: CAST(floor(x::DOUBLE * 1000) AS BIGINT) * 2)) AS BIGINT) AS total FROM embeddings")
+@query("SELECT vec_id, CAST(list_sum(list_transform(embedding, lambda x: CAST(floor(x::DOUBLE * 1000) AS BIGINT) * 2)) AS BIGINT) AS total, CAST(len(embedding) AS BIGINT) AS n_samples FROM embeddings")
 def ts_mono(spark, d):
-    """Two channels, the second three times the first: the mean is twice the first."""
+    """Two channels, the second three times the first, as lists of channels or as lists of frames: the mean is twice the first either way."""
     a = F.transform("embedding", lambda x: F.floor(x.cast("double") * 1000))
-    rows = table(spark, d, "embeddings").select("vec_id", a.alias("a")).select("vec_id", F.array("a", F.transform("a", lambda x: x * 3)).alias("channels"))
-    return rows.select("vec_id", F.aggregate(C.downmix(F.col("channels")), F.lit(0).cast("long"), lambda s, x: s + x.cast("long")).alias("total"))
+    rows = table(spark, d, "embeddings").select("vec_id", a.alias("a"))
+    channels = F.when(F.col("vec_id") % 2 == 0, F.array("a", F.transform("a", lambda x: x * 3))).otherwise(F.transform("a", lambda x: F.array(x, x * 3)))
+    rows = rows.select("vec_id", C.downmix(channels).alias("m"))
+    return rows.select("vec_id", F.aggregate("m", F.lit(0).cast("long"), lambda s, x: s + x.cast("long")).alias("total"), F.size("m").cast("long").alias("n_samples"))
 
 
-@query("SELECT vec_id, 128::BIGINT AS n_samples, CAST(floor(embedding[1]::DOUBLE * 1000) AS BIGINT) AS first, CAST(floor((floor(embedding[1]::DOUBLE * 1000) + floor(embedding[2]::DOUBLE * 1000)) / 2) AS BIGINT) AS second FROM embeddings")
+_BAND = f"(least(1.0::DOUBLE, 16000.0::DOUBLE / rate) * {audio.ROLLOFF}::DOUBLE)"
+_TAP = f"(CASE WHEN u = 0 THEN 1.0::DOUBLE ELSE sin(pi() * u) / (pi() * u) END) * (CASE WHEN abs(u) < {audio.CROSSINGS} THEN cos(pi() * u / {audio.CROSSINGS} / 2) * cos(pi() * u / {audio.CROSSINGS} / 2) ELSE 0 END)"
+
+
+@query(f"""WITH r AS (SELECT vec_id, embedding AS e, CASE WHEN vec_id % 2 = 0 THEN 8000 ELSE 24000 END AS rate FROM embeddings),
+o AS (SELECT *, {_BAND} AS band, unnest(range(CAST(ceil(len(e) * 16000.0::DOUBLE / rate) AS BIGINT))) AS i FROM r), k AS (SELECT *, unnest(range(len(e))) AS k FROM o),
+t AS (SELECT vec_id, i, band, e[k + 1]::DOUBLE AS x, (i * rate / 16000.0::DOUBLE - k) * band AS u FROM k),
+y AS (SELECT vec_id, i, sum(x * band * {_TAP}) AS y FROM t GROUP BY vec_id, i)
+SELECT vec_id, count(*) AS n_samples, round(sum(y::FLOAT::DOUBLE * (i % 7)), 3) AS total FROM y GROUP BY vec_id""")
 def ts_resample(spark, d):
-    """8 kHz to 16 kHz by interpolation."""
-    a = F.transform("embedding", lambda x: F.floor(x.cast("double") * 1000).cast("double"))
-    rows = table(spark, d, "embeddings").select("vec_id", C.resample(a, 8000).alias("w"))
-    return rows.select("vec_id", F.size("w").cast("long").alias("n_samples"), F.floor(F.col("w")[0]).alias("first"), F.floor(F.col("w")[1]).alias("second"))
+    """8 and 24 kHz to 16 kHz through the filter."""
+    clip = F.struct(F.col("embedding").alias("array"), F.when(F.col("vec_id") % 2 == 0, 8000).otherwise(24000).alias("sampling_rate"))
+    rows = audio.prepared(table(spark, d, "embeddings").select("vec_id", clip.alias("audio")), "vec_id", "audio")
+    total = F.aggregate(F.transform("samples", lambda x, i: x.cast("double") * (i % 7)), F.lit(0.0), lambda a, x: a + x)
+    return rows.select("vec_id", F.size("samples").cast("long").alias("n_samples"), F.round(total, 3).alias("total"))
 
 
-@query("SELECT vec_id, 32::BIGINT AS n_samples FROM embeddings")
+@query("SELECT vec_id, CAST(len(e) AS BIGINT) AS n_samples, CAST(list_sum(list_transform(e, lambda x: CAST(floor(x::DOUBLE * 1000) AS BIGINT))) AS BIGINT) AS total FROM (SELECT vec_id, embedding[1:32] AS e FROM embeddings)")
 def ts_cap(spark, d):
-    return table(spark, d, "embeddings").select("vec_id", F.size(C.cap(F.col("embedding"), 0.002)).cast("long").alias("n_samples"))
+    """What a limit of 2 ms leaves."""
+    rows = table(spark, d, "embeddings").select("vec_id", C.cap(F.col("embedding"), 0.002).alias("e"))
+    return rows.select("vec_id", F.size("e").cast("long").alias("n_samples"), F.aggregate("e", F.lit(0).cast("long"), lambda a, x: a + F.floor(x.cast("double") * 1000)).alias("total"))
 
 
 @query(f"""WITH {X.CLIPS}, k AS (SELECT clip_id, n_samples AS n, CASE WHEN n_samples <= 480000 THEN 1 ELSE least(1 + CAST(ceil((n_samples - 480000) / 400000) AS BIGINT), CAST(ceil(n_samples / 400000) AS BIGINT)) END AS k FROM clips)
@@ -56,11 +70,20 @@ def ts_tail(spark, d):
     return rows.select("clip_id", F.col("i").cast("long").alias("chunk_index"), "w.start", "w.end", "w.padding")
 
 
-@query("SELECT id, chunks FROM (VALUES (1::BIGINT, '0,1|2|3'), (2, ''), (3, '0'), (4, '0|1')) AS v(id, chunks)")
+@query("""WITH RECURSIVE w AS (SELECT conv_id * 1000 + turn AS id, list_transform(list_filter(string_split_regex(text, '\\s+'), lambda x: x <> ''), lambda x: length(x) * 0.25::DOUBLE) AS ls FROM conversations),
+u AS (SELECT id, unnest(ls) AS l, unnest(range(len(ls))) AS i FROM w), s AS (SELECT id, i, sum(l) OVER (PARTITION BY id ORDER BY i) - l AS s, sum(l) OVER (PARTITION BY id ORDER BY i) AS e FROM u),
+p AS (SELECT id, i, s AS st, 0 AS c FROM s WHERE i = 0 UNION ALL SELECT s.id, s.i, CASE WHEN s.e - p.st > 28 THEN s.s ELSE p.st END, p.c + CASE WHEN s.e - p.st > 28 THEN 1 ELSE 0 END FROM p JOIN s ON s.id = p.id AND s.i = p.i + 1)
+SELECT id, c AS chunk_index, CAST(min(i) AS INTEGER) AS first, CAST(max(i) AS INTEGER) AS last, count(*) AS n FROM p GROUP BY id, c""")
 def ts_pack(spark, d):
-    rows = [(1, [(0.0, 10.0), (11.0, 27.0), (27.5, 40.0), (40.0, 60.0)]), (2, []), (3, [(0.0, 50.0)]), (4, [(0.0, 50.0), (50.0, 51.0)])]
-    spans = spark.createDataFrame(rows, "id long, s array<struct<start:double,end:double>>")
-    return spans.select("id", F.array_join(F.transform(C.packed_spans(F.col("s"), 28.0), lambda c: F.array_join(F.transform(c, lambda i: i.cast("string")), ",")), "|").alias("chunks"))
+    """Words of a quarter second a letter, packed into chunks of at most 28 s: the first and last of each."""
+    words = F.transform(F.array_remove(F.split("text", r"\s+"), ""), lambda w: F.length(w) * F.lit(0.25))
+
+    def spans(ls):
+        step = lambda a, x: F.array_append(a, F.struct(F.coalesce(F.element_at(a, -1)["end"], F.lit(0.0)).alias("start"), (F.coalesce(F.element_at(a, -1)["end"], F.lit(0.0)) + x).alias("end")))
+        return F.slice(F.aggregate(ls, F.array(F.struct(F.lit(0.0).alias("start"), F.lit(0.0).alias("end"))), step), F.lit(2), F.greatest(F.size(ls), F.lit(0)))
+
+    rows = table(spark, d, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), C.packed_spans(let(words, spans), 28.0).alias("chunks"))
+    return rows.select("id", F.posexplode("chunks").alias("chunk_index", "c")).select("id", "chunk_index", F.element_at("c", 1).alias("first"), F.element_at("c", -1).alias("last"), F.size("c").cast("long").alias("n"))
 
 
 _WORDS = "list_filter(string_split_regex(text, '\\s+'), lambda x: x <> '')"
@@ -80,39 +103,37 @@ def ts_emit(spark, d):
     return rows.select("id", F.col("i").cast("long").alias("chunk_index"), "num_chunks", text.alias("text"), end.alias("end_sample"))
 
 
-@query(f"WITH {X.CLIPS} SELECT clip_id, duration_s <= 30 OR clip_id % 7 = 0 AS passes, duration_s > 30 AND clip_id % 7 <> 0 AND clip_id % 11 = 0 AS failed FROM clips")
+@query(f"WITH {X.SPOKEN} SELECT outcome, count(DISTINCT clip_id) AS clips, count(*) AS n_rows, CAST(sum(\"end\" - start) AS BIGINT) AS samples FROM spoken_chunks GROUP BY outcome")
 def ts_pass(spark, d):
-    """Short clips and blank texts pass unsplit; a failed alignment gives one row and counts."""
-    rows = X.clips(spark, d).withColumn("text", F.when(F.col("clip_id") % 7 == 0, " ").otherwise(F.col("text")))
-    passes = (F.col("duration_s") <= 30) | (F.trim("text") == "")
-    return rows.select("clip_id", passes.alias("passes"), (~passes & (F.col("clip_id") % 11 == 0)).alias("failed"))
+    """Clips and rows by outcome: short clips and blank texts pass unsplit, a failed alignment leaves one row, the others are cut."""
+    rows = C.chunked(X.spoken(spark, d), "spans")
+    return rows.groupBy("outcome").agg(F.count_distinct("clip_id").alias("clips"), F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("end") - F.col("start")).alias("samples"))
 
 
-@query("""SELECT conv_id * 1000 + turn AS id, CASE WHEN len(list_filter(string_split_regex(text, '\\s+'), lambda x: x <> '')) = len(n) THEN 'original' ELSE 'normalised' END AS kind
-FROM (SELECT *, list_filter(string_split_regex(regexp_replace(lower(text), '[^\\p{L}\\p{M}\\p{N}_\\s'']', ' ', 'g'), '\\s+'), lambda x: x <> '') AS n FROM conversations)""")
+@query(f"""SELECT conv_id * 1000 + turn AS id, array_to_string(CASE WHEN len(list_filter(string_split_regex(text, '\\s+'), lambda x: x <> '')) = len({X.ALIGNED}) THEN list_filter(string_split_regex(text, '\\s+'), lambda x: x <> '') ELSE {X.ALIGNED} END, '|') AS words FROM conversations""")
 def ts_words(spark, d):
     """The words as written, unless their number differs from the normalised ones."""
-    from parkwright.functions.text import align_words
-
-    same = F.size(F.array_remove(F.split("text", r"\s+"), "")) == F.size(align_words(F.col("text")))
-    return table(spark, d, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.when(same, "original").otherwise("normalised").alias("kind"))
-
-
-PATHS = [(1, [0, 3, 3, 0, 5, 5, 5, 0], [3, 5]), (2, [3, 0, 3], [3, 3]), (3, [0, 0], [1]), (4, [2, 2], [4]), (5, [], [])]
+    return table(spark, d, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.array_join(C.chosen_words(F.col("text")), "|").alias("words"))
 
 
-@query("SELECT id, runs, error FROM (VALUES (1::BIGINT, '3:1-3,5:4-7', NULL), (2, '3:0-1,3:2-3', NULL), (3, '', 'wrong number of labels'), (4, '2:0-2', 'wrong label'), (5, '', 'no targets')) AS v(id, runs, error)")
+@query(f"WITH {X.FRAMES} SELECT id, CASE WHEN error = 'wrong number of labels' THEN t - 1 ELSE t END AS n_runs, error FROM frames")
 def ts_ctc(spark, d):
-    rows = spark.createDataFrame(PATHS, "id long, path array<int>, want array<int>").select("id", C.checked_runs(F.col("path"), F.col("want"), 0).alias("x"))
-    return rows.select("id", F.array_join(F.transform("x.runs", lambda r: F.format_string("%d:%d-%d", r["label"], r["start"], r["end"])), ",").alias("runs"), "x.error")
+    """Runs of frame paths, and why they don't spell their words if they don't."""
+    rows = X.frames(spark, d)
+    x = C.checked_runs(F.col("path"), C.token_ranges(F.col("words"), X.LETTERS)["labels"], 0)
+    return rows.select("id", x.alias("x")).select("id", F.size("x.runs").cast("long").alias("n_runs"), "x.error")
 
 
-@query("SELECT id, s, e FROM (VALUES (1::BIGINT, 0.125::DOUBLE, 0.875::DOUBLE), (2, 0.0, 1.0), (4, 0.0, 1.0)) AS v(id, s, e)")
+@query(f"""WITH {X.FRAMES}, b AS (SELECT id, t, unnest(ls) AS l, unnest(list_transform(ls, lambda x, i: i - 1 + coalesce(list_sum(ls[1:i - 1]), 0))) AS first_at FROM frames WHERE error IS NULL),
+s AS (SELECT id, (3 * first_at) * (t * 3 * 320 / 16000::DOUBLE / (t * 3)) AS s, (3 * (first_at + l - 1) + 2) * (t * 3 * 320 / 16000::DOUBLE / (t * 3)) AS e FROM b WHERE l > 0)
+SELECT frames.id, error, CASE WHEN error IS NULL THEN count(s) END AS n_spans, round(min(s), 6) AS first, round(max(e), 6) AS last, round(sum(e - s), 4) AS seconds FROM frames LEFT JOIN s USING (id) GROUP BY frames.id, error""")
 def ts_span(spark, d):
-    """Runs of frames as seconds of a clip of one second: first start, last end."""
-    rows = spark.createDataFrame(PATHS, "id long, path array<int>, want array<int>").where(F.size("path") > 0)
-    s = C.seconds_of(C.frame_runs(F.col("path"), 0), F.lit(16000), F.size("path"))
-    return rows.select("id", s.alias("x")).where(F.size("x") > 0).select("id", F.col("x")[0]["start"].alias("s"), F.element_at("x", -1)["end"].alias("e"))
+    """Seconds of words from frame paths at 20 ms a frame; words without a known letter have none."""
+    rows = X.frames(spark, d)
+    x = C.word_spans(F.col("path"), C.token_ranges(F.col("words"), X.LETTERS), 0, F.size("path") * 320)
+    rows = rows.select("id", x.alias("x")).select("id", "x.error", "x.spans")
+    seconds = F.aggregate("spans", F.lit(0.0), lambda a, s: a + (s["end"] - s["start"]))
+    return rows.select("id", "error", F.when(F.col("error").isNull(), F.size("spans").cast("long")).alias("n_spans"), F.round(F.get("spans", F.lit(0))["start"], 6).alias("first"), F.round(F.element_at("spans", -1)["end"], 6).alias("last"), F.round(seconds, 4).alias("seconds"))
 
 
 _JOINED = "string_agg(CASE WHEN turn % 4 <> 1 THEN regexp_replace(text, '^\\s+|\\s+$', '', 'g') END, ' ' ORDER BY turn)"
@@ -132,11 +153,15 @@ def ts_reasm2(spark, d):
     return C.reassembled(rows, ["source_dataset", "clip_id"], "turn", "text").select("source_dataset", "clip_id", "full_text")
 
 
-@query(f"WITH {X.CLIPS} SELECT split, CASE WHEN split IN ('train', 'validation') THEN 'chunked' ELSE 'whole' END AS route, count(*) AS n FROM clips GROUP BY 1, 2")
+@query(f"""WITH {X.SPOKEN}, full_texts AS (SELECT clip_id, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS f FROM spoken)
+SELECT clip_id, split, CAST(i AS INTEGER) AS chunk_index, CASE WHEN split = 'test' THEN CAST(k AS INTEGER) END AS num_chunks, CASE WHEN split = 'test' THEN f END AS full_text, text, 'test' AS chunks FROM spoken_chunks JOIN full_texts USING (clip_id) WHERE split <> 'other'
+UNION ALL SELECT clip_id, split, CAST(i AS INTEGER), NULL, NULL, text, '' FROM spoken_chunks WHERE split IN ('train', 'validation')
+UNION ALL SELECT clip_id, split, CASE WHEN split = 'test' THEN 0 END, NULL, NULL, text, c FROM spoken, (SELECT unnest(['', 'test']) AS c) WHERE split = 'other' OR (split = 'test' AND c = '')""")
 def ts_route(spark, d):
-    """Which splits are chunked: train and validation always, test on demand."""
-    route = F.when(F.col("split").isin("train", "validation"), "chunked").otherwise("whole")
-    return X.clips(spark, d).groupBy("split", route.alias("route")).agg(F.count(F.lit(1)).alias("n"))
+    """Train and validation are always chunked, test on demand, other splits never; with test and without."""
+    clips, names = X.spoken(spark, d), ["clip_id", "split", "chunk_index", "num_chunks", "full_text", "text", "chunks"]
+    asked = C.routed(clips, "spans", chunk_test=True).withColumn("chunks", F.lit("test"))
+    return asked.select(*names).unionByName(C.routed(clips, "spans").withColumn("chunks", F.lit("")).select(*[c for c in names if c not in ("num_chunks", "full_text")]), allowMissingColumns=True)
 
 
 @query("SELECT conv_id * 1000 + turn AS id, CASE WHEN turn = 3 THEN NULL ELSE upper(role) END AS prediction, CASE WHEN turn = 3 THEN '[ERROR: turn 3]' END AS error FROM conversations")
@@ -146,9 +171,14 @@ def udf_batched(spark, d):
     return predictors.predict(rows, "stub", "id", "audio").select("id", "prediction", "error")
 
 
-@query("SELECT name FROM (VALUES ('stub'), ('echo')) AS v(name)")
+@query("""WITH a AS (SELECT conv_id * 1000 + turn AS id, ' ' || role || '  turn ' || turn || ' . ' AS x FROM conversations)
+SELECT id, model, CASE model WHEN 'merged' THEN trim(x) WHEN 'merged_large' THEN upper(trim(x)[1]) || lower(trim(x)[2:]) WHEN 'hosted' THEN rtrim(trim(x), '.') || '.' WHEN 'whole_sequence' THEN trim(regexp_replace(x, ' +', ' ', 'g'))
+ELSE regexp_replace(upper(x), '[^A-Z ]', '', 'g') END AS prediction FROM a, (SELECT unnest(['merged', 'merged_large', 'hosted', 'whole_sequence', 'frame_labels']) AS model)""")
 def udf_registry(spark, d):
-    return spark.createDataFrame([(n,) for n in predictors.names()], "name string")
+    """Five predictors over the same rows, asked by name."""
+    rows = table(spark, d, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.concat(F.lit(" "), "role", F.lit("  turn "), F.col("turn").cast("string"), F.lit(" . ")).alias("audio"))
+    models = ("merged", "merged_large", "hosted", "whole_sequence", "frame_labels")
+    return merging.concatenated({m: predictors.predict(rows, m, "id", "audio").select("id", "prediction") for m in models}, "model")
 
 
 @query(f"WITH {X.pairs_sql()} SELECT coalesce(source_dataset, 'pooled') AS source_dataset, CAST(sum(word_edits) AS BIGINT) AS word_edits, CAST(sum(n_words) AS BIGINT) AS n_words FROM p GROUP BY GROUPING SETS ((), (source_dataset))")

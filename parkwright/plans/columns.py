@@ -41,10 +41,12 @@ def prj_tag(spark, d):
     return tables.load_many({"documents": _documents(spark, d).select("doc_id")}, "suite-a").select("doc_id", "source_dataset", "suite")
 
 
-@query("SELECT doc_id, 0 AS chunk_index FROM documents")
+@query("SELECT doc_id, 0 AS chunk_index, 'absent' AS given FROM documents UNION ALL SELECT doc_id, CAST(doc_id % 3 AS INTEGER), 'there' FROM documents")
 def prj_chunk0(spark, d):
-    df = _documents(spark, d).select("doc_id")
-    return df if "chunk_index" in df.columns else df.withColumn("chunk_index", F.lit(0))
+    """The first chunk for rows that know of none; a table that has chunks keeps them."""
+    docs = _documents(spark, d).select("doc_id")
+    there = docs.withColumn("chunk_index", (F.col("doc_id") % 3).cast("int"))
+    return tables.with_default(docs, "chunk_index", F.lit(0)).withColumn("given", F.lit("absent")).unionByName(tables.with_default(there, "chunk_index", F.lit(0)).withColumn("given", F.lit("there")))
 
 
 @query(f"WITH {X.CLIPS} SELECT clip_id, duration_s, row_number() OVER (ORDER BY duration_s, clip_id) - 1 AS row_idx FROM clips")
@@ -115,10 +117,11 @@ def str_erra(spark, d):
     return _messages(spark, d).select("id", T.error_text(T.text("text")).alias("out"))
 
 
-@query("SELECT id, out FROM (VALUES (1::BIGINT, 'X. Y!  Z?'), (2, 'Élan. Été'), (3, ''), (4, '1 a. B'), (5, 'A.b')) AS v(id, out)")
+@query(f"""SELECT {KEY}, coalesce(array_to_string(list_transform(regexp_extract_all(regexp_replace(lower(replace(text, ' ', '  ')), '^\\s+|\\s+$', '', 'g'), '(?s).*?(?:[.!?]\\s+|$)'),
+lambda s: CASE WHEN regexp_matches(s, '^[a-zà-ɏ]') THEN upper(s[1]) || s[2:] ELSE s END), ''), '') AS out FROM conversations""")
 def str_polish(spark, d):
-    rows = [(1, "x. y!  z?"), (2, " élan. été "), (3, "  "), (4, "1 a. b"), (5, "a.b")]
-    return spark.createDataFrame(rows, "id long, s string").select("id", T.polish(F.col("s")).alias("out"))
+    """Messages in lower case with wide gaps, as sentences again."""
+    return _messages(spark, d).select("id", T.polish(F.lower(F.replace("text", F.lit(" "), F.lit("  ")))).alias("out"))
 
 
 @query("""SELECT conv_id * 1000 + turn AS id, array_to_string(list_transform(list_filter(list_zip(ws, list_prepend(NULL, ws)), lambda z: z[1] IS NOT NULL AND (z[2] IS NULL OR lower(z[1]) <> lower(z[2]))), lambda z: z[1]), ' ') AS out
@@ -130,10 +133,9 @@ def str_collapse(spark, d):
     return _messages(spark, d).select("id", F.array_join(T.collapse_runs(stutter), " ").alias("out"))
 
 
-@query("SELECT id, CAST(score AS BIGINT) AS score FROM (VALUES (1::BIGINT, 0), (2, 1), (3, 4), (4, 8), (5, 12), (6, 2)) AS v(id, score)")
+@query(f"WITH {X.STUTTERED}, {X.loops_sql('stuttered')} SELECT id, score FROM loops")
 def str_loop(spark, d):
-    rows = [(1, ""), (2, "one"), (3, "a a a a"), (4, "x y x y x y x y z"), (5, "p q r s p q r s p q r s t u v"), (6, "b b c")]
-    return spark.createDataFrame(rows, "id long, s string").select("id", T.loop_score(F.col("s")).alias("score"))
+    return X.stuttered(spark, d).select("id", T.loop_score(F.col("text")).alias("score"))
 
 
 @query("SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN trim(lang) WHEN doc_id % 4 = 1 THEN source || ' ' || lang ELSE '' END AS out FROM documents")

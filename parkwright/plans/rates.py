@@ -10,8 +10,8 @@ from parkwright.plans import fixtures as X
 from parkwright.plans.columns import SCORED_SQL
 from parkwright.plans.registry import query, table
 
-SUMS = 'count(*) AS n, count(*) AS n_scored, CAST(sum(word_edits{s}) AS BIGINT) AS word_edits, CAST(sum(n_words{s}) AS BIGINT) AS n_words, CAST(sum(char_edits{s}) AS BIGINT) AS char_edits, CAST(sum(n_chars{s}) AS BIGINT) AS n_chars, sum(word_edits{s}) / sum(n_words{s}) AS wer, sum(char_edits{s}) / sum(n_chars{s}) AS cer'
-RAW, NORMAL = SUMS.format(s=""), SUMS.format(s="_n")
+SUMS = 'count(*) AS n_scored{s}, CAST(sum(word_edits{s}) AS BIGINT) AS word_edits{s}, CAST(sum(n_words{s}) AS BIGINT) AS n_words{s}, CAST(sum(char_edits{s}) AS BIGINT) AS char_edits{s}, CAST(sum(n_chars{s}) AS BIGINT) AS n_chars{s}, sum(word_edits{s}) / sum(n_words{s}) AS wer{s}, sum(char_edits{s}) / sum(n_chars{s}) AS cer{s}'
+RAW, NORMAL = "count(*) AS n, " + SUMS.format(s=""), SUMS.format(s="_n")
 
 
 @query(f"WITH {X.pairs_sql()} SELECT {RAW} FROM p")
@@ -63,9 +63,24 @@ def agg_group(spark, d):
     return scoring.grouped(scoring.scored(X.pairs(spark, d)), [[], ["source_dataset"]])
 
 
-@query(f"WITH {X.pairs_sql()} SELECT coalesce(dataset, 'pooled') AS dataset, coalesce(source_dataset, 'pooled') AS source_dataset, {NORMAL} FROM p GROUP BY GROUPING SETS ((), (dataset), (dataset, source_dataset))")
+@query(f"WITH {X.pairs_sql()} SELECT coalesce(dataset, 'pooled') AS dataset, coalesce(source_dataset, 'pooled') AS source_dataset, {RAW}, {NORMAL} FROM p GROUP BY GROUPING SETS ((), (dataset), (dataset, source_dataset))")
 def agg_sets(spark, d):
-    return scoring.grouped(scoring.scored(X.pairs(spark, d), "jiwer_default"), [[], ["dataset"], ["dataset", "source_dataset"]])
+    """Raw and normalised rates of all sets together, of each set and of its groups, in one pass."""
+    rows = scoring.scored(scoring.scored(X.pairs(spark, d)), "jiwer_default", "_n")
+    return scoring.grouped(rows, [[], ["dataset"], ["dataset", "source_dataset"]], ("", "_n"))
+
+
+@query(f"WITH {X.HEARD} SELECT coalesce(source_dataset, 'pooled') AS source_dataset, {RAW} FROM heard GROUP BY GROUPING SETS ((), (source_dataset))")
+def agg_heard(spark, d):
+    """Rates of pairs with insertions and substitutions, in words and characters."""
+    return scoring.grouped(scoring.scored(X.heard(spark, d)), [[], ["source_dataset"]])
+
+
+@query(f"WITH {X.pairs_sql()} SELECT {RAW} FROM p")
+def agg_simple(spark, d):
+    """Mode simple: case and white space don't count."""
+    odd = F.concat(F.lit(" "), F.translate(F.regexp_replace("reference", " ", " \n "), "abc", "ABC"), F.lit("\t"))
+    return scoring.grouped(scoring.scored(X.pairs(spark, d).withColumn("reference", odd), "simple"), [])
 
 
 @query(f"WITH {X.CLIPS} SELECT round(avg(duration_s), 6) AS mean, round(quantile_cont(duration_s, 0.5), 6) AS median FROM clips")
@@ -81,7 +96,8 @@ def agg_p90(spark, d):
 _ROWS = f"WITH {X.pairs_sql()}, s AS (SELECT *, CASE WHEN row_idx % 13 = 0 THEN 1.5::DOUBLE ELSE word_edits / n_words * (1 + row_idx % 7) END AS wer, n_words * 0.5::DOUBLE AS seconds FROM p)"
 
 
-def _spread(spark, d):
+def spread_rates(spark, d):
+    """Pairs with rates that fall into all bands, and seconds."""
     rows = scoring.row_rates(scoring.scored(X.pairs(spark, d)))
     return rows.withColumn("wer", F.when(F.col("row_idx") % 13 == 0, 1.5).otherwise(F.col("wer") * (1 + F.col("row_idx") % 7))).withColumn("seconds", F.col("n_words") * 0.5)
 
@@ -89,19 +105,24 @@ def _spread(spark, d):
 @query(f"""{_ROWS}, b AS (SELECT * FROM (VALUES (0, 'good', 0.0, 0.2), (1, 'moderate', 0.2, 0.4), (2, 'fair', 0.4, 0.6), (3, 'poor', 0.6, 0.8), (4, 'bad', 0.8, 1.01), (5, 'catastrophic', 1.01, 99.0)) AS v(place, band, lo, hi))
 SELECT place, band, count(wer) AS n, round(100.0 * count(wer) / (SELECT count(*) FROM s), 6) AS pct FROM b LEFT JOIN s ON wer >= lo::DOUBLE AND wer < hi::DOUBLE GROUP BY place, band""")
 def agg_bucket(spark, d):
-    return errors.bands(_spread(spark, d), "wer").withColumn("pct", F.round("pct", 6))
+    return errors.bands(spread_rates(spark, d), "wer").withColumn("pct", F.round("pct", 6))
 
 
-@query("SELECT 1::BIGINT AS looping, round(25.0, 6)::DOUBLE AS pct")
+@query(f"WITH {X.STUTTERED}, {X.loops_sql('stuttered')} SELECT count(*) FILTER (score >= 6) AS looping, 100.0 * count(*) FILTER (score >= 6) / count(*) AS pct FROM loops")
 def agg_loop(spark, d):
-    rows = spark.createDataFrame([("a b c",), ("x x x x x x x y",), (None,), ("one two one two",)], "prediction string")
-    return errors.looping(rows, "prediction")
+    return errors.looping(X.stuttered(spark, d), "text")
+
+
+_SHIFTS = ", ".join(f"('{a}', '{b}')" for a, b in errors.SHIFTS)
+_SHIFT_LISTS = "[" + ", ".join(f"'{a}'" for a, _ in errors.SHIFTS) + "]", "[" + ", ".join(f"'{b}'" for _, b in errors.SHIFTS) + "]"
 
 
-@query("SELECT * FROM (VALUES ('kuusu->kuhusu', 3::BIGINT), ('sanaa->sana', 1)) AS v(shift, n)")
+@query(f"""WITH t AS (SELECT string_split(text, ' ') AS ws, {_SHIFT_LISTS[0]}[((conv_id + turn) % {len(errors.SHIFTS)} + 1)::INT] AS a, {_SHIFT_LISTS[1]}[((conv_id + turn) % {len(errors.SHIFTS)} + 1)::INT] AS b FROM conversations),
+s AS (SELECT array_to_string(list_transform(ws, lambda w, i: CASE WHEN (i - 1) % 9 = 4 THEN a ELSE w END), ' ') AS r, array_to_string(list_transform(ws, lambda w, i: CASE WHEN (i - 1) % 9 = 4 THEN b ELSE w END), ' ') AS h FROM t),
+e AS (SELECT array_to_string({X.error_words_sql("r")}, ' ') AS r, array_to_string({X.error_words_sql("h")}, ' ') AS h FROM s)
+SELECT x || '->' || y AS shift, CAST(sum(len(regexp_extract_all(r, x))) AS BIGINT) AS n FROM e, (VALUES {_SHIFTS}) AS v(x, y) WHERE regexp_matches(r, x) AND regexp_matches(h, y) GROUP BY 1 ORDER BY n DESC, shift LIMIT 12""")
 def agg_lex(spark, d):
-    rows = [("kuusu kuusu hii", "kuhusu hii"), ("kuusu, sanaa", "kuhusu sana"), ("piya", "piyaa"), (None, "sana")]
-    return errors.shifts(spark.createDataFrame(rows, "reference string, prediction string"))
+    return errors.shifts(X.shifted(spark, d))
 
 
 @query(f"WITH {X.pairs_sql()}, e AS (SELECT CAST(sum(word_edits) AS BIGINT) AS n FROM p) SELECT 'words' AS what, n FROM e")
@@ -119,7 +140,7 @@ def agg_ops_top(spark, d):
 
 @query(f"{_ROWS} SELECT CASE WHEN seconds < 30 THEN '<30' WHEN seconds < 60 THEN '30-60' ELSE '>=60' END AS band, count(*) AS n, round(avg(wer), 6) AS mean_wer FROM s GROUP BY 1")
 def agg_durwer(spark, d):
-    return errors.by_duration(_spread(spark, d), "seconds", "wer").withColumn("mean_wer", F.round("mean_wer", 6))
+    return errors.by_duration(spread_rates(spark, d), "seconds", "wer").withColumn("mean_wer", F.round("mean_wer", 6))
 
 
 @query(f"""WITH {X.CLIPS} SELECT count(duration_s) AS "count", round(avg(duration_s), 4) AS mean, round(stddev_samp(duration_s), 4) AS std, min(duration_s) AS min, round(quantile_cont(duration_s, 0.5), 4) AS p50,
@@ -174,14 +195,17 @@ def agg_pass(spark, d):
     return gates.pass_rate(gates.judged(X.replies(spark, d)), []).withColumn("pass_rate", F.round("pass_rate", 4))
 
 
-@query(f"{SCORED_SQL} SELECT category, {_PASS.format(least=0.8)} FROM scored GROUP BY category")
+@query(f"{SCORED_SQL} SELECT category, {_PASS.format(least=0.8)}, CAST(row_number() OVER (ORDER BY min(id), category) AS INTEGER) AS place FROM scored GROUP BY category")
 def agg_cat(spark, d):
-    return gates.pass_rate(gates.judged(X.replies(spark, d)), ["category"]).withColumn("pass_rate", F.round("pass_rate", 4))
+    """Pass rates of categories in the order they are first seen."""
+    return gates.by_category(gates.judged(X.replies(spark, d)), "id").withColumn("pass_rate", F.round("pass_rate", 4))
 
 
-@query(f"{SCORED_SQL} SELECT {_PASS.format(least=0.2)} FROM scored WHERE id < 100")
+@query(f"{SCORED_SQL} SELECT {_PASS.format(least=0.8)}, CAST(count(*) FILTER (len(failed) > 0) AS BIGINT) AS failed, 0.8::DOUBLE AS threshold FROM scored")
 def gate_chat(spark, d):
-    return gates.pass_rate(gates.judged(X.replies(spark, d).where("id < 100")), [], 0.2).withColumn("pass_rate", F.round("pass_rate", 4))
+    """The verdict over all replies."""
+    rows = gates.pass_rate(gates.judged(X.replies(spark, d)), [])
+    return rows.select("n", "n_passed", F.round("pass_rate", 4).alias("pass_rate"), "gate", (F.col("n") - F.col("n_passed")).alias("failed"), F.lit(gates.PASS_RATE).alias("threshold"))
 
 
 @query("""SELECT vec_id, CAST(len(list_filter(e, lambda x: x >= 0)) AS BIGINT) AS n_words, CAST(len(list_filter(e, lambda x: x > 0.2)) AS BIGINT) AS word_edits FROM (SELECT vec_id, embedding AS e FROM embeddings)""")

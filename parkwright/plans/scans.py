@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from parkwright.functions.text import dataset_spec
-from parkwright.operators import merging, scoring
+from parkwright.operators import audio, errors, merging, scoring
 from parkwright.plans import fixtures as X
 from parkwright.plans.registry import query, table
 from parkwright.sources import sinks, tables
-from parkwright.sources.shared import new_path
+from parkwright.plans.rates import spread_rates
+from parkwright.sources.shared import cut, new_path
 
 
 @query("""SELECT 'documents' AS source_dataset, lang AS split, doc_id AS row_id, text FROM documents
@@ -96,12 +97,18 @@ def src_json(spark, d):
     return tables.metrics(spark, path).select("group", "n", "wer", "cer")
 
 
-@query("SELECT vec_id, CAST(len(embedding) AS BIGINT) AS n_samples, CAST(list_sum(list_transform(embedding, lambda x: CAST(floor(x::DOUBLE * 1000) AS BIGINT))) AS BIGINT) AS total FROM embeddings")
+@query("""SELECT vec_id, CAST(len(embedding) AS BIGINT) AS n_samples, CAST(list_sum(list_transform(embedding, lambda x: CAST(floor(x::DOUBLE * 1000) AS BIGINT))) * 2 AS BIGINT) AS total, kind
+FROM embeddings, (SELECT unnest(['array', 'bytes']) AS kind)""")
 def src_audio(spark, d):
-    """16-bit samples packed to bytes and decoded again by a batched function."""
+    """Clips as structs with samples of two channels, and as WAV bytes of them; the mean of a sample and its triple is its double."""
     whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 1000).cast("int"))
-    raw = table(spark, d, "embeddings").select("vec_id", tables.pcm_bytes(whole).alias("content"))
-    return tables.decode_pcm(raw, "vec_id", "content").select("vec_id", F.size("samples").cast("long").alias("n_samples"), F.aggregate("samples", F.lit(0).cast("long"), lambda a, x: a + x).alias("total"))
+    rows = table(spark, d, "embeddings").select("vec_id", whole.alias("w"))
+    arrays = rows.select("vec_id", F.struct(F.array(F.transform("w", lambda x: x / 32768), F.transform("w", lambda x: x * 3 / 32768)).alias("array"), F.lit(16000).alias("sampling_rate")).alias("audio"))
+    content = audio.wav_bytes(rows.select("vec_id", F.transform("w", lambda x: F.array(x, x * 3)).alias("w")), "vec_id", "w")
+    files = content.select("vec_id", F.struct(F.col("content").alias("bytes")).alias("audio"))
+    total = F.aggregate("samples", F.lit(0).cast("long"), lambda a, x: a + F.round(x.cast("double") * 32768).cast("long"))
+    read = {"array": audio.prepared(arrays, "vec_id", "audio"), "bytes": audio.prepared(files, "vec_id", "audio")}
+    return merging.concatenated({k: v.select("vec_id", F.size("samples").cast("long").alias("n_samples"), total.alias("total")) for k, v in read.items()}, "kind")
 
 
 @query("SELECT event_id AS line, CASE WHEN event_id % 5 = 0 THEN 'model_type' ELSE 'data_path' END AS kind, event_type || event_id AS value FROM events WHERE event_id % 5 IN (0, 2)")
@@ -123,14 +130,20 @@ def snk_overwrite(spark, d):
 
 @query("SELECT conv_id, turn, text FROM conversations")
 def snk_json(spark, d):
-    path = sinks.json_rows(table(spark, d, "conversations").select("conv_id", "turn", "text"), new_path(spark, "json"))
-    return spark.read.schema("conv_id long, turn long, text string").json(path)
+    """One file with an indented array, read back whole."""
+    path = sinks.json_array(table(spark, d, "conversations").select("conv_id", "turn", "text"), ["conv_id", "turn"], new_path(spark, "json"))
+    return tables.json_array(spark, path, "conv_id long, turn long, text string")
 
 
-@query("SELECT conv_id, turn, text FROM conversations")
+@query("SELECT conv_id, turn, text, CASE WHEN turn % 2 = 0 THEN role END AS note FROM conversations")
 def snk_csv(spark, d):
-    path = sinks.csv(table(spark, d, "conversations").select("conv_id", "turn", "text"), new_path(spark, "csv"))
-    return tables.csv(spark, path, ["conv_id", "turn", "text"]).select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "text")
+    """One file, whose header is that of the first row; and none without rows."""
+    rows = table(spark, d, "conversations").select("conv_id", "turn", "text", F.lit(None).cast("string").alias("absent"), F.when(F.col("turn") % 2 == 0, F.col("role")).alias("note"))
+    path = sinks.csv_file(rows, ["conv_id", "turn"], new_path(spark, "csv"), optional=("absent", "note"))
+    if sinks.csv_file(rows.where("conv_id < 0"), ["conv_id"], new_path(spark, "csv")) is not None:
+        raise AssertionError("a file without rows")
+    back = tables.csv(spark, path, ["conv_id", "turn", "text", "note"], lineSep="\r\n")
+    return back.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "text", F.nullif("note", F.lit("")).alias("note"))
 
 
 @query(f"WITH {X.pairs_sql()} SELECT reference AS ref, prediction AS hyp, source_dataset FROM p")
@@ -143,8 +156,8 @@ def snk_jsonl(spark, d):
 def snk_eval(spark, d):
     """The three parts of a result set, counted as read back."""
     rows = X.pairs(spark, d)
-    parts = sinks.result_set(rows, _metrics(spark, d), "none", new_path(spark, "eval"))
-    counts = {"csv": tables.csv(spark, parts["csv"], rows.columns), "json": spark.read.schema(rows.schema).json(parts["json"]), "metrics": tables.metrics(spark, parts["metrics"])}
+    parts = sinks.result_set(rows, _metrics(spark, d), "none", new_path(spark, "eval"), ["row_idx"])
+    counts = {"csv": tables.csv(spark, parts["csv"], rows.columns, lineSep="\r\n"), "json": tables.json_array(spark, parts["json"], rows.schema), "metrics": tables.metrics(spark, parts["metrics"])}
     return merging.concatenated({k: v.agg(F.count(F.lit(1)).alias("n")) for k, v in counts.items()}, "part").select("part", "n")
 
 
@@ -163,12 +176,21 @@ def snk_md(spark, d):
     return sinks.markdown(merging.beside(run(13), run(7)))
 
 
-@query("SELECT 'rows: ' || count(*) AS line FROM conversations")
+_REPORT = f"""WITH {X.pairs_sql()}, s AS (SELECT row_idx AS id, prediction AS text, CASE WHEN row_idx % 13 = 0 THEN 1.5::DOUBLE ELSE word_edits / n_words * (1 + row_idx % 7) END AS wer, n_words * 0.5::DOUBLE AS seconds FROM p), {X.loops_sql("s")},
+b AS (SELECT * FROM (VALUES (0, 'good', 0.0, 0.2), (1, 'moderate', 0.2, 0.4), (2, 'fair', 0.4, 0.6), (3, 'poor', 0.6, 0.8), (4, 'bad', 0.8, 1.01), (5, 'catastrophic', 1.01, 99.0)) AS v(place, band, lo, hi)),
+c AS (SELECT band, count(wer) AS n, 100.0 * count(wer) / (SELECT count(*) FROM s) AS pct FROM b LEFT JOIN s ON wer >= lo::DOUBLE AND wer < hi::DOUBLE GROUP BY band),
+r AS (SELECT wer, row_number() OVER (ORDER BY wer) - 1 AS i, count(*) OVER () AS n FROM s)
+SELECT 'Total utterances: ' || count(*) AS line FROM s UNION ALL SELECT printf('WER normalized: mean=%.3f median=%.3f p90=%.3f', avg(wer), quantile_cont(wer, 0.5), (SELECT wer FROM r WHERE i = n * 9 // 10)) FROM s
+UNION ALL SELECT printf('  %s: %d (%.1f%%)', band, n, pct) FROM c UNION ALL SELECT printf('Looping preds: %d (%.1f%%)', count(*) FILTER (score >= 6), 100.0 * count(*) FILTER (score >= 6) / count(*)) FROM loops
+UNION ALL SELECT unnest(['Lexical shifts:', 'Top substitutions:', 'Top insertions:', 'Top deletions:'])
+UNION ALL SELECT printf('WER %ss: n=%d mean=%.3f', CASE WHEN seconds < 30 THEN '<30' WHEN seconds < 60 THEN '30-60' ELSE '>=60' END, count(*), avg(wer)) FROM s GROUP BY CASE WHEN seconds < 30 THEN '<30' WHEN seconds < 60 THEN '30-60' ELSE '>=60' END"""
+
+
+@query(_REPORT)
 def snk_txt(spark, d):
-    n = table(spark, d, "conversations").agg(F.concat(F.lit("rows: "), F.count(F.lit(1)).cast("string")).alias("value"))
-    path = new_path(spark, "report")
-    n.write.text(path)
-    return spark.read.text(path).select(F.col("value").alias("line"))
+    """The error report as one file, read back; without the lines of single edits, which rest on the choice among equal alignments."""
+    path = sinks.report(errors.report(cut(spread_rates(spark, d), "rates")), new_path(spark, "report"))
+    return spark.read.text(path).where(~F.col("value").rlike(r"^  +\d+  ")).select(F.col("value").alias("line"))
 
 
 @query(f"WITH {X.MODEL_ROWS} SELECT model, count(*) AS n FROM model_rows GROUP BY model")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from parkwright.operators import audit, gates, merging, scoring
+from parkwright.operators import audit, gates, merging, ranking, scoring
 from parkwright.plans import fixtures as X
 from parkwright.plans.columns import SCORED_SQL
 from parkwright.plans.registry import query, table
@@ -73,20 +73,15 @@ def jn_sub(spark, d):
 
 @query("SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS clip_id FROM documents")
 def win_id(spark, d):
-    from parkwright.operators.ranking import grouped_rank
+    return ranking.grouped_rank(table(spark, d, "documents").select("source", "doc_id"), ["source"], ["doc_id"], "clip_id")
 
-    return grouped_rank(table(spark, d, "documents").select("source", "doc_id"), ["source"], ["doc_id"], "clip_id")
 
-
-@query("""WITH f AS (SELECT user_id, event_id, event_type, CASE WHEN lag(event_type) OVER w IS DISTINCT FROM event_type THEN 1 ELSE 0 END AS s FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
-g AS (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY event_id) AS run FROM (SELECT f.*, e.ts FROM f JOIN events e USING (event_id)) WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
-SELECT user_id, min(event_id) AS first_event, count(*) AS n FROM (SELECT f.user_id, f.event_id, sum(f.s) OVER (PARTITION BY f.user_id ORDER BY e.ts, f.event_id) AS run FROM f JOIN events e USING (event_id)) GROUP BY user_id, run""")
+@query("""WITH f AS (SELECT user_id, event_id, ts, CASE WHEN lag(event_type) OVER w IS DISTINCT FROM event_type THEN 1 ELSE 0 END AS s FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+g AS (SELECT user_id, event_id, sum(s) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM f)
+SELECT user_id, min(event_id) AS event_id, count(*) AS n FROM g GROUP BY user_id, run""")
 def win_runs(spark, d):
     """Runs of equal events of each user."""
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    starts = F.when(F.lag("event_type").over(w).eqNullSafe(F.col("event_type")), 0).otherwise(1)
-    rows = table(spark, d, "events").withColumn("s", starts).withColumn("run", F.sum("s").over(w))
-    return rows.groupBy("user_id", "run").agg(F.min("event_id").alias("first_event"), F.count(F.lit(1)).alias("n")).drop("run")
+    return ranking.run_lengths(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], "event_type", "event_id")
 
 
 def _attempts(spark, d):
@@ -153,11 +148,12 @@ def set_splits(spark, d):
     return X.clips(spark, d).select("split").union(table(spark, d, "documents").select("lang")).distinct()
 
 
-@query("""WITH a AS (SELECT DISTINCT user_id FROM events WHERE event_id % 40 = 0), b AS (SELECT DISTINCT user_id FROM events WHERE event_id % 40 = 1)
-SELECT (SELECT count(*) FROM a) AS left_n, (SELECT count(*) FROM b) AS right_n, (SELECT count(*) FROM a JOIN b USING (user_id)) AS shared_n, (SELECT count(*) FROM a JOIN b USING (user_id)) > 0 AS leaks""")
+@query(f"""WITH {X.CLIPS}, a AS (SELECT DISTINCT speaker_id FROM clips WHERE split = 'test'), b AS (SELECT DISTINCT speaker_id FROM clips WHERE split <> 'test')
+SELECT (SELECT count(*) FROM a) AS left_n, (SELECT count(*) FROM b) AS right_n, (SELECT count(*) FROM a JOIN b USING (speaker_id)) AS shared_n, (SELECT count(*) FROM a JOIN b USING (speaker_id)) > 0 AS leaks""")
 def set_inter(spark, d):
-    events = table(spark, d, "events")
-    return audit.overlap(events.where("event_id % 40 = 0"), events.where("event_id % 40 = 1"), "user_id")
+    """Speakers that the test split shares with the others."""
+    clips = X.clips(spark, d)
+    return audit.overlap(clips.where("split = 'test'"), clips.where("split <> 'test'"), "speaker_id")
 
 
 @query("SELECT lower(text) AS k, min(doc_id) AS doc_id FROM documents GROUP BY 1")
