@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from parkwright.functions import numbers as N
 from parkwright.functions import text as T
+from parkwright.operators import audit
 from parkwright.operators import chunking as C
-from parkwright.operators import errors, gates, merging, ranking, scoring
+from parkwright.operators import audio, errors, gates, merging, predictors, ranking, scoring
 from parkwright.sources import sinks, tables
 from parkwright.sources.shared import new_path
 
@@ -37,6 +38,22 @@ def test_edits(spark):
     assert all(distance(x["r"], x["h"]) == sum(max(len(a.split()), len(b.split())) for _, a, b in errors.align(x["r"], x["h"])) for x in got)
 
 
+def test_edits_of_more_words_than_codes(spark):
+    """Pairs of any vocabulary: row by row where shared words outnumber the characters, and 60,000 different words by characters."""
+    rows = [(random_words(R.randrange(9), 6).split(), random_words(R.randrange(9), 6).split()) for _ in range(120)]
+    got = spark.createDataFrame(rows, "r array<string>, h array<string>").select("r", "h", T.word_edits(F.col("r"), F.col("h"), codes=2).alias("e")).collect()
+    assert all(x["e"] == distance(x["r"], x["h"]) for x in got)
+    many = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(60_000)), lambda i: F.concat(F.lit("w"), i)).alias("r"))
+    near = F.transform(F.filter("r", lambda w, i: i != 59_990), lambda w, i: F.when(i == 57_000, "other").otherwise(w))
+    assert many.select(T.word_edits(F.col("r"), near).alias("e")).first()["e"] == 2
+
+
+def test_char_edits(spark):
+    rows = [("".join(R.choice("abc é") for _ in range(R.randrange(k))), "".join(R.choice("abc é") for _ in range(R.randrange(k)))) for k in (1, 5, 60, 120) for _ in range(40)] + [("a" * 900, "b" * 700), ("ab" * 300, "ba" * 300)]
+    got = spark.createDataFrame(rows, "r string, h string").select("r", "h", T.char_edits(F.col("r"), F.col("h")).alias("e")).collect()
+    assert all(x["e"] == distance(x["r"], x["h"]) for x in got)
+
+
 def plain_loop(text):
     """The longest run of one word; for groups of 2 to 4, how far the repeats reach from each start that leaves three groups."""
     w = text.split()
@@ -73,6 +90,11 @@ def test_normalisers(spark):
         assert x["p"] == want
 
 
+def test_polish_over_wide_gaps(spark):
+    for text, want in ((f"one.{' ' * 100}two", f"One.{' ' * 100}Two"), (f"a!{chr(10) * 70}b? \t c d", f"A!{chr(10) * 70}B? \t C d"), ("x .y", "X .y"), ("1. é", "1. É")):
+        assert spark.createDataFrame([(text,)], "t string").select(T.polish(F.col("t"))).first()[0] == want
+
+
 @pytest.mark.parametrize(("size", "step"), [(10, 10), (10, 4), (7, 9), (1, 1)])
 def test_windows(spark, size, step):
     def plain(n):
@@ -146,6 +168,30 @@ def test_row_index_and_ties(spark):
     assert sorted(x["row_idx"] for x in same) == list(range(200))
 
 
+def test_quantiles_between_ranks(spark):
+    import numpy as np
+
+    for n in (1, 2, 7, 200):
+        values = [R.random() * 10 for _ in range(n)]
+        df = spark.createDataFrame([(v,) for v in [*values, None]], "v double").repartition(3)
+        got = ranking.interpolated(df, "v", {"a": 0.5, "b": 0.9, "c": 0.0, "d": 1.0}).first()
+        assert np.allclose(list(got), np.quantile(values, [0.5, 0.9, 0, 1]))
+    nothing = spark.createDataFrame([(None,)], "v double")
+    assert audit.describe(nothing, "v").first()["p50"] is None and errors.middle(nothing, "v").first()["median"] is None
+
+
+def test_run_lengths(spark):
+    import itertools
+
+    rows = [(R.randrange(3), i, R.choice("ab")) for i in range(300)]
+    got = ranking.run_lengths(spark.createDataFrame(rows, "k int, i int, c string").repartition(4), ["k"], ["i"], "c", "i").collect()
+    want = []
+    for k in range(3):
+        own = [(i, c) for kk, i, c in rows if kk == k]
+        want += [(k, run[0][0], len(run)) for _, g in itertools.groupby(own, key=lambda x: x[1]) for run in [list(g)]]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_as_of(spark):
     left, right = [("f", R.randrange(400)) for _ in range(60)], [("f", x) for x in R.sample(range(400), 40)]
     left = list(set(left))
@@ -175,6 +221,115 @@ def test_csv_round_trip_of_edges(spark):
     assert sorted(map(tuple, back.collect())) == sorted(rows)
 
 
+def test_result_files(spark, tmp_path):
+    """A JSON array and a CSV file as Python's own writers give them."""
+    import csv
+    import io
+    import json
+
+    rows = [(i, t, None if i % 2 else 0.1 * i, None) for i, t in enumerate(["", 'quote " and, comma', "Élan\nvital", None])]
+    df = spark.createDataFrame(rows, "id long, text string, rate double, audio_path string").repartition(2)
+    as_dicts = [dict(zip(df.columns, r, strict=True)) for r in rows]
+    path = sinks.json_array(df, ["id"], f"file://{tmp_path}/a.json")
+    assert (tmp_path / "a.json").read_text(encoding="utf-8") == json.dumps(as_dicts, indent=2, ensure_ascii=False) + "\n" and path.endswith("a.json")
+    sinks.json_array(df.limit(0), ["id"], f"file://{tmp_path}/a.json")
+    assert (tmp_path / "a.json").read_text(encoding="utf-8") == "[]\n"
+    sinks.csv_file(df, ["id"], f"file://{tmp_path}/a.csv", optional=("audio_path",))
+    out = io.StringIO(newline="")
+    w = csv.DictWriter(out, fieldnames=["id", "text", "rate"], extrasaction="ignore")
+    w.writeheader()
+    w.writerows(as_dicts)
+    assert (tmp_path / "a.csv").read_bytes().decode() == out.getvalue()
+    assert sinks.csv_file(df.limit(0), ["id"], f"file://{tmp_path}/b.csv") is None and not (tmp_path / "b.csv").exists()
+
+
+def test_report_lines(spark):
+    rows = [("a b c d", "a x c d", 0.25, 10.0)] * 9 + [("a b", "a b c", 0.5, 40.0)] * 13 + [("kuusu b", "kuhusu b", 2.0, None)]
+    got = [x["line"] for x in errors.report(spark.createDataFrame(rows, "reference string, prediction string, wer double, seconds double")).orderBy("place").collect()]
+    assert got == [
+        "Total utterances: 23", "WER normalized: mean=0.467 median=0.500 p90=0.500", "  good: 0 (0.0%)", "  moderate: 9 (39.1%)", "  fair: 13 (56.5%)", "  poor: 0 (0.0%)", "  bad: 0 (0.0%)", "  catastrophic: 1 (4.3%)",
+        "Looping preds: 0 (0.0%)", "Lexical shifts:", "     1  kuusu->kuhusu", "Top substitutions:", "     9  'b' -> 'x'", "Top insertions:", "    13  +'c'", "Top deletions:", "WER <30s: n=9 mean=0.250", "WER 30-60s: n=13 mean=0.500",
+    ]
+
+
+def test_frequent_edits(spark):
+    """Counts of chunks, of which the k largest are taken before the least count is asked for."""
+    from collections import Counter
+
+    rows = [(random_words(R.randrange(12), 4), random_words(R.randrange(12), 4)) for _ in range(300)]
+    counts = Counter((kind, r, h) for a, b in rows for kind, r, h in errors.align(a.split(), b.split()))
+    rules = {"substitute": (5, 12), "insert": (7, 20), "delete": (6, 1)}
+    got = {tuple(x)[:3]: x["n"] for x in errors.frequent_edits(spark.createDataFrame(rows, "reference string, prediction string"), rules).collect()}
+    want = {}
+    for kind, (k, least) in rules.items():
+        own = sorted(((-n, key) for key, n in counts.items() if key[0] == kind))[:k]
+        want |= {key: -n for n, key in own if -n >= least}
+    assert got == want and len(got) < 18
+
+
+def test_audio(spark, tmp_path):
+    """WAV bytes of several kinds, files, structs, and what can't be read; the filter keeps a low tone and leaves out a high one."""
+    import struct
+    import wave
+
+    import numpy as np
+
+    x = np.array([[0, 100], [-200, 300], [32767, -32768]])
+    with wave.open(str(tmp_path / "a.wav"), "wb") as f:
+        f.setnchannels(2)
+        f.setsampwidth(2)
+        f.setframerate(8000)
+        f.writeframes(x.astype("<i2").tobytes())
+    assert (tmp_path / "a.wav").read_bytes() == audio.encode_wav(x, 8000)
+    frames, rate = audio.decode_wav(audio.encode_wav(x, 8000))
+    assert rate == 8000 and np.array_equal(frames * 32768, x)
+    form = lambda kind, width, body: b"RIFF\0\0\0\0WAVEfmt " + struct.pack("<IHHIIHH", 16, kind, 1, 8000, 8000 * width, width, 8 * width) + b"LIST" + struct.pack("<I", 3) + b"odd\0data" + struct.pack("<I", len(body)) + body
+    assert np.allclose(audio.decode_wav(form(3, 4, np.array([0.5, -0.25], "<f4").tobytes()))[0].ravel(), [0.5, -0.25])
+    assert np.allclose(audio.decode_wav(form(1, 3, b"\0\0\x40\0\0\xc0"))[0].ravel(), [0.5, -0.5])
+    assert np.allclose(audio.decode_wav(form(1, 1, bytes([128, 192, 0])))[0].ravel(), [0, 0.5, -1])
+    rows = [(1, None, None, audio.encode_wav(x, 16000)), (2, [[0.5, 0.25], [0.1, 0.3], [0.0, 1.0]], 16000, None), (3, None, None, b"no sound"), (4, None, None, None), (5, [[0.0] * 40, [1.0] * 40], 16000, None)]
+    df = spark.createDataFrame([(i, (a, r, b)) for i, a, r, b in rows], "id int, audio struct<array:array<array<double>>,sampling_rate:int,bytes:binary>")
+    got = {r["id"]: r for r in audio.prepared(df, "id", "audio", most_seconds=0.001).collect()}
+    assert np.allclose(got[1]["samples"], x.mean(axis=1) / 32768) and np.allclose(got[2]["samples"], [0.375, 0.2, 0.5])
+    assert got[3]["error"].startswith("[ERROR") and got[4]["samples"] is None and got[5]["samples"] == [0.5] * 16
+    files = audio.prepared(audio.audio_files(spark, f"file://{tmp_path}"), "path", "audio").collect()
+    assert len(files) == 1 and len(files[0]["samples"]) == 6 and files[0]["sampling_rate"] == 16000
+    t = np.arange(4800) / 48000
+    low, high = audio.resampled(np.sin(2 * np.pi * 500 * t), 48000), audio.resampled(np.sin(2 * np.pi * 12000 * t), 48000)
+    assert len(low) == 1600 and np.abs(low - np.sin(2 * np.pi * 500 * np.arange(1600) / 16000))[50:-50].max() < 0.01 and np.abs(high[50:-50]).max() < 0.01
+
+
+def test_predictors_by_name(spark):
+    df = spark.createDataFrame([(1, " a  b. "), (2, "c:3")], "id long, audio string")
+    assert {"merged", "merged_large", "hosted", "whole_sequence", "frame_labels"} <= set(predictors.names())
+    assert {r["id"]: r["error"] for r in predictors.predict(df, "stub", "id", "audio").collect()} == {1: None, 2: "[ERROR: turn 3]"}
+    predictors.register("length", lambda batch: [str(len(x)) for x in batch])
+    assert sorted(r["prediction"] for r in predictors.predict(df, "length", "id", "audio").collect()) == ["3", "7"]
+
+
+def test_word_spans_of_wrong_paths(spark):
+    """Letters to labels, words without any, and paths that don't spell them."""
+    rows = [(["ab", "é", "b"], [1, 0, 2, 2, 3, 3, 0, 2]), (["ab"], [1, 1, 1]), (["é"], [0, 0])]
+    df = spark.createDataFrame(rows, "w array<string>, p array<int>")
+    t = C.token_ranges(F.col("w"), "ab")
+    got = df.select(t.alias("t"), C.word_spans(F.col("p"), t, 0, F.lit(1600), 1600).alias("x")).collect()
+    assert got[0]["t"]["labels"] == [1, 2, 3, 3, 2] and [tuple(r) for r in got[0]["t"]["ranges"]] == [(0, 2), (3, 3), (4, 5)]
+    assert got[0]["x"]["error"] == "wrong number of labels" and got[1]["x"]["error"] == "wrong number of labels" and got[2]["x"]["error"] == "no targets"
+    good = spark.createDataFrame([(["ab", "é", "b"], [1, 0, 2, 2, 3, 0, 3, 2])], "w array<string>, p array<int>")
+    spans = good.select(C.word_spans(F.col("p"), t, 0, F.lit(1600), 1600)["spans"].alias("s")).first()["s"]
+    assert [(round(s["start"], 6), round(s["end"], 6)) for s in spans] == [(0.0, 0.5), (0.875, 1.0)]
+
+
+def test_shared_folder_is_needed_on_a_cluster():
+    from types import SimpleNamespace
+
+    from parkwright.sources.shared import shared_root
+
+    conf = SimpleNamespace(get=lambda key, default: default)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_root(SimpleNamespace(sparkContext=SimpleNamespace(getConf=lambda: conf, master="spark://host:7077")))
+
+
 def test_metrics_skips_what_is_no_rate(spark):
     doc = '{"text_normalize":"none","pooled":{"wer":0.5,"cer":0.25,"n":4},"per_set":{"a":{"wer":1.0,"cer":0.5,"n":2},"text_normalize":null}}'
     got = tables.parsed_metrics(spark.createDataFrame([(doc,)], "value string")).collect()
