@@ -43,6 +43,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parkwright.llm.shared import cut, grouped_rank
+
 CAPACITY, END_ID, WINDOW_IDS, BATCH_BYTES = 1024, 0, 1 << 20, 4 << 20
 LINEAR, QUADRATIC = 1.0, 1.0 / 512
 #: White space around a space, or at an end, where a token may cross the space.
@@ -229,3 +231,12 @@ def pack(docs: DataFrame, ranks_path: str, pattern: str, added: dict[str, int],
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     return own.mapInArrow(work, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+
+
+def in_order(pieces: DataFrame, places: DataFrame) -> DataFrame:
+    """``pieces`` with their sequences numbered from 0 by the least place (doc_id, place) of the documents in them; sequences without one come last."""
+    pieces = cut(pieces, "pieces")
+    placed = pieces.alias("p").join(places.groupBy("doc_id").agg(F.min("place").alias("place")).alias("o"), F.col("p.doc_id") == F.col("o.doc_id"), "left")
+    firsts = placed.groupBy("p.sequence_id").agg(F.min("o.place").alias("place")).select("sequence_id", F.coalesce("place", F.lit(2**62)).alias("place"), F.lit(0).alias("all"))
+    ranks = cut(grouped_rank(firsts, ["all"], ["place", "sequence_id"], "rank"), "sequences").alias("r")
+    return pieces.alias("p").join(ranks, "sequence_id").select(*[F.col("r.rank" if c == "sequence_id" else f"p.{c}").alias(c) for c in pieces.columns])

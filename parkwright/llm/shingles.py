@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parkwright.llm.components import components
 from parkwright.llm.shared import cut, small
 
 WORDS, BANDS, ROWS, SIMILARITY, SEED = 5, 16, 4, (4, 5), 42
@@ -60,17 +61,18 @@ def bands(hashes: np.ndarray) -> np.ndarray:
     return mixed.view(np.int64)
 
 
-def similar(texts: DataFrame, marked: DataFrame) -> DataFrame:
-    """(a, b): keys of texts in one bucket whose shingles have a Jaccard coefficient of at least SIMILARITY.
-
-    ``texts`` has (key, text as binary), ``marked`` (key, bands) of the same.
-    """
+def candidates(marked: DataFrame) -> DataFrame:
+    """(a, b, n): pairs of different keys in ``marked`` (key, bands) that are to be compared, and how many buckets propose them."""
     rows = marked.where(F.size("bands") > 0).dropDuplicates(["key"]).select("key", F.posexplode("bands").alias("band", "value"))
     rows = cut(rows.select("key", F.xxhash64("band", "value").alias("bucket")), "buckets")
     order = F.struct(F.xxhash64("key", "bucket").alias("h"), "key")
     ends = rows.groupBy("bucket").agg(F.min(order)["key"].alias("low"), F.max(order)["key"].alias("high")).where("low <> high")
     paired = rows.join(cut(ends, "ends"), "bucket").select("key", F.explode(F.array("low", "high")).alias("other")).where("key <> other")
-    pairs = cut(paired.select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct(), "pairs")
+    return cut(paired.groupBy(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).agg(F.count(F.lit(1)).alias("n")), "pairs")
+
+
+def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(a, b): the ``pairs`` (a, b) of keys whose shingles have a Jaccard coefficient of at least SIMILARITY; ``texts`` has (key, text as binary)."""
     wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "wanted")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,9 +81,36 @@ def similar(texts: DataFrame, marked: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int64()))], names=["key", "s"])
 
     sets = texts.select("key", "text").join(small(wanted), "key", "left_semi").mapInArrow(work, "key long, s array<long>")
-    sets = cut(sets.dropDuplicates(["key"]), "sets")
+    # dealt out by key once, for both joins
+    sets = sets.dropDuplicates(["key"])
     both = pairs.join(sets.select(F.col("key").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("key").alias("b"), F.col("s").alias("sb")), "b")
     # sizes alone rule most others out
     shared, sizes, (part, whole) = F.size(F.array_intersect("sa", "sb")), F.size("sa") + F.size("sb"), SIMILARITY
     able = F.least(F.size("sa"), F.size("sb")) * whole >= F.greatest(F.size("sa"), F.size("sb")) * part
-    return both.where(able & (shared * whole >= (sizes - shared) * part)).select("a", "b")
+    return cut(both.where(able & (shared * whole >= (sizes - shared) * part)).select("a", "b"), "verified")
+
+
+def similar(texts: DataFrame, marked: DataFrame, known: DataFrame) -> DataFrame:
+    """(node, root): groups of keys that ``known`` edges (a, b), and pairs of at least SIMILARITY, connect.
+
+    Each key is first compared with the one it shares most buckets with; of the other
+    pairs only those between different groups are left to compare.
+    """
+    pairs = candidates(marked)
+    most = pairs.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("p"), "n").groupBy("p.a").agg(F.max(F.struct("n", F.col("p.b").alias("b")))["b"].alias("b"))
+    groups = cut(components(known), "groups")
+    apart = lambda ps: _apart(ps, groups)  # noqa: B023, E731
+    edges = verified(texts, cut(apart(most.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()), "first"))
+    edges = cut(known.unionByName(edges), "edges")
+    groups = cut(components(edges), "groups")
+    rest = cut(apart(pairs.select("a", "b")), "rest")
+    if rest.isEmpty():
+        return groups
+    return components(edges.unionByName(verified(texts, rest)))
+
+
+def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The ``pairs`` whose ends are in different ``groups`` (node, root)."""
+    p = pairs.alias("p").join(groups.alias("g"), F.col("p.a") == F.col("g.node"), "left").select("p.a", "p.b", F.coalesce("g.root", "p.a").alias("ra")).alias("p")
+    p = p.join(groups.alias("g"), F.col("p.b") == F.col("g.node"), "left").select("p.a", "p.b", "p.ra", F.coalesce("g.root", "p.b").alias("rb"))
+    return p.where("ra <> rb").select("a", "b")

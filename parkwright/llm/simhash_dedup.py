@@ -199,8 +199,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     heads = cut(heads.select("fp", F.coalesce("root", "fp").alias("root"), "first"), "heads")
     heads = cut(heads.join(heads.groupBy("root").agg(F.min("first").alias("head")), "root").select("fp", "head"), "heads")
     by_fingerprint = own.join(heads, "fp").select(F.col("key").alias("a"), F.col("head").alias("b")).distinct()
-    edges = by_fingerprint.unionByName(similar(_keyed(docs), own.select("key", "bands")))
-    groups = cut(components(edges), "groups")
+    groups = cut(similar(_keyed(docs), own.select("key", "bands"), cut(by_fingerprint, "linked")), "groups")
 
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
     keys = own.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n"))

@@ -3,6 +3,7 @@
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from parkwright.llm import mixing, quality_fm, quality_rules, simhash_dedup
@@ -118,18 +119,22 @@ def test_one_id_with_two_texts(spark):
 
 
 def test_sequences_follow_the_mix(spark, sf):
-    """Whatever order the files have, a later task packs what comes later in the mix."""
+    """On the mixing stage's own rows, in several files: sequences come in the order of their documents, which stand near each other in the mix."""
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    at = {r["doc_id"]: r["position"] for r in mixing.mix(docs).collect()}
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        mixed = cut(corpus_pipeline.mix_sources(spark, docs, sf).repartition(5, "text"), "shuffled")
-        got = {(r["sequence_id"] >> 36, r["doc_id"]) for r in corpus_pipeline.pack_sequences(spark, mixed, sf).collect()}
+        mixed = cut(corpus_pipeline.mix_sources(spark, docs, sf), "mixed")
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    tasks = defaultdict(list)
-    for task, doc in got:
-        tasks[task].append(at[doc])
-    runs = [sorted(tasks[t]) for t in sorted(tasks)]
-    assert len(runs) > 1 and [x for run in runs for x in run] == list(range(len(at)))
-    assert len(got) == len(at)
+    files = {r["f"]: r["ids"] for r in mixed.groupBy(F.input_file_name().alias("f")).agg(F.collect_list("doc_id").alias("ids")).collect()}
+    at = {r["doc_id"]: r["position"] for r in mixing.mix(docs).collect()}
+    assert len(files) > 4 and all(sorted(at[i] for i in own) == list(range(min(at[i] for i in own), min(at[i] for i in own) + len(own))) for own in files.values())
+    first, members = {}, defaultdict(set)
+    for r in corpus_pipeline.pack_sequences(spark, mixed, sf).collect():
+        first[r["sequence_id"]] = min(at[r["doc_id"]], first.get(r["sequence_id"], at[r["doc_id"]]))
+        members[r["sequence_id"]].add(r["doc_id"])
+    assert sorted(first) == list(range(len(first))) and [first[s] for s in sorted(first)] == sorted(first.values())
+    # a sequence takes its documents from one file, or from two at a seam
+    home = {i: f for f, own in files.items() for i in own}
+    assert set().union(*members.values()) == set(at)
+    assert sum(len({home[i] for i in own}) == 1 for own in members.values()) > 0.5 * len(members)
