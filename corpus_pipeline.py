@@ -8,6 +8,7 @@ one's ``docs``. All but the last return the columns of ``docs``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from parkwright.llm import mixing, packing, quality_fm, quality_rules, simhash_dedup
 from parkwright.llm.queries import tokenizer
@@ -36,11 +37,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of each document in the packed sequences, which follow the mixed order from task to task.
+    """The pieces of each document in the packed sequences, which are numbered in the mixed order.
 
-    Files don't come back in the order they were written in, so the order is made anew.
+    Rows come back from a file in the order they were written in, so what is packed
+    together stands together in the mix. Files don't, so sequences are numbered by the
+    places of their documents in the mix, which are found anew from ids and sources.
     """
-    return packing.pack(mixing.mixed_documents(docs), *tokenizer())
+    places = mixing.mix(docs.select("doc_id", "source")).select("doc_id", F.col("position").alias("place"))
+    return packing.in_order(packing.pack(docs, *tokenizer()), places)
 
 
 STAGES = [
