@@ -46,9 +46,10 @@ t AS (SELECT lang, source, {", ".join(f"max(top) FILTER (measure = '{m}') AS top
 SELECT m.* EXCLUDE (lang, source), {", ".join(f"top_{m}" for m in MEASURES)}, coalesce(NOT base_failed AND {" AND ".join(f"{m} <= top_{m}" for m in MEASURES)}, false) AS kept
 FROM m LEFT JOIN t ON m.lang IS NOT DISTINCT FROM t.lang AND m.source IS NOT DISTINCT FROM t.source"""
 
-_TEMPLATES = ", ".join(f"""('{n}', [{", ".join(f"'{b}'" for b in licenses.template_bigrams(t))}])""" for n, t in sorted(licenses.TEMPLATES.items()))
+_TEMPLATES = ", ".join("('" + name + "', '" + text.replace("'", "''") + "')" for name, text in sorted(licenses.TEMPLATES.items()))
 
-LICENSES = f"""WITH t AS (SELECT * FROM (VALUES {_TEMPLATES}) AS v(name, b)),
+LICENSES = f"""WITH tw AS (SELECT name, list_filter(string_split_regex(lower(x), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '') AS ws FROM (VALUES {_TEMPLATES}) AS v(name, x)),
+t AS (SELECT name, list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS b FROM tw),
 l AS (SELECT doc_id, string_split(regexp_replace(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g'), chr(10)) AS ls FROM documents),
 u AS (SELECT doc_id, unnest(list_distinct(list_concat(list_concat(ls, list_filter(string_split_regex(array_to_string(ls, chr(10)), '\\n *(?:\\n *)+'), lambda p: contains(p, chr(10)))), [array_to_string(ls, chr(10))]))) AS s FROM l),
 w AS (SELECT doc_id, s, list_filter(string_split_regex(s, '[ \\n]+'), lambda x: x <> '') AS ws FROM u),

@@ -294,6 +294,27 @@ def test_mixing_edges(docs, rows, empty):
     assert mixing.mix(empty).count() == 0 and mixing.mixed_documents(empty).count() == 0
 
 
+def test_clashing_columns_of_other_tables(spark):
+    """Extra columns named like the operators' own, for vectors, pages and messages."""
+    extra = {c: F.lit("x") for c in ("dim", "pivot", "block", "q", "floor", "kind", "sha", "last", "refers_to", "revisit", "uid", "quoted", "position", "thread_turn", "_hash")}
+    rows = spark.createDataFrame([(i, [float(i % 7), 1.0]) for i in range(40)], "id long, v array<double>")
+    plain_rows = topk_search.search(rows, rows.where("id = 0"), 3).collect()
+    assert topk_search.search(rows.withColumns(extra), rows.where("id = 0").withColumns(extra), 3).collect() == plain_rows
+    pages = spark.createDataFrame([(1, "u", "a"), (2, "u", "a")], "page_id long, url string, html string").withColumns(extra)
+    assert sorted((r["page_id"], r["refers_to"]) for r in warc.round_trip(pages).collect()) == [(1, 2), (2, None)]
+    said = spark.createDataFrame([(1, 0, "a", "What is a passage, asked the first?"), (1, 1, "b", "> What is a passage, asked the first?\nThis.")], "conv_id long, turn long, role string, text string").withColumns(extra)
+    assert {r["turn"]: r["reply_to"] for r in quotes.reply_ordered(said).collect()} == {0: None, 1: 0}
+
+
+def test_long_texts_of_other_tables(spark):
+    """A page and a message of some megabytes."""
+    body = words(400_000, 5, 90_000)
+    page = spark.createDataFrame([(1, "u", body)], "page_id long, url string, html string")
+    assert [r["payload_bytes"] for r in warc.round_trip(page).collect()] == [len(body)]
+    said = spark.createDataFrame([(1, 0, "a", body), (1, 1, "b", "> " + body[:300_000].replace("w7 ", "w7\n> ") + "\nSo it is.")], "conv_id long, turn long, role string, text string")
+    assert [r["content"] for r in quotes.reply_ordered(said).orderBy("turn").collect()] == [body, "So it is."]
+
+
 def test_search_edges(spark):
     r = np.random.default_rng(5)
     rows = [(i, r.normal(size=6).tolist()) for i in range(300)]
@@ -463,6 +484,60 @@ def test_licenses_inside_longer_units(spark):
     assert [got[i]["restricted"] for i in range(4)] == [True, True, True, False] and got[0]["best_shared"] * 2 == got[0]["best_sizes"]
 
 
+MIT_TEXT = """MIT License
+
+Copyright (c) 2021 Some Author
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+APACHE_TEXT = """# Copyright 2020 The Authors
+#
+# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License.
+import os
+"""
+
+
+def test_whole_licenses(spark):
+    """Licence texts as files carry them are found by their paragraphs."""
+    t = licenses.TEMPLATES
+    wrap = lambda text, n=9: "\n".join(" ".join(text.split()[i : i + n]) for i in range(0, len(text.split()), n))
+    bsd = "Copyright (c) 2019, Some Author\nAll rights reserved.\n\n" + wrap(t["BSD-3-Clause"]) + ":\n\n" + "\n\n".join(wrap(t[f"BSD-clause-{i}"]) for i in (1, 2, 3)) + "\n\n" + wrap(t["BSD-warranty"])
+    isc = "Copyright 2018 Some Author\n\n" + wrap(t["ISC"]) + "\n\n" + wrap(t["ISC-warranty"])
+    texts = {
+        MIT_TEXT: {"MIT-grant", "MIT-notice", "MIT-warranty"}, APACHE_TEXT: {"Apache-2.0-header", "Apache-2.0-warranty"}, bsd: {"BSD-3-Clause", "BSD-clause-1", "BSD-clause-2", "BSD-clause-3", "BSD-warranty"}, isc: {"ISC", "ISC-warranty"},
+        "int main() {}\n" + MIT_TEXT.replace("\n\n", "\n") + "int x;": {"MIT-grant", "MIT-notice", "MIT-warranty"},
+    }
+    got = {r["doc_id"]: set(r["licenses"].split(",")) for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, want in enumerate(texts.values()):
+        assert want <= got[i] and not any(x.startswith(("GPL", "AGPL", "CC", "MPL")) for x in got[i]), (i, got[i])
+
+
 def test_packing_edges(spark, docs, rows):
     import public_tokenizers
     from tokenizers import Tokenizer
