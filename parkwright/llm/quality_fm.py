@@ -6,14 +6,17 @@ inputs. The score is sigmoid(w0 + w.x + sum over pairs of <v_i, v_j> x_i x_j); t
 pairs cost linear time, as half of (sum of v x)^2 - sum of (v x)^2.
 
 Learning takes a bounded sample, at most TRAIN_ROWS labelled documents of least
-hash, from rows outside the held-out fifth; the model is a few thousand numbers
-and travels with the scoring function. Scoring streams Arrow batches of whole
-texts and shuffles nothing.
+hash among those that the table has, from rows outside the held-out fifth. A step of
+learning touches only the weights of the words in its batch. The model has BUCKETS
+rows of a few numbers and travels with the scoring function. Scoring streams Arrow
+batches of whole texts and shuffles nothing.
 
 Defined cases: null texts are scored as empty ones; a null id counts as held out
 (crc32 of the empty text is 0). Repeated labels of one id count once, at their
-lowest; null labels are ignored. Without any label the score is 0.5 for all.
-Repeated rows are scored each; no rows in, no rows out.
+lowest; null labels are ignored. Of several texts of one id the greatest is learnt
+from. Without any label the score is 0.5 for all. Very long texts are scored whole;
+of equal scores none goes before another. Repeated rows are scored each. Columns beyond
+doc_id and text are not looked at, whatever their names. No rows in, no rows out.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-TRAIN_ROWS, BUCKETS, RANK, EPOCHS, CUTOFF = 6_000, 512, 6, 25, 0.3
+TRAIN_ROWS, BUCKETS, RANK, EPOCHS, BATCH, CUTOFF = 6_000, 1 << 16, 6, 12, 128, 0.3
 UPPER, DIGITS, SYMBOLS = bytes(range(65, 91)), b"0123456789", b"#*$%&|<>"
 MARKS = b"!?.,;:"
 STATS = 16
@@ -76,34 +79,43 @@ class Machine:
 
 
 def fit(found: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: int = 7) -> Machine | None:
-    """Logistic loss by Adam over small batches of ``features``, with L2 weights; None without any."""
+    """Logistic loss by adaptive steps over small batches of ``features``, with L2 weights; None without any."""
     if not found:
         return None
     stats = np.stack([s for s, _ in found])
     m = Machine(stats.mean(0), stats.std(0) + 1e-6, 0.0, np.zeros(0), np.zeros(0))
-    x = np.zeros((len(found), STATS + BUCKETS), np.float32)
-    x[:, :STATS] = m.dense(stats)
-    for i, (_, at) in enumerate(found):
-        x[i, at + STATS] = 1 / np.sqrt(max(len(at), 1))
-    y, rng = labels.astype(np.float32), np.random.default_rng(seed)
-    shape = (x.shape[1], RANK + 1)
-    p = np.c_[np.zeros(x.shape[1]), rng.normal(0, 0.05, (x.shape[1], RANK))].astype(np.float32)
+    dense, rng, y = m.dense(stats), np.random.default_rng(seed), labels.astype(float)
+    sizes = np.array([len(at) for _, at in found])
+    ends, flat = np.cumsum(sizes), np.concatenate([at for _, at in found])
+    # a weight and RANK numbers for each input; the words follow the statistics
+    p = np.c_[np.zeros(STATS + BUCKETS), rng.normal(0, 0.02, (STATS + BUCKETS, RANK))]
+    seen = np.full(p.shape, 1e-6)
     rate = float(np.clip(y.mean(), 0.01, 0.99))
-    w0, m1, m2, step = np.log(rate / (1 - rate)), np.zeros(shape, np.float32), np.zeros(shape, np.float32), 0
+    w0 = np.log(rate / (1 - rate))
     for epoch in range(EPOCHS):
-        lr, order = 0.02 / (1 + 0.15 * epoch), rng.permutation(len(x))
-        for s in range(0, len(x), 128):
-            b, yb = x[order[s : s + 128]], y[order[s : s + 128]]
-            vx = b @ p[:, 1:]
-            z = w0 + b @ p[:, 0] + 0.5 * (vx**2 - b**2 @ p[:, 1:] ** 2).sum(1)
-            err = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - yb) / len(b)
-            g = np.c_[b.T @ err, b.T @ (err[:, None] * vx) - p[:, 1:] * (b.T**2 @ err)[:, None]] + 1e-4 * p
-            step += 1
-            m1 += 0.1 * (g - m1)
-            m2 += 0.001 * (g * g - m2)
-            p -= lr * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.999**step)) + 1e-8)
-            w0 -= lr * err.sum()
-    m.w0, m.w, m.v = float(w0), p[:, 0].astype(float), p[:, 1:].astype(float)
+        order, step = rng.permutation(len(found)), 0.1 / (1 + 0.15 * epoch)
+        for s in range(0, len(found), BATCH):
+            rows = order[s : s + BATCH]
+            n = sizes[rows]
+            own = np.concatenate([flat[ends[r] - sizes[r] : ends[r]] for r in rows]) + STATS
+            line, x = np.repeat(np.arange(len(rows)), n), np.repeat(1 / np.sqrt(np.maximum(n, 1)), n)
+            d, words = dense[rows], p[own] * x[:, None]
+            sums = np.stack([np.bincount(line, words[:, k], len(rows)) for k in range(RANK + 1)], 1)
+            squares = np.bincount(line, (words[:, 1:] ** 2).sum(1), len(rows)) + (d**2 @ p[:STATS, 1:] ** 2).sum(1)
+            vx = sums[:, 1:] + d @ p[:STATS, 1:]
+            z = w0 + sums[:, 0] + d @ p[:STATS, 0] + 0.5 * ((vx**2).sum(1) - squares)
+            err = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[rows]) / len(rows)
+            at, place = np.unique(own, return_inverse=True)
+            pull = err[line] * x
+            by_word = np.c_[pull, pull[:, None] * (vx[line] - words[:, 1:])]
+            g = np.r_[np.c_[d.T @ err, d.T @ (err[:, None] * vx) - p[:STATS, 1:] * (d.T**2 @ err)[:, None]], np.stack([np.bincount(place, by_word[:, k], len(at)) for k in range(RANK + 1)], 1)]
+            at = np.r_[np.arange(STATS), at]
+            g += 1e-5 * p[at]
+            seen[at] += g * g
+            p[at] -= step * g / np.sqrt(seen[at])
+            w0 -= step * err.sum()
+    p[(seen <= 1e-6).all(1)] = 0  # words that the sample lacks have no say
+    m.w0, m.w, m.v = float(w0), p[:, 0].astype(np.float32), p[:, 1:].astype(np.float32)
     return m
 
 
@@ -115,8 +127,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine | None:
     """Fit on at most TRAIN_ROWS labelled rows of ``docs`` outside the held-out fifth, those of least hash."""
     marks = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
     marks = marks.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.min("quality").cast("int").alias("_quality"))
-    chosen = docs.sparkSession.createDataFrame(marks.orderBy(F.xxhash64("_id"), "_id").limit(TRAIN_ROWS).collect(), "_id long, _quality int")
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).groupBy("_id", "_quality").agg(F.max(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_text"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"))
+    there = marks.join(texts.select("_id"), "_id", "left_semi")
+    chosen = docs.sparkSession.createDataFrame(there.orderBy(F.xxhash64("_id"), "_id").limit(TRAIN_ROWS).collect(), "_id long, _quality int")
+    rows = texts.join(F.broadcast(chosen), "_id").groupBy("_id", "_quality").agg(F.max("_text").alias("_text"))
     got = sorted(_featured(rows).collect(), key=lambda r: r["_id"])
     return fit([(np.array(r["stats"]), np.array(r["buckets"], np.int64)) for r in got], np.array([float(r["_quality"] > 0) for r in got]))
 

@@ -111,6 +111,21 @@ def test_op5_classifier(spark, sf):
     assert len(test) > 50 and sum(a == b for a, b in test) >= 0.97 * len(test)
 
 
+def test_op5_scores_by_pairs(spark, sf, docs):
+    """Every score of the query as the plain sum over all pairs of inputs."""
+    from parkwright.llm import quality_fm as fm
+
+    m = fm.train(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
+    got = {r["doc_id"]: r["score"] for r in q.op5_quality_classifier(spark, sf).collect()}
+    for d in docs:
+        stats, at = fm.features((d["text"] or "").encode())
+        x = np.r_[np.clip((stats - m.mean) / m.spread, -4, 4), np.full(len(at), 1 / np.sqrt(max(len(at), 1)))]
+        rows = np.r_[np.arange(fm.STATS), at + fm.STATS]
+        v = m.v[rows].astype(float) * x[:, None]
+        z = m.w0 + m.w[rows].astype(float) @ x + np.triu(v @ v.T, 1).sum()
+        assert abs(1 / (1 + np.exp(-z)) - got[d["doc_id"]]) < 1e-5
+
+
 def test_op6_mixing(spark, sf):
     rows = sorted(q.op6_mixing(spark, sf).collect(), key=lambda r: r["position"])
     assert [r["position"] for r in rows] == list(range(1000))

@@ -226,6 +226,15 @@ def test_classifier(spark, docs, rows):
     assert {r["score"] for r in quality_fm.score(docs, quality_fm.train(docs, labels.limit(0))).collect()} == {0.5}
 
 
+def test_labels_of_other_tables(spark):
+    """Labels without documents, whatever their number, leave those with one to learn from."""
+    good, bad = "A calm line of words, as people write them. ", "@@ ## $$ buy!!! || now!!! "
+    docs = spark.createDataFrame([(i, (good if i % 2 else bad) * 12 + words(20, i)) for i in range(300)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) quality").unionByName(spark.range(10**6, 10**6 + 20_000).selectExpr("id doc_id", "1 quality"))
+    scores = {r["doc_id"]: r["score"] for r in quality_fm.score(docs, quality_fm.train(docs, labels)).collect()}
+    assert min(s for i, s in scores.items() if i % 2) > 0.8 and max(s for i, s in scores.items() if not i % 2) < 0.2
+
+
 def test_interactions_in_linear_time():
     """The sum-of-squares identity equals the sum over pairs."""
     r = np.random.default_rng(1)
@@ -235,7 +244,8 @@ def test_interactions_in_linear_time():
     x = np.zeros(len(m.w))
     x[: quality_fm.STATS] = m.dense(stats)
     x[at + quality_fm.STATS] = 1 / np.sqrt(len(at))
-    z = m.w0 + m.w @ x + sum((m.v[i] @ m.v[j]) * x[i] * x[j] for i in range(len(x)) for j in range(i) if x[i] and x[j])
+    used = np.flatnonzero(x)
+    z = m.w0 + m.w @ x + sum((m.v[i] @ m.v[j]) * x[i] * x[j] for i in used for j in used if j < i)
     assert abs(1 / (1 + np.exp(-z)) - m.score([text])[0]) < 1e-9
 
 
