@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,15 +27,24 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+#: Paths given out so far, in order.
+_GIVEN: list[str] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_root(spark)}/parkwright/{name}-{uuid.uuid4().hex}"
+    _GIVEN.append(f"{shared_root(spark)}/parkwright/{name}-{uuid.uuid4().hex}")
+    return _GIVEN[-1]
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def sweep(spark: SparkSession) -> None:
     """Delete all that ``cut`` and others have put in the shared folder; no DataFrame read from there works after it."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/parkwright")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, f"{shared_root(spark)}/parkwright")
+    _GIVEN.clear()
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
@@ -44,6 +54,16 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The rows that ``make`` gives, written and read back; every other table that it left in the shared folder is deleted."""
+    since = len(_GIVEN)
+    rows = cut(make(), name)
+    for path in _GIVEN[since:-1]:
+        _delete(spark, path)
+    _GIVEN[since:] = _GIVEN[-1:]
+    return rows
+
+
 def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     """``df`` with a broadcast hint if it has at most BROADCAST_ROWS rows; else as it is, for a shuffled join."""
     n = df.count() if rows is None else rows

@@ -365,6 +365,21 @@ def test_numbers(spark):
         assert x["s"] == (min(t, 9) if x["id"] else 0) and x["none"] is None
 
 
+def test_settled_leaves_its_rows_only(spark):
+    from parkwright.sources import shared
+
+    first, inner = shared.cut(spark.range(5), "first"), []
+
+    def make():
+        inner.append(shared.cut(first.where("id > 0"), "inner"))
+        return inner[0].where("id > 1")
+
+    got = shared.settled(spark, make, "last")
+    assert got.count() == 3 and first.count() == 5
+    with pytest.raises(Exception, match="(?i)not exist|no such|not found"):
+        inner[0].collect()
+
+
 def test_sweep(spark):
     from parkwright.sources.shared import cut, sweep
 
