@@ -9,7 +9,7 @@ import corpus_pipeline
 from parkwright.llm import mixing, quality_fm, quality_rules, simhash_dedup
 from parkwright.llm.shared import cut
 from tests.llm.test_contracts import plain_fingerprint
-from tests.llm.test_edges import check_pfair
+from tests.llm.test_edges import check_pfair, words
 
 
 @pytest.fixture(scope="module")
@@ -138,3 +138,29 @@ def test_sequences_follow_the_mix(spark, sf):
     home = {i: f for f, own in files.items() for i in own}
     assert set().union(*members.values()) == set(at)
     assert sum(len({home[i] for i in own}) == 1 for own in members.values()) > 0.5 * len(members)
+
+
+def test_stages_on_odd_rows(spark, sf):
+    """Every stage over nulls, empty and long texts, repeated rows and extra columns with clashing names, and over no rows."""
+    long, base = words(60_000, 3, 30_000), words(90, 5)
+    texts = [None, "", " \n ", "one", base, base, base + " end", long, words(120, 9), "x" * 20_000, "<|endoftext|> text", words(80, 11) + "\n" + words(80, 12)]
+    rows = [(i, t, None if i % 4 == 0 else "en", None if i % 5 == 0 else f"s{i % 3}", None, 1.0, "k", "f", 7, "p") for i, t in enumerate(texts)]
+    rows += [rows[4], rows[4], (None, words(70, 20), "en", None, 1, None, None, None, None, None)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score double, key string, fp string, position int, sequence_id string"
+    for docs in (spark.createDataFrame(rows, schema).repartition(3), spark.createDataFrame([], schema)):
+        n, some = docs.count(), docs
+        for name, stage in corpus_pipeline.STAGES:
+            after = stage(spark, docs, sf)  # each on all the rows, whatever the one before it would leave
+            if name != "packing":
+                assert after.columns == docs.columns and after.count() <= n
+                some = cut(stage(spark, some, sf), "some")
+            else:
+                assert after.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+        if not n:
+            assert some.count() == 0
+        else:
+            kept = cut(corpus_pipeline.near_dedup(spark, docs, sf), "kept").collect()
+            # one of the texts without words, one of the copies of base, and the others each
+            assert sorted(str(r["doc_id"]) for r in kept) == sorted(["0", "3", "4", "7", "8", "9", "10", "11", "None"])
+            mixed = corpus_pipeline.mix_sources(spark, docs, sf).collect()
+            assert len(mixed) == n and mixed[-1]["doc_id"] is None
