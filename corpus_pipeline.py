@@ -2,17 +2,21 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 each stage's rows as Parquet in the shared folder and reads them back as the next
-one's ``docs``. All but the last return the columns of ``docs``.
+one's ``docs``. All but the last return the columns of ``docs``. Nulls in any column,
+empty and very long texts, ties, repeated rows, empty tables and clashing extra columns
+have the results that the operators' own docstrings define.
 """
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parkwright.llm import mixing, packing, quality_fm, quality_rules, simhash_dedup
 from parkwright.llm.queries import tokenizer
-from parkwright.llm.shared import cut
+from parkwright.llm.shared import settled
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +64,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows; what earlier stages left in the shared folder is deleted as soon as their own rows are written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = settled(spark, partial(stage, spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)
