@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from parkwright.llm.components import components
 from parkwright.llm.shared import cut, small
-from parkwright.llm.shingles import bands, shingle_digests, shingles, similar
+from parkwright.llm.shingles import bands, minhashes, shingle_digests, shingles, signature, similar
 
 RADIUS, BLOCK, SAMPLE, WORDS = 3, 4096, 64, 3
 #: For each byte, its eight bits as bytes of a word: adding 255 of them cannot overflow.
@@ -167,16 +167,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def _scanned(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, fp, bands) for each row of ``docs``, in one pass over its texts."""
+    """(doc_id, key, fp, bands, signature) for each row of ``docs``, in one pass over its texts."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(2).to_pylist()
             fps = pa.array([fingerprint(t) for t in texts], pa.int64())
-            marks = pa.array([bands(s) if len(s := shingles(t)) else [] for t in texts], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), fps, marks], names=["doc_id", "key", "fp", "bands"])
+            least = [minhashes(s) if len(s := shingles(t)) else None for t in texts]
+            marks = pa.array([[] if x is None else bands(x) for x in least], pa.list_(pa.int64()))
+            short = pa.array([[] if x is None else signature(x) for x in least], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), fps, marks, short], names=["doc_id", "key", "fp", "bands", "signature"])
 
-    return _keyed(docs).mapInArrow(work, "doc_id long, key long, fp long, bands array<long>")
+    return _keyed(docs).mapInArrow(work, "doc_id long, key long, fp long, bands array<long>, signature array<int>")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -198,8 +200,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     heads = firsts.alias("f").join(roots.alias("r"), F.col("f.fp") == F.col("r.node"), "left").where("n > 1 or root is not null")
     heads = cut(heads.select("fp", F.coalesce("root", "fp").alias("root"), "first"), "heads")
     heads = cut(heads.join(heads.groupBy("root").agg(F.min("first").alias("head")), "root").select("fp", "head"), "heads")
-    by_fingerprint = own.join(heads, "fp").select(F.col("key").alias("a"), F.col("head").alias("b")).distinct()
-    groups = cut(similar(_keyed(docs), own.select("key", "bands"), cut(by_fingerprint, "linked")), "groups")
+    by_fingerprint = cut(own.join(heads, "fp").select(F.col("key").alias("node"), F.col("head").alias("root")).distinct(), "linked")
+    groups = cut(similar(_keyed(docs), own.select("key", "bands", "signature"), by_fingerprint), "groups")
 
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
     keys = own.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n"))
