@@ -52,12 +52,13 @@ def _repeated(words: Column) -> Column:
     def covered(hashes: Column) -> Column:
         def places(by_hash: Column) -> Column:
             again = F.filter(by_hash, lambda x, k: F.coalesce(F.get(by_hash, k - 1)["h"] == x["h"], F.lit(False)) | F.coalesce(F.get(by_hash, k + 1)["h"] == x["h"], F.lit(False)))
-            return let(F.array_sort(F.transform(again, lambda x: x["i"])), lambda at: F.aggregate(F.transform(at, lambda p, k: F.least(F.lit(3), F.coalesce(F.get(at, k + 1) - p, F.lit(3)))), F.lit(0).cast("long"), lambda a, b: a + b))
+            return let(F.sort_array(F.transform(again, lambda x: x["i"])), lambda at: F.aggregate(F.transform(at, lambda p, k: F.least(F.lit(3), F.coalesce(F.get(at, k + 1) - p, F.lit(3)))), F.lit(0).cast("long"), lambda a, b: a + b))
 
-        by_hash = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        by_hash = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
         return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0).cast("long")).otherwise(let(by_hash, places))
 
-    hashes = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)))
+    by_word = F.transform(words, lambda w: F.xxhash64(w))
+    hashes = let(by_word, lambda hs: F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.get(hs, i), F.get(hs, i + 1), F.get(hs, i + 2))))
     return F.when(last >= 0, let(hashes, covered)).otherwise(F.lit(0).cast("long"))
 
 
@@ -67,17 +68,17 @@ def measure(docs: DataFrame, keep: list[str]) -> DataFrame:
     own = docs.select(*[F.col(c) for c in keep], F.col("lang").alias("_lang"), F.col("source").alias("_source"), text.alias("_text"))
     own = own.withColumn("_words", F.array_remove(F.split("_text", SPACE + "+"), ""))
     own = own.withColumn("_lines", F.filter(F.split("_text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
-    size = lambda c: F.length(c).cast("long")
+    found = lambda pattern: F.regexp_count("_text", F.lit(pattern)).cast("long")
     # a generator, so that no filter above makes the optimiser repeat the work inside
     counts = F.struct(
         F.size("_words").cast("long").alias("n_words"),
-        size(F.translate("_text", " \t\n\x0b\x0c\r", "")).alias("word_chars"),
-        (size(F.col("_text")) - size(F.translate("_text", SYMBOLS, ""))).alias("n_symbols"),
+        (F.length("_text").cast("long") - found(SPACE)).alias("word_chars"),
+        found(f"[{SYMBOLS}]").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("_words")).alias("n_repeat_words"),
         F.size(F.array_distinct("_words")).cast("long").alias("n_distinct"),
-        (size(F.col("_text")) - size(F.regexp_replace("_text", r"[^\p{L}\p{M}\p{N}\x20\x09-\x0D]+", ""))).alias("n_marks"),
-        (size(F.col("_text")) - size(F.regexp_replace("_text", r"\p{Lu}+", ""))).alias("n_upper"),
+        found(r"[^\p{L}\p{M}\p{N}\x20\x09-\x0D]").alias("n_marks"),
+        found(r"\p{Lu}").alias("n_upper"),
     )
     own = own.select(*keep, "_lang", "_source", F.inline(F.array(counts)))
     rate = lambda x, of, times: F.expr(f"cast({times} * {x} div greatest({of}, 1L) as long)")
