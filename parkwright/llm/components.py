@@ -24,18 +24,16 @@ def _rank(c: str):
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b); nodes of one component share a root of it."""
     edges = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    roots = None
-    while True:
+    rounds: list[DataFrame] = []
+    while not rounds or not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min(_rank("b")).alias("m"))
         hooks = cut(least.select(F.col("a").alias("node"), F.when(F.col("m") < _rank("a"), F.col("m.v")).otherwise(F.col("a")).alias("hook")), "hooks")
-        if roots is None:
-            roots = hooks.withColumnRenamed("hook", "root")
-        else:
-            on = F.col("r.root") == F.col("k.node")
-            roots = cut(roots.alias("r").join(hooks.alias("k"), on, "left").select("r.node", F.coalesce("k.hook", "r.root").alias("root")), "roots")
         moved = edges.alias("e").join(hooks.alias("k"), F.col("e.a") == F.col("k.node")).select(F.col("k.hook").alias("a"), "e.b")
         moved = moved.alias("e").join(hooks.alias("k"), F.col("e.b") == F.col("k.node")).select("e.a", F.col("k.hook").alias("b")).where("a <> b")
         edges = cut(moved.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-        if edges.isEmpty():
-            return roots
+        rounds.append(hooks)
+    roots = rounds[0].withColumnRenamed("hook", "root")
+    for hooks in rounds[1:]:
+        roots = roots.alias("r").join(hooks.alias("k"), F.col("r.root") == F.col("k.node"), "left").select("r.node", F.coalesce("k.hook", "r.root").alias("root"))
+    return roots

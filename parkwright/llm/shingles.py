@@ -109,23 +109,21 @@ def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     return cut(both.where(able & (shared * whole >= (sizes - shared) * part)).select("a", "b"), "verified")
 
 
-def similar(texts: DataFrame, marked: DataFrame, groups: DataFrame) -> DataFrame:
-    """(node, root): ``groups`` of keys, each with one of its keys as root, joined further by pairs of at least SIMILARITY.
+def similar(texts: DataFrame, marked: DataFrame, known: DataFrame) -> DataFrame:
+    """(node, root): groups of keys that ``known`` edges (a < b) and pairs of at least SIMILARITY connect.
 
     Each key is first compared with the one it shares most buckets with; of the other
     pairs only those between different groups are left to compare.
     """
     pairs = candidates(marked)
     most = pairs.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("p"), "n").groupBy("p.a").agg(F.max(F.struct("n", F.col("p.b").alias("b")))["b"].alias("b"))
-    known = groups.select(F.col("node").alias("a"), F.col("root").alias("b"))
     likeliest = most.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    edges = verified(texts, cut(_apart(likeliest, groups), "likeliest"))
-    edges = cut(known.unionByName(edges), "edges")
+    edges = cut(known.unionByName(verified(texts, cut(likeliest.join(known, ["a", "b"], "left_anti"), "likeliest"))), "edges")
     groups = cut(components(edges), "groups")
     rest = cut(_apart(pairs.select("a", "b"), groups), "rest")
     if rest.isEmpty():
         return groups
-    return components(edges.unionByName(verified(texts, rest)))
+    return cut(components(edges.unionByName(verified(texts, rest))), "groups")
 
 
 def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:

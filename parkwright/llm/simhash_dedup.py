@@ -194,14 +194,13 @@ def keep_one(docs: DataFrame) -> DataFrame:
     that of the least other columns stays.
     """
     own = cut(_scanned(docs), "scanned")
-    firsts = cut(own.groupBy("fp").agg(F.min("key").alias("first"), F.count_distinct("key").alias("n")), "firsts")
-    roots = cut(components(links(firsts.select("fp"))), "roots")
-    # one key stands for all texts of linked fingerprints
-    heads = firsts.alias("f").join(roots.alias("r"), F.col("f.fp") == F.col("r.node"), "left").where("n > 1 or root is not null")
-    heads = cut(heads.select("fp", F.coalesce("root", "fp").alias("root"), "first"), "heads")
-    heads = cut(heads.join(heads.groupBy("root").agg(F.min("first").alias("head")), "root").select("fp", "head"), "heads")
-    by_fingerprint = cut(own.join(heads, "fp").select(F.col("key").alias("node"), F.col("head").alias("root")).distinct(), "linked")
-    groups = cut(similar(_keyed(docs), own.select("key", "bands", "signature"), by_fingerprint), "groups")
+    # one text speaks for all of its fingerprint
+    firsts = cut(own.groupBy("fp").agg(F.min("key").alias("first"), F.max("key").alias("last")), "firsts")
+    same = own.join(firsts.where("first < last"), "fp").select(F.col("first").alias("a"), F.col("key").alias("b"))
+    ends = links(firsts.select("fp")).join(firsts.select(F.col("fp").alias("a"), F.col("first").alias("ka")), "a").join(firsts.select(F.col("fp").alias("b"), F.col("first").alias("kb")), "b")
+    near = ends.select(F.least("ka", "kb").alias("a"), F.greatest("ka", "kb").alias("b"))
+    known = cut(same.unionByName(near).where("a < b").distinct(), "linked")
+    groups = similar(_keyed(docs), own.select("key", "bands", "signature"), known)
 
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
     keys = own.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n"))
