@@ -88,7 +88,8 @@ def matches(text: Column, templates: dict[str, str] = TEMPLATES, threshold: Frac
     low = {n: -(-share.numerator * len(s) // share.denominator) for n, s in sets.items()}
     high = {n: share.denominator * len(s) // share.numerator for n, s in sets.items()}
     # one word of each anchor bigram, the longer
-    words = sorted({max(b.split(), key=len) for s in sets.values() for b in anchors(s, share)})
+    bigrams = sorted({b for s in sets.values() for b in anchors(s, share)})
+    words = sorted({max(b.split(), key=len) for b in bigrams})
     wanted = F.array(*[F.lit(w) for w in words])
     least = min(low.values()) + 1
     lines = F.split(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}\n]+", " "), "\n")
@@ -145,7 +146,15 @@ def matches(text: Column, templates: dict[str, str] = TEMPLATES, threshold: Frac
         added = lambda own: F.filter(inside, lambda m: ~F.exists(own, lambda o: o["name"] == m["name"]))
         return let(F.filter(F.transform(worth, unit), lambda m: m.isNotNull()), lambda own: F.coalesce(F.concat(own, added(own)), own))
 
-    return let(F.filter(F.transform(let(lines, units), split), lambda w: (F.size(w) >= least) & F.arrays_overlap(w, wanted)), with_windows)
+    def looked_at(rows: Column) -> Column:
+        worth = F.filter(F.transform(units(rows), split), lambda w: (F.size(w) >= least) & F.arrays_overlap(w, wanted))
+        # most texts have none of the words, or none of the bigrams, anywhere
+        none = F.array().cast("array<struct<shared:int,sizes:int,name:string>>")
+        pairs = lambda w: F.transform(F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))), lambda x, i: F.concat(F.get(w, i), F.lit(" "), x))
+        anchored = lambda w: F.arrays_overlap(w, wanted) & F.arrays_overlap(pairs(w), F.array(*[F.lit(b) for b in bigrams]))
+        return let(split(F.array_join(rows, " ")), lambda w: F.when(anchored(w), let(worth, with_windows)).otherwise(none))
+
+    return let(lines, looked_at)
 
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: Fraction = THRESHOLD) -> DataFrame:
