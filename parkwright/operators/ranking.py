@@ -11,21 +11,22 @@ from parkwright.sources.shared import cut, small
 def grouped_rank(df: DataFrame, group: list[str], order: list[str], out: str) -> DataFrame:
     """Add ``out``, the rank from 0 of each row of narrow ``df`` within its group.
 
-    The rows are dealt out by range of (group, order), so that a group with a
-    third of all rows spreads over many tasks; a rank is the rows of the group in
-    earlier ranges plus the place within the range. Ties in ``order`` get
-    distinct ranks. The offsets have one row per group and range.
+    The rows are dealt out by range of (group, order) and sorted there, so that a group
+    with a third of all rows spreads over many tasks. Each row is numbered within its
+    range as it is written; a rank is the rows of the group in earlier ranges plus the
+    row's number less that of its group's first in the range. So rows are shuffled once.
+    Ties in ``order`` get distinct ranks. The offsets have one row per group and range.
     """
-    keys = [*group, *order]
-    ranged = cut(df.repartitionByRange(*[F.col(k) for k in keys]).withColumn("_range", F.spark_partition_id()), "ranked")
-    counts = ranged.groupBy(*group, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    keys = [F.col(k) for k in [*group, *order]]
+    # the partition, shifted by 33 bits, plus the place in it
+    ranged = cut(df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id()), "ranked")
+    part = F.shiftright("_at", 33)
+    counts = ranged.groupBy(*group, part.alias("_range")).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = cut(counts.select(*group, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")), "offsets")
-    local = F.row_number().over(Window.partitionBy(*group, "_range").orderBy(*order)) - 1
-    ranked = ranged.withColumn("_local", local).alias("r")
+    offsets = cut(counts.select(*group, "_range", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")), "offsets")
+    r, o = ranged.withColumn("_range", part).alias("r"), small(offsets).alias("o")
     on = [F.col(f"r.{k}").eqNullSafe(F.col(f"o.{k}")) for k in [*group, "_range"]]
-    joined = ranked.join(small(offsets).alias("o"), on)
-    return joined.select(*[f"r.{c}" for c in df.columns], (F.col("_local") + F.col("_before")).cast("long").alias(out))
+    return r.join(o, on).select(*[f"r.{c}" for c in df.columns], (F.col("r._at") - F.col("o._first") + F.col("o._before")).cast("long").alias(out))
 
 
 def row_index(df: DataFrame, order: list[str], out: str = "row_idx") -> DataFrame:
