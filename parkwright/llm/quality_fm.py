@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parkwright.llm.shared import slices
+
 TRAIN_ROWS, BUCKETS, RANK, EPOCHS, BATCH, CUTOFF = 6_000, 1 << 16, 6, 12, 128, 0.3
 UPPER, DIGITS, SYMBOLS = bytes(range(65, 91)), b"0123456789", b"#*$%&|<>"
 MARKS = b"!?.,;:"
@@ -139,7 +141,7 @@ def _featured(rows: DataFrame) -> DataFrame:
     """The chosen texts as features, a few kilobytes each however long they are."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             found = [features(t.as_py()) for t in b.column(2)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([s.tolist() for s, _ in found], pa.list_(pa.float64())), pa.array([at.tolist() for _, at in found], pa.list_(pa.int32()))], names=["_id", "_quality", "stats", "buckets"])
 
@@ -154,7 +156,7 @@ def score(docs: DataFrame, machine: Machine | None) -> DataFrame:
     """(doc_id, score) for each row of ``docs``."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score_texts(machine, b.column(1).to_pylist()), pa.float64())], names=["doc_id", "score"])
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
@@ -166,7 +168,7 @@ def keep_good(docs: DataFrame, machine: Machine | None) -> DataFrame:
     at = docs.columns.index("text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             yield b.filter(pa.array(score_texts(machine, b.column(at).cast(pa.binary()).to_pylist()) >= CUTOFF))
 
     return docs.mapInArrow(work, docs.schema)

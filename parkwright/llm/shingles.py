@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parkwright.llm.components import components
-from parkwright.llm.shared import cut, small
+from parkwright.llm.shared import cut, slices, small
 
 WORDS, BANDS, ROWS, AGREE, SIMILARITY, SEED = 5, 16, 4, 37, (4, 5), 42
 _MULTIPLIERS = np.random.default_rng(42).integers(0, 2**63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -95,7 +95,7 @@ def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """(a, b): the ``pairs`` (a, b) of keys whose shingles have a Jaccard coefficient of at least SIMILARITY; ``texts`` has (key, text as binary)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             found = [shingles(t.as_py()).view(np.int64) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int64()))], names=["key", "s"])
 

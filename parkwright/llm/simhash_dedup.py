@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parkwright.llm.components import components
-from parkwright.llm.shared import cut, small
+from parkwright.llm.shared import cut, slices, small
 from parkwright.llm.shingles import bands, minhashes, shingle_digests, shingles, signature, similar
 
 RADIUS, BLOCK, SAMPLE, WORDS = 3, 4096, 64, 3
@@ -66,7 +66,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, fp) for each row of ``docs`` (doc_id, text)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             fps = [fingerprint(t.as_py()) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
 
@@ -170,7 +170,7 @@ def _scanned(docs: DataFrame) -> DataFrame:
     """(doc_id, key, fp, bands, signature) for each row of ``docs``, in one pass over its texts."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             texts = b.column(2).to_pylist()
             fps = pa.array([fingerprint(t) for t in texts], pa.int64())
             least = [minhashes(s) if len(s := shingles(t)) else None for t in texts]
