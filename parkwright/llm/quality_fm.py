@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from parkwright.llm.shared import slices
 
-TRAIN_ROWS, BUCKETS, RANK, EPOCHS, BATCH, CUTOFF = 6_000, 1 << 16, 6, 12, 128, 0.3
+TRAIN_ROWS, BUCKETS, RANK, EPOCHS, BATCH, CUTOFF = 6_000, 1 << 16, 6, 8, 128, 0.3
 UPPER, DIGITS, SYMBOLS = bytes(range(65, 91)), b"0123456789", b"#*$%&|<>"
 MARKS = b"!?.,;:"
 STATS = 16
