@@ -100,8 +100,8 @@ def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int64()))], names=["key", "s"])
 
     sets = texts.select("key", "text").join(_ends(pairs), "key", "left_semi").mapInArrow(work, "key long, s array<long>")
-    # dealt out by key once, for both joins
-    sets = sets.dropDuplicates(["key"])
+    # written, so that each join has an exchange on both sides and a text in very many pairs is split
+    sets = cut(sets.dropDuplicates(["key"]), "sets")
     both = pairs.join(sets.select(F.col("key").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("key").alias("b"), F.col("s").alias("sb")), "b")
     # sizes alone rule most others out
     shared, sizes, (part, whole) = F.size(F.array_intersect("sa", "sb")), F.size("sa") + F.size("sb"), SIMILARITY
