@@ -112,4 +112,18 @@ z AS (SELECT c.conv_id, c.turn, c.role, c.content, (SELECT count(*) FROM q WHERE
 FROM c LEFT JOIN k ON k.conv_id IS NOT DISTINCT FROM c.conv_id AND k.turn = c.turn LEFT JOIN top ON top.conv_id IS NOT DISTINCT FROM c.conv_id AND top.turn = c.turn)
 SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY thread_turn NULLS FIRST, turn NULLS FIRST, role NULLS FIRST, md5(content)) - 1 AS position FROM z"""
 
-ORACLE_SQL = {"op1_topk_search": TOP_K, "op2_quality_rules": RULES, "op6_mixing": MIXING, "op7_warc": WARC, "op8_quotes": QUOTES, "op9_licenses": LICENSES}
+#: Every order is run over the kinds of documents: the first failing filter of each order removes them.
+AUDIT = f"""WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, list_filter(string_split_regex(coalesce(text, ''), '{_SPACE}+'), lambda x: x <> '') AS ws FROM documents),
+l AS (SELECT doc_id, coalesce(max(quality) FILTER (quality = 1), 0) = 1 AS good, coalesce(max(toxic) FILTER (toxic = 1), 0) = 1 AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, concat(CASE WHEN len(ws) < 50 THEN 'A' ELSE '' END, CASE WHEN 100 * len(list_distinct(ws)) < 65 * len(ws) THEN 'B' ELSE '' END, CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 5 * length(t) THEN 'C' ELSE '' END,
+  CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END, CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END) AS fails, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic FROM d LEFT JOIN l USING (doc_id)),
+k AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM m GROUP BY part, fails),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+o AS (SELECT concat(a.f, b.f, c.f, d.f, e.f) AS filter_order FROM f a, f b, f c, f d, f e WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+s AS (SELECT filter_order, CAST(i AS INTEGER) AS step, filter_order[i] AS own, filter_order[1:i - 1] AS before FROM o, (SELECT unnest(range(1, 6)) AS i)),
+x AS (SELECT part, filter_order, step, own, n, good, toxic, fails = own AS only_own, contains(fails, own) AS hit, before <> '' AND regexp_matches(fails, '[' || CASE WHEN before = '' THEN '_' ELSE before END || ']') AS gone FROM s, k),
+r AS (SELECT part, filter_order, step, own, CAST(sum(CASE WHEN hit OR gone THEN 0 ELSE n END) AS BIGINT) AS kept, CAST(sum(CASE WHEN hit AND NOT gone THEN n ELSE 0 END) AS BIGINT) AS removed, CAST(sum(CASE WHEN hit AND gone THEN n ELSE 0 END) AS BIGINT) AS redundant,
+  CAST(sum(CASE WHEN only_own THEN n ELSE 0 END) AS BIGINT) AS unique_fails, CAST(sum(CASE WHEN hit AND NOT gone THEN good ELSE 0 END) AS BIGINT) AS good_lost, CAST(sum(CASE WHEN hit AND NOT gone THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost FROM x GROUP BY ALL)
+SELECT * EXCLUDE (own), CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM r"""
+
+ORACLE_SQL = {"op1_topk_search": TOP_K, "op2_quality_rules": RULES, "op6_mixing": MIXING, "op7_warc": WARC, "op8_quotes": QUOTES, "op9_licenses": LICENSES, "op11_filter_audit": AUDIT}

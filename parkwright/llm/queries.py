@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parkwright.llm import licenses, mixing, packing, quality_fm, quality_rules, quotes, sharding, simhash_dedup, topk_search, warc
+from parkwright.llm import filter_audit, licenses, mixing, packing, quality_fm, quality_rules, quotes, sharding, simhash_dedup, topk_search, warc
 from parkwright.llm.oracles import ORACLE_SQL
 
 TOKENIZER = "byte_bpe_50k"
@@ -67,5 +67,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), *tokenizer())
 
 
-QUERIES = {f.__name__: f for f in (op1_topk_search, op2_quality_rules, op3_simhash_dedup, op4_sharding, op5_quality_classifier, op6_mixing, op7_warc, op8_quotes, op9_licenses, op10_packing)}
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+_ALL = (
+    op1_topk_search, op2_quality_rules, op3_simhash_dedup, op4_sharding, op5_quality_classifier, op6_mixing, op7_warc, op8_quotes, op9_licenses, op10_packing,
+    op11_filter_audit,
+)
+QUERIES = {f.__name__: f for f in _ALL}
 __all__ = ["ORACLE_SQL", "QUERIES"]
