@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parkwright.llm import filter_audit, licenses, mixing, packing, quality_fm, quality_rules, quotes, sharding, simhash_dedup, topk_search, warc
+from parkwright.llm import filter_audit, language_id, licenses, mixing, packing, quality_fm, quality_rules, quotes, sharding, simhash_dedup, topk_search, warc
 from parkwright.llm.oracles import ORACLE_SQL
 
 TOKENIZER = "byte_bpe_50k"
@@ -71,9 +71,15 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, language_id.learn(docs))
+    return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 _ALL = (
     op1_topk_search, op2_quality_rules, op3_simhash_dedup, op4_sharding, op5_quality_classifier, op6_mixing, op7_warc, op8_quotes, op9_licenses, op10_packing,
-    op11_filter_audit,
+    op11_filter_audit, op12_language_id,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 __all__ = ["ORACLE_SQL", "QUERIES"]
