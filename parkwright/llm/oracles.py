@@ -126,4 +126,23 @@ r AS (SELECT part, filter_order, step, own, CAST(sum(CASE WHEN hit OR gone THEN
   CAST(sum(CASE WHEN only_own THEN n ELSE 0 END) AS BIGINT) AS unique_fails, CAST(sum(CASE WHEN hit AND NOT gone THEN good ELSE 0 END) AS BIGINT) AS good_lost, CAST(sum(CASE WHEN hit AND NOT gone THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost FROM x GROUP BY ALL)
 SELECT * EXCLUDE (own), CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM r"""
 
-ORACLE_SQL = {"op1_topk_search": TOP_K, "op2_quality_rules": RULES, "op6_mixing": MIXING, "op7_warc": WARC, "op8_quotes": QUOTES, "op9_licenses": LICENSES, "op11_filter_audit": AUDIT}
+_CRC = "list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({}, ''), lambda x: ascii(x)::BIGINT)), lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END)))"
+#: From a state to the next retained turn's, and what is inserted between.
+_MOVES = ("[" + ", ".join(f"{{'f': '{f}', 't': '{t}', 'k': {k}}}" for f, t, k in (("-", "s", 0), ("-", "u", 0), ("-", "a", 1), ("s", "u", 0), ("s", "a", 1), ("u", "a", 0), ("u", "u", 1), ("a", "u", 0), ("a", "a", 1))) + "]")
+
+#: One turn after the other, with the least (cost, audit) of each state: delete it, keep it or give it another role.
+REPAIR = f"""WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor({_CRC.format("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")}, 4294967295) % 20 AS kind FROM conversations),
+d AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, copy FROM k, (SELECT unnest([0, 1]) AS copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)),
+p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth, regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last FROM d),
+f AS (SELECT *, CASE WHEN last = '' THEN 'b' WHEN nth > 1 THEN 'd' WHEN last NOT IN ('.', '!', '?') THEN 't' ELSE '-' END AS fault, role[1] AS initial, lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) AS former FROM p),
+w AS (SELECT DISTINCT conv_id, 0::BIGINT AS i, [{{'s': '-', 'c': 0::BIGINT, 'a': '', 'l': ''}}] AS ways FROM f
+  UNION ALL SELECT w.conv_id, f.i, list_filter(list_transform(['-', 's', 'u', 'a'], lambda state: list_sort(list_filter(list_concat(list_transform(w.ways, lambda x: {{'s': x.s, 'c': x.c + 2, 'a': x.a || 'D', 'l': x.l}}),
+    CASE WHEN f.fault IN ('b', 'd') THEN [] ELSE flatten(list_transform(w.ways, lambda x: list_transform(list_filter({_MOVES}, lambda m: m.f = x.s AND (m.t = f.initial OR m.t <> 's')), lambda m: {{'s': m.t, 'c': x.c + 5 * m.k + CASE WHEN m.t = f.initial THEN 0 ELSE 1 END + CASE WHEN f.fault = 't' THEN 5 ELSE 0 END,
+      'a': x.a || repeat('I', m.k) || CASE WHEN m.t = f.initial THEN 'K' ELSE 'R' END, 'l': x.l || CASE WHEN m.k = 0 THEN '' WHEN m.t = 'a' THEN 'user:' || chr(10) ELSE 'assistant:' || chr(10) END || CASE WHEN m.t = f.initial THEN f.role WHEN m.t = 'u' THEN 'user' ELSE 'assistant' END || ':' || f.text || chr(10)}}))) END),
+    lambda y: y.s = state))[1]), lambda z: z IS NOT NULL) FROM w JOIN f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1),
+e AS (SELECT conv_id, list_sort(list_transform(arg_max(ways, i), lambda x: {{'c': x.c + CASE x.s WHEN 's' THEN 10 WHEN 'u' THEN 5 ELSE 0 END, 'a': x.a || CASE x.s WHEN 's' THEN 'II' WHEN 'u' THEN 'I' ELSE '' END, 'l': x.l || CASE x.s WHEN 's' THEN 'user:' || chr(10) || 'assistant:' || chr(10) WHEN 'u' THEN 'assistant:' || chr(10) ELSE '' END}}))[1] AS best FROM w GROUP BY conv_id),
+g AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (former IS NOT NULL AND former || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id)
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(best.c, 0) AS BIGINT) AS cost, coalesce(best.a, '') AS audit, sha256(regexp_replace(coalesce(best.l, ''), '\\n$', '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
+ORACLE_SQL = {"op1_topk_search": TOP_K, "op2_quality_rules": RULES, "op6_mixing": MIXING, "op7_warc": WARC, "op8_quotes": QUOTES, "op9_licenses": LICENSES, "op11_filter_audit": AUDIT, "op13_conversation_repair": REPAIR}

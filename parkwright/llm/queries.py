@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parkwright.llm import filter_audit, language_id, licenses, mixing, packing, quality_fm, quality_rules, quotes, sharding, simhash_dedup, topk_search, warc
+from parkwright.llm import conversation_repair, filter_audit, language_id, licenses, mixing, packing, quality_fm, quality_rules, quotes, sharding, simhash_dedup, topk_search, warc
 from parkwright.llm.oracles import ORACLE_SQL
 
 TOKENIZER = "byte_bpe_50k"
@@ -77,9 +77,14 @@ def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = _table(spark, sf_dir, "conversations")
+    return conversation_repair.repair(conversation_repair.damage(messages), messages)
+
+
 _ALL = (
     op1_topk_search, op2_quality_rules, op3_simhash_dedup, op4_sharding, op5_quality_classifier, op6_mixing, op7_warc, op8_quotes, op9_licenses, op10_packing,
-    op11_filter_audit, op12_language_id,
+    op11_filter_audit, op12_language_id, op13_conversation_repair,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 __all__ = ["ORACLE_SQL", "QUERIES"]
