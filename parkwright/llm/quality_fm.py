@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from parkwright.llm.shared import slices
 
-TRAIN_ROWS, BUCKETS, RANK, EPOCHS, BATCH, CUTOFF = 6_000, 1 << 16, 6, 8, 128, 0.3
+TRAIN_ROWS, BUCKETS, RANK, EPOCHS, BATCH, CUTOFF = 6_000, 1 << 16, 6, 12, 128, 0.3
 UPPER, DIGITS, SYMBOLS = bytes(range(65, 91)), b"0123456789", b"#*$%&|<>"
 MARKS = b"!?.,;:"
 STATS = 16
@@ -134,18 +134,18 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine | None:
     chosen = docs.sparkSession.createDataFrame(there.orderBy(F.xxhash64("_id"), "_id").limit(TRAIN_ROWS).collect(), "_id long, _quality int")
     rows = texts.join(F.broadcast(chosen), "_id").groupBy("_id", "_quality").agg(F.max("_text").alias("_text"))
     got = sorted(_featured(rows).collect(), key=lambda r: r["_id"])
-    return fit([(np.array(r["stats"]), np.array(r["buckets"], np.int64)) for r in got], np.array([float(r["_quality"] > 0) for r in got]))
+    return fit([(np.frombuffer(r["stats"]), np.frombuffer(r["buckets"], np.int32)) for r in got], np.array([float(r["_quality"] > 0) for r in got]))
 
 
 def _featured(rows: DataFrame) -> DataFrame:
-    """The chosen texts as features, a few kilobytes each however long they are."""
+    """The chosen texts as the bytes of their features, at most four for each bucket however long they are."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             found = [features(t.as_py()) for t in b.column(2)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([s.tolist() for s, _ in found], pa.list_(pa.float64())), pa.array([at.tolist() for _, at in found], pa.list_(pa.int32()))], names=["_id", "_quality", "stats", "buckets"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([s.tobytes() for s, _ in found], pa.binary()), pa.array([at.astype(np.int32).tobytes() for _, at in found], pa.binary())], names=["_id", "_quality", "stats", "buckets"])
 
-    return rows.select("_id", "_quality", F.col("_text").cast("binary")).mapInArrow(work, "_id long, _quality int, stats array<double>, buckets array<int>")
+    return rows.select("_id", "_quality", F.col("_text").cast("binary")).mapInArrow(work, "_id long, _quality int, stats binary, buckets binary")
 
 
 def score_texts(machine: Machine | None, texts: list[bytes | None]) -> np.ndarray:
