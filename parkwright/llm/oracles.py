@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from parkwright.llm import licenses, mixing
 from parkwright.llm.quality_rules import LEAST_ROWS, MEASURES, SKETCH_BITS, SPREADS
-from parkwright.llm.quotes import MIN_CHARS
 
 TOP_K = """WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
@@ -99,12 +98,9 @@ j AS (SELECT rid, count(*) AS runs, max(level) AS max_level, coalesce(string_agg
 c AS (SELECT m.rid, conv_id, turn, role, max_level, trim({_EDGES.format("CASE WHEN runs > 1 THEN regexp_replace(body, '(?m)^On [^\\n]* wrote:[ \\t]*$', '', 'g') ELSE body END")}) AS content FROM m JOIN j USING (rid)),
 q AS (SELECT DISTINCT rid, level, md5(n) AS hash, length(n) AS chars FROM (SELECT rid, level, {_CLEAN.format("s")} AS n FROM (SELECT rid, level, unnest({_PARTS.format("body")}) AS s FROM r WHERE level > 0)) WHERE n <> ''),
 o AS (SELECT DISTINCT rid, md5(n) AS hash, length(n) AS chars FROM (SELECT rid, {_CLEAN.format("s")} AS n FROM (SELECT rid, unnest({_PARTS.format("content")}) AS s FROM c)) WHERE n <> ''),
-f AS (SELECT conv_id, hash, chars, min(turn) AS original FROM o JOIN c USING (rid) WHERE turn IS NOT NULL AND chars >= {MIN_CHARS} GROUP BY ALL),
-s AS (SELECT DISTINCT conv_id, hash, chars, turn AS original FROM o JOIN c USING (rid) WHERE turn IS NOT NULL AND chars < {MIN_CHARS}),
+f AS (SELECT conv_id, hash, chars, min(turn) AS original FROM o JOIN c USING (rid) WHERE turn IS NOT NULL GROUP BY ALL),
 wa AS (SELECT c.conv_id, c.turn, q.level, q.chars, q.hash FROM q JOIN c USING (rid) WHERE c.turn IS NOT NULL),
-a AS (SELECT wa.conv_id, wa.turn, wa.level, wa.chars, f.original FROM wa JOIN f ON f.conv_id IS NOT DISTINCT FROM wa.conv_id AND f.hash = wa.hash AND f.original < wa.turn
-  UNION ALL SELECT wa.conv_id, wa.turn, wa.level, wa.chars, (SELECT max(s.original) FROM s WHERE s.conv_id IS NOT DISTINCT FROM wa.conv_id AND s.hash = wa.hash AND s.original < wa.turn) FROM wa
-  WHERE wa.chars < {MIN_CHARS} AND EXISTS (SELECT 1 FROM s WHERE s.conv_id IS NOT DISTINCT FROM wa.conv_id AND s.hash = wa.hash AND s.original < wa.turn)),
+a AS (SELECT wa.conv_id, wa.turn, wa.level, wa.chars, f.original FROM wa JOIN f ON f.conv_id IS NOT DISTINCT FROM wa.conv_id AND f.hash = wa.hash AND f.original < wa.turn),
 k AS (SELECT conv_id, turn, original AS reply_to, n_linked FROM (SELECT *, count(*) OVER w AS n_linked, row_number() OVER (w ORDER BY level, chars DESC, original DESC) AS n FROM a WINDOW w AS (PARTITION BY conv_id, turn)) WHERE n = 1),
 up AS (SELECT conv_id, turn, reply_to AS goal, 1 AS depth FROM k UNION ALL SELECT up.conv_id, up.turn, k.reply_to, depth + 1 FROM up JOIN k ON k.conv_id IS NOT DISTINCT FROM up.conv_id AND k.turn = up.goal),
 top AS (SELECT conv_id, turn, arg_max(goal, depth) AS thread_turn FROM up GROUP BY conv_id, turn),

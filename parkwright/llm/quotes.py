@@ -6,9 +6,7 @@ unquoted text, its paragraphs and its lines) and the passages it quotes are
 normalised (case, white space) and hashed. The original of a quoted passage is
 the earliest earlier message of the conversation that holds it as its own. A
 message replies to the original of its lowest quote level, then of its longest
-passage, then to the latest. Passages of under MIN_CHARS
-characters recur by chance, so the original of such is the latest earlier message
-that holds it. Its thread is the message that the chain of replies ends at; a reply
+passage, then to the latest. Its thread is the message that the chain of replies ends at; a reply
 always stands after its original, so (thread_turn, turn) is an order in which every
 reply follows what it answers.
 
@@ -37,7 +35,6 @@ from pyspark.sql import functions as F
 
 from parkwright.llm.shared import BROADCAST_ROWS, cut, grouped_rank, let
 
-MIN_CHARS = 12
 MARK = r"^(?:[ \t]*>)+[ \t]?"
 #: The line that announces a quote.
 ANNOUNCED = r"(?md)^On [^\n]* wrote:[ \t]*$"
@@ -89,19 +86,6 @@ def parse(messages: DataFrame) -> DataFrame:
     return m.select(F.monotonically_increasing_id().alias("uid"), "conv_id", "turn", "role", content.alias("content"), _filled(quoted).alias("quoted"), top.alias("max_level"))
 
 
-def latest_holders(asked: DataFrame, held: DataFrame) -> DataFrame:
-    """(conv_id, hash, turn, original): for each of distinct ``asked`` (conv_id, hash, turn), the last earlier turn in ``held``."""
-    keys, names = ["conv_id", "hash"], ["conv_id", "hash", "turn"]
-    on = lambda a, b, cs: [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in cs]
-    # a turn asks before it holds: the holders before it are its rank among all less that among the asking
-    both = asked.withColumn("kind", F.lit(0)).unionByName(held.withColumn("kind", F.lit(1)))
-    every = cut(grouped_rank(both, keys, ["turn", "kind"], "place").where("kind = 0"), "places").alias("e")
-    own = cut(grouped_rank(asked, keys, ["turn"], "asks"), "asks").alias("o")
-    holders = cut(grouped_rank(held, keys, ["turn"], "n"), "holders").alias("h")
-    before = every.join(own, on("e", "o", names)).select("e.conv_id", "e.hash", "e.turn", (F.col("place") - F.col("asks") - 1).alias("n")).alias("b")
-    return before.join(holders, on("b", "h", [*keys, "n"])).select("b.conv_id", "b.hash", "b.turn", F.col("h.turn").alias("original"))
-
-
 def replies(parsed: DataFrame) -> DataFrame:
     """(conv_id, turn, reply_to, n_linked): one row for each (conversation, turn) with a linked quote."""
     told = parsed.where("turn is not null")
@@ -112,16 +96,10 @@ def replies(parsed: DataFrame) -> DataFrame:
     if n <= BROADCAST_ROWS:
         told = told.alias("m").join(F.broadcast(quoting).alias("k"), F.col("m.conv_id").eqNullSafe(F.col("k.conv_id")), "left_semi")
     own = _filled(F.transform(_units(F.col("content")), _key))
-    wanted = cut(told.select("conv_id", "turn", F.explode(own).alias("o")).select("conv_id", "turn", "o.hash", "o.chars"), "own")
-    first = cut(wanted.where(F.col("chars") >= MIN_CHARS).groupBy("conv_id", "hash").agg(F.min("turn").alias("original")), "originals")
+    held = told.select("conv_id", "turn", F.explode(own).alias("o")).select("conv_id", "turn", "o.hash")
+    first = cut(held.groupBy("conv_id", "hash").agg(F.min("turn").alias("original")), "originals")
     on = F.col("a.conv_id").eqNullSafe(F.col("f.conv_id")) & (F.col("a.hash") == F.col("f.hash"))
     found = asked.alias("a").join(first.alias("f"), on & (F.col("f.original") < F.col("a.turn"))).select("a.conv_id", "a.turn", "a.level", "a.chars", "a.hash", "f.original")
-    short = asked.where(F.col("chars") < MIN_CHARS)
-    if not short.isEmpty():
-        held = wanted.where(F.col("chars") < MIN_CHARS).select("conv_id", "hash", "turn").distinct()
-        latest = cut(latest_holders(short.select("conv_id", "hash", "turn").distinct(), held), "latest")
-        by_latest = short.alias("a").join(latest.alias("f"), on & (F.col("f.turn") == F.col("a.turn")))
-        found = found.unionByName(by_latest.select("a.conv_id", "a.turn", "a.level", "a.chars", "a.hash", "f.original"))
     best = F.max(F.struct((-F.col("level")).alias("l"), "chars", "original"))
     return found.groupBy("conv_id", "turn").agg(best.alias("b"), F.count(F.lit(1)).alias("n_linked")).select("conv_id", "turn", F.col("b.original").alias("reply_to"), "n_linked")
 
