@@ -6,9 +6,10 @@ balanced tree of remaining capacities. The capacity is the least, by bisection f
 total / shards upwards, for which the bins suffice.
 
 Groups of at least 1 / GRAIN of an even share, of which there are at most
-shards * GRAIN, are listed one by one. Smaller ones are counted in classes of equal
-size (exact below 256 bytes, then within 1/128), of which there are at most some
-thousands whatever the number of groups. Best fit puts a run of items of one size into
+shards * GRAIN, are listed one by one. Smaller ones are counted by their size: each size
+below EXACT_BYTES is a class of its own. Larger sizes share a class with those within
+1/128, and count as the largest of the class, so no bin gets more than its capacity. So
+there are at most EXACT_BYTES classes and some thousands, whatever the number of groups. Best fit puts a run of items of one size into
 the tightest bin until it is full, then into the next, so a class is placed in a few
 steps, each a number of its groups for one bin. The groups of a class are then dealt to
 bins by their rank in the order of their digests.
@@ -21,7 +22,7 @@ share gets a shard of its own, and the others share the rest evenly.
 Scale: texts are read once, for size, checksum and digest; then only narrow rows
 move. Group sizes pre-aggregate. Rows of listed groups find their shard by a broadcast
 whose size the parameters bound; those of the others, each a small part of a shard, by
-a join on the digest. Ranks are taken over ranges, so no task holds a group, a class or
+a join on the digest; what a class gives to which bin is broadcast if it is short. Ranks are taken over ranges, so no task holds a group, a class or
 a shard.
 
 Defined cases: a null text has no bytes, checksum 0, and is in one group with
@@ -37,8 +38,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parkwright.llm.shared import cut, grouped_rank
+from parkwright.llm.shared import small as few
 
-SHARDS, ROW_BYTES, GRAIN, PRECISION, CLASS_BITS = 40, 16, 128, 20_000, 8
+SHARDS, ROW_BYTES, GRAIN, PRECISION, EXACT_BYTES, CLASS_BITS = 40, 16, 128, 20_000, 1 << 20, 8
 
 
 class Tree:
@@ -179,8 +181,8 @@ def fewest_capacity(items: list[Item], classes: list[tuple[int, int, int]], shar
 
 
 def size_class(size: Column) -> Column:
-    """The least size of a class: the leading CLASS_BITS bits of a size."""
-    shift = F.greatest(F.length(F.bin(size)) - CLASS_BITS, F.lit(0))
+    """The least size of a class: a size below EXACT_BYTES, or the leading CLASS_BITS bits of one."""
+    shift = F.when(size < EXACT_BYTES, 0).otherwise(F.length(F.bin(size)) - CLASS_BITS)
     return F.call_function("shiftleft", F.call_function("shiftright", size, shift), shift)
 
 
@@ -199,8 +201,8 @@ def assign(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     # rows to a piece; all rows of a group that a share holds
     piece = {d: n if n * size <= share else max(1, share // size) for d, n, size in listed}
     items = [(min(piece[d], n - at) * size, f"{d.hex()}/{at // piece[d]}") for d, n, size in listed for at in range(0, n, piece[d])]
-    counted = groups.where(small).groupBy(size_class(F.col("bytes")).alias("class")).agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
-    classes = [(r["class"], -(-r["bytes"] // r["n"]), r["n"]) for r in counted.collect()]
+    counted = groups.where(small).groupBy(size_class(F.col("bytes")).alias("class")).agg(F.count(F.lit(1)).alias("n"), F.max("bytes").alias("bytes"))
+    classes = [(r["class"], r["bytes"], r["n"]) for r in counted.collect()]
     placed, quotas = fewest_capacity(items, classes, shards)
 
     where = [(bytearray.fromhex(name.split("/")[0]), int(name.split("/")[1]), shard) for name, shard in placed.items()]
@@ -212,7 +214,7 @@ def assign(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     pieces = ranked.select(*own.columns, F.floor(F.col("_rank") / F.col("piece_rows")).alias("piece"))
     large = whole.unionByName(pieces).join(F.broadcast(places), ["digest", "piece"]).select(*own.columns, "shard")
 
-    quota = F.broadcast(spark.createDataFrame(quotas, "class long, shard int, low long, high long")).alias("q")
+    quota = few(spark.createDataFrame(quotas, "class long, shard int, low long, high long"), len(quotas)).alias("q")
     dealt = grouped_rank(groups.where(small).select("digest", size_class(F.col("bytes")).alias("class")), ["class"], ["digest"], "rank").alias("g")
     dealt = cut(dealt.join(quota, (F.col("g.class") == F.col("q.class")) & (F.col("g.rank") >= F.col("q.low")) & (F.col("g.rank") < F.col("q.high"))).select("g.digest", "q.shard"), "dealt")
     rest = rows.where("n is null").select(*own.columns).join(dealt, "digest").select(*own.columns, "shard")

@@ -1,5 +1,6 @@
 """Defined results for nulls, empty and very long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import hashlib
 import random
 import zlib
 
@@ -161,8 +162,6 @@ def plain_best_fit(sizes, shards):
 
 def test_shards_by_plain_best_fit(spark):
     """Groups that are all listed: the same shard for each as by brute force."""
-    import hashlib
-
     r = random.Random(17)
     texts = [words(r.randrange(120, 200), i) for i in range(400)]
     table = [(i, texts[r.randrange(400)]) for i in range(700)]
@@ -184,6 +183,12 @@ def test_shards_of_small_groups(spark):
         bytes_of[x["shard"]] = bytes_of.get(x["shard"], 0) + x["size"]
         assert shard_of.setdefault(bytes(x["digest"]), x["shard"]) == x["shard"]
     assert len(bytes_of) == 20 and max(bytes_of.values()) < 1.02 * min(bytes_of.values())
+    # each goes by its own size: the same shard as by brute force over all groups
+    sizes = {}
+    for _, t in table:
+        key = hashlib.sha256(t.encode()).digest()
+        sizes[key] = sizes.get(key, 0) + len(t.encode()) + 16
+    assert max(sizes.values()) * sharding.GRAIN < sum(sizes.values()) / 20 and shard_of == plain_best_fit(sizes, 20)
 
 
 @pytest.mark.parametrize("one_id", [5, None])
@@ -424,14 +429,14 @@ def test_quotes(spark):
 
 
 def test_short_quotes(spark):
-    """Short passages link to their latest earlier holder, unless a longer one of the level links."""
+    """Short passages link to their earliest holder like others, unless a longer one of the level links."""
     rows = [
         (1, 0, "a", "Shall I prune?"), (1, 1, "b", "Yes, do it."), (1, 2, "a", "> Yes, do it.\nI will then."), (1, 3, "b", "Yes, do it."), (1, 4, "a", "> Yes, do it.\nOnce more?"),
         (1, 5, "c", "> Shall I prune?\n> Yes, do it.\nA long one first."), (1, 6, "c", "> Yes, do it.\n>> Shall I prune?\nOK"), (2, 0, "a", "\u597d\u7684"), (2, 1, "b", "> \u597d\u7684\n>\nok"), (None, 0, "a", "no"), (None, 1, "b", "> no\nok"), (3, 0, "a", "> no\nnothing"),
     ]
     got = quotes.reply_ordered(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
-    assert {(r["conv_id"], r["turn"]): r["reply_to"] for r in got if r["reply_to"] is not None} == {(1, 2): 1, (1, 4): 3, (1, 5): 0, (1, 6): 3, (2, 1): 0, (None, 1): 0}
-    assert {r["turn"]: r["thread_turn"] for r in got if r["conv_id"] == 1} == {0: 0, 1: 1, 2: 1, 3: 3, 4: 3, 5: 0, 6: 3}
+    assert {(r["conv_id"], r["turn"]): r["reply_to"] for r in got if r["reply_to"] is not None} == {(1, 2): 1, (1, 4): 1, (1, 5): 0, (1, 6): 1, (2, 1): 0, (None, 1): 0}
+    assert {r["turn"]: r["thread_turn"] for r in got if r["conv_id"] == 1} == {0: 0, 1: 1, 2: 1, 3: 3, 4: 1, 5: 0, 6: 1}
 
 
 def test_long_reply_chain(spark):
