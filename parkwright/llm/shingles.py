@@ -2,20 +2,25 @@
 
 A text's shingles are hashed to a set of numbers, and the set to BANDS x ROWS
 minhashes. Texts that agree in all minhashes of a band share a bucket: at 0.8
-two texts share one with a chance of 1 - (1 - 0.8^4)^16, all but 2 in 10,000. Each
-member of a bucket is paired with two others, the first and the last in an order that
-differs from band to band, so pairs grow with members and not with their square. Of
-two texts at 0.8 all but one pair in 100,000 agree in AGREE or more of their BANDS x ROWS
-minhashes; pairs that don't are dropped, the others are kept if the exact Jaccard
-coefficient of their sets is SIMILARITY or more.
-
-Scale: texts are read in their own tasks; sets are made only for texts in a pair. Equal
-texts are one node, under the 64-bit hash of the text. Both sides of each join come
-straight from an exchange.
+two texts share one with a chance of 1 - (1 - 0.8^4)^16, all but 2 in 10,000. What
+shares a bucket is compared by the exact Jaccard coefficient of the sets, until it is
+in one group: each text first with the text that it shares most buckets with among
+the ends of its buckets (the first and the last in an order that differs from band to
+band), then ends that are still apart, and at last, in buckets that still hold several
+groups, every two members of different groups. So pairs are proposed in number of the
+members, and what that leaves open is decided inside the buckets without a cap.
+
+Scale: texts are read in their own tasks; sets are made only for texts in a pair or in a
+bucket of several groups. Equal texts are one node, under 128 bits of their digest. Both
+sides of each join come straight from an exchange. A bucket of more than BLOCK members is
+cut into blocks, and each pair of blocks is searched in a task of its own, which gives a
+spanning forest of the pairs it finds. Work in a bucket of n members of different groups is
+n^2 counts.
 
 Defined cases: texts of at most WORDS words are one shingle; null and empty texts
 have none and are in no pair. Very long texts are hashed whole, in parts of bounded
-size. No rows in, no rows out.
+size. Repeated rows are one node. Columns beyond those named are not looked at, whatever
+their names. No rows in, no rows out.
 """
 
 from __future__ import annotations
@@ -30,7 +35,7 @@ from pyspark.sql import functions as F
 from parkwright.llm.components import components
 from parkwright.llm.shared import cut, slices, small
 
-WORDS, BANDS, ROWS, AGREE, SIMILARITY, SEED = 5, 16, 4, 37, (4, 5), 42
+WORDS, BANDS, ROWS, BLOCK, SIMILARITY, SEED = 5, 16, 4, 2048, (4, 5), 42
 _MULTIPLIERS = np.random.default_rng(42).integers(0, 2**63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -67,23 +72,18 @@ def bands(least: np.ndarray) -> np.ndarray:
     return mixed.view(np.int64)
 
 
-def signature(least: np.ndarray) -> np.ndarray:
-    """The minhashes in short."""
-    return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
+def buckets(marked: DataFrame) -> DataFrame:
+    """(key, bucket) of each key in ``marked`` (key, bands): texts of one bucket agree in a band."""
+    rows = marked.where(F.size("bands") > 0).dropDuplicates(["key"]).select("key", F.posexplode("bands").alias("band", "value"))
+    return cut(rows.select("key", F.xxhash64("band", "value").alias("bucket")), "buckets")
 
 
-def candidates(marked: DataFrame) -> DataFrame:
-    """(a, b, n): pairs of different keys in ``marked`` (key, bands, signature) that are to be compared, and how many buckets propose them."""
-    rows = marked.where(F.size("bands") > 0).dropDuplicates(["key"]).select("key", F.posexplode("bands").alias("band", "value"))
-    rows = cut(rows.select("key", F.xxhash64("band", "value").alias("bucket")), "buckets")
+def candidates(rows: DataFrame) -> DataFrame:
+    """(a, b, n): each key in ``rows`` (key, bucket) with the ends of its buckets, and how many buckets propose the pair."""
     order = F.struct(F.xxhash64("key", "bucket").alias("h"), "key")
     ends = rows.groupBy("bucket").agg(F.min(order)["key"].alias("low"), F.max(order)["key"].alias("high")).where("low <> high")
     paired = rows.join(cut(ends, "ends"), "bucket").select("key", F.explode(F.array("low", "high")).alias("other")).where("key <> other")
-    pairs = cut(paired.groupBy(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).agg(F.count(F.lit(1)).alias("n")), "pairs")
-    short = cut(marked.select("key", "signature").join(_ends(pairs), "key", "left_semi").dropDuplicates(["key"]), "signatures")
-    both = pairs.join(short.select(F.col("key").alias("a"), F.col("signature").alias("sa")), "a").join(short.select(F.col("key").alias("b"), F.col("signature").alias("sb")), "b")
-    agreed = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
-    return cut(both.where(agreed >= AGREE).select("a", "b", "n"), "alike")
+    return cut(paired.groupBy(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).agg(F.count(F.lit(1)).alias("n")), "pairs")
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -91,17 +91,22 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return small(cut(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "wanted"))
 
 
-def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(a, b): the ``pairs`` (a, b) of keys whose shingles have a Jaccard coefficient of at least SIMILARITY; ``texts`` has (key, text as binary)."""
+def sets_of(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """(key, s): the shingles of the ``texts`` (key, text as binary) whose key is in ``keys``."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             found = [shingles(t.as_py()).view(np.int64) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int64()))], names=["key", "s"])
 
-    sets = texts.select("key", "text").join(_ends(pairs), "key", "left_semi").mapInArrow(work, "key long, s array<long>")
+    sets = texts.select("key", "text").join(keys, "key", "left_semi").mapInArrow(work, "key binary, s array<long>")
     # written, so that each join has an exchange on both sides and a text in very many pairs is split
-    sets = cut(sets.dropDuplicates(["key"]), "sets")
+    return cut(sets.dropDuplicates(["key"]), "sets")
+
+
+def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(a, b): the ``pairs`` (a, b) of keys whose shingles have a Jaccard coefficient of at least SIMILARITY; ``texts`` has (key, text as binary)."""
+    sets = sets_of(texts, _ends(pairs))
     both = pairs.join(sets.select(F.col("key").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("key").alias("b"), F.col("s").alias("sb")), "b")
     # sizes alone rule most others out
     shared, sizes, (part, whole) = F.size(F.array_intersect("sa", "sb")), F.size("sa") + F.size("sb"), SIMILARITY
@@ -109,21 +114,96 @@ def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     return cut(both.where(able & (shared * whole >= (sizes - shared) * part)).select("a", "b"), "verified")
 
 
+def forest(sets: list[np.ndarray], groups: list[bytes]) -> list[tuple[int, int]]:
+    """Pairs of ``sets`` of SIMILARITY that connect their ``groups`` as all such pairs do; what one set holds alone is in no pair."""
+    part, whole = SIMILARITY
+    sizes, owner = np.array([len(s) for s in sets]), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, place, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    several = held[place] > 1
+    place, owner = place[several], owner[several]
+    # of each shingle, the sets that hold it; of each set, its shingles
+    by_shingle = owner[np.argsort(place, kind="stable")]
+    starts = np.r_[0, np.cumsum(np.where(held > 1, held, 0))]
+    mine = np.searchsorted(owner, np.arange(len(sets) + 1))
+    number = {g: i for i, g in enumerate(dict.fromkeys(groups))}
+    root, out = np.array([number[g] for g in groups]), []
+    for i in range(len(sets)):
+        own = place[mine[i] : mine[i + 1]]
+        if not len(own) or (root[i:] == root[i]).all():
+            continue
+        # of each shingle's sets those after this one
+        shared = np.bincount(np.concatenate([by_shingle[starts[p] : starts[p + 1]] for p in own.tolist()]), minlength=len(sets))
+        alike = (shared * whole >= (sizes + sizes[i] - shared) * part) & (root != root[i])
+        alike[: i + 1] = False
+        while alike.any():
+            j = int(alike.argmax())
+            out.append((i, j))
+            root[root == root[j]] = root[i]
+            alike &= root != root[i]
+    return out
+
+
+def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (bucket, lo, hi, key, root, s) sorted by their first three: each such item's forest, one at a time."""
+    item, keys, roots, sets = None, [], [], []
+
+    def links() -> pa.RecordBatch:
+        found = forest(sets, roots) if len(set(roots)) > 1 else []
+        return pa.RecordBatch.from_arrays([pa.array([min(keys[i], keys[j]) for i, j in found], pa.binary()), pa.array([max(keys[i], keys[j]) for i, j in found], pa.binary())], names=["a", "b"])
+
+    for b in batches:
+        values = b.column(5)
+        for k, at in enumerate(zip(*(b.column(c).to_pylist() for c in range(3)), strict=True)):
+            if at != item:
+                if len(keys) > 1:
+                    yield links()
+                item, keys, roots, sets = at, [], [], []
+            keys.append(b.column(3)[k].as_py())
+            roots.append(b.column(4)[k].as_py())
+            sets.append(values[k].values.to_numpy(zero_copy_only=False))
+    if len(keys) > 1:
+        yield links()
+
+
+def inside(texts: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFrame | None:
+    """(a, b): pairs of SIMILARITY that connect members of one bucket in ``rows`` (key, bucket) across ``groups`` (node, root); None if no bucket is open.
+
+    A bucket is open if it has several groups and more than two members; two are each other's ends.
+    """
+    rooted = rows.join(groups.withColumnRenamed("node", "key"), "key", "left").select("bucket", "key", F.coalesce("root", "key").alias("root"))
+    several = rooted.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+    several = cut(several.where("n > 2 and low <> high").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "open")
+    if several.isEmpty():
+        return None
+    members = cut(rooted.join(several, "bucket"), "members")
+    sets = sets_of(texts, small(cut(members.select("key").distinct(), "wanted")))
+    own = members.withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(j, F.col("own")).alias("lo"), F.greatest(j, F.col("own")).alias("hi")))
+    items = own.select("bucket", "key", "root", F.explode(pairs).alias("p")).join(sets, "key").select("bucket", "p.lo", "p.hi", "key", "root", "s")
+    return cut(items.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi").mapInArrow(_forests, "a binary, b binary").distinct(), "inside")
+
+
 def similar(texts: DataFrame, marked: DataFrame, known: DataFrame) -> DataFrame:
-    """(node, root): groups of keys that ``known`` edges (a < b) and pairs of at least SIMILARITY connect.
+    """(node, root): groups of keys that ``known`` edges (a < b) and pairs of at least SIMILARITY in one bucket connect.
 
     Each key is first compared with the one it shares most buckets with; of the other
-    pairs only those between different groups are left to compare.
+    ends only those in different groups are left to compare, and so with the buckets' other members.
     """
-    pairs = candidates(marked)
+    rows = buckets(marked)
+    pairs = candidates(rows)
     most = pairs.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("p"), "n").groupBy("p.a").agg(F.max(F.struct("n", F.col("p.b").alias("b")))["b"].alias("b"))
     likeliest = most.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    edges = cut(known.unionByName(verified(texts, cut(likeliest.join(known, ["a", "b"], "left_anti"), "likeliest"))), "edges")
+    first = cut(likeliest.join(known, ["a", "b"], "left_anti"), "likeliest")
+    edges = cut(known.unionByName(verified(texts, first)), "edges")
     groups = cut(components(edges), "groups")
-    rest = cut(_apart(pairs.select("a", "b"), groups), "rest")
-    if rest.isEmpty():
+    rest = cut(_apart(pairs.select("a", "b"), groups).join(first, ["a", "b"], "left_anti"), "rest")
+    if not rest.isEmpty():
+        edges = cut(edges.unionByName(verified(texts, rest)), "edges")
+        groups = cut(components(edges), "groups")
+    more = inside(texts, rows, groups)
+    if more is None or more.isEmpty():
         return groups
-    return cut(components(edges.unionByName(verified(texts, rest))), "groups")
+    return cut(components(edges.unionByName(more)), "groups")
 
 
 def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:

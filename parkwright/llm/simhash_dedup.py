@@ -36,12 +36,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parkwright.llm.components import components
 from parkwright.llm.shared import cut, slices, small
-from parkwright.llm.shingles import bands, minhashes, shingle_digests, shingles, signature, similar
+from parkwright.llm.shingles import bands, minhashes, shingle_digests, shingles, similar
 
 RADIUS, BLOCK, SAMPLE, WORDS = 3, 4096, 64, 3
 #: For each byte, its eight bits as bytes of a word: adding 255 of them cannot overflow.
@@ -167,30 +167,33 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def _scanned(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, fp, bands, signature) for each row of ``docs``, in one pass over its texts."""
+    """(doc_id, key, fp, bands) for each row of ``docs``, in one pass over its texts."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             texts = b.column(2).to_pylist()
             fps = pa.array([fingerprint(t) for t in texts], pa.int64())
-            least = [minhashes(s) if len(s := shingles(t)) else None for t in texts]
-            marks = pa.array([[] if x is None else bands(x) for x in least], pa.list_(pa.int64()))
-            short = pa.array([[] if x is None else signature(x) for x in least], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), fps, marks, short], names=["doc_id", "key", "fp", "bands", "signature"])
+            marks = pa.array([bands(minhashes(s)) if len(s := shingles(t)) else [] for t in texts], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), fps, marks], names=["doc_id", "key", "fp", "bands"])
 
-    return _keyed(docs).mapInArrow(work, "doc_id long, key long, fp long, bands array<long>, signature array<int>")
+    return _keyed(docs).mapInArrow(work, "doc_id long, key binary, fp long, bands array<long>")
+
+
+def _key(text: Column) -> Column:
+    """128 bits of the SHA-256 of a text: texts that differ don't meet under one key."""
+    return F.unhex(F.left(F.sha2(text.cast("binary"), 256), F.lit(32)))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.cast("binary").alias("text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), _key(text).alias("key"), text.cast("binary").alias("text"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of near copies, that of the smallest doc_id; a null id comes after others.
 
     Copies are texts whose fingerprints link, or that share 0.8 of their five-word
-    shingles. Texts that share an id go by their hash. Of rows that repeat id and text,
+    shingles. Texts that share an id go by 128 bits of their digest. Of rows that repeat id and text,
     that of the least other columns stays.
     """
     own = cut(_scanned(docs), "scanned")
@@ -200,7 +203,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     ends = links(firsts.select("fp")).join(firsts.select(F.col("fp").alias("a"), F.col("first").alias("ka")), "a").join(firsts.select(F.col("fp").alias("b"), F.col("first").alias("kb")), "b")
     near = ends.select(F.least("ka", "kb").alias("a"), F.greatest("ka", "kb").alias("b"))
     known = cut(same.unionByName(near).where("a < b").distinct(), "linked")
-    groups = similar(_keyed(docs), own.select("key", "bands", "signature"), known)
+    groups = similar(_keyed(docs), own.select("key", "bands"), known)
 
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
     keys = own.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n"))
@@ -208,7 +211,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     best = cut(keys.groupBy("root").agg(F.min(order).alias("best")), "best")
     judged = cut(keys.join(best, "root").withColumn("lost", F.col("best") != order).where("lost or n > 1").select("doc_id", "key", "lost"), "judged")
     names = [f"_c{i}" for i in range(len(docs.columns))]
-    tagged = docs.select(*[F.col(c).alias(n) for c, n in zip(docs.columns, names, strict=True)], F.col("doc_id").cast("long").alias("_id"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_key")).alias("t")
+    tagged = docs.select(*[F.col(c).alias(n) for c, n in zip(docs.columns, names, strict=True)], F.col("doc_id").cast("long").alias("_id"), _key(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_key")).alias("t")
     on = lambda of: (F.col("t._key") == F.col(f"{of}.key")) & F.col("t._id").eqNullSafe(F.col(f"{of}.doc_id"))
     kept = tagged.join(small(judged).alias("j"), on("j"), "left_anti").select(*names)
     twice = judged.where("not lost")

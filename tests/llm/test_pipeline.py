@@ -110,6 +110,67 @@ def test_near_dedup_edges(spark):
     assert simhash_dedup.keep_one(docs.limit(0)).count() == 0
 
 
+def test_near_dedup_of_boilerplate(spark):
+    """Texts that share most of a bucket's passage: every planted pair is found, and nothing else goes."""
+    shared, rows = words(140, 1, 10**6), []
+    for i in range(300):
+        own = words(39, 100 + i, 10**6).split()
+        rows += [(2 * i, f"{shared} {' '.join(own)}"), (2 * i + 1, f"{shared} {' '.join(own[:-8])} {words(8, 5000 + i, 10**6)}")]
+    home = plain_groups(rows)
+    assert len(set(home.values())) < 302
+    assert ids(simhash_dedup.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(6))) == sorted(set(home.values()))
+
+
+def test_forest_connects_what_is_alike():
+    """The groups that a bucket's members end in, against all pairs, whatever groups they begin in."""
+    import numpy as np
+
+    from parkwright.llm import shingles
+
+    r = np.random.default_rng(3)
+    for trial in range(20):
+        base = [set(r.integers(0, 400, 40).tolist()) for _ in range(6)]
+        sets = [set(list(base[k])[: int(r.integers(30, 41))]) | set(r.integers(400, 10**6, int(r.integers(0, 6))).tolist()) for k in r.integers(0, 6, 60)] + [{7}, {7}]
+        groups = [bytes([int(x)]) for x in r.integers(0, 62 if trial % 2 else 20, 62)]
+
+        def ends(pairs):
+            home = list(groups)
+            for i, j in pairs:
+                a, b = home[i], home[j]
+                home = [a if h == b else h for h in home]
+            return [home.index(h) for h in home]
+
+        every = [(i, j) for i in range(62) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+        found = shingles.forest([np.array(sorted(s), np.int64) for s in sets], groups)
+        assert ends(found) == ends(every) and len(found) < 62 and all((max(p), min(p)) in every for p in found)
+
+
+def test_buckets_in_blocks(spark, monkeypatch):
+    """Buckets of more members than a block: what is alike meets in some pair of blocks."""
+    from parkwright.llm import shingles
+
+    monkeypatch.setattr(shingles, "BLOCK", 16)
+    shared, texts = words(60, 2, 10**6), []
+    for i in range(80):
+        own = words(14, 900 + i // 2, 10**6)
+        texts.append((f"k{i:02}".encode(), f"{shared} {own}{' tail' * (i % 2)}".encode()))
+    table = spark.createDataFrame([(bytearray(k), bytearray(t), "x") for k, t in texts], "key binary, text binary, root string")
+    one = spark.createDataFrame([(bytearray(k), 1) for k, _ in texts], "key binary, bucket long")
+    found = {(bytes(r["a"]), bytes(r["b"])) for r in shingles.inside(table, one, spark.createDataFrame([], "node binary, root binary")).collect()}
+    sets = {k: set(shingles.shingles(t).tolist()) for k, t in texts}
+    alike = {(a, b) for a in sets for b in sets if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])}
+    assert found <= alike
+
+    def roots(pairs):
+        home = {k: k for k in sets}
+        for a, b in pairs:
+            x, y = home[a], home[b]
+            home = {k: min(x, y) if v in (x, y) else v for k, v in home.items()}
+        return home
+
+    assert roots(found) == roots(alike) and len(set(roots(alike).values())) < 80
+
+
 def test_one_id_with_two_texts(spark):
     """The unique text of a shared id stays, and the copy goes; of repeated rows one stays, that of the least other columns."""
     a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
