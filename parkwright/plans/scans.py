@@ -130,9 +130,9 @@ def snk_overwrite(spark, d):
 
 @query("SELECT conv_id, turn, text FROM conversations")
 def snk_json(spark, d):
-    """One file with an indented array, read back whole."""
+    """One file with an indented array, written and read back in parallel."""
     path = sinks.json_array(table(spark, d, "conversations").select("conv_id", "turn", "text"), ["conv_id", "turn"], new_path(spark, "json"))
-    return tables.json_array(spark, path, "conv_id long, turn long, text string")
+    return tables.indented_array(spark, path, "conv_id long, turn long, text string")
 
 
 @query("SELECT conv_id, turn, text, CASE WHEN turn % 2 = 0 THEN role END AS note FROM conversations")
@@ -152,13 +152,21 @@ def snk_jsonl(spark, d):
     return spark.read.schema("ref string, hyp string, source_dataset string").json(sinks.json_rows(rows, new_path(spark, "jsonl")))
 
 
-@query(f"""WITH {X.pairs_sql()} SELECT 'csv' AS part, count(*) AS n FROM p UNION ALL SELECT 'json', count(*) FROM p UNION ALL SELECT 'metrics', count(DISTINCT source_dataset) + 1 FROM p""")
+@query(f"""WITH {X.pairs_sql()}, r AS (SELECT row_idx, dataset, source_dataset, reference, prediction, CASE WHEN row_idx % 3 = 0 THEN CAST(row_idx AS VARCHAR) END AS note FROM p)
+SELECT part, row_idx, dataset, source_dataset, reference, prediction, note, NULL::BIGINT AS n, NULL::DOUBLE AS wer, NULL::DOUBLE AS cer FROM r, (SELECT unnest(['csv', 'json']) AS part)
+UNION ALL SELECT 'metrics', NULL, NULL, source_dataset, NULL, NULL, NULL, count(*), sum(word_edits) / sum(n_words), sum(char_edits) / sum(n_chars) FROM p GROUP BY source_dataset
+UNION ALL SELECT 'metrics', NULL, NULL, 'pooled', NULL, NULL, NULL, count(*), sum(word_edits) / sum(n_words), sum(char_edits) / sum(n_chars) FROM p""")
 def snk_eval(spark, d):
-    """The three parts of a result set, counted as read back."""
-    rows = X.pairs(spark, d)
-    parts = sinks.result_set(rows, _metrics(spark, d), "none", new_path(spark, "eval"), ["row_idx"])
-    counts = {"csv": tables.csv(spark, parts["csv"], rows.columns, lineSep="\r\n"), "json": tables.json_array(spark, parts["json"], rows.schema), "metrics": tables.metrics(spark, parts["metrics"])}
-    return merging.concatenated({k: v.agg(F.count(F.lit(1)).alias("n")) for k, v in counts.items()}, "part").select("part", "n")
+    """The three parts of a result set, all their values read back; the note is null in the second and third of three rows."""
+    rows = X.pairs(spark, d).withColumn("note", F.when(F.col("row_idx") % 3 == 0, F.col("row_idx").cast("string")))
+    parts = sinks.result_set(rows, _metrics(spark, d), "none", new_path(spark, "eval"), ["row_idx"], optional=("note",))
+    names = ["row_idx", "dataset", "source_dataset", "reference", "prediction", "note"]
+    typed = lambda df: df.select(F.col("row_idx").cast("long").alias("row_idx"), *[F.col(c) for c in names[1:-1]], F.nullif("note", F.lit("")).alias("note"))
+    read = {
+        "csv": typed(tables.csv(spark, parts["csv"], rows.columns, lineSep="\r\n")), "json": typed(tables.indented_array(spark, parts["json"], rows.schema)),
+        "metrics": tables.metrics(spark, parts["metrics"]).withColumnRenamed("group", "source_dataset"),
+    }
+    return merging.concatenated(read, "part").select("part", *names, "n", "wer", "cer")
 
 
 @query(PER_SET)

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 import io
 import json
+import uuid
 from collections.abc import Iterator
 from csv import writer
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import UnsupportedOperationException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parkwright.operators.merging import group_order
-from parkwright.operators.ranking import row_index
-from parkwright.sources.shared import cut
 
 
 def prepared(df: DataFrame, path: str, by: str = "split") -> str:
@@ -28,65 +28,121 @@ def json_rows(df: DataFrame, path: str) -> str:
     return path
 
 
-def single_file(lines: DataFrame, order: str, path: str) -> str:
-    """One text file of the lines in ``value``, in order, in place of what is at ``path``; written by one task, as one file must be."""
-    spark, draft = lines.sparkSession, f"{path}.parts"
-    lines.repartition(1).sortWithinPartitions(order).select("value").write.mode("overwrite").text(draft)
-    jvm = spark.sparkContext._jvm
-    parts, final = jvm.org.apache.hadoop.fs.Path(draft), jvm.org.apache.hadoop.fs.Path(path)
-    store = final.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    part = next(f.getPath() for f in store.listStatus(parts) if f.getPath().getName().startswith("part-"))
+def _ranged(df: DataFrame, order: list[str]) -> DataFrame:
+    """``df`` in order over its partitions, each sorted."""
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def joined_file(lines: DataFrame, path: str, ends: str, head: str = "", between: str = "", tail: str = "", none: str = "") -> str:
+    """One file of the values of ``lines`` (value), each closed by ``ends``, in place of what is at ``path``.
+
+    ``lines`` are in order over their partitions. Each task writes its partition as a part;
+    ``head``, ``between`` two parts and ``tail`` are small parts of their own. The parts are
+    joined by the store's own concatenation, which moves no bytes where files are lists of
+    blocks; where the store has none, the driver's JVM copies them through a buffer. Without lines the file is ``none``.
+    """
+    spark = lines.sparkSession
+    jvm, conf, draft = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), f"{path}.{uuid.uuid4().hex}"
+    lines.select("value").write.option("lineSep", ends).option("compression", "none").text(draft)
+    at = jvm.org.apache.hadoop.fs.Path
+    final, folder = at(path), at(draft)
+    store = final.getFileSystem(conf)
+    if store.getUri().getScheme() == "file":
+        store = store.getRawFileSystem()  # without checksums beside the files
+    parts = sorted((f.getPath().toString() for f in store.listStatus(folder) if f.getPath().getName().startswith("part-") and f.getLen() > 0), key=lambda p: p.rsplit("/", 1)[-1])
+
+    def edge(text: str, k: int) -> list[str]:
+        if not text:
+            return []
+        out = store.create(at(f"{draft}/edge-{k}"))
+        out.write(text.encode())
+        out.close()
+        return [f"{draft}/edge-{k}"]
+
+    pieces = edge(head, 0) if parts else edge(none, 0)
+    for k, part in enumerate(parts):
+        pieces += (edge(between, k) if k else []) + [part]
+    pieces += edge(tail, len(parts) + 1) if parts else []
+    whole = at(pieces[0]) if pieces else at(f"{draft}/empty")
+    if not pieces:
+        store.create(whole).close()
+    if len(pieces) > 1:
+        _concatenate(spark, store, whole, [at(p) for p in pieces[1:]])
     store.delete(final, True)
-    if not store.rename(part, final):
+    if not store.rename(whole, final):
         raise OSError(f"can't write {path}")
-    store.delete(parts, True)
+    store.delete(folder, True)
     return path
 
 
-def _as_text(rows: DataFrame, one, columns: list[str]) -> DataFrame:
-    """(_row, value) with the text that ``one`` makes of each row's values."""
+def _concatenate(spark: SparkSession, store, whole, rest: list) -> None:
+    """Append the files in ``rest`` to ``whole``."""
+    context, first = spark.sparkContext, whole.suffix(".first")
+    if store.getUri().getScheme() == "file":
+        # this store writes the target anew, from the others
+        store.rename(whole, first)
+        rest = [first, *rest]
+    files = context._gateway.new_array(context._jvm.org.apache.hadoop.fs.Path, len(rest))
+    for k, part in enumerate(rest):
+        files[k] = part
+    try:
+        store.concat(whole, files)
+    except UnsupportedOperationException:
+        store.rename(whole, first)
+        out = store.create(whole)
+        for part in [first, *rest]:
+            given = store.open(part)
+            context._jvm.org.apache.hadoop.io.IOUtils.copyBytes(given, out, 1 << 20, False)
+            given.close()
+        out.close()
+
+
+def _as_text(rows: DataFrame, one) -> DataFrame:
+    """(value) with the text that ``one`` makes of each row's values and of whether it is the first of its partition."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = True
         for b in batches:
-            values = [one(row) for row in zip(*[c.to_pylist() for c in b.columns[1:]], strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(values, pa.string())], names=["_row", "value"])
+            values = []
+            for row in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                values.append(one(row, first))
+                first = False
+            yield pa.RecordBatch.from_arrays([pa.array(values, pa.string())], names=["value"])
 
-    return rows.select("_row", *columns).mapInArrow(work, "_row long, value string")
+    return rows.mapInArrow(work, "value string")
 
 
 def json_array(df: DataFrame, order: list[str], path: str) -> str:
     """One file with an indented JSON array of the rows in order, and a line break at its end; other than ASCII is kept as it is."""
-    rows, columns = cut(row_index(df, order, "_row"), "rows"), df.columns
-    n = rows.count()
+    columns = df.columns
 
-    def one(row: tuple) -> str:
-        return "\n".join("  " + line for line in json.dumps(dict(zip(columns, row, strict=True)), indent=2, ensure_ascii=False, default=str).split("\n"))
+    def one(row: tuple, first: bool) -> str:
+        body = json.dumps(dict(zip(columns, row, strict=True)), indent=2, ensure_ascii=False, default=str).replace("\n", "\n  ")
+        return f"{'' if first else ','}\n  {body[:-1]}"
 
-    body = _as_text(rows, one, columns).withColumn("value", F.concat("value", F.when(F.col("_row") < n - 1, ",").otherwise("")))
-    edges = df.sparkSession.createDataFrame([(-1, "["), (n, "]")] if n else [(-1, "[]")], "_row long, value string")
-    return single_file(body.unionByName(edges), "_row", path)
+    # an object's last brace closes its line, so that no row needs to know which is the last
+    return joined_file(_as_text(_ranged(df, order), one), path, ends="}", head="[", between=",", tail="\n]\n", none="[]\n")
+
+
+def _csv_line(row: tuple) -> str:
+    out = io.StringIO()
+    writer(out, lineterminator="").writerow(row)
+    return out.getvalue()
 
 
 def csv_file(df: DataFrame, order: list[str], path: str, optional: tuple[str, ...] = ()) -> str | None:
     """One CSV file of the rows in order; none without rows. Its columns are those of the first row: ``optional`` ones that are null there are left out."""
-    rows = cut(row_index(df, order, "_row"), "rows")
-    first = rows.where("_row = 0").first()
+    first = df.orderBy(*order).first()
     if first is None:
         return None
     columns = [c for c in df.columns if c not in optional or first[c] is not None]
-
-    def one(row: tuple) -> str:
-        out = io.StringIO()
-        writer(out, lineterminator="\r").writerow(row)  # the line break after it is the file's
-        return out.getvalue()
-
-    head = df.sparkSession.createDataFrame([(-1, one(tuple(columns)))], "_row long, value string")
-    return single_file(_as_text(rows, one, columns).unionByName(head), "_row", path)
+    lines = _as_text(_ranged(df, order).select(*columns), lambda row, _: _csv_line(row))
+    return joined_file(lines, path, ends="\r\n", head=_csv_line(tuple(columns)) + "\r\n")
 
 
 def report(lines: DataFrame, path: str) -> str:
     """One text file of (place, line) rows."""
-    return single_file(lines.select("place", F.col("line").alias("value")), "place", path)
+    return joined_file(_ranged(lines.select("place", F.col("line").alias("value")), ["place"]), path, ends="\n")
 
 
 def csv(df: DataFrame, path: str) -> str:

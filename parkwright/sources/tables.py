@@ -77,6 +77,15 @@ def json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path, multiLine=True)
 
 
+def indented_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows of a file that holds one JSON array of objects, indented by two blanks a level, read in as many tasks as it has splits.
+
+    Strings hold no raw line breaks, so a brace after a line break and two blanks ends an object of the array and nothing else.
+    """
+    one = F.concat(F.regexp_replace("value", r"^[\[,\s]+", ""), F.lit("}"))
+    return spark.read.text(path, lineSep="\n  }").where(F.contains("value", F.lit("{"))).select(F.from_json(one, schema).alias("row")).select("row.*")
+
+
 def parsed_metrics(documents: DataFrame, c: str = "value") -> DataFrame:
     """(group, n, wer, cer) rows of nested documents: pooled, then each set; keys that hold no rates are skipped."""
     doc = documents.select(F.from_json(c, METRICS).alias("m"))

@@ -243,6 +243,62 @@ def test_result_files(spark, tmp_path):
     assert sinks.csv_file(df.limit(0), ["id"], f"file://{tmp_path}/b.csv") is None and not (tmp_path / "b.csv").exists()
 
 
+def test_files_of_many_parts(spark, tmp_path, monkeypatch):
+    """Rows in many parts, some of them empty: the bytes are those of the plain writers, no task has more than a share, and parts are joined in order."""
+    import csv
+    import io
+    import json
+
+    rows = [(i, f'line "{i}"\n  }}, next' if i % 7 else "é,\r\n", [i, None], None if i % 5 else {"k": i}) for i in range(5000)]
+    df = spark.createDataFrame(rows, "id long, text string, list array<long>, map map<string, long>").repartition(16)
+    as_dicts = [dict(zip(df.columns, r, strict=True)) for r in rows]
+    as_dicts = [d | {"map": None if d["map"] is None else list(d["map"].items())} for d in as_dicts]
+    seen, whole = [], sinks.joined_file
+
+    def watched(lines, *args, **options):
+        seen.append([r["n"] for r in lines.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()])
+        return whole(lines, *args, **options)
+
+    monkeypatch.setattr(sinks, "joined_file", watched)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path = sinks.json_array(df, ["id"], f"file://{tmp_path}/a.json")
+        sinks.csv_file(df.select("id", "text"), ["id"], f"file://{tmp_path}/a.csv")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert (tmp_path / "a.json").read_text(encoding="utf-8") == json.dumps(as_dicts, indent=2, ensure_ascii=False) + "\n"
+    out = io.StringIO(newline="")
+    csv.writer(out).writerows([("id", "text"), *[r[:2] for r in rows]])
+    assert (tmp_path / "a.csv").read_bytes().decode() == out.getvalue()
+    assert all(len(n) > 4 and max(n) < 2000 for n in seen) and [f.name for f in sorted(tmp_path.iterdir()) if f.name[0] != "."] == ["a.csv", "a.json"]
+    back = tables.indented_array(spark, path, "id long, text string, list array<long>")
+    assert sorted((r["id"], r["text"], r["list"]) for r in back.collect()) == sorted(r[:3] for r in rows)
+    assert tables.indented_array(spark, sinks.json_array(df.limit(0), ["id"], f"file://{tmp_path}/b.json"), "id long").collect() == []
+
+
+@pytest.mark.parametrize("able", [True, False])
+def test_parts_are_joined_by_the_store(spark, tmp_path, able):
+    """A store that concatenates is asked to, and nothing is read; where it can't, files are copied in order."""
+    from types import SimpleNamespace
+
+    from pyspark.errors import UnsupportedOperationException
+
+    at, calls = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, []
+    for k in range(3):
+        (tmp_path / f"p{k}").write_text(f"part {k}\n")
+    paths = [at(f"file://{tmp_path}/p{k}") for k in range(3)]
+    local = paths[0].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getRawFileSystem()
+
+    def concat(whole, files):
+        calls.append([f.getName() for f in files])
+        if not able:
+            raise UnsupportedOperationException("no")
+
+    uri = SimpleNamespace(getScheme=lambda: "blocks")
+    sinks._concatenate(spark, SimpleNamespace(getUri=lambda: uri, concat=concat, rename=local.rename, create=local.create, open=local.open), paths[0], paths[1:])
+    assert calls == [["p1", "p2"]] and (tmp_path / "p0").read_text() == ("part 0\n" if able else "part 0\npart 1\npart 2\n")
+
+
 def test_report_lines(spark):
     rows = [("a b c d", "a x c d", 0.25, 10.0)] * 9 + [("a b", "a b c", 0.5, 40.0)] * 13 + [("kuusu b", "kuhusu b", 2.0, None)]
     got = [x["line"] for x in errors.report(spark.createDataFrame(rows, "reference string, prediction string, wer double, seconds double")).orderBy("place").collect()]
