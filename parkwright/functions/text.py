@@ -116,17 +116,22 @@ def word_edits(reference: Column, hypothesis: Column, codes: int = _CODES) -> Co
     pair = F.struct(reference.alias("r"), hypothesis.alias("h"))
 
     def edits(p: Column) -> Column:
-        by_codes = lambda v: F.levenshtein(_coded(p["r"], v, 32), _coded(p["h"], v, 33))
+        coded = lambda v: F.struct(_coded(p["r"], v, 32).alias("r"), _coded(p["h"], v, 33).alias("h"))
+        by_codes = lambda v: let(coded(v), lambda c: _distance(c["r"], c["h"]))
         return let(F.array_intersect(p["r"], p["h"]), lambda v: F.when(F.size(v) <= codes, by_codes(v)).otherwise(_edits_by_rows(p["r"], p["h"])))
 
     return let(pair, edits).cast("long")
 
 
+def _distance(a: Column, b: Column) -> Column:
+    """The edit distance of two strings, looked for within 32 edits, then four times as many, and so on: near strings cost little."""
+    wider = lambda d, k: F.when(d >= 0, d).otherwise(F.call_function("levenshtein", a, b, F.call_function("shiftleft", F.lit(32), 2 * k)))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(12)), F.lit(-1), wider)
+
+
 def char_edits(reference: Column, hypothesis: Column) -> Column:
-    """The edit distance of two strings, looked for within 32, then 256 edits, then any number: near strings cost little."""
-    pair = F.struct(reference.alias("r"), hypothesis.alias("h"))
-    within = lambda p, most: let(F.levenshtein(p["r"], p["h"], most), lambda d: F.when(d >= 0, d))
-    return let(pair, lambda p: F.coalesce(within(p, 32), within(p, 256), F.levenshtein(p["r"], p["h"]))).cast("long")
+    """Least insertions, deletions and substitutions of characters between two strings."""
+    return let(F.struct(reference.alias("r"), hypothesis.alias("h")), lambda p: _distance(p["r"], p["h"])).cast("long")
 
 
 def _repeats(w: Column, n: Column, g: int):

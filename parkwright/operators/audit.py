@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from parkwright.functions.numbers import MAX_CLIP_SECONDS
 from parkwright.functions.text import strip, text
+from parkwright.operators.merging import digest
 from parkwright.operators.ranking import interpolated
 
 
@@ -18,8 +19,8 @@ def splits(rows: DataFrame, keys: list[str], text_column: str, seconds: str) ->
 
 
 def sources(rows: DataFrame, source: str, clip: str) -> DataFrame:
-    """Rows and distinct clips of each source, and the rows that chunking added."""
-    out = rows.groupBy(source).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(clip).alias("clips"))
+    """Rows and distinct clips of each source, by their digests, and the rows that chunking added."""
+    out = rows.groupBy(source).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(digest(F.col(clip))).alias("clips"))
     return out.withColumn("extra_rows", F.col("rows") - F.col("clips"))
 
 

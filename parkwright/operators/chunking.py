@@ -49,21 +49,20 @@ def downmix(channels: Column) -> Column:
 
 
 def packed_spans(spans: Column, most: float) -> Column:
-    """Places of (start, end) spans packed greedily into chunks no longer than ``most`` seconds."""
+    """Places of (start, end) spans packed greedily into chunks no longer than ``most`` seconds.
+
+    One walk notes where chunks begin; only there is anything appended, so the walk is linear in the spans.
+    """
     ints = "array<int>"
 
     def fold(s: Column) -> Column:
-        start = F.struct(F.get(s, F.lit(0))["start"].alias("st"), F.array().cast(ints).alias("cur"), F.array().cast(f"array<{ints}>").alias("out"))
-
         def step(a: Column, i: Column) -> Column:
-            new = (F.get(s, i)["end"] - a["st"] > most) & (F.size(a["cur"]) > 0)
-            return F.struct(
-                F.when(new, F.get(s, i)["start"]).otherwise(a["st"]).alias("st"),
-                F.when(new, F.array(i)).otherwise(F.array_append(a["cur"], i)).alias("cur"),
-                F.when(new, F.array_append(a["out"], a["cur"])).otherwise(a["out"]).alias("out"),
-            )
+            new = F.get(s, i)["end"] - a["start"] > most
+            return F.struct(F.when(new, F.get(s, i)["start"]).otherwise(a["start"]).alias("start"), F.when(new, F.array_append(a["firsts"], i)).otherwise(a["firsts"]).alias("firsts"))
 
-        return F.aggregate(F.sequence(F.lit(0), F.size(s) - 1), start, step, lambda a: F.array_append(a["out"], a["cur"]))
+        later = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: i > 0)
+        firsts = F.aggregate(later, F.struct(F.get(s, F.lit(0))["start"].alias("start"), F.array(F.lit(0)).alias("firsts")), step, lambda a: a["firsts"])
+        return let(firsts, lambda at: F.transform(at, lambda x, k: F.sequence(x, F.coalesce(F.get(at, k + 1), F.size(s)) - 1)))
 
     return let(spans, lambda s: F.when(F.size(s) > 0, fold(s)).otherwise(F.array().cast(f"array<{ints}>")))
 
@@ -110,14 +109,21 @@ def token_ranges(words: Column, letters: str, separator: bool = True) -> Column:
     """(labels, ranges): a label for each letter that ``letters`` has, by its place from 1, and one more between words; where each word's begin and end."""
     clean = F.transform(words, lambda w: F.regexp_replace(w, f"[^{letters}]", ""))
 
+    label = F.lit(len(letters) + 1)
+    spelt = lambda w: F.when(w != "", F.transform(F.split(w, ""), lambda c: F.instr(F.lit(letters), c))).otherwise(F.array().cast("array<int>"))
+
     def of(ws: Column) -> Column:
-        n, mark = F.size(ws), F.array(F.lit(len(letters) + 1))
-        gap = lambda i: F.when((i < n - 1) & F.lit(separator), mark).otherwise(F.array().cast("array<int>"))
-        spelt = lambda w: F.when(w != "", F.transform(F.split(w, ""), lambda c: F.instr(F.lit(letters), c))).otherwise(F.array().cast("array<int>"))
-        labels = F.flatten(F.transform(ws, lambda w, i: F.concat(spelt(w), gap(i))))
-        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
-        step = lambda a, w: F.struct((a["at"] + F.length(w) + int(separator)).alias("at"), F.array_append(a["out"], F.struct(a["at"].alias("start"), (a["at"] + F.length(w)).alias("end"))).alias("out"))
-        return F.struct(labels.alias("labels"), F.aggregate(ws, start, step, lambda a: a["out"]).alias("ranges"))
+        gap = lambda i: F.when(i < F.size(ws) - 1, F.array(label)).otherwise(F.array().cast("array<int>"))
+
+        def ranged(marked: Column) -> Column:
+            # a word ends at the mark after it, the last at the end; without marks all after one move up by one
+            ends = F.filter(F.sequence(F.lit(0), F.size(marked)), lambda i: (i == F.size(marked)) | (F.get(marked, i) == label))
+            moved = lambda place, k: place if separator else place - k
+            first = lambda at, k: F.when(k > 0, F.get(at, k - 1) + 1).otherwise(0)
+            ranges = let(ends, lambda at: F.transform(ws, lambda w, k: F.struct(moved(first(at, k), k).alias("start"), moved(F.get(at, k), k).alias("end"))))
+            return F.struct((marked if separator else F.filter(marked, lambda x: x != label)).alias("labels"), ranges.alias("ranges"))
+
+        return let(F.flatten(F.transform(ws, lambda w, i: F.concat(spelt(w), gap(i)))), ranged)
 
     return let(clean, of)
 

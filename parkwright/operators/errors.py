@@ -9,8 +9,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parkwright.functions.bits import steps
 from parkwright.functions.text import error_text, loop_score, text, words_on_space
-from parkwright.operators.ranking import interpolated, row_index
+from parkwright.operators.ranking import interpolated, selected
 from parkwright.sources.shared import cut
 
 #: Half-open bands of error rates.
@@ -46,10 +47,9 @@ def middle(rows: DataFrame, c: str) -> DataFrame:
 
 
 def nearest_rank(rows: DataFrame, c: str, tenths: int = 9) -> DataFrame:
-    """The value at place floor(n * tenths / 10) from 0 in sorted order, found by rank, not by gathering rows."""
-    kept = rows.where(F.col(c).isNotNull()).select(F.col(c).cast("double").alias("v"))
-    at = kept.count() * tenths // 10
-    return row_index(kept, ["v"]).where(F.col("row_idx") == at).select(F.col("v").alias(f"p{tenths}0"))
+    """The value at place floor(n * tenths / 10) from 0 in sorted order; no row without values."""
+    _, found = selected(rows, c, lambda n: [n * tenths // 10])
+    return rows.sparkSession.createDataFrame([(v,) for v in found.values()], f"p{tenths}0 double")
 
 
 def looping(rows: DataFrame, c: str) -> DataFrame:
@@ -77,40 +77,22 @@ def by_duration(rows: DataFrame, seconds: str, c: str) -> DataFrame:
 
 
 def align(ref: list[str], hyp: list[str]) -> list[tuple[str, str, str]]:
-    """(kind, reference phrase, hypothesis phrase) chunks of one least alignment.
-
-    Walking back from the end, equal words are taken first, then substitution,
-    deletion, insertion; neighbouring edits of one kind form a chunk.
-    """
-    n, m = len(ref), len(hyp)
-    d = [list(range(m + 1))]
-    for i in range(1, n + 1):
-        row, up = [i], d[-1]
-        for j in range(1, m + 1):
-            row.append(min(up[j] + 1, row[j - 1] + 1, up[j - 1] + (ref[i - 1] != hyp[j - 1])))
-        d.append(row)
-    steps, i, j = [], n, m
-    while i or j:
-        if i and j and d[i][j] == d[i - 1][j - 1] + (ref[i - 1] != hyp[j - 1]):
-            i, j = i - 1, j - 1
-            steps.append(("equal" if ref[i] == hyp[j] else "substitute", ref[i], hyp[j]))
-        elif i and d[i][j] == d[i - 1][j] + 1:
-            i -= 1
-            steps.append(("delete", ref[i], ""))
-        else:
-            j -= 1
-            steps.append(("insert", "", hyp[j]))
-    out: list[tuple[str, str, str]] = []
-    for kind, r, h in reversed(steps):
-        if out and out[-1][0] == kind:
-            out[-1] = (kind, f"{out[-1][1]} {r}".strip(), f"{out[-1][2]} {h}".strip())
-        else:
-            out.append((kind, r, h))
-    return [x for x in out if x[0] != "equal"]
+    """(kind, reference phrase, hypothesis phrase): runs of equal edits in the canonical alignment (``bits.steps``)."""
+    out: list[tuple[str, list[str], list[str]]] = []
+    r, h, former = iter(ref), iter(hyp), None
+    for kind in steps(ref, hyp):
+        if kind != former:
+            out.append((kind, [], []))
+        former = kind
+        if kind != "insert":
+            out[-1][1].append(next(r))
+        if kind != "delete":
+            out[-1][2].append(next(h))
+    return [(kind, " ".join(a), " ".join(b)) for kind, a, b in out if kind != "equal"]
 
 
 def edit_chunks(pairs: DataFrame) -> DataFrame:
-    """(kind, ref_phrase, hyp_phrase, words): every edit chunk of every pair; the back-trace needs Python, in Arrow batches."""
+    """(kind, ref_phrase, hyp_phrase, words): every edit chunk of every pair, in Arrow batches."""
     own = pairs.select(words_on_space(error_text(text("reference"))).alias("r"), words_on_space(error_text(text("prediction"))).alias("h"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parkwright.operators.ranking import row_index
-from parkwright.sources.shared import cut, small
+from parkwright.sources.shared import BROADCAST_ROWS, cut, small
 
 
 def concatenated(tables: dict[str, DataFrame], tag: str = "source_dataset") -> DataFrame:
@@ -59,6 +59,36 @@ def first_by(rows: DataFrame, key: str, order: list) -> DataFrame:
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("_n = 1").drop("_n")
 
 
+def digest(c: Column) -> Column:
+    """A text's 256 bits, which stand for it in shuffles; null for null."""
+    return F.unhex(F.sha2(c.cast("binary"), 256))
+
+
+def distinct_texts(rows: DataFrame, c: str, key: str) -> DataFrame:
+    """(c, key): each distinct text ``c`` with its least ``key``; a null text is one, and a null key comes after others.
+
+    Rows are compared by digest. Then the first rows, or else the rows that go, are
+    broadcast if they are few, so that no text is shuffled; only beyond that is a text moved, once.
+    """
+    own = rows.select(F.col(c), F.col(key), F.coalesce(digest(F.col(c)), F.lit(b"")).alias("_d"))
+    narrow = cut(own.groupBy("_d", key).agg(F.count(F.lit(1)).alias("n")), "digests")
+    firsts = cut(narrow.groupBy("_d").agg(F.min_by(F.struct(key, "n"), F.struct(F.col(key).isNull(), key)).alias("f"), F.count(F.lit(1)).alias("k")), "firsts")
+    kept, several = firsts.select("_d", F.col(f"f.{key}").alias(key)), firsts.where("k > 1").select("_d", F.col(f"f.{key}").alias("first"))
+    n, same = kept.count(), lambda a, b: (F.col(f"{a}._d") == F.col(f"{b}._d")) & F.col(f"{a}.{key}").eqNullSafe(F.col(f"{b}.{key}"))
+    gone = cut(narrow.join(several, "_d").where(~F.col(key).eqNullSafe(F.col("first"))).select("_d", key), "gone")
+    if n > BROADCAST_ROWS and (lost := gone.count()) <= BROADCAST_ROWS:
+        out = own.alias("o").join(small(gone, lost).alias("g"), same("o", "g"), "left_anti")
+    else:
+        out = own.alias("o").join(small(kept, n).alias("g"), same("o", "g"), "left_semi")
+    # rows that repeat text and key are the same row; only they are gathered
+    twice = cut(firsts.where("f.n > 1").select("_d", F.col(f"f.{key}").alias(key)), "twice")
+    if twice.isEmpty():
+        return out.select(c, key)
+    again = small(twice)
+    once = out.alias("o").join(again.alias("g"), same("o", "g"), "left_anti").select(c, key)
+    return once.unionByName(out.alias("o").join(again.alias("g"), same("o", "g"), "left_semi").groupBy("_d", key).agg(F.max(c).alias(c)).select(c, key))
+
+
 def as_of(left: DataFrame, right: DataFrame, key: str, at: str, most: int, span: int = 100_000) -> DataFrame:
     """Each left row with the nearest right row at or before it within ``most``; a right row serves its first left row only.
 
@@ -79,21 +109,24 @@ def as_of(left: DataFrame, right: DataFrame, key: str, at: str, most: int, span:
 
 
 def replayed(domain: DataFrame, retention: DataFrame, order: list[str], share: float, seed: int = 42) -> DataFrame:
-    """Interleave two sets: each slot is a retention row with probability ``share``, by the slot's hash, until one set ends.
+    """Interleave two sets: a slot is a retention row with probability ``share``, up to the last row of the set that ends first.
 
-    The share is held to [0, 0.5]. Slots are counted ranks, so every row's place is known without a sequential draw.
+    The share is held to [0, 0.5]. A slot's draw is the first 32 bits of the MD5 of
+    'seed:slot', which any engine can repeat. Slots are counted ranks, so every row's place
+    is known without a sequential draw. A set without rows ends it where it is first drawn.
     """
     share = min(max(share, 0.0), 0.5)
     d, r = cut(row_index(domain, order, "_k"), "domain"), cut(row_index(retention, order, "_k"), "retention")
-    slots = domain.sparkSession.range(d.count() + r.count()).select(F.col("id").alias("slot"))
-    draw = F.pmod(F.xxhash64(F.lit(seed), "slot"), F.lit(1_000_000)) < int(share * 1_000_000)
+    sizes = [d.count(), r.count()]
+    slots = domain.sparkSession.range(sum(sizes)).select(F.col("id").alias("slot"))
+    draw = F.conv(F.left(F.md5(F.concat(F.lit(f"{seed}:"), F.col("slot").cast("string")).cast("binary")), F.lit(8)), 16, 10).cast("long") < int(share * 2**32)
     slots = cut(slots.withColumn("pick", draw.cast("int")), "slots")
     ranked = cut(row_index(slots.where("pick = 0"), ["slot"], "_k").unionByName(row_index(slots.where("pick = 1"), ["slot"], "_k")), "picked")
+    left = F.when(F.col("pick") == 0, sizes[0]).otherwise(sizes[1]) - F.col("_k") - 1
+    end = ranked.agg(F.min(F.when(left == 0, F.col("slot")).when(left < 0, F.col("slot") - 1))).first()[0]
     rows = d.withColumn("pick", F.lit(0)).unionByName(r.withColumn("pick", F.lit(1)), allowMissingColumns=True)
-    placed = cut(ranked.join(rows, ["pick", "_k"], "left").withColumn("_here", F.expr("_k < case when pick = 0 then {} else {} end".format(d.count(), r.count()))), "placed")
-    end = placed.where(~F.col("_here")).agg(F.min("slot")).first()[0]
-    kept = placed if end is None else placed.where(F.col("slot") < end)
-    return kept.drop("_k", "_here")
+    kept = ranked if end is None else ranked.where(F.col("slot") <= end)
+    return kept.join(rows, ["pick", "_k"]).drop("_k")
 
 
-__all__ = ["as_of", "beside", "concatenated", "first_by", "group_order", "merged", "model_means", "replayed", "small", "wide", "zipped"]
+__all__ = ["as_of", "beside", "concatenated", "digest", "distinct_texts", "first_by", "group_order", "merged", "model_means", "replayed", "small", "wide", "zipped"]

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_left
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,19 +39,65 @@ def row_index(df: DataFrame, order: list[str], out: str = "row_idx") -> DataFram
     return grouped_rank(df.withColumn("_all", F.lit(0)), ["_all"], order, out).drop("_all")
 
 
-def interpolated(rows: DataFrame, c: str, shares: dict[str, float]) -> DataFrame:
-    """One row with a column for each of ``shares``: the quantile of ``c``, between its two neighbours in sorted order.
+#: Bins that a range of values is cut into, and values that are looked at one by one when so few are left.
+BINS, FEW = 2048, 10_000
+
 
-    The neighbours are found by rank, so no task holds the values; nulls are left out,
-    and without values all quantiles are null.
+def selected(rows: DataFrame, c: str, places) -> tuple[int, dict[int, float]]:
+    """The number of values of ``c``, and those at the places from 0 in sorted order that ``places`` gives for that number; nulls and NaN are left out.
+
+    Nothing is sorted or shuffled but counts: the range that holds a place is cut into
+    bins, counted with their least and largest value before they move, and the bin with
+    the place is the next range, until it is one value or few are left in all ranges.
     """
-    kept = rows.where(F.col(c).isNotNull()).select(F.col(c).cast("double").alias("v"))
-    n = kept.count()
-    places = {name: (n - 1) * share for name, share in shares.items()}
-    wanted = sorted({at for x in places.values() for at in (int(x), int(x) + 1)}) if n else [-1]
-    at = lambda i: F.max(F.when(F.col("row_idx") == i, F.col("v")))
-    between = lambda x: F.when(F.lit(x > int(x)), at(int(x)) + (at(int(x) + 1) - at(int(x))) * (x - int(x))).otherwise(at(int(x)))
-    return row_index(kept, ["v"]).where(F.col("row_idx").isin(wanted)).agg(*[between(x).alias(name) for name, x in places.items()])
+    v = F.col("v")
+    kept = rows.select(F.col(c).cast("double").alias("v")).where(v.isNotNull() & ~F.isnan("v"))
+    n, low, high = kept.agg(F.count(F.lit(1)), F.min("v"), F.max("v")).first()
+    wanted = sorted({p for p in places(n) if 0 <= p < n})
+    # of each range: its ends, how many values lie before and in it, the places in it
+    ranges, found = ([(low, high, 0, n, wanted)] if wanted else []), {}
+    while ranges:
+        found |= {p: lo for lo, hi, _, _, own in ranges if lo == hi for p in own}
+        ranges = [r for r in ranges if r[0] < r[1]]
+        if sum(r[3] for r in ranges) <= FEW:
+            inside = [(v >= lo) & (v <= hi) for lo, hi, *_ in ranges]
+            values = sorted(r["v"] for r in kept.where(reduce(or_, inside)).collect()) if ranges else []
+            for lo, hi, before, _, own in ranges:
+                first = bisect_left(values, lo)
+                found |= {p: values[first + p - before] for p in own}
+            break
+        place = F.lit(None).cast("struct<r:int,bin:int>")
+        for k, (lo, hi, *_) in enumerate(ranges):
+            # infinite ends are bins of their own; halves, as the width may not be a number
+            ends = [x for x in (lo, hi) if math.isinf(x)]
+            a, b = max(lo, -1.7e308), min(hi, 1.7e308)
+            share = F.least(F.floor((v / 2 - a / 2) / (b / 2 - a / 2) * BINS), F.lit(BINS - 1)).cast("int")
+            own = F.when(v == float("-inf"), -1).when(v == float("inf"), BINS).otherwise(share) if ends else share
+            place = F.when((v >= lo) & (v <= hi), F.struct(F.lit(k).alias("r"), own.alias("bin"))).otherwise(place)
+        bins = kept.select(place.alias("at"), "v").where("at is not null").groupBy("at").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        # at most BINS + 2 rows for each range
+        counted, narrower = sorted(bins.collect(), key=lambda r: (r["at"]["r"], r["at"]["bin"])), []
+        for k, (_, _, before, _, own) in enumerate(ranges):
+            for r in (x for x in counted if x["at"]["r"] == k):
+                held = [p for p in own if before <= p < before + r["n"]]
+                if held:
+                    narrower.append((r["low"], r["high"], before, r["n"], held))
+                before += r["n"]
+        ranges = narrower
+    return n, found
+
+
+def interpolated(rows: DataFrame, c: str, shares: dict[str, float]) -> DataFrame:
+    """One row with a column for each of ``shares``: the quantile of ``c``, between its two neighbours in sorted order; without values all are null."""
+    n, at = selected(rows, c, lambda n: [p for x in shares.values() for p in (int((n - 1) * x), int((n - 1) * x) + 1)])
+
+    def between(x: float) -> float | None:
+        if not n:
+            return None
+        low = at[int(x)]
+        return low + (at[int(x) + 1] - low) * (x - int(x)) if x > int(x) else low
+
+    return rows.sparkSession.createDataFrame([tuple(between((n - 1) * x) for x in shares.values())], ", ".join(f"`{name}` double" for name in shares))
 
 
 def run_lengths(rows: DataFrame, key: list[str], order: list[str], c: str, first: str) -> DataFrame:

@@ -7,12 +7,17 @@ partial sums.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
+from parkwright.functions import bits
 from parkwright.functions import text as T
 
 MODES = ("none", "simple", "jiwer_default")
+#: Characters from which a pair is compared on the bits of whole numbers, in Arrow batches: the built-in distance walks a text from its start for each character.
+LONG = 4096
 
 
 def units(mode: str, c: Column) -> tuple[Column, Column]:
@@ -26,6 +31,18 @@ def units(mode: str, c: Column) -> tuple[Column, Column]:
     raise ValueError(f"unknown mode {mode}; one of {MODES}")
 
 
+@F.pandas_udf(LongType())
+def _long_edits(reference: pd.Series, hypothesis: pd.Series) -> pd.Series:
+    """Edits of arrays or strings; null where a side is."""
+    return pd.Series([None if r is None or h is None else bits.distance(list(r), list(h)) for r, h in zip(reference, hypothesis, strict=True)], dtype="Int64")
+
+
+def edits(reference: Column, hypothesis: Column, there: Column, long: Column, short) -> Column:
+    """The edits of two sequences where ``there``: ``short`` says them of pairs that aren't ``long``."""
+    given = there & long
+    return F.when(given, _long_edits(F.when(given, reference), F.when(given, hypothesis))).when(there, short(reference, hypothesis))
+
+
 def scored(pairs: DataFrame, mode: str = "none", suffix: str = "") -> DataFrame:
     """``pairs`` (reference, prediction, ...) with edits and lengths in words and characters.
 
@@ -34,11 +51,14 @@ def scored(pairs: DataFrame, mode: str = "none", suffix: str = "") -> DataFrame:
     """
     ref, hyp = T.text("reference"), T.text("prediction")
     (rw, rc), (hw, hc) = units(mode, ref), units(mode, hyp)
-    there = T.strip(ref) != ""
-    return pairs.withColumns({
-        f"word_edits{suffix}": F.when(there, T.word_edits(rw, hw)), f"n_words{suffix}": F.when(there, F.size(rw).cast("long")),
-        f"char_edits{suffix}": F.when(there, T.char_edits(rc, hc)), f"n_chars{suffix}": F.when(there, F.length(rc).cast("long")),
+    there, long = T.strip(ref) != "", F.greatest(F.length(ref), F.length(hyp)) > LONG
+    sides = pairs.withColumns({"_rw": rw, "_rc": rc, "_hw": hw, "_hc": hc, "_there": there, "_long": long})
+    named = lambda *cs: [F.col(c) for c in cs]
+    out = sides.withColumns({
+        f"word_edits{suffix}": edits(*named("_rw", "_hw", "_there", "_long"), T.word_edits), f"n_words{suffix}": F.when(F.col("_there"), F.size("_rw").cast("long")),
+        f"char_edits{suffix}": edits(*named("_rc", "_hc", "_there", "_long"), T.char_edits), f"n_chars{suffix}": F.when(F.col("_there"), F.length("_rc").cast("long")),
     })
+    return out.drop("_rw", "_rc", "_hw", "_hc", "_there", "_long")
 
 
 def rate(edits: Column, n: Column) -> Column:

@@ -124,13 +124,17 @@ def str_polish(spark, d):
     return _messages(spark, d).select("id", T.polish(F.lower(F.replace("text", F.lit(" "), F.lit("  ")))).alias("out"))
 
 
+def stuttering(c):
+    """Words of a text and its first again, every eleventh of them three times."""
+    words = F.array_remove(F.split(F.concat(c, F.lit(" "), F.split_part(c, F.lit(" "), F.lit(1))), r"\s+"), "")
+    return F.flatten(F.transform(words, lambda w, i: F.when(i % 11 == 0, F.array(w, F.when(w.rlike("^[ -~]+$"), F.upper(w)).otherwise(w), w)).otherwise(F.array(w))))
+
+
 @query("""SELECT conv_id * 1000 + turn AS id, array_to_string(list_transform(list_filter(list_zip(ws, list_prepend(NULL, ws)), lambda z: z[1] IS NOT NULL AND (z[2] IS NULL OR lower(z[1]) <> lower(z[2]))), lambda z: z[1]), ' ') AS out
 FROM (SELECT *, list_filter(string_split_regex(text || ' ' || split_part(text, ' ', 1), '\\s+'), lambda x: x <> '') AS w0 FROM conversations), LATERAL (SELECT flatten(list_transform(w0, lambda x, i: CASE WHEN i % 11 = 1 THEN [x, CASE WHEN regexp_full_match(x, '[ -~]+') THEN upper(x) ELSE x END, x] ELSE [x] END)) AS ws)""")
 def str_collapse(spark, d):
     """Stuttered words collapsed to their first."""
-    words = F.array_remove(F.split(F.concat("text", F.lit(" "), F.split_part("text", F.lit(" "), F.lit(1))), r"\s+"), "")
-    stutter = F.flatten(F.transform(words, lambda w, i: F.when(i % 11 == 0, F.array(w, F.when(w.rlike("^[ -~]+$"), F.upper(w)).otherwise(w), w)).otherwise(F.array(w))))
-    return _messages(spark, d).select("id", F.array_join(T.collapse_runs(stutter), " ").alias("out"))
+    return _messages(spark, d).select("id", F.array_join(T.collapse_runs(stuttering(F.col("text"))), " ").alias("out"))
 
 
 @query(f"WITH {X.STUTTERED}, {X.loops_sql('stuttered')} SELECT id, score FROM loops")

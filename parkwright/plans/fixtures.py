@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parkwright.functions.text import align_words
+from parkwright.functions.text import align_words, error_text, words_on_space
 from parkwright.operators.errors import SHIFTS
 from parkwright.plans.registry import table
 from parkwright.sources.shared import spread
@@ -50,6 +50,31 @@ heard AS (SELECT role AS source_dataset, CAST(len(r) AS BIGINT) AS n_words, CAST
   CAST(levenshtein(coalesce(array_to_string(r, ' '), ''), coalesce(array_to_string(h, ' '), '')) AS BIGINT) AS char_edits FROM hh)"""
 
 
+def misheard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, reference, prediction): messages as error analysis takes them, and the same with words put in, changed and left out, so that alignments have a choice."""
+    words = words_on_space(error_text(F.coalesce("text", F.lit(""))))
+    rows = spread(table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")).select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), words.alias("ws"))
+    near = lambda w, i: F.when(i % 11 == 0, F.array(w, w)).when(i % 5 == 2, F.array(F.lit("na"))).when(i % 7 == 3, F.array().cast("array<string>")).otherwise(F.array(w))
+    return rows.select("id", F.array_join("ws", " ").alias("reference"), F.array_join(F.flatten(F.transform("ws", near)), " ").alias("prediction"))
+
+
+def chunks_sql(source: str) -> str:
+    """CTEs up to chunks (id, kind, ref_phrase, hyp_phrase, words) of the word lists in ``source`` (id, r, h): the whole table of edit distances of each pair, walked back from its end; runs of equal steps."""
+    row = "list_reduce(list_transform(range(1, len(h) + 1), lambda j: [j]), lambda cur, jj: list_append(cur, least(acc[-1][jj[1] + 1] + 1, cur[jj[1]] + 1, acc[-1][jj[1]] + (CASE WHEN r[ii[1][1]] = h[jj[1]] THEN 0 ELSE 1 END))), [ii[1][1]])"
+    return f"""al_d AS (SELECT id, r, h, list_reduce(list_transform(range(1, len(r) + 1), lambda i: [[i]]), lambda acc, ii: list_append(acc, {row}), [range(0, len(h) + 1)]) AS d FROM {source} WHERE len(r) > 0),
+al_t AS (SELECT id, len(r) AS i, len(h) AS j, 0 AS step, NULL::VARCHAR AS kind, NULL::VARCHAR AS a, NULL::VARCHAR AS b FROM al_d
+  UNION ALL SELECT id, CASE WHEN k = 'insert' THEN i ELSE i - 1 END, CASE WHEN k = 'delete' THEN j ELSE j - 1 END, step + 1, k, CASE WHEN k <> 'insert' THEN r[i] END, CASE WHEN k <> 'delete' THEN h[j] END FROM (SELECT t.id, i, j, step, r, h,
+    CASE WHEN i > 0 AND j > 0 AND r[i] = h[j] THEN 'equal' WHEN i > 0 AND j > 0 AND d[i + 1][j + 1] = d[i][j] + 1 THEN 'substitute' WHEN i > 0 AND d[i + 1][j + 1] = d[i][j + 1] + 1 THEN 'delete' ELSE 'insert' END AS k FROM al_t t JOIN al_d USING (id) WHERE i > 0 OR j > 0)),
+al_g AS (SELECT *, step - row_number() OVER (PARTITION BY id, kind ORDER BY step) AS run FROM al_t WHERE kind <> 'equal'),
+chunks AS (SELECT id, kind, coalesce(string_agg(a, ' ' ORDER BY step DESC), '') AS ref_phrase, coalesce(string_agg(b, ' ' ORDER BY step DESC), '') AS hyp_phrase, count(*) AS words FROM al_g GROUP BY id, kind, run)"""
+
+
+def misheard_sql() -> str:
+    """``chunks_sql`` of ``misheard``."""
+    return f"""mh_w AS (SELECT conv_id * 1000 + turn AS id, {error_words_sql("coalesce(text, '')")} AS r FROM conversations),
+mh AS (SELECT id, r, flatten(list_transform(r, lambda x, i: CASE WHEN (i - 1) % 11 = 0 THEN [x, x] WHEN (i - 1) % 5 = 2 THEN ['na'] WHEN (i - 1) % 7 = 3 THEN [] ELSE [x] END)) AS h FROM mh_w), {chunks_sql("mh")}"""
+
+
 def stuttered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, text): messages, of which some end in their first one to four words again and again."""
     first = F.array_join(F.slice(F.split("text", " "), F.lit(1), (F.col("turn") % 4 + 1).cast("int")), " ")

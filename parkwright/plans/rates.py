@@ -132,10 +132,20 @@ def agg_ops(spark, d):
     return errors.edit_chunks(pairs).agg(F.sum("words").alias("n")).select(F.lit("words").alias("what"), "n")
 
 
-@query()
+@query(f"WITH RECURSIVE {X.misheard_sql()} SELECT kind, ref_phrase, hyp_phrase, count(*) AS n, CAST(sum(words) AS BIGINT) AS words FROM chunks GROUP BY ALL")
+def agg_ops_chunks(spark, d):
+    """Every edit chunk of the canonical alignments with its phrases, how often it occurs and how many words that is."""
+    return errors.edit_chunks(X.misheard(spark, d)).groupBy("kind", "ref_phrase", "hyp_phrase").agg(F.count(F.lit(1)).alias("n"), F.sum("words").alias("words"))
+
+
+_TOP = "SELECT * FROM (SELECT kind, ref_phrase, hyp_phrase, count(*) AS n FROM chunks WHERE kind = '{kind}' GROUP BY ALL ORDER BY n DESC, ref_phrase, hyp_phrase LIMIT {k}) WHERE n >= {least}"
+_TOPS = {"substitute": (25, 2), "insert": (20, 3), "delete": (20, 2)}
+
+
+@query(f"WITH RECURSIVE {X.misheard_sql()} " + " UNION ALL ".join(f"({_TOP.format(kind=kind, k=k, least=least)})" for kind, (k, least) in _TOPS.items()))
 def agg_ops_top(spark, d):
-    """The most frequent edit chunks of each kind. Which of equal alignments is taken decides the phrases, so SQL has no say."""
-    return errors.frequent_edits(X.pairs(spark, d), {"substitute": (25, 1), "insert": (20, 1), "delete": (20, 2)})
+    """The most frequent edit chunks of each kind: the k largest, and of those the ones that occur often enough."""
+    return errors.frequent_edits(X.misheard(spark, d), _TOPS)
 
 
 @query(f"{_ROWS} SELECT CASE WHEN seconds < 30 THEN '<30' WHEN seconds < 60 THEN '30-60' ELSE '>=60' END AS band, count(*) AS n, round(avg(wer), 6) AS mean_wer FROM s GROUP BY 1")

@@ -31,13 +31,13 @@ def src_split(spark, d):
     return tables.load_split(table(spark, d, "documents"), "lang", "de", ["doc_id"], cap=50).select("doc_id", "text", "n_chars")
 
 
-SPECS = [(1, " repo/a:train "), (2, "repo/b"), (3, ""), (4, "  "), (5, "repo/c: validation"), (6, "repo/d:")]
-
-
-@query("""SELECT id, trim(split_part(trim(s), ':', 1)) AS repo, coalesce(nullif(trim(split_part(trim(s), ':', 2)), ''), 'test') AS split
-FROM (VALUES (1::BIGINT, ' repo/a:train '), (2, 'repo/b'), (3, ''), (4, '  '), (5, 'repo/c: validation'), (6, 'repo/d:')) AS v(id, s) WHERE trim(s) <> ''""")
+@query("""WITH s AS (SELECT doc_id AS id, CASE doc_id % 6 WHEN 0 THEN ' ' || source || '/' || lang || ':train ' WHEN 1 THEN source WHEN 2 THEN '' WHEN 3 THEN '  ' WHEN 4 THEN source || ': validation' ELSE source || ':' END AS s FROM documents)
+SELECT id, trim(split_part(trim(s), ':', 1)) AS repo, coalesce(nullif(trim(split_part(trim(s), ':', 2)), ''), 'test') AS split FROM s WHERE trim(s) <> ''""")
 def src_spec(spark, d):
-    return spark.createDataFrame(SPECS, "id long, s string").select("id", dataset_spec(F.col("s")).alias("x")).where("x is not null").select("id", "x.repo", "x.split")
+    """Settings 'repo[:split]' taken apart; blank ones name nothing."""
+    kind = F.col("doc_id") % 6
+    said = F.when(kind == 0, F.concat(F.lit(" "), "source", F.lit("/"), "lang", F.lit(":train "))).when(kind == 1, F.col("source")).when(kind == 2, "").when(kind == 3, "  ").when(kind == 4, F.concat("source", F.lit(": validation"))).otherwise(F.concat("source", F.lit(":")))
+    return table(spark, d, "documents").select(F.col("doc_id").alias("id"), dataset_spec(said).alias("x")).where("x is not null").select("id", "x.repo", "x.split")
 
 
 @query(f"WITH {X.CLIPS} SELECT split, count(*) AS n, CAST(sum(n_samples) AS BIGINT) AS samples FROM clips GROUP BY split")
@@ -57,12 +57,12 @@ def src_iter(spark, d):
     return tables.head(table(spark, d, "documents"), ["doc_id"], 1).select("doc_id", "text")
 
 
-@query("SELECT unnest(['BENCHMARK.parquet', 'CONVERSATIONS.parquet', 'CUSTOMER.parquet', 'DOCUMENTS.parquet', 'EMBEDDINGS.parquet']) AS name")
+@query("""SELECT 'clips/' || split_part(url, '://', 2) || CASE page_id % 5 WHEN 0 THEN '.wav' WHEN 1 THEN '.WAV' WHEN 2 THEN '.txt' WHEN 3 THEN '.Flac' ELSE '' END AS name, page_id FROM pages WHERE page_id % 5 IN (0, 1, 3) ORDER BY name, page_id LIMIT 200""")
 def src_dir(spark, d):
-    """Names of the first five files of a folder that have an extension, in any case; read by Spark, as any store is."""
-    names = spark.createDataFrame([(n,) for n in tables.file_names(spark, d)], "name string")
-    found = tables.by_extension(names, "name", (".PARQUET",), 5)
-    return found.select(F.regexp_replace(F.upper("name"), "\\.PARQUET$", ".parquet").alias("name"))
+    """The first 200 sound files of a listing, by extension in any case, in order of their names."""
+    extension = F.element_at(F.array(*[F.lit(x) for x in (".wav", ".WAV", ".txt", ".Flac", "")]), (F.col("page_id") % 5 + 1).cast("int"))
+    names = table(spark, d, "pages").select(F.concat(F.lit("clips/"), F.split_part("url", F.lit("://"), F.lit(2)), extension).alias("name"), "page_id")
+    return tables.by_extension(names, "name", (".wav", ".flac"), 200)
 
 
 @query("SELECT conv_id * 1000 + turn AS id, text AS prompt, role AS category FROM conversations")
@@ -184,21 +184,26 @@ def snk_md(spark, d):
     return sinks.markdown(merging.beside(run(13), run(7)))
 
 
-_REPORT = f"""WITH {X.pairs_sql()}, s AS (SELECT row_idx AS id, prediction AS text, CASE WHEN row_idx % 13 = 0 THEN 1.5::DOUBLE ELSE word_edits / n_words * (1 + row_idx % 7) END AS wer, n_words * 0.5::DOUBLE AS seconds FROM p), {X.loops_sql("s")},
+_REPORT = f"""WITH RECURSIVE {X.pairs_sql()}, s AS (SELECT row_idx AS id, prediction AS text, CASE WHEN row_idx % 13 = 0 THEN 1.5::DOUBLE ELSE word_edits / n_words * (1 + row_idx % 7) END AS wer, n_words * 0.5::DOUBLE AS seconds FROM p), {X.loops_sql("s")},
 b AS (SELECT * FROM (VALUES (0, 'good', 0.0, 0.2), (1, 'moderate', 0.2, 0.4), (2, 'fair', 0.4, 0.6), (3, 'poor', 0.6, 0.8), (4, 'bad', 0.8, 1.01), (5, 'catastrophic', 1.01, 99.0)) AS v(place, band, lo, hi)),
 c AS (SELECT band, count(wer) AS n, 100.0 * count(wer) / (SELECT count(*) FROM s) AS pct FROM b LEFT JOIN s ON wer >= lo::DOUBLE AND wer < hi::DOUBLE GROUP BY band),
-r AS (SELECT wer, row_number() OVER (ORDER BY wer) - 1 AS i, count(*) OVER () AS n FROM s)
+r AS (SELECT wer, row_number() OVER (ORDER BY wer) - 1 AS i, count(*) OVER () AS n FROM s),
+ew AS (SELECT row_idx AS id, {X.error_words_sql("reference")} AS r, {X.error_words_sql("prediction")} AS h FROM p), {X.chunks_sql("ew")},
+es AS (SELECT x || '->' || y AS shift, CAST(sum(len(regexp_extract_all(array_to_string(r, ' '), x))) AS BIGINT) AS n FROM ew, (VALUES {", ".join(f"('{a}', '{b}')" for a, b in errors.SHIFTS)}) AS v(x, y) WHERE regexp_matches(array_to_string(r, ' '), x) AND regexp_matches(array_to_string(h, ' '), y) GROUP BY 1 ORDER BY n DESC, shift LIMIT 12),
+ec AS (SELECT kind, ref_phrase, hyp_phrase, count(*) AS n FROM chunks GROUP BY ALL),
+ek AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY n DESC, ref_phrase, hyp_phrase) AS place FROM ec)
 SELECT 'Total utterances: ' || count(*) AS line FROM s UNION ALL SELECT printf('WER normalized: mean=%.3f median=%.3f p90=%.3f', avg(wer), quantile_cont(wer, 0.5), (SELECT wer FROM r WHERE i = n * 9 // 10)) FROM s
 UNION ALL SELECT printf('  %s: %d (%.1f%%)', band, n, pct) FROM c UNION ALL SELECT printf('Looping preds: %d (%.1f%%)', count(*) FILTER (score >= 6), 100.0 * count(*) FILTER (score >= 6) / count(*)) FROM loops
+UNION ALL SELECT printf('  %4d  %s', n, shift) FROM es UNION ALL SELECT CASE kind WHEN 'substitute' THEN printf('  %4d  ''%s'' -> ''%s''', n, ref_phrase, hyp_phrase) WHEN 'insert' THEN printf('  %4d  +''%s''', n, hyp_phrase) ELSE printf('  %4d  -''%s''', n, ref_phrase) END FROM ek WHERE n >= CASE kind WHEN 'substitute' THEN 8 ELSE 12 END AND place <= CASE kind WHEN 'substitute' THEN 25 ELSE 20 END
 UNION ALL SELECT unnest(['Lexical shifts:', 'Top substitutions:', 'Top insertions:', 'Top deletions:'])
 UNION ALL SELECT printf('WER %ss: n=%d mean=%.3f', CASE WHEN seconds < 30 THEN '<30' WHEN seconds < 60 THEN '30-60' ELSE '>=60' END, count(*), avg(wer)) FROM s GROUP BY CASE WHEN seconds < 30 THEN '<30' WHEN seconds < 60 THEN '30-60' ELSE '>=60' END"""
 
 
 @query(_REPORT)
 def snk_txt(spark, d):
-    """The error report as one file, read back; without the lines of single edits, which rest on the choice among equal alignments."""
+    """The error report as one file, every line of it read back."""
     path = sinks.report(errors.report(cut(spread_rates(spark, d), "rates")), new_path(spark, "report"))
-    return spark.read.text(path).where(~F.col("value").rlike(r"^  +\d+  ")).select(F.col("value").alias("line"))
+    return spark.read.text(path).select(F.col("value").alias("line"))
 
 
 @query(f"WITH {X.MODEL_ROWS} SELECT model, count(*) AS n FROM model_rows GROUP BY model")

@@ -158,13 +158,16 @@ def set_inter(spark, d):
 
 @query("SELECT lower(text) AS k, min(doc_id) AS doc_id FROM documents GROUP BY 1")
 def set_dedup(spark, d):
-    """The first row of each key; its least id is found before the shuffle."""
-    return table(spark, d, "documents").groupBy(F.lower("text").alias("k")).agg(F.min("doc_id").alias("doc_id"))
+    """The first row of each text, found by digests."""
+    return merging.distinct_texts(table(spark, d, "documents").select("doc_id", F.lower("text").alias("k")), "k", "doc_id").select("k", "doc_id")
 
 
-@query()
+@query("""WITH a AS (SELECT doc_id AS id, 'domain' AS kind, 0 AS pick, row_number() OVER (ORDER BY doc_id) AS k FROM documents), b AS (SELECT item_id AS id, 'retention' AS kind, 1 AS pick, row_number() OVER (ORDER BY item_id) AS k FROM benchmark),
+m AS (SELECT * FROM a UNION ALL SELECT * FROM b), s AS (SELECT slot, CASE WHEN ('0x' || md5('42:' || slot)[1:8])::BIGINT < CAST(floor(0.05::DOUBLE * 4294967296) AS BIGINT) THEN 1 ELSE 0 END AS pick FROM (SELECT unnest(range((SELECT count(*) FROM m))) AS slot)),
+x AS (SELECT slot, pick, row_number() OVER (PARTITION BY pick ORDER BY slot) AS k FROM s), e AS (SELECT min(slot) AS last FROM x WHERE (pick = 0 AND k = (SELECT count(*) FROM a)) OR (pick = 1 AND k = (SELECT count(*) FROM b)))
+SELECT slot, id, kind FROM x JOIN m USING (pick, k) WHERE slot <= (SELECT last FROM e)""")
 def smp_mix(spark, d):
-    """Replay mixing; the draw is Spark's hash, which SQL elsewhere doesn't have."""
+    """Replay mixing by a draw that any engine can repeat."""
     a = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.lit("domain").alias("kind"))
     b = table(spark, d, "benchmark").select(F.col("item_id").alias("id"), F.lit("retention").alias("kind"))
     return merging.replayed(a, b, ["id"], 0.05).select("slot", "id", "kind")

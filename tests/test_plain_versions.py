@@ -6,6 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from parkwright.functions import bits
 from parkwright.functions import numbers as N
 from parkwright.functions import text as T
 from parkwright.operators import audit
@@ -54,6 +55,49 @@ def test_char_edits(spark):
     assert all(x["e"] == distance(x["r"], x["h"]) for x in got)
 
 
+def plain_steps(a, b):
+    """The whole table, walked back from its end."""
+    d = [list(range(len(b) + 1))]
+    for i, x in enumerate(a, 1):
+        row = [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(d[-1][j] + 1, row[-1] + 1, d[-1][j - 1] + (x != y)))
+        d.append(row)
+    out, i, j = [], len(a), len(b)
+    while i or j:
+        if i and j and d[i][j] == d[i - 1][j - 1] + (a[i - 1] != b[j - 1]):
+            i, j = i - 1, j - 1
+            out.append("equal" if a[i] == b[j] else "substitute")
+        elif i and d[i][j] == d[i - 1][j] + 1:
+            i -= 1
+            out.append("delete")
+        else:
+            j -= 1
+            out.append("insert")
+    return d[-1][-1], out[::-1]
+
+
+def test_bits_of_edits():
+    """Distances and canonical alignments on bits, against the whole table."""
+    for _ in range(1500):
+        k = R.randrange(1, 6)
+        a, b = ([R.choice("abcde"[:k]) for _ in range(R.randrange(14))] for _ in range(2))
+        assert (bits.distance(a, b), bits.steps(a, b)) == plain_steps(a, b)
+    a, b = ([R.choice("ab") for _ in range(700)] for _ in range(2))
+    assert (bits.distance(a, b), bits.steps(a, b)) == plain_steps(a, b)
+
+
+def test_long_pairs(spark):
+    """20,000 words with 3,000 changed, and 100,000 characters with 2,000 changed, left out or put in; short pairs beside them."""
+    words = [f"word{R.randrange(30_000)}" for _ in range(20_000)]
+    heard = [w if i % 7 else "other" for i, w in enumerate(words)]
+    letters = "".join(R.choice("abcdefgh") for _ in range(100_000))
+    typed = "".join("" if i % 100 == 3 else c + "z" if i % 100 == 50 else c for i, c in enumerate(letters))
+    rows = [(" ".join(words), " ".join(heard)), (letters, typed), ("a b", "a c"), (None, "x" * 9000), ("", "x"), ("x" * 9000, None)]
+    got = [(r["word_edits"], r["char_edits"]) for r in scoring.scored(spark.createDataFrame(rows, "reference string, prediction string")).collect()]
+    assert got[0][0] == 2858 and got[1] == (1, 2000) and got[2] == (1, 1) and got[3:] == [(None, None), (None, None), (1, 9000)]
+
+
 def plain_loop(text):
     """The longest run of one word; for groups of 2 to 4, how far the repeats reach from each start that leaves three groups."""
     w = text.split()
@@ -356,11 +400,54 @@ def test_audio(spark, tmp_path):
 
 
 def test_predictors_by_name(spark):
-    df = spark.createDataFrame([(1, " a  b. "), (2, "c:3")], "id long, audio string")
-    assert {"merged", "merged_large", "hosted", "whole_sequence", "frame_labels"} <= set(predictors.names())
-    assert {r["id"]: r["error"] for r in predictors.predict(df, "stub", "id", "audio").collect()} == {1: None, 2: "[ERROR: turn 3]"}
-    predictors.register("length", lambda batch: [str(len(x)) for x in batch])
-    assert sorted(r["prediction"] for r in predictors.predict(df, "length", "id", "audio").collect()) == ["3", "7"]
+    rows = [(1, [1, 1, 0, 2, 27, 27, 3], "a A b", " one. two? Three"), (2, [28], None, None), (3, None, "x", "é. é")]
+    df = spark.createDataFrame(rows, "id long, path array<int>, text string, said string")
+    got = lambda name, c: {r["id"]: (r["prediction"], r["error"]) for r in predictors.predict(df, name, "id", c).collect()}
+    assert {"frame_labels", "anti_loop", "casing"} <= set(predictors.names())
+    assert got("frame_labels", "path") == {1: ("ab c", None), 2: (None, "[ERROR: label 28]"), 3: ("", None)}
+    assert got("anti_loop", "text") == {1: ("a b", None), 2: ("", None), 3: ("x", None)}
+    assert got("casing", "said") == {1: ("One. Two? Three", None), 2: ("", None), 3: ("É. É", None)}
+    predictors.register("length", lambda: lambda batch: [str(len(x)) for x in batch])
+    assert sorted(r["prediction"] for r in predictors.predict(df.where("text is not null"), "length", "id", "text").collect()) == ["1", "5"]
+
+
+def test_a_predictor_is_set_up_once_a_task(spark, tmp_path):
+    """One set-up for each task with rows; batches of one size over the borders of Arrow batches; a failed batch is tried again, then row by row."""
+    import uuid
+
+    def note(kind, text=""):
+        (tmp_path / f"{kind}-{uuid.uuid4().hex}").write_text(text)
+
+    def setup():
+        note("setup")
+        tries = []
+
+        def model(batch):
+            note("batch", str(len(batch)))
+            tries.append(batch)
+            if any(x % 100 == 17 for x in batch):
+                raise ValueError("seventeen")
+            if any(x % 100 == 50 for x in batch) and tries.count(batch) == 1:
+                raise ValueError("not at first")
+            return [str(2 * x) for x in batch] + ([] if 99 not in batch else ["too many"])
+
+        return model
+
+    predictors.register("noted", setup, batch=7, retries=1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        rows = spark.range(0, 400, 1, 5).where("id < 320").withColumn("x", F.col("id"))
+        got = {r["id"]: r for r in predictors.predict(rows, "noted", "id", "x").collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == 320 and all(r["decode_wall_s"] >= 0 for r in got.values())
+    for i, r in got.items():
+        want = "[ERROR: seventeen]" if i % 100 == 17 else "[ERROR: 2 answers for 1 rows]" if i == 99 else None
+        assert r["error"] == want and r["prediction"] == (None if want else str(2 * i))
+    sizes = [int(f.read_text()) for f in tmp_path.glob("batch-*")]
+    assert len(list(tmp_path.glob("setup-*"))) == 4  # the fifth task has no rows
+    # of 80 rows eleven batches of seven and one of three; some again, and rows of failed ones alone
+    assert sizes.count(3) >= 4 and set(sizes) == {1, 3, 7} and sizes.count(7) >= 44
 
 
 def test_word_spans_of_wrong_paths(spark):
@@ -401,15 +488,76 @@ def test_checks_of_replies(spark):
     assert got[3]["passed"] and got[4]["passed"]
 
 
-def test_replay_keeps_order_and_share(spark):
-    a = spark.range(400).select("id", F.lit("d").alias("kind"))
-    b = spark.range(400).select("id", F.lit("r").alias("kind"))
-    rows = merging.replayed(a, b, ["id"], 0.9).orderBy("slot").collect()
-    for kind in "dr":
-        own = [x["id"] for x in rows if x["kind"] == kind]
-        assert own == list(range(len(own)))
-    share = sum(x["kind"] == "r" for x in rows) / len(rows)
-    assert 0.4 < share < 0.6 and merging.replayed(a, b, ["id"], 0.0).where("kind = 'r'").count() == 0
+def plain_replay(domain, retention, share, seed=42):
+    """One slot after the other, until one of the sets has no row left."""
+    import hashlib
+
+    out, left, slot = [], {0: list(domain), 1: list(retention)}, 0
+    while True:
+        pick = int(int(hashlib.md5(f"{seed}:{slot}".encode()).hexdigest()[:8], 16) < int(share * 2**32))
+        if not left[pick]:
+            return out
+        out.append((slot, left[pick].pop(0), "dr"[pick]))
+        if not left[pick]:
+            return out
+        slot += 1
+
+
+@pytest.mark.parametrize(("n", "m", "share"), [(400, 400, 0.9), (50, 400, 0.1), (400, 5, 0.3), (30, 30, 0.0), (30, 0, 0.2), (0, 30, 0.5), (0, 0, 0.5)])
+def test_replay(spark, n, m, share):
+    a = spark.range(n).select("id", F.lit("d").alias("kind"))
+    b = spark.range(m).select("id", F.lit("r").alias("kind"))
+    rows = merging.replayed(a, b, ["id"], share).orderBy("slot").select("slot", "id", "kind").collect()
+    assert [tuple(r) for r in rows] == plain_replay(range(n), range(m), min(share, 0.5))
+
+
+def test_distinct_texts(spark, monkeypatch):
+    """The least key of each text, whichever way the texts are found again."""
+    rows = [(i, f"t{i % 40}" if i % 7 else None) for i in range(300)] + [(3, "t3"), (3, "t3"), (None, "t3"), (None, "alone"), (None, "alone"), (5, "")]
+    df = spark.createDataFrame(rows, "id long, k string").repartition(4)
+    want = {k: min((i for i, x in rows if x == k and i is not None), default=None) for _, k in rows}
+    for most in (50_000, 45, 0):
+        monkeypatch.setattr(merging, "BROADCAST_ROWS", most)
+        got = merging.distinct_texts(df, "k", "id").collect()
+        assert {r["k"]: r["id"] for r in got} == want and len(got) == len(want)
+
+
+def test_selection(spark, monkeypatch):
+    """Values at places, against sorting; ties, huge spreads and infinities, with so few bins that many passes are needed."""
+    inf = float("inf")
+    for values in ([1.0] * 50, [R.random() for _ in range(500)], [R.choice([1.0, 2.0, 2.5]) for _ in range(300)], [10.0 ** R.randrange(-300, 300) * R.choice([-1, 1]) for _ in range(200)], [-inf, inf, inf, 0.0, 1.5, -1.7e308, 1.7e308], [5.0], []):
+        df = spark.createDataFrame([(v,) for v in [*values, None, float("nan")]], "x double").repartition(3)
+        for bins, few in ((2048, 10_000), (4, 3), (16, 0)):
+            monkeypatch.setattr(ranking, "BINS", bins)
+            monkeypatch.setattr(ranking, "FEW", few)
+            n, got = ranking.selected(df, "x", lambda n: [0, n // 3, n // 2, n * 9 // 10, n - 1, n, -1])
+            assert n == len(values) and got == {p: sorted(values)[p] for p in {0, n // 3, n // 2, n * 9 // 10, n - 1} if 0 <= p < n}
+
+
+def test_long_clips_pack_in_one_walk(spark):
+    """20,000 words: linear, and as the plain walk; with spans that are longer than a chunk, and ranges of letters with and without marks."""
+    import time
+
+    ends = [0.37 * i + (40 if i > 15_000 else 0) for i in range(1, 20_001)]
+    df = spark.createDataFrame([([(e - 0.37, e) for e in ends], [f"w{'abc'[i % 3] * (i % 4)}" for i in range(20_000)])], "s array<struct<start:double,end:double>>, w array<string>").cache()
+    df.count()
+    began = time.perf_counter()
+    got = df.select(C.packed_spans(F.col("s"), 28.0).alias("c")).first()["c"]
+    assert time.perf_counter() - began < 20
+    want, start = [[0]], ends[0] - 0.37
+    for i in range(1, 20_000):
+        if ends[i] - start > 28.0:
+            want.append([])
+            start = ends[i] - 0.37
+        want[-1].append(i)
+    assert got == want
+    for separator in (True, False):
+        t = df.select(C.token_ranges(F.col("w"), "abc", separator).alias("t")).first()["t"]
+        at, ranges = 0, []
+        for i in range(20_000):
+            ranges.append((at, at + i % 4))
+            at += i % 4 + separator
+        assert [tuple(r) for r in t["ranges"]] == ranges and len(t["labels"]) == ranges[-1][1]
 
 
 def test_numbers(spark):
