@@ -1,4 +1,4 @@
-"""Sound: WAV bytes, downmix and resampling, in Arrow batches of whole clips."""
+"""Sound: WAV and FLAC bytes, downmix and resampling, in Arrow batches of whole clips."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parkwright.functions.numbers import MAX_CLIP_SECONDS, SAMPLE_RATE
+from parkwright.operators import flac
 
 #: Crossings of zero that the resampling filter has on either side, and the part of the band it lets through.
 CROSSINGS, ROLLOFF = 6, 0.99
@@ -105,8 +106,8 @@ def prepared(rows: DataFrame, key: str, audio: str, to: int | None = SAMPLE_RATE
     """(key, samples, sampling_rate, error): one channel at the rate ``to``, at most ``most_seconds``; None leaves either as it is.
 
     ``audio`` is a struct with an ``array`` (of samples, or of channels) and its
-    ``sampling_rate``, or else with WAV ``bytes``. What can't be read has an error
-    instead of samples.
+    ``sampling_rate``, or else with WAV or FLAC ``bytes``. What can't be read has an error
+    instead of samples. Long recordings are better decoded by their frames (``flac``).
     """
     kind = rows.schema[key].dataType.simpleString()
 
@@ -117,12 +118,12 @@ def prepared(rows: DataFrame, key: str, audio: str, to: int | None = SAMPLE_RATE
             if a.get("array") is not None:
                 x, rate = mono(np.array(a["array"], float)), int(a.get("sampling_rate") or SAMPLE_RATE)
             else:
-                x, rate = decode_wav(a["bytes"])
+                x, rate = flac.decode(a["bytes"]) if a["bytes"][:4] == flac.MAGIC else decode_wav(a["bytes"])
                 x = x.mean(axis=1)
             if to is not None:
                 x, rate = resampled(x, rate, to), to
             return (x if most_seconds is None else x[: int(most_seconds * rate)]).tolist(), rate, None
-        except (ValueError, struct.error, ZeroDivisionError) as e:
+        except (ValueError, IndexError, struct.error, ZeroDivisionError) as e:
             return None, None, f"[ERROR: {e}]"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from parkwright.functions.text import dataset_spec
-from parkwright.operators import audio, errors, merging, scoring
+from parkwright.operators import audio, errors, flac, merging, scoring
 from parkwright.plans import fixtures as X
 from parkwright.plans.registry import query, table
 from parkwright.sources import sinks, tables
@@ -98,19 +98,32 @@ def src_json(spark, d):
 
 
 @query("""SELECT vec_id, CAST(len(embedding) AS BIGINT) AS n_samples, CAST(list_sum(list_transform(embedding, lambda x: CAST(floor(x::DOUBLE * 1000) AS BIGINT))) * 2 AS BIGINT) AS total, kind
-FROM embeddings, (SELECT unnest(['array', 'bytes']) AS kind)""")
+FROM embeddings, (SELECT unnest(['array', 'bytes', 'flac']) AS kind)""")
 def src_audio(spark, d):
-    """Clips as structs with samples of two channels, and as WAV bytes of them; the mean of a sample and its triple is its double."""
+    """Clips as structs with samples of two channels, and as WAV and FLAC bytes of them; the mean of a sample and its triple is its double."""
     whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 1000).cast("int"))
     rows = table(spark, d, "embeddings").select("vec_id", whole.alias("w"))
     arrays = rows.select("vec_id", F.struct(F.array(F.transform("w", lambda x: x / 32768), F.transform("w", lambda x: x * 3 / 32768)).alias("array"), F.lit(16000).alias("sampling_rate")).alias("audio"))
-    content = audio.wav_bytes(rows.select("vec_id", F.transform("w", lambda x: F.array(x, x * 3)).alias("w")), "vec_id", "w")
-    files = content.select("vec_id", F.struct(F.col("content").alias("bytes")).alias("audio"))
+    both = rows.select("vec_id", F.transform("w", lambda x: F.array(x, x * 3)).alias("w"))
+    held = lambda content: content.select("vec_id", F.struct(F.col("content").alias("bytes")).alias("audio"))
+    files, packed = held(audio.wav_bytes(both, "vec_id", "w")), held(flac.flac_bytes(both, "vec_id", "w", 16000, block=24))
     total = F.aggregate("samples", F.lit(0).cast("long"), lambda a, x: a + F.round(x.cast("double") * 32768).cast("long"))
-    read = {"array": audio.prepared(arrays, "vec_id", "audio"), "bytes": audio.prepared(files, "vec_id", "audio")}
+    read = {"array": audio.prepared(arrays, "vec_id", "audio"), "bytes": audio.prepared(files, "vec_id", "audio"), "flac": audio.prepared(packed, "vec_id", "audio")}
     return merging.concatenated({k: v.select("vec_id", F.size("samples").cast("long").alias("n_samples"), total.alias("total")) for k, v in read.items()}, "kind")
 
 
+@query("""SELECT vec_id, i // 24 * 24 AS first_sample, count(*) AS n_samples, CAST(sum(CAST(floor(x::DOUBLE * 1000) AS BIGINT) * 2 * (i % 24 + 1)) AS BIGINT) AS total, 16000 AS rate
+FROM (SELECT vec_id, unnest(embedding) AS x, unnest(range(len(embedding))) AS i FROM embeddings) GROUP BY ALL""")
+def src_flac(spark, d):
+    """Recordings cut at their frames, each frame decoded in a row of its own; samples weighed by their place in the frame."""
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 1000).cast("int"))
+    rows = table(spark, d, "embeddings").select("vec_id", F.transform(whole, lambda x: F.array(x, x * 3)).alias("w"))
+    files = cut(flac.flac_bytes(rows, "vec_id", "w", 16000, block=24), "flac")
+    parts = flac.decoded(flac.frame_rows(files, "vec_id", "content"), "vec_id")
+    weighed = F.transform("samples", lambda x, i: F.round(x.cast("double") * 32768).cast("long") * (i + 1))
+    return parts.select("vec_id", "first_sample", F.size("samples").cast("long").alias("n_samples"), F.aggregate(weighed, F.lit(0).cast("long"), lambda a, x: a + x).alias("total"), "rate")
+
+
 @query("SELECT event_id AS line, CASE WHEN event_id % 5 = 0 THEN 'model_type' ELSE 'data_path' END AS kind, event_type || event_id AS value FROM events WHERE event_id % 5 IN (0, 2)")
 def src_log(spark, d):
     """(line, kind, value) hits of two patterns in a tool's log."""

@@ -11,7 +11,7 @@ from parkwright.functions import numbers as N
 from parkwright.functions import text as T
 from parkwright.operators import audit
 from parkwright.operators import chunking as C
-from parkwright.operators import audio, errors, gates, merging, predictors, ranking, scoring
+from parkwright.operators import audio, errors, flac, gates, merging, predictors, ranking, scoring
 from parkwright.sources import sinks, tables
 from parkwright.sources.shared import new_path
 
@@ -399,6 +399,75 @@ def test_audio(spark, tmp_path):
     assert len(low) == 1600 and np.abs(low - np.sin(2 * np.pi * 500 * np.arange(1600) / 16000))[50:-50].max() < 0.01 and np.abs(high[50:-50]).max() < 0.01
 
 
+def test_flac_files():
+    """What is written comes back: silence, noise, tones, steps; one channel and more; sync codes inside the sound."""
+    import numpy as np
+
+    r = np.random.default_rng(4)
+    assert flac.crc8(b"123456789") == 0xF4 and flac.crc16(b"123456789") == 0xFEE8  # fixed values: check sums of the usual test
+    for n, channels, block in ((0, 1, 16), (1, 1, 16), (5, 2, 16), (1000, 2, 300), (6000, 1, 4096), (900, 3, 6)):
+        for x in (r.integers(-32768, 32768, (n, channels)), np.full((n, channels), -7), np.cumsum(r.integers(-9, 10, (n, channels)), 0), np.full((n, channels), -1) * (np.arange(n) % 5 > 0)[:, None]):
+            for joint in (True, False):
+                frames, rate = flac.decode(flac.encode(x, 8000, block=block, joint=joint))
+                assert rate == 8000 and np.array_equal(frames * 32768, x)
+
+
+def test_flac_frames_of_other_writers():
+    """Frames made bit by bit: linear prediction, mid and side, wasted bits, verbatim, several partitions, raw residuals, numbers of samples."""
+    import numpy as np
+
+    def frame(channels, samples, *subframes, number=b"\x00", sync=b"\xff\xf8"):
+        head = sync + bytes([6 << 4, channels << 4 | 4 << 1]) + number + bytes([samples - 1])
+        bits = "".join(subframes)
+        body = int(bits + "0" * (-len(bits) % 8), 2).to_bytes((len(bits) + 7) // 8, "big")
+        whole = head + bytes([flac.crc8(head)]) + body
+        return whole + flac.crc16(whole).to_bytes(2, "big")
+
+    num = lambda x, n: format(x & (1 << n) - 1, f"0{n}b")
+    rice = lambda xs, k: "".join("0" * ((x << 1 ^ x >> 63) >> k) + "1" + (num(x << 1 ^ x >> 63, k) if k else "") for x in xs)
+    x = [5, 9, 20, -3, 7, 7, 100, -90]
+    factors, shift = [3, -2], 1
+    left = [x[i] - (factors[0] * x[i - 1] + factors[1] * x[i - 2] >> shift) for i in range(2, 8)]
+    # order 2, five bits for a factor, two partitions: one in Rice code, one raw in nine bits
+    lpc = "0" + num(33, 6) + "0" + num(5, 16) + num(9, 16) + num(4, 4) + num(shift, 5) + num(3, 5) + num(-2, 5) + "00" + num(1, 4) + num(3, 4) + rice(left[:2], 3) + num(15, 4) + num(9, 5) + "".join(num(e, 9) for e in left[2:])
+    assert flac.decode_frame(frame(0, 8, lpc), 16)[:, 0].tolist() == x
+    wasted = "0" + num(1, 6) + "1" + "001" + "".join(num(v, 13) for v in x)
+    assert flac.decode_frame(frame(0, 8, wasted), 16)[:, 0].tolist() == [v * 8 for v in x]
+    a, b = np.array(x), np.array([4, 4, -7, 30, 2, -2, 99, 3])
+    plain = lambda v, n: "0" + num(1, 6) + "0" + "".join(num(int(e), n) for e in v)
+    for kind, first, second in ((8, plain(a, 16), plain(a - b, 17)), (9, plain(a - b, 17), plain(b, 16)), (10, plain(a + b >> 1, 16), plain(a - b, 17)), (1, plain(a, 16), plain(b, 16))):
+        assert np.array_equal(flac.decode_frame(frame(kind, 8, first, second), 16), np.c_[a, b])
+    damaged = bytearray(frame(0, 8, lpc))
+    damaged[-4] ^= 1
+    with pytest.raises(ValueError, match="damaged"):
+        flac.decode_frame(bytes(damaged), 16)
+    # two frames numbered by their first sample, with a sync code and a sound header inside the first
+    inner = frame(0, 2, plain([1, 2], 16), number=b"\x05")
+    noise = frame(0, 10, "0" + num(1, 6) + "0" + "".join(num(int.from_bytes(inner[i : i + 2], "big"), 16) for i in range(0, 12, 2)) + num(0, 64), sync=b"\xff\xf9")
+    both = noise + frame(0, 8, lpc, number=b"\x0a", sync=b"\xff\xf9")
+    info = b"fLaC\x80\x00\x00\x22" + bytes(10) + (16000 << 44 | 15 << 36 | 18).to_bytes(8, "big") + bytes(16)
+    assert [at for at, _ in flac.frames(info + both)] == [0, 10] and flac.decode(info + both)[0].shape == (18, 1)
+
+
+def test_frames_are_rows(spark):
+    """A long recording becomes rows that many tasks decode; what is damaged or no such file has an error of its own."""
+    import numpy as np
+
+    x = (9000 * np.sin(np.arange(40_000) / 17)).astype(int)
+    whole = flac.encode(x, 16000, block=512)
+    broken = bytearray(whole)
+    broken[len(whole) // 2] ^= 64
+    rows = spark.createDataFrame([(1, bytearray(whole), "f"), (2, broken, "f"), (3, bytearray(b"RIFF"), "f"), (4, None, "f"), (5, bytearray(b"fLaC\x00"), "f")], "id long, content binary, frame string")
+    parts = flac.frame_rows(rows, "id", "content")
+    found = flac.decoded(parts, "id").withColumn("p", F.spark_partition_id()).collect()
+    own = sorted((r for r in found if r["id"] == 1), key=lambda r: r["first_sample"])
+    assert len(own) == 79 and len({r["p"] for r in own}) > 1 and np.array_equal(np.round(np.concatenate([r["samples"] for r in own]) * 32768), x)
+    assert [r["error"] is not None for r in found if r["id"] == 2].count(True) == 1 and all(r["error"].startswith("[ERROR") for r in found if r["id"] > 2)
+    one = spark.createDataFrame([(1, (None, None, bytearray(whole)))], "id long, audio struct<array:array<double>,sampling_rate:int,bytes:binary>")
+    got = audio.prepared(one, "id", "audio").first()
+    assert got["error"] is None and np.array_equal(np.round(np.array(got["samples"]) * 32768), x)
+
+
 def test_predictors_by_name(spark):
     rows = [(1, [1, 1, 0, 2, 27, 27, 3], "a A b", " one. two? Three"), (2, [28], None, None), (3, None, "x", "é. é")]
     df = spark.createDataFrame(rows, "id long, path array<int>, text string, said string")
