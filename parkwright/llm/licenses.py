@@ -14,8 +14,9 @@ another. Of windows that overlap, the one with most shared bigrams counts. TEMPL
 are short notices and the paragraphs of licences, so a licence text is found by its
 paragraphs, however its lines are broken.
 
-Scale: native expressions look at each text in its own task; nothing is shuffled,
-and the templates are constants of the plan.
+Scale: native expressions look at each text in its own task; nothing is shuffled.
+The templates are one constant table that expressions walk, so the plan is the same for
+ten templates and for thousands.
 
 Defined cases: null, empty and unmatched texts get no licence (empty string,
 null best). Of templates with equal coefficients the first by name wins. Repeated
@@ -26,6 +27,7 @@ rows out.
 
 from __future__ import annotations
 
+import json
 import re
 from fractions import Fraction
 
@@ -64,9 +66,16 @@ TEMPLATES = {
 }
 RESTRICTED = ("AGPL-3.0-header", "CC-BY-NC-4.0", "CC-BY-NC-4.0-long", "GPL-3.0", "GPL-3.0-header")
 THRESHOLD = Fraction(4, 5)
+_TEMPLATE = "array<struct<name:string,bigrams:array<string>,n:int,low:int,high:int,span:int>>"
 _WINDOW = "struct<less:int,sizes:int,name:string,start:int,end:int>"
 
 
+def by_paragraphs(texts: dict[str, str], least_words: int = 8) -> dict[str, str]:
+    """Templates of whole licence texts: each paragraph of at least ``least_words`` words, as 'name/place'."""
+    parts = {name: [p for p in re.split(r"\n[ \t]*\n", text) if len(template_words(p)) >= least_words] for name, text in texts.items()}
+    return {f"{name}/{i}": " ".join(p.split()) for name, own in parts.items() for i, p in enumerate(own, 1)}
+
+
 def template_words(text: str) -> list[str]:
     return re.findall(r"[^\W_]+", text.lower())
 
@@ -82,24 +91,32 @@ def anchors(bigrams: list[str], least_share: Fraction) -> list[str]:
     return sorted(bigrams, key=lambda b: (-max(map(len, b.split())), b))[: len(bigrams) - needed + 1]
 
 
+def _constant(value: list, kind: str) -> Column:
+    """``value`` as one constant of the plan, however long it is."""
+    return F.from_json(F.lit(json.dumps(value)), kind)
+
+
 def matches(text: Column, templates: dict[str, str] = TEMPLATES, threshold: Fraction = THRESHOLD) -> Column:
     """(shared, sizes, name) of the best template of each unit that matches one, and of notices only found inside; Dice is 2 shared / sizes."""
     sets, share = {name: template_bigrams(t) for name, t in sorted(templates.items())}, threshold / (2 - threshold)
     low = {n: -(-share.numerator * len(s) // share.denominator) for n, s in sets.items()}
     high = {n: share.denominator * len(s) // share.numerator for n, s in sets.items()}
+    # a bigram may come again in a notice, so it may be longer than its set
+    span = {n: high[n] + len(template_words(templates[n])) - 1 - len(s) for n, s in sets.items()}
     # one word of each anchor bigram, the longer
     bigrams = sorted({b for s in sets.values() for b in anchors(s, share)})
-    words = sorted({max(b.split(), key=len) for b in bigrams})
-    wanted = F.array(*[F.lit(w) for w in words])
+    wanted = _constant(sorted({max(b.split(), key=len) for b in bigrams}), "array<string>")
     least = min(low.values()) + 1
+    every_bigram = sorted({b for s in sets.values() for b in s})
+    table = _constant([{"name": n, "bigrams": s, "n": len(s), "low": low[n], "high": high[n], "span": span[n]} for n, s in sets.items()], _TEMPLATE)
     lines = F.split(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}\n]+", " "), "\n")
     split = lambda line: F.array_remove(F.split(line, "[ \n]+"), "")
 
-    def unit(w: Column) -> Column:
+    def unit(w: Column, all_templates: Column) -> Column:
         bigrams = F.array_distinct(F.transform(F.slice(w, 2, F.size(w) - 1), lambda x, i: F.concat(F.get(w, i), F.lit(" "), x)))
-        one = lambda b, n: F.struct(F.size(F.array_intersect(b, F.array(*[F.lit(x) for x in sets[n]]))).alias("shared"), (F.size(b) + len(sets[n])).alias("sizes"), F.lit(n).alias("name"))
-        enough = lambda m: m.isNotNull() & (m["shared"] * 2 * threshold.denominator >= m["sizes"] * threshold.numerator)
-        every = lambda b: F.filter(F.array(*[F.when(F.size(b).between(low[n], high[n]), one(b, n)) for n in sets]), enough)
+        one = lambda b, t: F.struct(F.size(F.array_intersect(b, t["bigrams"])).alias("shared"), (F.size(b) + t["n"]).alias("sizes"), t["name"].alias("name"))
+        enough = lambda m: m["shared"] * 2 * threshold.denominator >= m["sizes"] * threshold.numerator
+        every = lambda b: F.filter(F.transform(F.filter(all_templates, lambda t: F.size(b).between(t["low"], t["high"])), lambda t: one(b, t)), enough)
         # the first of the highest coefficients, compared in whole numbers
         better = lambda a, m: F.when(a.isNull() | (m["shared"] * a["sizes"] > a["shared"] * m["sizes"]), m).otherwise(a)
         return let(bigrams, lambda b: F.aggregate(every(b), F.lit(None).cast("struct<shared:int,sizes:int,name:string>"), better))
@@ -110,49 +127,47 @@ def matches(text: Column, templates: dict[str, str] = TEMPLATES, threshold: Frac
         # a text that is one paragraph, or one line, is looked at once
         return F.array_distinct(F.concat(rows, paragraphs, F.array(whole)))
 
-    def windows(w: Column) -> Column:
+    def windows(w: Column, all_templates: Column) -> Column:
         """(shared, sizes, name) of the notices inside ``w``, those with most shared bigrams first, none over another."""
-        every = F.array(*[F.lit(x) for x in sorted({b for s in sets.values() for b in s})])
-        # a bigram may come again in a notice, so it may be longer than its set
-        span = {n: high[n] + len(template_words(templates[n])) - 1 - len(s) for n, s in sets.items()}
+        every = _constant(every_bigram, "array<string>")
 
-        def one(n: str, bigrams: Column, hits: Column) -> Column:
+        def one(t: Column, bigrams: Column, hits: Column) -> Column:
             def window(own: Column, i: Column, j: Column) -> Column:
                 start, end = F.get(own, i)["at"], F.get(own, j)["at"]
                 shared = F.size(F.array_distinct(F.transform(F.slice(own, i + 1, j - i + 1), lambda h: h["b"])))
                 size = F.size(F.array_distinct(F.slice(bigrams, start + 1, end - start + 1)))
-                return F.when(end - start < span[n], F.struct((-shared).alias("less"), (size + len(sets[n])).alias("sizes"), F.lit(n).alias("name"), start.alias("start"), end.alias("end")))
+                return F.when(end - start < t["span"], F.struct((-shared).alias("less"), (size + t["n"]).alias("sizes"), t["name"].alias("name"), start.alias("start"), end.alias("end")))
 
             def ends(own: Column, i: Column) -> Column:
-                return F.filter(F.transform(F.sequence(i + (low[n] - 1), F.size(own) - 1), lambda j: window(own, i, j)), lambda m: m.isNotNull() & (-m["less"] * 2 * threshold.denominator >= m["sizes"] * threshold.numerator))
+                return F.filter(F.transform(F.sequence(i + (t["low"] - 1), F.size(own) - 1), lambda j: window(own, i, j)), lambda m: m.isNotNull() & (-m["less"] * 2 * threshold.denominator >= m["sizes"] * threshold.numerator))
 
-            near = lambda own, i: F.get(own, i + (low[n] - 1))["at"] - F.get(own, i)["at"] < span[n]
+            near = lambda own, i: F.get(own, i + (t["low"] - 1))["at"] - F.get(own, i)["at"] < t["span"]
             # a best window starts and ends at bigrams of its template
-            found = lambda own: F.when(F.size(own) >= low[n], F.flatten(F.transform(F.filter(F.sequence(F.lit(0), F.size(own) - low[n]), lambda i: near(own, i)), lambda i: ends(own, i))))
-            return F.coalesce(let(F.filter(hits, lambda h: F.array_contains(F.array(*[F.lit(x) for x in sets[n]]), h["b"])), found), F.array().cast(f"array<{_WINDOW}>"))
+            found = lambda own: F.when(F.size(own) >= t["low"], F.flatten(F.transform(F.filter(F.sequence(F.lit(0), F.size(own) - t["low"]), lambda i: near(own, i)), lambda i: ends(own, i))))
+            return F.coalesce(let(F.filter(hits, lambda h: F.array_contains(t["bigrams"], h["b"])), found), F.array().cast(f"array<{_WINDOW}>"))
 
         apart = lambda m, o: (m["end"] < o["start"]) | (o["end"] < m["start"])
         take = lambda kept, m: F.when(F.forall(kept, lambda o: apart(m, o)), F.array_append(kept, m)).otherwise(kept)
-        all_of = lambda bigrams, hits: F.array_sort(F.concat(*[one(n, bigrams, hits) for n in sets]))
+        all_of = lambda bigrams, hits: F.array_sort(F.flatten(F.transform(all_templates, lambda t: one(t, bigrams, hits))))
         chosen = lambda bigrams, hits: F.aggregate(all_of(bigrams, hits), F.array().cast(f"array<{_WINDOW}>"), take)
         placed = lambda bigrams, present: F.filter(F.transform(bigrams, lambda b, i: F.when(F.array_contains(present, b), F.struct(i.alias("at"), b.alias("b")))), lambda h: h.isNotNull())
         bigrams = F.transform(F.slice(w, 2, F.size(w) - 1), lambda x, i: F.concat(F.get(w, i), F.lit(" "), x))
         rows = let(bigrams, lambda bs: let(F.array_intersect(bs, every), lambda present: F.when(F.size(present) >= min(low.values()), let(placed(bs, present), lambda hits: chosen(bs, hits)))))
         return F.transform(rows, lambda m: F.struct((-m["less"]).alias("shared"), m["sizes"].alias("sizes"), m["name"].alias("name")))
 
-    def with_windows(worth: Column) -> Column:
+    def with_windows(worth: Column, all_templates: Column) -> Column:
         # the whole text is the last unit, and worth it if any unit is
-        inside = F.when(F.size(worth) > 0, windows(F.get(worth, F.size(worth) - 1)))
+        inside = F.when(F.size(worth) > 0, windows(F.get(worth, F.size(worth) - 1), all_templates))
         added = lambda own: F.filter(inside, lambda m: ~F.exists(own, lambda o: o["name"] == m["name"]))
-        return let(F.filter(F.transform(worth, unit), lambda m: m.isNotNull()), lambda own: F.coalesce(F.concat(own, added(own)), own))
+        return let(F.filter(F.transform(worth, lambda w: unit(w, all_templates)), lambda m: m.isNotNull()), lambda own: F.coalesce(F.concat(own, added(own)), own))
 
     def looked_at(rows: Column) -> Column:
         worth = F.filter(F.transform(units(rows), split), lambda w: (F.size(w) >= least) & F.arrays_overlap(w, wanted))
         # most texts have none of the words, or none of the bigrams, anywhere
         none = F.array().cast("array<struct<shared:int,sizes:int,name:string>>")
         pairs = lambda w: F.transform(F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))), lambda x, i: F.concat(F.get(w, i), F.lit(" "), x))
-        anchored = lambda w: F.arrays_overlap(w, wanted) & F.arrays_overlap(pairs(w), F.array(*[F.lit(b) for b in bigrams]))
-        return let(split(F.array_join(rows, " ")), lambda w: F.when(anchored(w), let(worth, with_windows)).otherwise(none))
+        anchored = lambda w: F.arrays_overlap(w, wanted) & F.arrays_overlap(pairs(w), _constant(bigrams, "array<string>"))
+        return let(split(F.array_join(rows, " ")), lambda w: F.when(anchored(w), let(worth, lambda own: let(table, lambda t: with_windows(own, t)))).otherwise(none))
 
     return let(lines, looked_at)
 

@@ -553,6 +553,24 @@ def test_whole_licenses(spark):
         assert want <= got[i] and not any(x.startswith(("GPL", "AGPL", "CC", "MPL")) for x in got[i]), (i, got[i])
 
 
+def test_many_templates(spark):
+    """Hundreds of templates, made from whole texts by their paragraphs: found like few, with a plan of the same size."""
+    import time
+
+    texts = {f"licence-{i}": "\n\n".join(words(30, 1000 * i + k, 10**6) for k in range(3)) + "\n\nshort one" for i in range(150)}
+    many = licenses.by_paragraphs(texts | {"MIT": MIT_TEXT})
+    assert len(many) == 150 * 3 + 3 and many["licence-4/2"] == words(30, 4001, 10**6)
+    rows = [(0, "A file.\n\n" + texts["licence-7"].replace("\n\n", "\n \n")), (1, MIT_TEXT), (2, f"{words(40, 1)} {many['licence-149/3']} {words(40, 2)}"), (3, words(200, 5))]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    licenses.scan(table).count()
+    began = time.perf_counter()
+    got = {r["doc_id"]: r["licenses"] for r in licenses.scan(table, many).collect()}
+    took = time.perf_counter() - began
+    assert got == {0: "licence-7/1,licence-7/2,licence-7/3", 1: "MIT/1,MIT/2,MIT/3", 2: "licence-149/3", 3: ""}
+    size = lambda t: len(licenses.scan(table, t)._jdf.queryExecution().analyzed().toString().split("lambda"))
+    assert took < 30 and size(many) == size(dict(list(many.items())[:2]))
+
+
 def test_packing_edges(spark, docs, rows):
     import public_tokenizers
     from tokenizers import Tokenizer
