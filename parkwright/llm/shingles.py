@@ -6,7 +6,7 @@ two texts share one with a chance of 1 - (1 - 0.8^4)^16, all but 2 in 10,000. Wh
 shares a bucket is compared by the exact Jaccard coefficient of the sets, until it is
 in one group: each text first with the text that it shares most buckets with among
 the ends of its buckets (the first and the last in an order that differs from band to
-band), then ends that are still apart, and at last, in buckets that still hold several
+band; sets of too different sizes can't be alike), then ends that are still apart, and at last, in buckets that still hold several
 groups, every two members of different groups. So pairs are proposed in number of the
 members, and what that leaves open is decided inside the buckets without a cap.
 
@@ -72,17 +72,24 @@ def bands(least: np.ndarray) -> np.ndarray:
     return mixed.view(np.int64)
 
 
+def _able(a, b):
+    """Whether sets of these sizes may have a coefficient of SIMILARITY: the smaller can't share more than it has."""
+    part, whole = SIMILARITY
+    return F.least(a, b) * whole >= F.greatest(a, b) * part
+
+
 def buckets(marked: DataFrame) -> DataFrame:
-    """(key, bucket) of each key in ``marked`` (key, bands): texts of one bucket agree in a band."""
-    rows = marked.where(F.size("bands") > 0).dropDuplicates(["key"]).select("key", F.posexplode("bands").alias("band", "value"))
-    return cut(rows.select("key", F.xxhash64("band", "value").alias("bucket")), "buckets")
+    """(key, size, bucket) of each key in ``marked`` (key, size, bands): texts of one bucket agree in a band."""
+    rows = marked.where(F.size("bands") > 0).dropDuplicates(["key"]).select("key", "size", F.posexplode("bands").alias("band", "value"))
+    return cut(rows.select("key", "size", F.xxhash64("band", "value").alias("bucket")), "buckets")
 
 
 def candidates(rows: DataFrame) -> DataFrame:
-    """(a, b, n): each key in ``rows`` (key, bucket) with the ends of its buckets, and how many buckets propose the pair."""
-    order = F.struct(F.xxhash64("key", "bucket").alias("h"), "key")
-    ends = rows.groupBy("bucket").agg(F.min(order)["key"].alias("low"), F.max(order)["key"].alias("high")).where("low <> high")
-    paired = rows.join(cut(ends, "ends"), "bucket").select("key", F.explode(F.array("low", "high")).alias("other")).where("key <> other")
+    """(a, b, n): each key in ``rows`` (key, size, bucket) with the ends of its buckets whose sizes allow it, and how many buckets propose the pair."""
+    order = F.struct(F.xxhash64("key", "bucket").alias("h"), "key", "size")
+    ends = rows.groupBy("bucket").agg(F.min(order).alias("low"), F.max(order).alias("high")).where("low.key <> high.key")
+    paired = rows.join(cut(ends, "ends"), "bucket").select("key", "size", F.explode(F.array("low", "high")).alias("o"))
+    paired = paired.where((F.col("key") != F.col("o.key")) & _able(F.col("size"), F.col("o.size"))).select("key", F.col("o.key").alias("other"))
     return cut(paired.groupBy(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).agg(F.count(F.lit(1)).alias("n")), "pairs")
 
 
@@ -108,10 +115,8 @@ def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """(a, b): the ``pairs`` (a, b) of keys whose shingles have a Jaccard coefficient of at least SIMILARITY; ``texts`` has (key, text as binary)."""
     sets = sets_of(texts, _ends(pairs))
     both = pairs.join(sets.select(F.col("key").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("key").alias("b"), F.col("s").alias("sb")), "b")
-    # sizes alone rule most others out
     shared, sizes, (part, whole) = F.size(F.array_intersect("sa", "sb")), F.size("sa") + F.size("sb"), SIMILARITY
-    able = F.least(F.size("sa"), F.size("sb")) * whole >= F.greatest(F.size("sa"), F.size("sb")) * part
-    return cut(both.where(able & (shared * whole >= (sizes - shared) * part)).select("a", "b"), "verified")
+    return cut(both.where(_able(F.size("sa"), F.size("sb")) & (shared * whole >= (sizes - shared) * part)).select("a", "b"), "verified")
 
 
 def forest(sets: list[np.ndarray], groups: list[bytes]) -> list[tuple[int, int]]:

@@ -167,16 +167,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def _scanned(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, fp, bands) for each row of ``docs``, in one pass over its texts."""
+    """(doc_id, key, fp, size, bands) for each row of ``docs``, in one pass over its texts; size is the number of shingles."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             texts = b.column(2).to_pylist()
             fps = pa.array([fingerprint(t) for t in texts], pa.int64())
-            marks = pa.array([bands(minhashes(s)) if len(s := shingles(t)) else [] for t in texts], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), fps, marks], names=["doc_id", "key", "fp", "bands"])
+            marks = [(len(s), bands(minhashes(s)) if len(s) else []) for s in map(shingles, texts)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), fps, pa.array([n for n, _ in marks], pa.int32()), pa.array([m for _, m in marks], pa.list_(pa.int64()))], names=["doc_id", "key", "fp", "size", "bands"])
 
-    return _keyed(docs).mapInArrow(work, "doc_id long, key binary, fp long, bands array<long>")
+    return _keyed(docs).mapInArrow(work, "doc_id long, key binary, fp long, size int, bands array<long>")
 
 
 def _key(text: Column) -> Column:
@@ -203,7 +203,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     ends = links(firsts.select("fp")).join(firsts.select(F.col("fp").alias("a"), F.col("first").alias("ka")), "a").join(firsts.select(F.col("fp").alias("b"), F.col("first").alias("kb")), "b")
     near = ends.select(F.least("ka", "kb").alias("a"), F.greatest("ka", "kb").alias("b"))
     known = cut(same.unionByName(near).where("a < b").distinct(), "linked")
-    groups = similar(_keyed(docs), own.select("key", "bands"), known)
+    groups = similar(_keyed(docs), own.select("key", "size", "bands"), known)
 
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
     keys = own.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n"))
