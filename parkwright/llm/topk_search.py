@@ -11,7 +11,7 @@ the bounds (with slack for rounding) only skip work and never change a result.
 
 Scale: rows are cut into blocks of ROW_BLOCK by range of (length, pivot, distance); a
 hot pivot, or many equal vectors, spread over many blocks. A table with the least and
-largest distance of each (block, pivot), one row for each block and pivot, tells before
+largest distance of each (block, pivot), about one row for each block and pivot, tells before
 anything is shuffled which blocks can hold an answer of a query. Each query first visits
 the block of its highest bound; only blocks that can still reach its k-th score then get
 it. A task holds one block and streams the queries that came to it, so the index moves
@@ -39,6 +39,8 @@ from pyspark.sql import functions as F
 from parkwright.llm.shared import cut
 
 PIVOTS, SAMPLE_ROWS, ROW_BLOCK, LEAST_BLOCK, ANNULUS, FLOATS = 48, 2048, 131_072, 2_048, 512, 1 << 24
+#: Bounds of (query, ring) that a task holds at a time.
+BOUNDS = 1 << 20
 
 
 def whole_numbers(vector: Column, scale: int = 256) -> Column:
@@ -205,24 +207,29 @@ def _routed(asked: DataFrame, spaces: dict[int, Space], rings: pd.DataFrame, kin
     """``asked`` (id, v, q, floor, home) once for each block to visit: the one of the highest bound, or all others that reach the floor."""
     by_dim = {d: r for d, r in rings.groupby("dim")}
 
+    def routed(space: Space | None, ring: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        q, ids, floor = np.stack(own["v"].to_numpy()).astype(float), own["id"].to_numpy(np.int64), own["floor"].to_numpy(float)
+        block, start = np.unique(ring["block"].to_numpy(np.int64), return_index=True)
+        most = np.full((len(q), len(ring)), np.inf)
+        if space:
+            most = space.bounds(q, ring["pivot"].to_numpy(np.int64), ring["low"].to_numpy(float), ring["high"].to_numpy(float))
+            floor = np.maximum(floor, space.floors(ids, q, k))
+        most = np.maximum.reduceat(most, start, axis=1)
+        if home:
+            line, place = np.arange(len(q)), most.argmax(1)
+        else:
+            line, place = np.nonzero((most >= floor[:, None]) & (block[None, :] != own["home"].to_numpy(np.int64)[:, None]))
+        return pd.DataFrame({"id": ids[line], "v": own["v"].to_numpy()[line], "q": own["q"].to_numpy()[line], "floor": floor[line], "block": block[place].astype(np.int32)})
+
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            for dim, own in rows.groupby(rows["v"].map(len)):
-                space, ring = spaces.get(dim), by_dim.get(dim if dim in spaces else -1)
+            for dim, same in rows.groupby(rows["v"].map(len)):
+                ring = by_dim.get(dim if dim in spaces else -1)
                 if ring is None:
                     continue
-                q, ids, floor = np.stack(own["v"].to_numpy()).astype(float), own["id"].to_numpy(np.int64), own["floor"].to_numpy(float)
-                block, start = np.unique(ring["block"].to_numpy(np.int64), return_index=True)
-                most = np.full((len(q), len(ring)), np.inf)
-                if space:
-                    most = space.bounds(q, ring["pivot"].to_numpy(np.int64), ring["low"].to_numpy(float), ring["high"].to_numpy(float))
-                    floor = np.maximum(floor, space.floors(ids, q, k))
-                most = np.maximum.reduceat(most, start, axis=1)
-                if home:
-                    line, place = np.arange(len(q)), most.argmax(1)
-                else:
-                    line, place = np.nonzero((most >= floor[:, None]) & (block[None, :] != own["home"].to_numpy(np.int64)[:, None]))
-                yield pd.DataFrame({"id": ids[line], "v": own["v"].to_numpy()[line], "q": own["q"].to_numpy()[line], "floor": floor[line], "block": block[place].astype(np.int32)})
+                step = BOUNDS // len(ring) + 1
+                for at in range(0, len(same), step):
+                    yield routed(spaces.get(dim), ring, same.iloc[at : at + step])
 
     return asked.mapInPandas(work, f"id long, v array<{kind}>, q long, floor double, block int")
 

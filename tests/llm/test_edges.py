@@ -351,6 +351,7 @@ def test_search_prunes_nothing_wrongly(spark, monkeypatch):
     monkeypatch.setattr(topk_search, "ANNULUS", 7)
     monkeypatch.setattr(topk_search, "ROW_BLOCK", 150)
     monkeypatch.setattr(topk_search, "LEAST_BLOCK", 40)
+    monkeypatch.setattr(topk_search, "BOUNDS", 100)  # a few queries at a time
     r = np.random.default_rng(6)
     centres = r.normal(size=(9, 8)) * 3
     x = np.floor(256 * np.round(centres[r.integers(0, 9, 900)] + r.normal(size=(900, 8)) * 0.02, 1))
