@@ -14,16 +14,21 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 50_000
 
 
+#: Temporary folders of local masters, by application.
+_LOCAL: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; only where it is unset and all runs on this machine, a temporary one of it."""
     context = spark.sparkContext
     root = context.getConf().get("spark.checkpoint.dir", None)
+    root = root or _LOCAL.get(context.applicationId)
     if not root:
         if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="parkwright-")
-        context._conf.set("spark.checkpoint.dir", root)
         context.setCheckpointDir(root)
+        _LOCAL[context.applicationId] = root
     return root.rstrip("/")
 
 

@@ -539,7 +539,7 @@ def test_shared_folder_is_needed_on_a_cluster():
 
     conf = SimpleNamespace(get=lambda key, default: default)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_root(SimpleNamespace(sparkContext=SimpleNamespace(getConf=lambda: conf, master="spark://host:7077")))
+        shared_root(SimpleNamespace(sparkContext=SimpleNamespace(getConf=lambda: conf, master="spark://host:7077", applicationId="none")))
 
 
 def test_metrics_skips_what_is_no_rate(spark):
