@@ -16,8 +16,8 @@ from parkwright.functions import bits
 from parkwright.functions import text as T
 
 MODES = ("none", "simple", "jiwer_default")
-#: Characters from which a pair is compared on the bits of whole numbers, in Arrow batches: the built-in distance walks a text from its start for each character.
-LONG = 4096
+#: Characters from which a pair is compared on the bits of whole numbers, in Arrow batches: the built-in distance looks at each pair of characters, 64 of which are one step there.
+LONG = 256
 
 
 def units(mode: str, c: Column) -> tuple[Column, Column]:
