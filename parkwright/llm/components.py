@@ -7,6 +7,10 @@ every node its root. The random order makes a path of n nodes shrink in about
 log n rounds, whatever its ids. Nothing is collected: each round is written to
 the shared folder. Both sides of each join come straight from an exchange, so
 that adaptive execution splits the partition of a hub.
+
+Defined cases: repeated edges and loops count for nothing, but a node of loops only
+is not returned. Nodes may be of any type that has an order. Columns beyond a and b are not
+looked at, whatever their names. No edges in, no rows out.
 """
 
 from __future__ import annotations

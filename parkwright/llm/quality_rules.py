@@ -7,7 +7,9 @@ documents merge by adding counts, so a (language, source) with few documents
 falls back to the merged sketch of its language, then of all. A measure is out of
 line when it exceeds the median by more than SPREADS times the distance from the
 lower quartile to the median; the width of the median's bucket, which is what the
-sketch rounds by, is the only allowance beside that. Both quantiles lie in the
+sketch rounds by, is the only allowance beside that. SPREADS follows from the part of
+clean texts that a measure may reject (LOST): a tail that falls off like an exponential
+halves with each quartile distance, so beyond t distances lies 2^-(t + 1) of the group. Both quantiles lie in the
 lower half, so up to half of a group may be junk without moving its threshold. A
 group whose quartile equals its median takes the distance of the next wider
 sketch that has one. The measures are ones that vary in any text (marks, capitals,
@@ -29,6 +31,8 @@ text, lang and source are not looked at, whatever their names. No rows in, no ro
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,7 +40,10 @@ from parkwright.llm.shared import cut, let, small
 
 #: What the rules look at: marks and capitals per ten thousand characters of words, hundredths of a character per word, and n * sqrt(n) / distinct^2 in thousandths.
 MEASURES = ("marks_ptt", "upper_ptt", "word_length_c", "sameness_pm")
-SPREADS, LEAST_ROWS, MIN_WORDS, SKETCH_BITS = 12, 200, 50, 8
+LEAST_ROWS, MIN_WORDS, SKETCH_BITS = 200, 50, 8
+#: The part of a group's clean texts that a measure may reject, and the quartile distances that this asks for: a tail that halves with each distance holds 2^-(t + 1) beyond t of them.
+LOST = 2.0**-13
+SPREADS = round(-math.log2(2 * LOST))
 SPACE = r"[\x20\x09-\x0D]"
 SYMBOLS = "#*$%&|<>"
 

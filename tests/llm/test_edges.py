@@ -61,6 +61,24 @@ def test_sketch_follows_its_group(spark):
     assert all(got[r[0]] for r in plain_rows + table) and not got[2000]
 
 
+SHIFTED = {
+    "marks_ptt": lambda i: words(100, i).replace(" ", " | "), "upper_ptt": lambda i: words(100, i).upper().replace("W", "WXYZ"), "word_length_c": lambda i: " ".join(w * 9 for w in words(100, i).split()),
+    "sameness_pm": lambda i: words(100, i, 12),
+}
+
+
+@pytest.mark.parametrize("measure", SHIFTED)
+def test_each_measure_follows_its_group(spark, measure):
+    """A value of one measure that is usual in a source is kept there and rejected in another, by that measure."""
+    usual = [(i, words(100, i), "en", "prose", 0) for i in range(250)]
+    odd_there = [(1000 + i, SHIFTED[measure](i), "en", "other", 0) for i in range(250)]
+    odd_here = [(2000, SHIFTED[measure](7), "en", "prose", 0)]
+    got = {r["doc_id"]: r for r in quality_rules.apply_rules(spark.createDataFrame(usual + odd_there + odd_here, "doc_id long, text string, lang string, source string, n_chars long")).collect()}
+    # with 12 quartile distances about one clean text in 8,192 may go for each measure
+    assert sum(not got[r[0]]["kept"] for r in usual + odd_there) <= 1 and not got[2000]["base_failed"]
+    assert not got[2000]["kept"] and got[2000][measure] > got[2000][f"top_{measure}"] and got[1007][measure] <= got[1007][f"top_{measure}"]
+
+
 def test_bucket(spark):
     got = spark.range(100_000).select("id", quality_rules.bucket(F.col("id")).alias("b")).where("b > id or id - b > id / 32").count()
     assert got == 0
