@@ -59,14 +59,17 @@ def misheard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chunks_sql(source: str) -> str:
-    """CTEs up to chunks (id, kind, ref_phrase, hyp_phrase, words) of the word lists in ``source`` (id, r, h): the whole table of edit distances of each pair, walked back from its end; runs of equal steps."""
-    row = "list_reduce(list_transform(range(1, len(h) + 1), lambda j: [j]), lambda cur, jj: list_append(cur, least(acc[-1][jj[1] + 1] + 1, cur[jj[1]] + 1, acc[-1][jj[1]] + (CASE WHEN r[ii[1][1]] = h[jj[1]] THEN 0 ELSE 1 END))), [ii[1][1]])"
-    return f"""al_d AS (SELECT id, r, h, list_reduce(list_transform(range(1, len(r) + 1), lambda i: [[i]]), lambda acc, ii: list_append(acc, {row}), [range(0, len(h) + 1)]) AS d FROM {source} WHERE len(r) > 0),
-al_t AS (SELECT id, len(r) AS i, len(h) AS j, 0 AS step, NULL::VARCHAR AS kind, NULL::VARCHAR AS a, NULL::VARCHAR AS b FROM al_d
-  UNION ALL SELECT id, CASE WHEN k = 'insert' THEN i ELSE i - 1 END, CASE WHEN k = 'delete' THEN j ELSE j - 1 END, step + 1, k, CASE WHEN k <> 'insert' THEN r[i] END, CASE WHEN k <> 'delete' THEN h[j] END FROM (SELECT t.id, i, j, step, r, h,
-    CASE WHEN i > 0 AND j > 0 AND r[i] = h[j] THEN 'equal' WHEN i > 0 AND j > 0 AND d[i + 1][j + 1] = d[i][j] + 1 THEN 'substitute' WHEN i > 0 AND d[i + 1][j + 1] = d[i][j + 1] + 1 THEN 'delete' ELSE 'insert' END AS k FROM al_t t JOIN al_d USING (id) WHERE i > 0 OR j > 0)),
-al_g AS (SELECT *, step - row_number() OVER (PARTITION BY id, kind ORDER BY step) AS run FROM al_t WHERE kind <> 'equal'),
-chunks AS (SELECT id, kind, coalesce(string_agg(a, ' ' ORDER BY step DESC), '') AS ref_phrase, coalesce(string_agg(b, ' ' ORDER BY step DESC), '') AS hyp_phrase, count(*) AS words FROM al_g GROUP BY id, kind, run)"""
+    """Recursive CTEs up to chunks (id, kind, ref_phrase, hyp_phrase, words) of the word lists in ``source`` (id, r, h): the whole table of edit distances of each pair, row by row, walked back from its end; runs of equal steps."""
+    row = "list_reduce(list_transform(range(1, len(h) + 1), lambda j: [j]), lambda cur, jj: list_append(cur, least(above[jj[1] + 1] + 1, cur[-1] + 1, above[jj[1]] + (CASE WHEN w = h[jj[1]] THEN 0 ELSE 1 END))), [i + 1])"
+    kind = "CASE WHEN s.i > 0 AND s.j > 0 AND r[s.i] = h[s.j] THEN 'e' WHEN s.i > 0 AND s.j > 0 AND d[s.i + 1][s.j + 1] = d[s.i][s.j] + 1 THEN 's' WHEN s.i > 0 AND d[s.i + 1][s.j + 1] = d[s.i][s.j + 1] + 1 THEN 'd' ELSE 'i' END"
+    return f"""al_p AS (SELECT * FROM {source} WHERE len(r) > 0),
+al_r AS (SELECT id, 0::BIGINT AS i, range(0, len(h) + 1) AS d FROM al_p UNION ALL SELECT id, i + 1, {row} FROM (SELECT t.id, t.i, t.d AS above, h, r[t.i + 1] AS w FROM al_r t JOIN al_p USING (id) WHERE t.i < len(r))),
+al_d AS (SELECT id, list(d ORDER BY i) AS d FROM al_r GROUP BY id),
+al_t AS (SELECT id, list_reduce(list_transform(range(len(r) + len(h)), lambda z: {{'i': z, 'j': z, 'ops': ''}}), lambda s, z: CASE WHEN s.i = 0 AND s.j = 0 THEN s ELSE {{'i': s.i - CASE WHEN ({kind}) = 'i' THEN 0 ELSE 1 END, 'j': s.j - CASE WHEN ({kind}) = 'd' THEN 0 ELSE 1 END, 'ops': ({kind}) || s.ops}} END, {{'i': len(r), 'j': len(h), 'ops': ''}}).ops AS ops FROM al_p JOIN al_d USING (id)),
+al_s AS (SELECT id, unnest(string_split(ops, '')) AS k, unnest(range(length(ops))) AS step FROM al_t),
+al_c AS (SELECT *, CAST(sum(CASE WHEN k <> 'i' THEN 1 ELSE 0 END) OVER w AS BIGINT) AS ri, CAST(sum(CASE WHEN k <> 'd' THEN 1 ELSE 0 END) OVER w AS BIGINT) AS hi, step - row_number() OVER (PARTITION BY id, k ORDER BY step) AS run FROM al_s WINDOW w AS (PARTITION BY id ORDER BY step)),
+al_g AS (SELECT id, run, step, CASE k WHEN 's' THEN 'substitute' WHEN 'd' THEN 'delete' ELSE 'insert' END AS kind, CASE WHEN k <> 'i' THEN r[ri] END AS a, CASE WHEN k <> 'd' THEN h[hi] END AS b FROM al_c JOIN al_p USING (id) WHERE k <> 'e'),
+chunks AS (SELECT id, kind, coalesce(string_agg(a, ' ' ORDER BY step), '') AS ref_phrase, coalesce(string_agg(b, ' ' ORDER BY step), '') AS hyp_phrase, count(*) AS words FROM al_g GROUP BY id, kind, run)"""
 
 
 def misheard_sql() -> str:
