@@ -61,22 +61,30 @@ def test_sketch_follows_its_group(spark):
     assert all(got[r[0]] for r in plain_rows + table) and not got[2000]
 
 
+def prose(seed, most=500):
+    """Words some of which have a comma, a capital or a longer form, so that every measure varies from text to text."""
+    r = random.Random(seed)
+    return " ".join((w.upper() if r.random() < 0.1 else w) + ("," if r.random() < 0.1 else "x" * r.randrange(4)) for w in words(100, seed, most).split())
+
+
+#: Texts of one source, and of another in which one measure is usually higher.
 SHIFTED = {
-    "marks_ptt": lambda i: words(100, i).replace(" ", " | "), "upper_ptt": lambda i: words(100, i).upper().replace("W", "WXYZ"), "word_length_c": lambda i: " ".join(w * 9 for w in words(100, i).split()),
-    "sameness_pm": lambda i: words(100, i, 12),
+    "marks_ptt": (prose, lambda i: prose(i).replace("x", ".")), "upper_ptt": (prose, lambda i: prose(i).upper()), "word_length_c": (prose, lambda i: " ".join(w * 9 for w in prose(i).split())),
+    "sameness_pm": (lambda i: words(100, i, 60), lambda i: words(100, i, 14)),
 }
 
 
 @pytest.mark.parametrize("measure", SHIFTED)
 def test_each_measure_follows_its_group(spark, measure):
     """A value of one measure that is usual in a source is kept there and rejected in another, by that measure."""
-    usual = [(i, words(100, i), "en", "prose", 0) for i in range(250)]
-    odd_there = [(1000 + i, SHIFTED[measure](i), "en", "other", 0) for i in range(250)]
-    odd_here = [(2000, SHIFTED[measure](7), "en", "prose", 0)]
+    here, there = SHIFTED[measure]
+    usual = [(i, here(i), "en", "prose", 0) for i in range(250)]
+    odd_there = [(1000 + i, there(i), "en", "other", 0) for i in range(250)]
+    odd_here = [(2000, there(7), "en", "prose", 0)]
     got = {r["doc_id"]: r for r in quality_rules.apply_rules(spark.createDataFrame(usual + odd_there + odd_here, "doc_id long, text string, lang string, source string, n_chars long")).collect()}
-    # with 12 quartile distances about one clean text in 8,192 may go for each measure
-    assert sum(not got[r[0]]["kept"] for r in usual + odd_there) <= 1 and not got[2000]["base_failed"]
-    assert not got[2000]["kept"] and got[2000][measure] > got[2000][f"top_{measure}"] and got[1007][measure] <= got[1007][f"top_{measure}"]
+    lost = [r[0] for r in usual + odd_there if got[r[0]][measure] > got[r[0]][f"top_{measure}"]]
+    # with 12 quartile distances about one clean text in 8,192 may go for a measure
+    assert len(lost) <= 1 and not got[2000]["base_failed"] and not got[2000]["kept"] and got[2000][measure] > got[2000][f"top_{measure}"]
 
 
 def test_bucket(spark):
