@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parkwright.functions.numbers import MAX_CLIP_SECONDS, SAMPLE_RATE
-from parkwright.functions.text import align_words, let, polish, strip
+from parkwright.functions.text import align_words, let, once, polish, strip
 
 #: Fixed value: the longest chunk of an aligned clip.
 MAX_CHUNK_SECONDS = 28.0
@@ -154,7 +154,8 @@ def chunked(clips: DataFrame, spans: str, reassembly: bool = False, most: float
     """
     text = strip(F.coalesce(F.col("text"), F.lit("")))
     outcome = F.when((F.col("duration_s") <= MAX_CLIP_SECONDS) | (text == ""), "passed").when(F.coalesce(F.size(spans), F.lit(0)) <= 0, "failed").otherwise("chunked")
-    rows = clips.withColumns({"outcome": outcome, "full_text": text, "_words": chosen_words(text)})
+    # the words are looked up once for each word, and the pieces are filtered: both are made once a row
+    rows = once(clips, outcome=outcome, full_text=text, _words=chosen_words(text))
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_samples").cast("long").alias("end"), F.col("text").alias("text")))
     at = lambda i: F.get(F.col(spans), i)
 
@@ -167,7 +168,7 @@ def chunked(clips: DataFrame, spans: str, reassembly: bool = False, most: float
 
     pieces = F.when(F.col("outcome") == "chunked", F.transform(packed_spans(F.col(spans), most), cut_at)).otherwise(whole)
     kept = [c for c in clips.columns if c not in (spans, "text")]
-    out = rows.withColumn("_pieces", pieces).select(*kept, "outcome", "full_text", F.size("_pieces").alias("num_chunks"), F.posexplode("_pieces").alias("chunk_index", "_p"))
+    out = once(rows, _pieces=pieces).select(*kept, "outcome", "full_text", F.size("_pieces").alias("num_chunks"), F.posexplode("_pieces").alias("chunk_index", "_p"))
     out = out.select(*kept, "outcome", "full_text", "num_chunks", "chunk_index", "_p.start", "_p.end", "_p.text")
     return out if reassembly else out.drop("full_text", "num_chunks")
 
