@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from parkwright.operators import chunking
+from parkwright.operators import chunking, errors
 
 
 def planned(df) -> str:
@@ -20,3 +20,15 @@ def test_chunks_split_a_text_once(spark):
     rows = sorted(out.collect(), key=lambda r: r["chunk_index"])
     assert [r["text"].split() for r in rows] == [words[at : at + 28] for at in range(0, 3000, 28)]
     assert {r["num_chunks"] for r in rows} == {len(rows)} and {r["full_text"] for r in rows} == {" ".join(words)}
+
+
+def test_bands_work_rates_out_once(spark):
+    """No filter below the rates repeats them, and bands without rows are there."""
+    double = F.udf(lambda x: None if x is None else x * 2.0, "double")
+    rows = spark.createDataFrame([(0.05,), (0.1,), (0.25,), (0.6,), (40.0,), (float("nan"),), (None,)], "x double").withColumn("wer", double(F.col("x")))
+    out = errors.bands(rows.withColumn("wer", F.when(F.col("x").isNotNull(), F.col("wer"))), "wer")
+    assert planned(out).count("EvalPython") == 1
+    got = [(r["place"], r["band"], r["n"], round(r["pct"], 6)) for r in out.orderBy("place").collect()]
+    share = lambda n: round(100 * n / 7, 6)
+    assert got == [(0, "good", 1, share(1)), (1, "moderate", 1, share(1)), (2, "fair", 1, share(1)), (3, "poor", 0, 0.0), (4, "bad", 0, 0.0), (5, "catastrophic", 2, share(2))]
+    assert [(r["n"], r["pct"]) for r in errors.bands(rows.where("false"), "wer").collect()] == [(0, 0.0)] * 6
