@@ -2,19 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
-
 from parkwright.functions.text import let
 from parkwright.operators.ranking import grouped_rank
-from parkwright.sources.shared import BROADCAST_ROWS, cut, new_path, settled, shared_root, small
+from parkwright.sources.shared import BROADCAST_ROWS, cut, new_path, settled, shared_root, slices, small
 
 __all__ = ["BROADCAST_ROWS", "cut", "grouped_rank", "let", "new_path", "settled", "shared_root", "slices", "small"]
-
-
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
-    """Parts of Arrow batches of at most ``rows`` rows: Python objects are made of so many texts at a time."""
-    for b in batches:
-        for at in range(0, b.num_rows, rows):
-            yield b.slice(at, rows)

@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from parkwright.functions import bits
 from parkwright.operators import chunking, errors
+from parkwright.sources import shared
 
 
 def planned(df) -> str:
@@ -32,3 +34,32 @@ def test_bands_work_rates_out_once(spark):
     share = lambda n: round(100 * n / 7, 6)
     assert got == [(0, "good", 1, share(1)), (1, "moderate", 1, share(1)), (2, "fair", 1, share(1)), (3, "poor", 0, 0.0), (4, "bad", 0, 0.0), (5, "catastrophic", 2, share(2))]
     assert [(r["n"], r["pct"]) for r in errors.bands(rows.where("false"), "wer").collect()] == [(0, 0.0)] * 6
+
+
+def test_costly_rows_are_dealt_by_their_number(spark, tmp_path, monkeypatch):
+    """The longest task doesn't grow with the table, however few files it has."""
+    spark.range(2000).repartition(8).write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    assert shared.spread(rows).rdd.getNumPartitions() == max(8, rows.rdd.getNumPartitions())
+    monkeypatch.setattr(shared, "DEALT", 100)
+    dealt = shared.spread(rows)
+    assert dealt.rdd.getNumPartitions() == 20 and dealt.distinct().count() == 2000
+
+
+def test_left_out_items_need_no_table_of_edits(monkeypatch):
+    """A pair of which one side only lacks items costs a walk, and others the same edits as ever."""
+    line = [str(i % 97) for i in range(2000)]
+    kept = [x for i, x in enumerate(line) if i % 7 != 3]
+    assert bits.distance([*kept, "z"], line) == plain_distance([*kept, "z"], line)
+    monkeypatch.setattr(bits, "columns", None)
+    assert bits.distance(line, kept) == bits.distance(kept, line) == len(line) - len(kept)
+    assert bits.distance([], line) == 2000 and bits.distance(line, line) == bits.distance([], []) == 0
+
+
+def plain_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
