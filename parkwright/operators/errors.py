@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from parkwright.functions.bits import steps
 from parkwright.functions.text import error_text, loop_score, text, words_on_space
 from parkwright.operators.ranking import interpolated, selected
-from parkwright.sources.shared import cut
+from parkwright.sources.shared import cut, slices
 
 #: Half-open bands of error rates.
 BANDS = (("good", 0.0, 0.2), ("moderate", 0.2, 0.4), ("fair", 0.4, 0.6), ("poor", 0.6, 0.8), ("bad", 0.8, 1.01), ("catastrophic", 1.01, 99.0))
@@ -90,7 +90,7 @@ def edit_chunks(pairs: DataFrame) -> DataFrame:
     own = pairs.select(words_on_space(error_text(text("reference"))).alias("r"), words_on_space(error_text(text("prediction"))).alias("h"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             found = [x for r, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for x in align(r, h)]
             kinds, refs, hyps = (list(c) for c in zip(*found, strict=True)) if found else ([], [], [])
             sizes = [max(len(r.split()), len(h.split())) for r, h in zip(refs, hyps, strict=True)]
