@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parkwright.operators.merging import concatenated
+from parkwright.sources.shared import cut
 
 #: Names that a column of audio or of text may have, in order of preference.
 AUDIO_COLUMNS = ("audio", "speech", "path")
@@ -67,9 +68,38 @@ def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def csv(spark: SparkSession, path: str, columns: list[str], **options: str) -> DataFrame:
-    """Every column as text, by position; quoted fields may hold line breaks and quotes, and blank fields read ''."""
+    """Every column as text, by position; quoted fields may hold line breaks and quotes, and blank fields read ''.
+
+    Read in as many tasks as the files have splits. Quotes stand around fields, doubled inside them, so a
+    line begins inside a field if the number of quotes before it in the file is odd. Lines are numbered and their quotes summed in their own split;
+    of the splits, a row each, follows what each begins with. Only lines of records with line breaks are gathered.
+    """
+    options = {"lineSep": "\n"} | options
+    own = Window.partitionBy("file", "start").orderBy("at")
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    lines = spark.read.text(path, lineSep=options["lineSep"]).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"), quotes.cast("long").alias("quotes"))
+    earlier = F.coalesce(F.sum("quotes").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    lines = cut(lines.select("file", "start", "value", "quotes", F.row_number().over(own).alias("n"), (earlier % 2).alias("odd")), "lines")
+
+    last = lambda odd: F.max(F.when(F.col("odd") == odd, F.col("n")))
+    splits = lines.groupBy("file", "start").agg((F.sum("quotes") % 2).alias("quotes"), last(0).alias("even_at"), last(1).alias("odd_at"))
+    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("inside", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2)
+    splits = splits.withColumn("last", F.when(F.col("inside") == 0, F.col("even_at")).otherwise(F.col("odd_at")))
+    begun = F.last(F.when(F.col("last").isNotNull(), F.struct("start", F.col("last").alias("n"))), ignorenulls=True).over(before)
+    splits = splits.select("file", "start", "inside", begun.alias("begun"))
+
+    # a line that begins outside of fields begins a record, and one with even quotes ends it
+    placed = lines.join(F.broadcast(splits), ["file", "start"]).withColumn("begins", F.col("odd") == F.col("inside"))
+    whole = F.col("begins") & (F.col("quotes") % 2 == 0)
+    of = F.coalesce(F.last(F.when(F.col("begins"), F.struct("start", "n")), ignorenulls=True).over(Window.partitionBy("file", "start").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)), "begun")
+    parts = placed.where(~whole).withColumn("of", of).groupBy("file", "of").agg(F.sort_array(F.collect_list(F.struct("start", "n", "value"))).alias("parts"))
+    joined = parts.select("of.start", "of.n", F.array_join(F.transform("parts", lambda p: p["value"]), options["lineSep"]).alias("value"))
+    records = placed.where(whole).select("start", "n", "value").unionByName(joined)
+    # the first record of each file is its header
+    records = records.where("not (start = 0 and n = 1) and value <> ''")
     schema = ", ".join(f"`{c}` string" for c in columns)
-    return spark.read.schema(schema).csv(path, header=True, multiLine=True, quote='"', escape='"', nullValue="\u0000", **({"lineSep": "\n"} | options))
+    return records.select(F.from_csv("value", F.lit(schema), {"quote": '"', "escape": '"', "nullValue": "\u0000"} | options).alias("row")).select("row.*")
 
 
 def json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -1,10 +1,12 @@
 """Work that must not be repeated, and memory and tasks that must not grow with the table."""
 
+from csv import writer
+
 from pyspark.sql import functions as F
 
 from parkwright.functions import bits
 from parkwright.operators import chunking, errors
-from parkwright.sources import shared
+from parkwright.sources import shared, tables
 
 
 def planned(df) -> str:
@@ -56,6 +58,30 @@ def test_left_out_items_need_no_table_of_edits(monkeypatch):
     assert bits.distance([], line) == 2000 and bits.distance(line, line) == bits.distance([], []) == 0
 
 
+def test_csv_with_line_breaks_is_read_in_splits(spark, tmp_path):
+    """Records over many lines and splits, with quotes and line breaks of both kinds in their fields."""
+    texts = ["plain", "a,b", 'say "no"', "two\nlines", "win\r\ndows", '"\r\n"', "", " x ", '\r\n'.join(f'line "{i}", more' for i in range(90)), "é\nü", '"']
+    rows = [(str(i), texts[i % len(texts)], "end" if i % 3 else "") for i in range(400)]
+    for sep in ("\r\n", "\n"):
+        folder = tmp_path / f"{len(sep)}"
+        folder.mkdir()
+        for k, own in enumerate((rows[:390], rows[390:])):
+            with open(folder / f"{k}.csv", "w", newline="") as f:
+                writer(f, lineterminator=sep).writerows([("id", "text\nhere", "last"), *own])
+        for most in ("100", "700", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+            try:
+                back = tables.csv(spark, str(folder), ["id", "text", "last"], lineSep=sep)
+                got = [tuple(r) for r in back.collect()]
+                assert most != "700" or spark.read.text(str(folder), lineSep=sep).rdd.getNumPartitions() > 20
+            finally:
+                spark.conf.unset("spark.sql.files.maxPartitionBytes")
+                spark.conf.unset("spark.sql.files.openCostInBytes")
+            # blanks without quotes have always read as null
+            assert sorted(got, key=lambda r: int(r[0])) == [tuple(x or None for x in r) for r in rows]
+
+
 def plain_distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
