@@ -2,10 +2,12 @@
 
 from csv import writer
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from parkwright.functions import bits
-from parkwright.operators import chunking, errors
+from parkwright.operators import audio, chunking, errors, flac
 from parkwright.sources import shared, tables
 
 
@@ -82,6 +84,33 @@ def test_csv_with_line_breaks_is_read_in_splits(spark, tmp_path):
             assert sorted(got, key=lambda r: int(r[0])) == [tuple(x or None for x in r) for r in rows]
 
 
+def given_rows(monkeypatch, rows, make, columns: list[pa.Array]) -> list[int]:
+    """Rows of each batch that the worker of ``make(rows)`` gives for one batch of ``columns``."""
+    workers = []
+    with monkeypatch.context() as patch:
+        patch.setattr(type(rows), "mapInArrow", lambda self, work, schema: workers.append(work) or self)
+        make(rows)
+    batch = pa.RecordBatch.from_arrays(columns, names=[f"c{i}" for i in range(len(columns))])
+    return [b.num_rows for b in workers[0](iter([batch]))]
+
+
+def test_workers_hold_a_few_clips(spark, monkeypatch):
+    """Sound is made into objects by slices of a batch, however many rows that has."""
+    rows = spark.createDataFrame([], "id long, x array<array<int>>, audio struct<bytes:binary>")
+    ids, frames = pa.array(range(200), pa.int64()), pa.array([[[i, -i]] * 30 for i in range(200)])
+    files = pa.array([{"bytes": audio.encode_wav(np.array([[i], [i]]))} for i in range(200)])
+    for make, own in (
+        (lambda r: audio.wav_bytes(r, "id", "x"), frames), (lambda r: flac.flac_bytes(r, "id", "x", 16000), frames), (lambda r: audio.prepared(r, "id", "audio"), files),
+    ):
+        assert given_rows(monkeypatch, rows, make, [ids, own]) == [64, 64, 64, 8]
+
+
+def test_workers_hold_a_few_alignments(spark, monkeypatch):
+    rows = spark.createDataFrame([], "reference string, prediction string")
+    found = given_rows(monkeypatch, rows, errors.edit_chunks, [pa.array([["a", "b"]] * 1200), pa.array([["a", "c"]] * 1200)])
+    assert found == [512, 512, 176]
+
+
 def plain_distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
