@@ -12,9 +12,9 @@ members, and what that leaves open is decided inside the buckets without a cap.
 
 Scale: texts are read in their own tasks; sets are made only for texts in a pair or in a
 bucket of several groups. Equal texts are one node, under 128 bits of their digest. Both
-sides of each join come straight from an exchange. A bucket of more than BLOCK members is
-cut into blocks, and each pair of blocks is searched in a task of its own, which gives a
-spanning forest of the pairs it finds. Work in a bucket of n members of different groups is
+sides of each join come straight from an exchange. A bucket of more than BLOCK members, or of
+more than BLOCK_SHINGLES shingles in all, is cut into blocks, and each pair of blocks is searched
+in a task of its own, which gives a spanning forest of the pairs it finds. Work in a bucket of n members of different groups is
 n^2 counts.
 
 Defined cases: texts of at most WORDS words are one shingle; null and empty texts
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from parkwright.llm.components import components
 from parkwright.llm.shared import cut, slices, small
 
-WORDS, BANDS, ROWS, BLOCK, SIMILARITY, SEED = 5, 16, 4, 2048, (4, 5), 42
+WORDS, BANDS, ROWS, BLOCK, BLOCK_SHINGLES, SIMILARITY, SEED = 5, 16, 4, 2048, 1 << 20, (4, 5), 42
 _MULTIPLIERS = np.random.default_rng(42).integers(0, 2**63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -174,13 +174,16 @@ def inside(texts: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFrame |
     """(a, b): pairs of SIMILARITY that connect members of one bucket in ``rows`` (key, bucket) across ``groups`` (node, root); None if no bucket is open.
 
     A bucket is open if it has several groups and more than two members; two are each other's ends.
+    Where ``rows`` has size, the number of shingles, it decides with the number of members how a bucket is cut.
     """
-    rooted = rows.join(groups.withColumnRenamed("node", "key"), "key", "left").select("bucket", "key", F.coalesce("root", "key").alias("root"))
-    several = rooted.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
-    several = cut(several.where("n > 2 and low <> high").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "open")
+    size = (F.col("size") if "size" in rows.columns else F.lit(0)).cast("long").alias("size")
+    rooted = rows.select("bucket", "key", size).join(groups.withColumnRenamed("node", "key"), "key", "left").select("bucket", "key", "size", F.coalesce("root", "key").alias("root"))
+    several = rooted.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total"), F.min("root").alias("low"), F.max("root").alias("high"))
+    blocks = F.least(F.col("n"), F.ceil(F.greatest(F.col("n") / BLOCK, F.col("total") / BLOCK_SHINGLES))).cast("int").alias("blocks")
+    several = cut(several.where("n > 2 and low <> high").select("bucket", blocks), "open")
     if several.isEmpty():
         return None
-    members = cut(rooted.join(several, "bucket"), "members")
+    members = cut(rooted.drop("size").join(several, "bucket"), "members")
     sets = sets_of(texts, small(cut(members.select("key").distinct(), "wanted")))
     own = members.withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(j, F.col("own")).alias("lo"), F.greatest(j, F.col("own")).alias("hi")))

@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from parkwright.functions import bits
+from parkwright.llm import shingles
 from parkwright.operators import audio, chunking, errors, flac
 from parkwright.sources import shared, tables
 
@@ -118,3 +119,25 @@ def plain_distance(a, b):
         for j, y in enumerate(b, 1):
             last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
     return row[-1]
+
+
+def test_blocks_hold_a_few_shingles(spark, monkeypatch):
+    """A bucket of few members is cut as well if their texts are long; what is alike is found all the same."""
+    monkeypatch.setattr(shingles, "BLOCK_SHINGLES", 3000)
+    # a third of the words is a text's own, but every third text is nearly the one before it
+    texts = [(f"k{i:02}", " ".join([f"w{j}" for j in range(800)] + [f"o{i - (i % 3 == 2)}-{j}" for j in range(400)] + ["end"] * (i % 3))) for i in range(30)]
+    table = spark.createDataFrame([(bytearray(k.encode()), bytearray(t.encode())) for k, t in texts], "key binary, text binary")
+    sizes = {k: len(shingles.shingles(t.encode())) for k, t in texts}
+    rows = spark.createDataFrame([(bytearray(k.encode()), n, 1) for k, n in sizes.items()], "key binary, size int, bucket long")
+    items = []
+
+    def seen(df, name, cut=shingles.cut):
+        found = cut(df, name)
+        if name == "open":
+            items.extend(r["blocks"] for r in found.collect())
+        return found
+
+    monkeypatch.setattr(shingles, "cut", seen)
+    found = {tuple(sorted((bytes(r["a"]).decode(), bytes(r["b"]).decode()))) for r in shingles.inside(table, rows, spark.createDataFrame([], "node binary, root binary")).collect()}
+    assert items == [-(-sum(sizes.values()) // 3000)]
+    assert found == {(f"k{i - 1:02}", f"k{i:02}") for i in range(2, 30, 3)}
